@@ -113,6 +113,12 @@ def age_in_years(year: Column, as_of_year: int | None = None) -> Column:
     return now - year
 
 
+def clashing(columns: Iterable[str], others: Iterable[str]) -> set[str]:
+    """Names in `columns` that Spark cannot tell from one in `others` (case is ignored)."""
+    taken = {c.lower() for c in others}
+    return {c for c in columns if c.lower() in taken}
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 

@@ -112,7 +112,7 @@ def _fixed16(value: Column) -> Column:
     digits = F.call_function("div", scaled + half, F.lit(2**60).cast("decimal(38,0)"))
     carry = digits >= F.lit(10**16)
     return F.concat(
-        F.when(value < 0, F.lit("-")).otherwise(F.lit("")),
+        F.when(value.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit("")),
         (whole + carry.cast("bigint")).cast("string"),
         F.lit("."),
         F.lpad(F.when(carry, F.lit(0)).otherwise(digits).cast("string"), 16, "0"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import age_in_years, front_columns, quoted, require_columns
+from ..functions.columns import age_in_years, clashing, front_columns, quoted, require_columns
 from .skew import BROADCAST_BYTES, checked_join, fits, salted_outer_join
 
 CONDITIONS = ("DD", "FH", "FF", "FX")
@@ -53,7 +53,8 @@ def _on_weather_keys(
         day, slot = utc_slot(quoted(start_col), zone)
         incidents = incidents.withColumns({incident_keys[0]: day, incident_keys[1]: slot})
     require_columns(incidents, *incident_keys)
-    clash = set(incidents.columns) & set(weather.columns) - set(incident_keys)
+    others = [c for c in incidents.columns if c not in incident_keys]
+    clash = clashing(others, weather.columns)
     renames = {c: f"{c}_right" for c in clash} | dict(zip(incident_keys, weather_keys))
     return incidents.withColumnsRenamed(renames)
 
@@ -90,7 +91,7 @@ def left_join_renamed(
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Left join on differently named keys; the right key is not in the output."""
-    clash = set(right.columns) & set(left.columns) - {right_on}
+    clash = clashing([c for c in right.columns if c != right_on], left.columns)
     right = right.withColumnsRenamed({c: f"{c}_right" for c in clash} | {right_on: left_on})
     joined = checked_join(left, right, [left_on], left.columns, "left", max_bytes)
     rest = [c for c in right.columns if c != left_on]

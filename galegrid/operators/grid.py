@@ -53,7 +53,7 @@ def condition_grid(
     """Areas with a profile x distinct conditions, with the profile columns of their name.
 
     Areas without a profile vanish before the grid is built; the wide profile columns are
-    attached after it.
+    attached after it. `profile` is read more than once: save it or cut its lineage first.
     """
     known = areas.select(quoted(code), quoted(name)).join(
         profile.select(quoted(name)).distinct(), name, "left_semi"
@@ -110,7 +110,8 @@ def labelled_set(
     """`label_grid(condition_grid(...), counts)` in the cheap order.
 
     Counts depend on the conditions only, so they are joined to the distinct conditions
-    before the grid multiplies them by the areas; the wide profile comes last.
+    before the grid multiplies them by the areas; the wide profile comes last. `profile` is
+    read more than once: save it or cut its lineage first.
     """
     known = areas.select(quoted(code), quoted(name)).join(
         profile.select(quoted(name)).distinct(), name, "left_semi"

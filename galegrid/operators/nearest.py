@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import geometry as geo
-from ..functions.columns import quoted
+from ..functions.columns import clashing, quoted
 from ..session import cut_lineage
 from .skew import checked_join
 
@@ -225,7 +225,8 @@ def nearest_join(
     `_right`. Distances are planar, in the unit of the coordinates.
     """
     drop_right = set(right_xy)
-    clash = (set(left.columns) - set(left_xy)) & (set(right.columns) - drop_right)
+    kept_right = [c for c in right.columns if c not in drop_right]
+    left_clash, right_clash = clashing(left.columns, kept_right), clashing(kept_right, left.columns)
     pairs = nearest_locations(_locations(left, *left_xy), _locations(right, *right_xy), exclusive)
     if max_distance is not None:
         pairs = pairs.where(F.sqrt("d2") <= F.lit(max_distance))
@@ -237,20 +238,21 @@ def nearest_join(
         )
     )
 
-    def keyed(df: DataFrame, xy: tuple[str, str], names: tuple[str, str], suffix: str) -> DataFrame:
-        tagged = df.where(_real(*xy)).withColumns(
+    def keyed(df: DataFrame, xy: tuple[str, str], names: tuple[str, str]) -> DataFrame:
+        return df.where(_real(*xy)).withColumns(
             {names[0]: quoted(xy[0]).cast("double"), names[1]: quoted(xy[1]).cast("double")}
         )
-        return tagged.withColumnsRenamed({c: f"{c}{suffix}" for c in clash})
 
-    left_rows = keyed(left, left_xy, ("_lx", "_ly"), "_left")
-    right_rows = keyed(right.select(*right.columns), right_xy, ("_rx", "_ry"), "_right").drop(
-        *right_xy
+    left_rows = keyed(left, left_xy, ("_lx", "_ly")).withColumnsRenamed(
+        {c: f"{c}_left" for c in left_clash}
+    )
+    right_rows = keyed(right, right_xy, ("_rx", "_ry")).drop(*right_xy).withColumnsRenamed(
+        {c: f"{c}_right" for c in right_clash}
     )
     matched = checked_join(left_rows, pairs, ["_lx", "_ly"], spread=left_rows.columns)
     joined = checked_join(matched, right_rows, ["_rx", "_ry"], spread=left_rows.columns)
-    left_out = [f"{c}_left" if c in clash else c for c in left.columns]
-    right_out = [f"{c}_right" if c in clash else c for c in right.columns if c not in drop_right]
+    left_out = [f"{c}_left" if c in left_clash else c for c in left.columns]
+    right_out = [f"{c}_right" if c in right_clash else c for c in kept_right]
     return joined.select(
         *[quoted(c) for c in [*left_out, *right_out]], F.col("_distance").alias(distance_col)
     )

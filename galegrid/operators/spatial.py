@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
-from ..functions.columns import quoted
+from ..functions.columns import clashing, quoted
 from .skew import BROADCAST_BYTES, fits, salted_join
 
 CELLS_PER_AREA = 8
@@ -175,11 +175,11 @@ def points_in_areas(
     shuffled; larger area tables join on the cell with crowded cells split.
     """
     keys = list(keys)
-    both = set(keys) & set(points.columns)
-    areas = areas.withColumnsRenamed({c: f"{c}_left" for c in both})
-    points = points.withColumnsRenamed({c: f"{c}_right" for c in both})
-    keys = [f"{c}_left" if c in both else c for c in keys]
-    x, y = (f"{c}_right" if c in both else c for c in (x, y))
+    area_clash, point_clash = clashing(keys, points.columns), clashing(points.columns, keys)
+    areas = areas.withColumnsRenamed({c: f"{c}_left" for c in area_clash})
+    points = points.withColumnsRenamed({c: f"{c}_right" for c in point_clash})
+    keys = [f"{c}_left" if c in area_clash else c for c in keys]
+    x, y = (f"{c}_right" if c in point_clash else c for c in (x, y))
 
     grid = measure_grid(areas, edges, cell_size)
     cells = area_cells(areas, keys, grid, edges)

@@ -9,13 +9,14 @@ def _name(*parts: str) -> str:
     return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
 
 
-def save_table(df: DataFrame, schema: str, table: str, path: str | None = None) -> None:
-    """Write `schema.table` as Parquet, replacing what it held; `path` keeps it external."""
-    df.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {_name(schema)}")
-    writer = df.write.mode("overwrite").format("parquet")
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(_name(schema, table))
+def save_table(df: DataFrame, schema: str, table: str, location: str | None = None) -> None:
+    """Write `schema.table` as Parquet, replacing what it held.
+
+    `location` is where a new schema keeps its tables; by default the warehouse folder.
+    """
+    where = "" if location is None else " LOCATION '" + location.replace("'", "\\'") + "'"
+    df.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {_name(schema)}{where}")
+    df.write.mode("overwrite").format("parquet").saveAsTable(_name(schema, table))
 
 
 def read_table(spark: SparkSession, schema: str, table: str) -> DataFrame:

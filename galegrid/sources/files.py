@@ -61,17 +61,22 @@ def read_json_records(spark: SparkSession, path: Paths, schema: T.StructType) ->
     return spark.read.json(path, schema=schema, multiLine=True)
 
 
-def read_pages(spark: SparkSession, path: Paths, properties: T.StructType) -> DataFrame:
-    """Staged page files with their `type`, `features` and the `page` number in the file name.
+def read_pages(
+    spark: SparkSession,
+    path: Paths,
+    properties: T.StructType,
+    page_pattern: str = r".*page[=_-]?(\d+)",
+) -> DataFrame:
+    """Staged page files with their `type`, `features` and the `page` number in the file path.
 
     A file that is not JSON gives a row with null type.
     """
     pages = spark.read.json(
         path, schema=feature_collection(properties), multiLine=True, mode="PERMISSIVE"
     )
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    number = F.regexp_extract(F.col("_metadata.file_path"), page_pattern, 1)
     return pages.select(
-        "type", "features", F.regexp_extract(name, r"(\d+)", 1).cast("int").alias("page")
+        "type", "features", F.when(number != "", number).cast("int").alias("page")
     )
 
 
