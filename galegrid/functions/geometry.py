@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .columns import require_columns
 
-EDGE_TYPE = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
+COMPILED_EDGES = 4
 RING_TYPE = "array<array<double>>"
 RINGS_TYPE = f"array<{RING_TYPE}>"
 PARTS_TYPE = f"array<{RINGS_TYPE}>"
@@ -94,22 +94,29 @@ def with_edges(df: DataFrame, geometry: str = "geometry", edges: str = "edges")
 # -- coordinates to text -------------------------------------------------------
 
 
+def _whole_number(value: int, kind: str) -> Column:
+    return F.lit(str(value)).cast(kind)
+
+
 def fixed16(value: Column) -> Column:
     """A double with 16 decimals, digit for digit its binary value rounded.
 
-    Java's formatter pads the shortest decimal form with zeros instead. The fraction times
-    2**60 is an exact integer, so decimal arithmetic gives the true digits.
+    Java's formatter pads the shortest decimal form with zeros instead. The fraction times a
+    power of two is an exact integer, so decimal arithmetic gives the true digits; small
+    values take a higher power, which leaves an error far below the last digit.
     """
-    return let(value, _fixed16)
-
-
-def _fixed16(value: Column) -> Column:
     size = F.abs(value)
     whole = F.floor(size)
-    fraction = ((size - whole) * F.lit(float(2**60))).cast("bigint").cast("decimal(19,0)")
-    scaled = (fraction * F.lit(10**16).cast("decimal(17,0)")).cast("decimal(38,0)")
-    half = F.lit(2**59).cast("decimal(38,0)")
-    digits = F.call_function("div", scaled + half, F.lit(2**60).cast("decimal(38,0)"))
+    small = size < 2.0**-8
+    scale = F.when(small, _whole_number(2**68, "decimal(22,0)")).otherwise(
+        _whole_number(2**60, "decimal(22,0)")
+    )
+    fraction = F.when(small, size * F.lit(2.0**68)).otherwise((size - whole) * F.lit(2.0**60))
+    scaled = fraction.cast("bigint").cast("decimal(19,0)") * _whole_number(10**16, "decimal(17,0)")
+    half = F.when(small, _whole_number(2**67, "decimal(21,0)")).otherwise(
+        _whole_number(2**59, "decimal(21,0)")
+    )
+    digits = F.call_function("div", scaled + half, scale)
     carry = digits >= F.lit(10**16)
     return F.concat(
         F.when(value.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit("")),
@@ -194,24 +201,40 @@ def distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     return F.sqrt(squared_distance(x1, y1, x2, y2))
 
 
-def covers(edges: Column, x: Column, y: Column) -> Column:
-    """True when the point lies inside the polygon or on its border.
+def _side_of(e: Column, x: Column, y: Column) -> tuple[Column, Column]:
+    """(on the edge, crossed by a ray to the right) of a point and an edge.
 
-    One pass over the edges: 0/1 is the even-odd parity so far, 2 means on the border.
     Signs of cross products only, so a horizontal edge needs no division.
     """
+    side = (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
+    on_edge = (
+        (side == 0)
+        & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+        & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+    )
+    crossed = ((e["y1"] > y) != (e["y2"] > y)) & ((e["y2"] > e["y1"]) == (side > 0))
+    return on_edge, crossed
+
+
+def covers(edges: Column, x: Column, y: Column) -> Column:
+    """True when the point lies inside the polygon or on its border (even-odd rule).
+
+    Short edge lists are tested by plain expressions, which Spark compiles. Longer ones take
+    one pass: 0/1 is the parity so far, 2 means on the border.
+    """
+    border, odd = F.lit(False), F.lit(False)
+    for k in range(COMPILED_EDGES):
+        on_edge, crossed = _side_of(F.get(edges, k), x, y)
+        border = border | F.coalesce(on_edge, F.lit(False))
+        odd = odd != F.coalesce(crossed, F.lit(False))
 
     def step(state: Column, e: Column) -> Column:
-        side = (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
-        on_edge = (
-            (side == 0)
-            & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-            & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-        )
-        crossed = ((e["y1"] > y) != (e["y2"] > y)) & ((e["y2"] > e["y1"]) == (side > 0))
+        on_edge, crossed = _side_of(e, x, y)
         return F.when((state == 2) | on_edge, 2).when(crossed, 1 - state).otherwise(state)
 
-    return F.aggregate(edges, F.lit(0), step) > 0
+    return F.when(F.size(edges) <= COMPILED_EDGES, border | odd).otherwise(
+        F.aggregate(edges, F.lit(0), step) > 0
+    )
 
 
 # -- reprojection --------------------------------------------------------------

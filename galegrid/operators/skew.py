@@ -19,6 +19,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_TASK = 2_000_000
 MAX_HOT_KEYS = 10_000
 ESTIMATE_SLACK = 64
+UNKNOWN_BYTES = 2**60
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -48,7 +49,7 @@ def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     if max_bytes <= 0:
         return False
     expected = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if expected > max_bytes * ESTIMATE_SLACK:
+    if max_bytes * ESTIMATE_SLACK < expected < UNKNOWN_BYTES:
         return False
     total = df.agg(F.sum(row_bytes(df).cast("bigint")).alias("bytes")).first()["bytes"]
     return (total or 0) <= max_bytes

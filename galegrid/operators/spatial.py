@@ -7,6 +7,7 @@ very different size use coarser grid levels, so no area has more than about SPAN
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
 from ..functions.columns import clashing, quoted
+from ..session import cut_lineage
 from .skew import BROADCAST_BYTES, fits, salted_join
 
 CELLS_PER_AREA = 8
@@ -35,51 +37,61 @@ def _extent(box: Column) -> Column:
     return F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"])
 
 
+def _exponent(box: Column) -> Column:
+    """Power of two that holds the larger side of a box; null for a box without extent."""
+    return F.ceil(F.log2(_extent(box))).cast("int")
+
+
+def _base_exponent(size: float) -> int:
+    """Exponent of the widest box that level 0 cells of this size may cover."""
+    return math.floor(math.log2(size * SPAN))
+
+
 def _level(box: Column, size: float) -> Column:
-    """Doublings of the cell size until the box spans at most SPAN cells."""
-    ratio = _extent(box) / F.lit(size * SPAN)
-    return F.when(ratio > 1, F.ceil(F.log2(ratio)).cast("int")).otherwise(F.lit(0))
-
-
-def measure_grid(areas: DataFrame, edges: str = "edges", cell_size: float | None = None) -> Grid:
-    """Pick the grid from the areas: two aggregates over the area table."""
-    boxed = areas.select(geo.bounds(quoted(edges)).alias("b")).where("b is not null")
-    row = boxed.agg(
-        F.percentile_approx(_extent(F.col("b")), 0.5).alias("typical"),
-        F.min("b.xmin"),
-        F.min("b.ymin"),
-        F.max("b.xmax"),
-        F.max("b.ymax"),
+    """Doublings of the cell size until the box spans about SPAN cells."""
+    return F.greatest(F.coalesce(_exponent(box) - _base_exponent(size), F.lit(0)), F.lit(0))
+
+
+def framed_areas(areas: DataFrame, keys: Sequence[str], edges: str = "edges") -> DataFrame:
+    """Area keys, edge list and bounding box; areas without edges take no part."""
+    framed = areas.select(*[quoted(k) for k in keys], quoted(edges).alias("_all"))
+    return framed.withColumn("_box", geo.bounds(F.col("_all"))).where("_box is not null")
+
+
+def measure_grid(framed: DataFrame, cell_size: float | None = None) -> Grid:
+    """Pick the grid from framed areas: one aggregate over the area table."""
+    row = framed.agg(
+        F.percentile_approx(_extent(F.col("_box")), 0.5).alias("typical"),
+        F.min("_box.xmin"),
+        F.min("_box.ymin"),
+        F.max("_box.xmax"),
+        F.max("_box.ymax"),
+        F.collect_set(_exponent(F.col("_box"))).alias("exponents"),
+        F.bool_or(_extent(F.col("_box")) == 0).alias("flat"),
     ).first()
     if row[1] is None:
         return Grid(cell_size or 1.0, (0,), None)
     size = cell_size or (row["typical"] / CELLS_PER_AREA if row["typical"] > 0 else 1.0)
-    found = boxed.select(_level(F.col("b"), size).alias("level")).distinct().collect()
-    return Grid(size, tuple(sorted(r["level"] for r in found)), tuple(row[1:]))
+    base = _base_exponent(size)
+    # Boxes without extent are on level 0.
+    levels = {max(e - base, 0) for e in row["exponents"]} | ({0} if row["flat"] else set())
+    return Grid(size, tuple(sorted(levels)), tuple(row[1:5]))
 
 
 def _cell(value: Column, width: Column) -> Column:
     return F.floor(value / width)
 
 
-def area_cells(
-    areas: DataFrame, keys: Sequence[str], grid: Grid, edges: str = "edges"
-) -> DataFrame:
+def area_cells(framed: DataFrame, keys: Sequence[str], grid: Grid) -> DataFrame:
     """One row per (area, cell): `_whole` cells lie inside, others carry `_edges` to test.
 
     The edges kept for a border cell are those that meet its row band and do not end left of
     it: all that a ray to the right can cross, and all that can hold a point of the cell.
     """
     width = F.lit(grid.size) * F.pow(F.lit(2.0), F.col("_level"))
-    framed = (
-        areas.select(*[quoted(k) for k in keys], quoted(edges).alias("_all"))
-        .withColumn("_box", geo.bounds(F.col("_all")))
-        .where("_box is not null")
-        .withColumn("_level", _level(F.col("_box"), grid.size))
-        .withColumn("_width", width)
-    )
+    sized = framed.withColumn("_level", _level(F.col("_box"), grid.size)).withColumn("_width", width)
     # Edge positions in cell numbers; floor() is monotone, so no point can fall between.
-    numbered = framed.withColumn(
+    numbered = sized.withColumn(
         "_all",
         F.transform(
             "_all",
@@ -181,8 +193,9 @@ def points_in_areas(
     keys = [f"{c}_left" if c in area_clash else c for c in keys]
     x, y = (f"{c}_right" if c in point_clash else c for c in (x, y))
 
-    grid = measure_grid(areas, edges, cell_size)
-    cells = area_cells(areas, keys, grid, edges)
+    framed = cut_lineage(framed_areas(areas, keys, edges))
+    grid = measure_grid(framed, cell_size)
+    cells = cut_lineage(area_cells(framed, keys, grid))
     located = point_cells(points, grid, x, y)
     if fits(cells, max_bytes):
         joined = located.join(F.broadcast(cells), CELL_KEYS)

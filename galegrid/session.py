@@ -18,6 +18,7 @@ def local_session(cpus: int | str = "*", app: str = "galegrid") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -52,6 +53,10 @@ def staging_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise `df` in the shared folder, so a lost executor costs no recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write `df` to the shared folder and read it back.
+
+    A lost executor then costs no recomputation, and the planner knows the true size.
+    """
+    path = staging_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
