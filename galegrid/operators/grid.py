@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import quoted, select_except
@@ -13,6 +13,7 @@ from .align import CONDITIONS
 from .skew import BROADCAST_BYTES, checked_join
 
 ROWS_PER_BLOCK = 2_000
+CHUNK = 10_000
 
 
 def distinct_conditions(weather: DataFrame, conditions: Sequence[str] = CONDITIONS) -> DataFrame:
@@ -79,20 +80,38 @@ def label_grid(
     return joined.select(*[quoted(c) for c in [*grid.columns, *rest]])
 
 
+def _repeated(df: DataFrame, times: Column) -> DataFrame:
+    """Every row `times` times, spread over the tasks however large a single count is.
+
+    A row first becomes one row per CHUNK copies; those are dealt out by hash (a fixed number
+    of partitions, as their small size before the expansion must not merge them again) and
+    each then makes its at most CHUNK copies.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = F.ceil(F.col("_times") / CHUNK).cast("int")
+    dealt = (
+        df.withColumn("_times", times.cast("bigint"))
+        .withColumn("_chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
+        .repartition(partitions, *[quoted(c) for c in df.columns], "_chunk")
+    )
+    left = F.least(F.col("_times") - F.col("_chunk").cast("bigint") * CHUNK, F.lit(CHUNK))
+    copies = F.sequence(F.lit(1), left.cast("int"))
+    return dealt.withColumn("_copy", F.explode(copies)).drop("_times", "_chunk", "_copy")
+
+
 def repeat_rows(df: DataFrame, count_col: str) -> DataFrame:
     """Every row as often as its count says; rows with a count of 0 or null vanish."""
-    copies = F.sequence(F.lit(1), quoted(count_col).cast("int"))
-    positive = df.where(quoted(count_col) > 0).withColumn("_copy", F.explode(copies))
-    return select_except(positive, {"_copy", count_col})
+    positive = df.where(quoted(count_col) > 0)
+    return select_except(_repeated(positive, quoted(count_col)), {count_col})
 
 
 def training_rows(
     labelled: DataFrame, count_col: str = "Total_Incidents", drop: Sequence[str] = ()
 ) -> DataFrame:
     """Rows with count 0 once, count n > 0 n times, null counts not at all; one pass."""
-    copies = F.sequence(F.lit(1), F.greatest(quoted(count_col), F.lit(1)).cast("int"))
-    kept = labelled.where(quoted(count_col) >= 0).withColumn("_copy", F.explode(copies))
-    return select_except(kept, {"_copy", count_col, *drop})
+    kept = labelled.where(quoted(count_col) >= 0)
+    times = F.greatest(quoted(count_col), F.lit(1))
+    return select_except(_repeated(kept, times), {count_col, *drop})
 
 
 def labelled_set(

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import quoted
+from ..session import cut_lineage
 from .align import count_incidents
 from .quality import top_n
 
@@ -79,7 +80,10 @@ def fit_count_model(
     features = [c for c in df.columns if c not in {label, weight_col}]
     split = hash_split(df, split_by or features, seed=seed)
     assembler = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="skip")
-    ready = assembler.transform(split.withColumn("_label", quoted(label).cast("double")))
+    # The fit reads its input once per iteration: keep the assembled rows, not their lineage.
+    ready = cut_lineage(
+        assembler.transform(split.withColumn("_label", quoted(label).cast("double")))
+    )
     train, test = ready.where("is_train"), ready.where("not is_train")
     common = {"featuresCol": "_features", "predictionCol": "_prediction"}
     if weight_col:

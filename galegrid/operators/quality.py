@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import numeric_columns, quoted
@@ -51,6 +52,14 @@ def group_sizes(df: DataFrame, by: str, out: str = "n_rows") -> DataFrame:
     return df.groupBy(quoted(by)).agg(F.count(F.lit(1)).alias(out))
 
 
+def _share(value: Column, low: float, high: float) -> Column:
+    """Position of a value between two others, safe where their difference overflows."""
+    low, high = max(low, -sys.float_info.max), min(high, sys.float_info.max)
+    if math.isinf(high - low):
+        return (value / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2)
+    return (value - F.lit(low)) / F.lit(high - low)
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[tuple[str, float], float | None]:
@@ -95,10 +104,10 @@ def exact_quantiles(
             break
         hits = []
         for i, (c, low, high) in enumerate(brackets):
-            share = (quoted(c) - F.lit(low)) / F.lit(high - low)
+            number = F.floor(_share(quoted(c), low, high) * BINS)
             hit = F.struct(
                 F.lit(i).alias("i"),
-                F.least(F.floor(share * BINS), F.lit(BINS - 1)).alias("bin"),
+                F.least(F.greatest(number, F.lit(0)), F.lit(BINS - 1)).alias("bin"),
                 quoted(c).alias("v"),
             )
             hits.append(F.when(quoted(c).between(low, high), hit))
@@ -126,7 +135,7 @@ def exact_quantiles(
                 continue
             k0, k1, share = needed[(c, p)]
             v0, v1 = ranks[(c, k0)], ranks[(c, k1)]
-            result[(c, p)] = v0 + (v1 - v0) * share
+            result[(c, p)] = v0 if v0 == v1 else v0 + (v1 - v0) * share
     return result
 
 
