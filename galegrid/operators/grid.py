@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import quoted, select_except
+from ..session import cut_lineage
 from .align import CONDITIONS
 from .skew import BROADCAST_BYTES, checked_join
 
@@ -54,8 +55,9 @@ def condition_grid(
     """Areas with a profile x distinct conditions, with the profile columns of their name.
 
     Areas without a profile vanish before the grid is built; the wide profile columns are
-    attached after it. `profile` is read more than once: save it or cut its lineage first.
+    attached after it. The profile, one row per area name, is stored as it is read twice.
     """
+    profile = cut_lineage(profile)
     known = areas.select(quoted(code), quoted(name)).join(
         profile.select(quoted(name)).distinct(), name, "left_semi"
     )
@@ -72,7 +74,11 @@ def label_grid(
     by: Sequence[str] = (),
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Grid left join label counts on the conditions; null conditions find no counts."""
+    """Grid left join label counts on the conditions; null conditions find no counts.
+
+    The counts, one row per condition and type, are stored, as their size decides the join.
+    """
+    counts = cut_lineage(counts)
     keys = [*conditions, *by]
     spread = [c for c in grid.columns if c not in keys][:2] or keys
     joined = checked_join(grid, counts, keys, spread, "left", max_bytes)
@@ -129,9 +135,10 @@ def labelled_set(
     """`label_grid(condition_grid(...), counts)` in the cheap order.
 
     Counts depend on the conditions only, so they are joined to the distinct conditions
-    before the grid multiplies them by the areas; the wide profile comes last. `profile` is
-    read more than once: save it or cut its lineage first.
+    before the grid multiplies them by the areas; the wide profile comes last. The profile,
+    one row per area name, is stored as it is read twice.
     """
+    profile = cut_lineage(profile)
     known = areas.select(quoted(code), quoted(name)).join(
         profile.select(quoted(name)).distinct(), name, "left_semi"
     )

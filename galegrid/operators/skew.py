@@ -1,8 +1,9 @@
 """Joins that hold when one key owns a large share of the rows.
 
 A side is broadcast only after its size was measured against a bound. Beyond the bound the
-join shuffles, and hot keys are split: rows of the big side of a hot key get a salt, rows of
-the other side are copied once per salt of that key.
+join shuffles. Keys with too many rows for one task are then looked up (one narrow pass over
+the big side); when there are any, their rows get a salt and the rows of the other side are
+copied once per salt of that key.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import quoted
+from ..session import cut_lineage
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_TASK = 2_000_000
@@ -43,13 +45,14 @@ def row_bytes(df: DataFrame) -> Column:
 def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether the whole of `df` stays below `max_bytes`, measured by one aggregate.
 
-    When the optimizer already expects far more than the bound, nothing is run: the answer
-    is no, and adaptive execution may still broadcast what turns out to be small.
+    When the tables it reads are already far beyond the bound, nothing is run: the answer is
+    no, and adaptive execution may still broadcast what turns out to be small.
     """
     if max_bytes <= 0:
         return False
-    expected = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if max_bytes * ESTIMATE_SLACK < expected < UNKNOWN_BYTES:
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    if max_bytes * ESTIMATE_SLACK < read < UNKNOWN_BYTES:
         return False
     total = df.agg(F.sum(row_bytes(df).cast("bigint")).alias("bytes")).first()["bytes"]
     return (total or 0) <= max_bytes
@@ -57,8 +60,8 @@ def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
 
 def hot_keys(
     df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    """Keys with more than `rows_per_task` rows and the number of salts each one needs.
+) -> DataFrame | None:
+    """Keys with more than `rows_per_task` rows and the salts each one needs; None when none.
 
     The limit rises with the table so that never more than MAX_HOT_KEYS keys qualify: that
     bounds the result, which is why it may be broadcast.
@@ -66,7 +69,7 @@ def hot_keys(
     counts = df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.ceil(F.sum("_rows") / MAX_HOT_KEYS).alias("share"))
     limit = F.greatest(F.lit(rows_per_task).cast("bigint"), total.scalar())
-    return (
+    hot = cut_lineage(
         counts.withColumn("_limit", limit)
         .where(F.col("_rows") > F.col("_limit"))
         .select(
@@ -74,6 +77,7 @@ def hot_keys(
             F.ceil(F.col("_rows") / F.col("_limit")).cast("int").alias("_salts"),
         )
     )
+    return hot if hot.take(1) else None
 
 
 def _salt(keys: Sequence[str], spread: Sequence[str], salts: Column) -> Column:
@@ -105,6 +109,8 @@ def salted_join(
     or left_anti.
     """
     hot = hot_keys(big, keys, rows_per_task)
+    if hot is None:
+        return big.join(small, list(keys), how)
     salt = _salt(keys, spread, F.col("_salts"))
     left = _with_salts(big, hot, keys).withColumn("_salt", salt).drop("_salts")
     right = (
@@ -139,10 +145,11 @@ def salted_outer_join(
     """`kept` left join `facts` where hot keys of `facts`, the nullable side, are split.
 
     A kept row is copied once per salt of its key; a copy that met no fact is dropped when
-    the key has facts under another salt, so the outer row appears once and only if needed.
+    the key is hot, as such a key has facts under another salt.
     """
-    counts = facts.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("_facts"))
     hot = hot_keys(facts, keys, rows_per_task)
+    if hot is None:
+        return kept.join(facts, list(keys), "left")
     right = (
         _with_salts(facts, hot, keys)
         .withColumn("_salt", _salt(keys, spread, F.col("_salts")))
@@ -150,10 +157,10 @@ def salted_outer_join(
         .drop("_salts")
     )
     left = (
-        _with_salts(kept.join(counts, list(keys), "left"), hot, keys)
+        _with_salts(kept, hot, keys)
         .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
         .withColumn("_salt", F.least("_copy", _salt(keys, kept.columns, F.lit(1)) + F.col("_copy")))
-        .drop("_salts", "_copy")
+        .drop("_copy")
     )
     joined = left.join(right, [*keys, "_salt"], "left")
-    return joined.where(F.col("_met") | F.col("_facts").isNull()).drop("_met", "_facts", "_salt")
+    return joined.where(F.col("_met") | (F.col("_salts") == 1)).drop("_met", "_salts", "_salt")

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..functions import columns as col
 from ..functions import geometry as geo
 from ..operators import align, grid, model, nearest, profile_counts, quality, spatial
-from ..session import cut_lineage
 from ..sources import fetch
 from . import inputs
 from .inputs import TREE_CATEGORIES, table
@@ -343,9 +342,8 @@ def pivot_chain(spark: SparkSession, sf: str) -> DataFrame:
 
 def condition_grid(spark: SparkSession, sf: str) -> DataFrame:
     """Areas x distinct wind conditions with the tree profile of the area name."""
-    profile = cut_lineage(_profile(spark, sf))
     return grid.condition_grid(
-        inputs.areas(spark, sf), inputs.weather(spark, sf), profile, "code", "name"
+        inputs.areas(spark, sf), inputs.weather(spark, sf), _profile(spark, sf), "code", "name"
     )
 
 
@@ -358,7 +356,7 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     return grid.labelled_set(
         inputs.areas(spark, sf),
         inputs.weather(spark, sf),
-        cut_lineage(_profile(spark, sf)),
+        _profile(spark, sf),
         label_counts(spark, sf),
         "code",
         "name",

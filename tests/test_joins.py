@@ -59,26 +59,38 @@ def test_spatial_plan_has_no_nested_loop(areas, points):
         assert "NestedLoop" not in text and "Cartesian" not in text and "Python" not in text
 
 
+@pytest.mark.parametrize("rows_per_task", [100, 10**6])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join(spark, how):
+def test_salted_join(spark, how, rows_per_task):
     key = F.when(F.col("id") % 3 == 1, 7).when(F.col("id") % 3 == 2, F.col("id") % 50)
     big = spark.range(3000).select(key.alias("k"), F.col("id").alias("v"))
     small = spark.range(60).select((F.col("id") % 55).alias("k"), F.col("id").alias("w"))
-    got = skew.salted_join(big, small, ["k"], ["v"], how, rows_per_task=100)
+    got = skew.salted_join(big, small, ["k"], ["v"], how, rows_per_task)
     assert rows(got) == rows(big.join(small, "k", how))
 
 
-def test_salted_outer_join(spark):
+@pytest.mark.parametrize("rows_per_task", [100, 10**6])
+def test_salted_outer_join(spark, rows_per_task):
     key = F.when(F.col("id") % 3 == 1, 7).when(F.col("id") % 3 == 2, F.col("id") % 50)
     facts = spark.range(3000).select(key.alias("k"), F.col("id").alias("v"))
     kept = spark.range(70).select(F.when(F.col("id") % 9 != 0, F.col("id")).alias("k"), F.col("id").alias("q"))
-    got = skew.salted_outer_join(kept, facts, ["k"], ["v"], rows_per_task=100)
+    got = skew.salted_outer_join(kept, facts, ["k"], ["v"], rows_per_task)
     assert rows(got, "k", "q", "v") == rows(kept.join(facts, "k", "left"), "k", "q", "v")
 
 
 def test_hot_keys(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 400, 1).otherwise(F.col("id")).alias("k"))
     assert rows(skew.hot_keys(df, ["k"], 100)) == [(1, 4)]
+    assert skew.hot_keys(df, ["k"], 400) is None
+
+
+def test_hot_keys_are_bounded(spark, monkeypatch):
+    """However low the limit, at most MAX_HOT_KEYS keys qualify."""
+    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 5)
+    df = spark.range(1000).select((F.col("id") % 20).alias("k"))
+    assert skew.hot_keys(df, ["k"], 1) is None
+    df = df.withColumn("k", F.when(F.col("k") < 14, 1).otherwise(F.col("k")))
+    assert rows(skew.hot_keys(df, ["k"], 1)) == [(1, 4)]
 
 
 def test_fits(spark):
