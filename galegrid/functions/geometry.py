@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from .columns import require_columns
 
-COMPILED_EDGES = 4
 RING_TYPE = "array<array<double>>"
 RINGS_TYPE = f"array<{RING_TYPE}>"
 PARTS_TYPE = f"array<{RINGS_TYPE}>"
@@ -57,17 +56,24 @@ def wkt_rings(wkt: Column) -> Column:
 
 
 def rings_to_edges(rings: Column) -> Column:
-    """Consecutive vertices of every ring as edges."""
+    """Consecutive vertices of every ring as edges, the lower (then left) end first.
+
+    The order makes a border two areas share the same edge in both, so a point close to it
+    is judged alike on both sides.
+    """
+
+    def edge(a: Column, b: Column) -> Column:
+        turned = (a[1] > b[1]) | ((a[1] == b[1]) & (a[0] > b[0]))
+        return F.struct(
+            F.when(turned, b[0]).otherwise(a[0]).alias("x1"),
+            F.when(turned, b[1]).otherwise(a[1]).alias("y1"),
+            F.when(turned, a[0]).otherwise(b[0]).alias("x2"),
+            F.when(turned, a[1]).otherwise(b[1]).alias("y2"),
+        )
 
     def ring_edges(ring: Column) -> Column:
         count = F.greatest(F.size(ring) - 1, F.lit(0))
-        return F.zip_with(
-            F.slice(ring, F.lit(1), count),
-            F.slice(ring, F.lit(2), count),
-            lambda a, b: F.struct(
-                a[0].alias("x1"), a[1].alias("y1"), b[0].alias("x2"), b[1].alias("y2")
-            ),
-        )
+        return F.zip_with(F.slice(ring, F.lit(1), count), F.slice(ring, F.lit(2), count), edge)
 
     return F.flatten(F.transform(rings, ring_edges))
 
@@ -201,39 +207,36 @@ def distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     return F.sqrt(squared_distance(x1, y1, x2, y2))
 
 
-def _side_of(e: Column, x: Column, y: Column) -> tuple[Column, Column]:
-    """(on the edge, crossed by a ray to the right) of a point and an edge.
+# What one edge adds to the sum of a point: CROSSED when a ray from the point to the right
+# crosses the edge, ON_BORDER when the point lies on it. Odd sums and sums from ON_BORDER on
+# mean inside or on the border.
+CROSSED, ON_BORDER = 1, 1 << 20
+
+
+def edge_code_sql(x: str, y: str, x1: str, y1: str, x2: str, y2: str, left: str, right: str) -> str:
+    """SQL of what an edge adds to the sum of a point; `left`, `right` bound the edge.
 
-    Signs of cross products only, so a horizontal edge needs no division.
+    The first end is the lower one. Only the sign of a cross product counts, so a horizontal
+    edge needs no division. An edge of NaN values adds nothing.
     """
-    side = (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
-    on_edge = (
-        (side == 0)
-        & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-        & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+    side = f"(({x2} - {x1}) * ({y} - {y1}) - ({x} - {x1}) * ({y2} - {y1}))"
+    return (
+        f"(CASE WHEN {y} < {y1} OR {y} > {y2} THEN 0 "
+        f"WHEN {side} > 0 THEN IF({y} < {y2}, {CROSSED}, 0) "
+        f"WHEN {side} = 0 AND {x} >= {left} AND {x} <= {right} THEN {ON_BORDER} ELSE 0 END)"
     )
-    crossed = ((e["y1"] > y) != (e["y2"] > y)) & ((e["y2"] > e["y1"]) == (side > 0))
-    return on_edge, crossed
 
 
-def covers(edges: Column, x: Column, y: Column) -> Column:
+def covers(edges: str, x: str, y: str) -> Column:
     """True when the point lies inside the polygon or on its border (even-odd rule).
 
-    Short edge lists are tested by plain expressions, which Spark compiles. Longer ones take
-    one pass: 0/1 is the parity so far, 2 means on the border.
+    Takes SQL expressions; one pass over the edge list.
     """
-    border, odd = F.lit(False), F.lit(False)
-    for k in range(COMPILED_EDGES):
-        on_edge, crossed = _side_of(F.get(edges, k), x, y)
-        border = border | F.coalesce(on_edge, F.lit(False))
-        odd = odd != F.coalesce(crossed, F.lit(False))
-
-    def step(state: Column, e: Column) -> Column:
-        on_edge, crossed = _side_of(e, x, y)
-        return F.when((state == 2) | on_edge, 2).when(crossed, 1 - state).otherwise(state)
-
-    return F.when(F.size(edges) <= COMPILED_EDGES, border | odd).otherwise(
-        F.aggregate(edges, F.lit(0), step) > 0
+    code = edge_code_sql(
+        x, y, "e.x1", "e.y1", "e.x2", "e.y2", "least(e.x1, e.x2)", "greatest(e.x1, e.x2)"
+    )
+    return F.expr(
+        f"aggregate({edges}, 0, (s, e) -> s + {code}, s -> s >= {ON_BORDER} OR s % 2 = 1)"
     )
 
 

@@ -21,6 +21,16 @@ from .skew import BROADCAST_BYTES, fits, salted_join
 
 CELLS_PER_AREA = 8
 SPAN = 32
+SLOTS = 8
+# Columns of an edge slot and where they come from; NaN marks an empty slot.
+_SLOT = {
+    "x1": "e.x1",
+    "y1": "e.y1",
+    "x2": "e.x2",
+    "y2": "e.y2",
+    "left": "least(e.x1, e.x2)",
+    "right": "greatest(e.x1, e.x2)",
+}
 CELL_KEYS = ["_level", "_cx", "_cy"]
 
 
@@ -78,77 +88,70 @@ def measure_grid(framed: DataFrame, cell_size: float | None = None) -> Grid:
     return Grid(size, tuple(sorted(levels)), tuple(row[1:5]))
 
 
-def _cell(value: Column, width: Column) -> Column:
-    return F.floor(value / width)
-
-
 def area_cells(framed: DataFrame, keys: Sequence[str], grid: Grid) -> DataFrame:
-    """One row per (area, cell): `_whole` cells lie inside, others carry `_edges` to test.
+    """One row per (area, cell): `_whole` cells lie inside, others carry edges to test.
 
     The edges kept for a border cell are those that meet its row band and do not end left of
-    it: all that a ray to the right can cross, and all that can hold a point of the cell.
+    it: all that a ray to the right can cross, and all that can hold a point of the cell. Up
+    to SLOTS edges are laid out in plain columns, which Spark compiles; cells with more keep
+    the list in `_more`.
     """
-    width = F.lit(grid.size) * F.pow(F.lit(2.0), F.col("_level"))
-    sized = framed.withColumn("_level", _level(F.col("_box"), grid.size)).withColumn("_width", width)
     # Edge positions in cell numbers; floor() is monotone, so no point can fall between.
-    numbered = sized.withColumn(
-        "_all",
-        F.transform(
+    banded = (
+        framed.withColumn("_level", _level(F.col("_box"), grid.size))
+        .withColumn("_width", F.expr(f"{grid.size!r}D * pow(2D, _level)"))
+        .withColumn(
             "_all",
-            lambda e: F.struct(
-                e["x1"].alias("x1"),
-                e["y1"].alias("y1"),
-                e["x2"].alias("x2"),
-                e["y2"].alias("y2"),
-                _cell(F.least(e["x1"], e["x2"]), F.col("_width")).alias("left"),
-                _cell(F.greatest(e["x1"], e["x2"]), F.col("_width")).alias("right"),
-                _cell(F.least(e["y1"], e["y2"]), F.col("_width")).alias("low"),
-                _cell(F.greatest(e["y1"], e["y2"]), F.col("_width")).alias("high"),
+            F.expr(
+                "transform(_all, e -> struct(e.x1, e.y1, e.x2, e.y2, "
+                "floor(least(e.x1, e.x2) / _width) AS west, floor(greatest(e.x1, e.x2) / _width) AS east, "
+                "floor(least(e.y1, e.y2) / _width) AS south, floor(greatest(e.y1, e.y2) / _width) AS north))"
             ),
-        ),
-    )
-    bands = numbered.withColumn(
-        "_cy",
-        F.explode(
-            F.sequence(
-                _cell(F.col("_box.ymin"), F.col("_width")),
-                _cell(F.col("_box.ymax"), F.col("_width")),
-            )
-        ),
-    ).withColumn(
-        "_all", F.filter("_all", lambda e: F.col("_cy").between(e["low"], e["high"]))
+        )
+        .withColumn("_cy", F.expr("explode(sequence(floor(_box.ymin / _width), floor(_box.ymax / _width)))"))
+        .withColumn("_all", F.expr("filter(_all, e -> _cy BETWEEN e.south AND e.north)"))
     )
     cells = (
-        bands.withColumn(
-            "_cx",
-            F.explode(
-                F.sequence(
-                    _cell(F.col("_box.xmin"), F.col("_width")),
-                    _cell(F.col("_box.xmax"), F.col("_width")),
-                )
-            ),
+        banded.withColumn(
+            "_cx", F.expr("explode(sequence(floor(_box.xmin / _width), floor(_box.xmax / _width)))")
         )
-        .withColumn("_all", F.filter("_all", lambda e: e["right"] >= F.col("_cx")))
-        .withColumn("_border", F.exists("_all", lambda e: e["left"] <= F.col("_cx")))
-    )
-    middle_x = (F.col("_cx") + 0.5) * F.col("_width")
-    middle_y = (F.col("_cy") + 0.5) * F.col("_width")
-    bare = F.transform(
-        "_all",
-        lambda e: F.struct(
-            e["x1"].alias("x1"), e["y1"].alias("y1"), e["x2"].alias("x2"), e["y2"].alias("y2")
-        ),
+        .withColumn("_all", F.expr("filter(_all, e -> e.east >= _cx)"))
+        .withColumn("_border", F.expr("exists(_all, e -> e.west <= _cx)"))
     )
-    return (
-        cells.withColumn("_whole", ~F.col("_border") & geo.covers(F.col("_all"), middle_x, middle_y))
-        .where("_whole or _border")
-        .select(
-            *[quoted(k) for k in keys],
-            *CELL_KEYS,
-            "_whole",
-            F.when(F.col("_border"), bare).alias("_edges"),
-        )
+    inside = geo.covers("_all", "((_cx + 0.5D) * _width)", "((_cy + 0.5D) * _width)")
+    slots = [
+        f"IF(_border AND size(_all) <= {SLOTS}, {rule.replace('e.', f'get(_all, {k}).')}, NULL) AS _{c}_{k}"
+        for k in range(SLOTS)
+        for c, rule in _SLOT.items()
+    ]
+    more = (
+        f"IF(_border AND size(_all) > {SLOTS}, "
+        "transform(_all, e -> struct(e.x1, e.y1, e.x2, e.y2)), NULL) AS _more"
     )
+    kept = cells.withColumn("_whole", ~F.col("_border") & inside).where("_whole OR _border")
+    named = [quoted(k) for k in keys]
+    return kept.select(*named, *CELL_KEYS, "_whole", *[F.expr(e) for e in [*slots, more]])
+
+
+def _filled_slots(cells: DataFrame) -> DataFrame:
+    """Cells whose edge slots are never null, which spares the compiled test its null checks."""
+    names = [f"_{c}_{k}" for k in range(SLOTS) for c in _SLOT]
+    filled = {n: F.coalesce(F.col(n), F.lit(float("nan"))) for n in names}
+    return cells.withColumns({**filled, "_whole": F.coalesce("_whole", F.lit(False))})
+
+
+def _inside_cell(x: str, y: str) -> Column:
+    """Exact test of a point against the edges its cell carries."""
+    codes = [geo.edge_code_sql(x, y, *[f"_{c}_{k}" for c in _SLOT]) for k in range(SLOTS)]
+    # A list of the sums that mean inside, so that the sum is computed once.
+    hits = [n for n in range(SLOTS + 1) if n % 2] + [
+        border * geo.ON_BORDER + crossed
+        for border in range(1, SLOTS + 1)
+        for crossed in range(SLOTS + 1 - border)
+    ]
+    compiled = F.expr(f"({' + '.join(codes)}) IN ({', '.join(map(str, hits))})")
+    listed = geo.covers("_more", x, y)
+    return F.col("_whole") | F.when(F.col("_more").isNull(), compiled).otherwise(listed)
 
 
 def point_cells(points: DataFrame, grid: Grid, x: str = "x", y: str = "y") -> DataFrame:
@@ -164,9 +167,12 @@ def point_cells(points: DataFrame, grid: Grid, x: str = "x", y: str = "y") -> Da
         leveled = inside.withColumn("_level", F.lit(grid.levels[0]))
     else:
         leveled = inside.withColumn("_level", F.explode(F.array(*[F.lit(v) for v in grid.levels])))
-    width = F.lit(grid.size) * F.pow(F.lit(2.0), F.col("_level"))
-    return leveled.withColumn("_cx", _cell(quoted(x).cast("double"), width)).withColumn(
-        "_cy", _cell(quoted(y).cast("double"), width)
+    width = F.expr(f"{grid.size!r}D * pow(2D, _level)")
+    return leveled.withColumns(
+        {
+            "_cx": F.floor(quoted(x).cast("double") / width),
+            "_cy": F.floor(quoted(y).cast("double") / width),
+        }
     )
 
 
@@ -197,11 +203,10 @@ def points_in_areas(
     grid = measure_grid(framed, cell_size)
     cells = cut_lineage(area_cells(framed, keys, grid))
     located = point_cells(points, grid, x, y)
-    if fits(cells, max_bytes):
-        joined = located.join(F.broadcast(cells), CELL_KEYS)
+    ready = _filled_slots(cells)
+    if fits(ready, max_bytes):
+        joined = located.join(F.broadcast(ready), CELL_KEYS)
     else:
-        joined = salted_join(located, cells, CELL_KEYS, spread=points.columns)
-    hit = F.col("_whole") | geo.covers(
-        F.col("_edges"), quoted(x).cast("double"), quoted(y).cast("double")
-    )
-    return joined.where(hit).select(*[quoted(c) for c in [*keys, *points.columns]])
+        joined = salted_join(located, ready, CELL_KEYS, spread=points.columns)
+    px, py = (f"CAST(`{c.replace('`', '``')}` AS DOUBLE)" for c in (x, y))
+    return joined.where(_inside_cell(px, py)).select(*[quoted(c) for c in [*keys, *points.columns]])

@@ -101,5 +101,5 @@ def test_covers_random_rings(spark, corners):
     text = "POLYGON ((" + ", ".join(f"{x} {y}" for x, y in ring) + "))"
     grid = [(a / 2, b / 2) for a in range(-14, 15) for b in range(-14, 15)]
     df = spark.createDataFrame(grid, "x double, y double").withColumn("geometry", F.lit(text))
-    got = geo.with_edges(df).select(geo.covers(F.col("edges"), F.col("x"), F.col("y"))).collect()
+    got = geo.with_edges(df).select(geo.covers("edges", "x", "y")).collect()
     assert [r[0] for r in got] == [exact_inside([ring], x, y) for x, y in grid]

@@ -40,7 +40,7 @@ def points(spark):
 @pytest.mark.parametrize("max_bytes", [skew.BROADCAST_BYTES, 0])
 def test_points_in_areas(areas, points, size, max_bytes):
     usable = points.where("x is not null and not isnan(x)")
-    brute = areas.crossJoin(usable).where(geo.covers(F.col("edges"), F.col("x"), F.col("y")))
+    brute = areas.crossJoin(usable).where(geo.covers("edges", "x", "y"))
     got = spatial.points_in_areas(areas, points, ["area"], cell_size=size, max_bytes=max_bytes)
     assert rows(got, "area", "id") == rows(brute, "area", "id")
 
