@@ -10,6 +10,8 @@ their points and floating-point rounding is monotone, so no tie is lost.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,10 +21,10 @@ from ..functions.columns import clashing, quoted
 from ..session import cut_lineage
 from .skew import checked_join
 
-LEAF_ROWS = 16
+LEAF_ROWS = 32
 FIRST_BITS = 4
-STEP_BITS = 1
-MAX_BITS = 27
+STEP_BITS = 2
+MAX_BITS = 26
 ROUNDS_PER_CUT = 3
 
 
@@ -83,29 +85,25 @@ def _side(nodes: DataFrame, side: str, prefix: str | None = None) -> DataFrame:
 def _near_far() -> tuple[Column, Column]:
     """Squared smallest and largest possible distance of the two boxes of a pair."""
 
-    def axis(lo: str, hi: str) -> tuple[Column, Column]:
-        gap = F.greatest(
-            F.col(f"r_{lo}") - F.col(f"l_{hi}"), F.col(f"l_{lo}") - F.col(f"r_{hi}"), F.lit(0.0)
-        )
-        reach = F.greatest(F.col(f"r_{hi}") - F.col(f"l_{lo}"), F.col(f"l_{hi}") - F.col(f"r_{lo}"))
-        return gap * gap, reach * reach
+    def axis(c: str) -> tuple[str, str]:
+        gap = f"greatest(r_{c}min - l_{c}max, l_{c}min - r_{c}max, 0D)"
+        reach = f"greatest(r_{c}max - l_{c}min, l_{c}max - r_{c}min)"
+        return f"{gap} * {gap}", f"{reach} * {reach}"
 
-    (gap_x, reach_x), (gap_y, reach_y) = axis("xmin", "xmax"), axis("ymin", "ymax")
-    return gap_x + gap_y, reach_x + reach_y
+    (gap_x, reach_x), (gap_y, reach_y) = axis("x"), axis("y")
+    return F.expr(f"{gap_x} + {gap_y}"), F.expr(f"{reach_x} + {reach_y}")
 
 
-def _prune(pairs: DataFrame, exclusive: bool) -> DataFrame:
-    """Keep the pairs that can hold a nearest point of some left point of their left cell."""
+def _prune(pairs: DataFrame, exclusive: bool, by: Sequence[str] = ("l_level", "l_cell")) -> DataFrame:
+    """Keep the pairs that can hold a nearest point of some left point of their left box."""
     near, far = _near_far()
     if exclusive:
         # A lone right location may be the left point itself: then it bounds nothing.
         far = F.when((F.col("r_n") > 1) | (near > 0), far)
     best = pairs.withColumns({"near": near, "far": far}).withColumn(
-        "best", F.min("far").over(Window.partitionBy("l_level", "l_cell"))
-    )
-    return best.where(F.col("best").isNull() | (F.col("near") <= F.col("best"))).drop(
-        "near", "far", "best"
+        "best", F.min("far").over(Window.partitionBy(*by))
     )
+    return best.where("best IS NULL OR near <= best").drop("near", "far", "best")
 
 
 def _refine(pairs: DataFrame, side: str, nodes: DataFrame, level: int) -> DataFrame:
@@ -195,16 +193,22 @@ def nearest_locations(left: DataFrame, right: DataFrame, exclusive: bool = False
         if level % ROUNDS_PER_CUT == 0:
             pairs = cut_lineage(pairs)
 
-    leaves = pairs.select("l_level", "l_cell", "r_level", "r_cell")
     lefts, rights = (_in_leaves(both, levels, frame, s) for s in ("l", "r"))
-    candidates = leaves.join(rights, ["r_level", "r_cell"]).join(lefts, ["l_level", "l_cell"])
+    right_box = [f"r_{c}" for c in ("level", *_NODE)]
+    # Every left location against the boxes of the right leaves, before their points.
+    spots = pairs.select("l_level", "l_cell", *right_box).join(lefts, ["l_level", "l_cell"])
+    spots = spots.withColumns(
+        {"l_xmin": F.col("lx"), "l_xmax": F.col("lx"), "l_ymin": F.col("ly"), "l_ymax": F.col("ly")}
+    )
+    spots = _prune(spots, exclusive, ["l_level", "l_cell", "lx", "ly"])
+    candidates = spots.select("lx", "ly", "r_level", "r_cell").join(rights, ["r_level", "r_cell"])
     measured = candidates.select(
-        "l_level", "l_cell", "lx", "ly", "rx", "ry",
+        "lx", "ly", "rx", "ry",
         geo.squared_distance(F.col("lx"), F.col("ly"), F.col("rx"), F.col("ry")).alias("d2"),
     )
     if exclusive:
         measured = measured.where("not (lx = rx and ly = ry)")
-    ranked = measured.withColumn("_min", F.min("d2").over(Window.partitionBy("l_level", "l_cell", "lx", "ly")))
+    ranked = measured.withColumn("_min", F.min("d2").over(Window.partitionBy("lx", "ly")))
     return ranked.where("d2 = _min").select(
         F.col("lx").alias("x"), F.col("ly").alias("y"), "rx", "ry", "d2"
     )

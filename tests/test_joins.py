@@ -113,6 +113,12 @@ def brute_nearest(left, right, exclusive):
     return sorted(found)
 
 
+@pytest.fixture(params=[32, 2])
+def leaf_rows(request, monkeypatch):
+    """Small leaves make small tables split over many levels."""
+    monkeypatch.setattr(nearest, "LEAF_ROWS", request.param)
+
+
 def check_nearest(spark, left, right, exclusive):
     a = spark.createDataFrame(left, "i int, x double, y double")
     b = spark.createDataFrame(right, "j int, x double, y double")
@@ -122,7 +128,7 @@ def check_nearest(spark, left, right, exclusive):
 
 
 @pytest.mark.parametrize("exclusive", [False, True])
-def test_nearest_lattice_ties_and_crowds(spark, exclusive):
+def test_nearest_lattice_ties_and_crowds(spark, leaf_rows, exclusive):
     pick = random.Random(3)
     left = [(i, float(pick.randrange(12)), float(pick.randrange(12))) for i in range(150)]
     left += [(1000 + i, 3.0, 3.0) for i in range(80)] + [(2000, 1e6, -1e6)]
@@ -131,7 +137,7 @@ def test_nearest_lattice_ties_and_crowds(spark, exclusive):
     check_nearest(spark, left, right, exclusive)
 
 
-def test_nearest_dense_cluster_and_outliers(spark):
+def test_nearest_dense_cluster_and_outliers(spark, leaf_rows):
     """A third of the points within a millionth of the extent, the rest far away."""
     pick = random.Random(5)
     left = [(i, pick.uniform(0, 1e-3), pick.uniform(0, 1e-3)) for i in range(120)]
@@ -141,7 +147,7 @@ def test_nearest_dense_cluster_and_outliers(spark):
     check_nearest(spark, left, right, exclusive=True)
 
 
-def test_nearest_single_right_point(spark):
+def test_nearest_single_right_point(spark, leaf_rows):
     left = [(1, 0.0, 0.0), (2, 5.0, 5.0)]
     check_nearest(spark, left, [(9, 5.0, 5.0)], exclusive=False)
     check_nearest(spark, left, [(9, 5.0, 5.0)], exclusive=True)
