@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions import geometry as geo
 from ..functions.columns import clashing, quoted
 from ..session import cut_lineage
-from .skew import checked_join
+from .skew import ROWS_PER_TASK, checked_join, hot_keys, join_with_hot_keys
 
 LEAF_ROWS = 32
 FIRST_BITS = 4
@@ -192,6 +192,7 @@ def nearest_locations(left: DataFrame, right: DataFrame, exclusive: bool = False
         pairs = _prune(_refine(pairs, "r", levels[level], level), exclusive)
         if level % ROUNDS_PER_CUT == 0:
             pairs = cut_lineage(pairs)
+    pairs = cut_lineage(pairs)
 
     lefts, rights = (_in_leaves(both, levels, frame, s) for s in ("l", "r"))
     right_box = [f"r_{c}" for c in ("level", *_NODE)]
@@ -201,7 +202,11 @@ def nearest_locations(left: DataFrame, right: DataFrame, exclusive: bool = False
         {"l_xmin": F.col("lx"), "l_xmax": F.col("lx"), "l_ymin": F.col("ly"), "l_ymax": F.col("ly")}
     )
     spots = _prune(spots, exclusive, ["l_level", "l_cell", "lx", "ly"])
-    candidates = spots.select("lx", "ly", "r_level", "r_cell").join(rights, ["r_level", "r_cell"])
+    # A lonely right leaf may be the nearest of very many left locations: split those.
+    crowded = hot_keys(pairs, ["r_level", "r_cell"], ROWS_PER_TASK, weight="l_n")
+    candidates = join_with_hot_keys(
+        spots.select("lx", "ly", "r_level", "r_cell"), rights, ["r_level", "r_cell"], ["lx", "ly"], crowded
+    )
     measured = candidates.select(
         "lx", "ly", "rx", "ry",
         geo.squared_distance(F.col("lx"), F.col("ly"), F.col("rx"), F.col("ry")).alias("d2"),

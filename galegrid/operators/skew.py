@@ -8,6 +8,7 @@ copied once per salt of that key.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -59,25 +60,27 @@ def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
 
 
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame,
+    keys: Sequence[str],
+    rows_per_task: int = ROWS_PER_TASK,
+    weight: str | None = None,
 ) -> DataFrame | None:
     """Keys with more than `rows_per_task` rows and the salts each one needs; None when none.
 
-    The limit rises with the table so that never more than MAX_HOT_KEYS keys qualify: that
-    bounds the result, which is why it may be broadcast.
+    With `weight` a row stands for that many rows of the table that will be joined. The limit
+    rises with the table so that never more than MAX_HOT_KEYS keys qualify: that bounds the
+    result, which is why it may be broadcast.
     """
-    counts = df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.ceil(F.sum("_rows") / MAX_HOT_KEYS).alias("share"))
-    limit = F.greatest(F.lit(rows_per_task).cast("bigint"), total.scalar())
-    hot = cut_lineage(
-        counts.withColumn("_limit", limit)
-        .where(F.col("_rows") > F.col("_limit"))
-        .select(
-            *[quoted(k) for k in keys],
-            F.ceil(F.col("_rows") / F.col("_limit")).cast("int").alias("_salts"),
-        )
+    size = F.count(F.lit(1)) if weight is None else F.sum(quoted(weight))
+    counts = df.groupBy(*[quoted(k) for k in keys]).agg(size.alias("_rows"))
+    most = counts.agg(F.max("_rows").alias("top"), F.sum("_rows").alias("all")).first()
+    limit = max(rows_per_task, math.ceil((most["all"] or 0) / MAX_HOT_KEYS))
+    if (most["top"] or 0) <= limit:
+        return None
+    salts = F.ceil(F.col("_rows") / F.lit(limit)).cast("int").alias("_salts")
+    return cut_lineage(
+        counts.where(F.col("_rows") > limit).select(*[quoted(k) for k in keys], salts)
     )
-    return hot if hot.take(1) else None
 
 
 def _salt(keys: Sequence[str], spread: Sequence[str], salts: Column) -> Column:
@@ -108,7 +111,18 @@ def salted_join(
     so a recomputed task gives the same rows). `how` is inner, left (keeps `big`), left_semi
     or left_anti.
     """
-    hot = hot_keys(big, keys, rows_per_task)
+    return join_with_hot_keys(big, small, keys, spread, hot_keys(big, keys, rows_per_task), how)
+
+
+def join_with_hot_keys(
+    big: DataFrame,
+    small: DataFrame,
+    keys: Sequence[str],
+    spread: Sequence[str],
+    hot: DataFrame | None,
+    how: str = "inner",
+) -> DataFrame:
+    """The salted join where the hot keys are known already; a plain one without any."""
     if hot is None:
         return big.join(small, list(keys), how)
     salt = _salt(keys, spread, F.col("_salts"))

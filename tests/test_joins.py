@@ -147,6 +147,15 @@ def test_nearest_dense_cluster_and_outliers(spark, leaf_rows):
     check_nearest(spark, left, right, exclusive=True)
 
 
+def test_nearest_with_a_right_point_all_share(spark, leaf_rows, monkeypatch):
+    """One far right point serves most left points; its leaf is split over tasks."""
+    monkeypatch.setattr(nearest, "ROWS_PER_TASK", 20)
+    pick = random.Random(9)
+    left = [(i, pick.uniform(0, 10), pick.uniform(0, 10)) for i in range(200)]
+    right = [(1, 500.0, 5.0)] + [(10 + i, 900.0 + i, pick.uniform(0, 10)) for i in range(60)]
+    check_nearest(spark, left, right, exclusive=True)
+
+
 def test_nearest_single_right_point(spark, leaf_rows):
     left = [(1, 0.0, 0.0), (2, 5.0, 5.0)]
     check_nearest(spark, left, [(9, 5.0, 5.0)], exclusive=False)
