@@ -24,7 +24,7 @@ from .skew import ROWS_PER_TASK, checked_join, hot_keys, join_with_hot_keys
 LEAF_ROWS = 32
 FIRST_BITS = 4
 STEP_BITS = 2
-MAX_BITS = 26
+MAX_BITS = 52
 ROUNDS_PER_CUT = 3
 
 
@@ -32,7 +32,7 @@ def _real(x: str, y: str) -> Column:
     """Points with usable coordinates; empty ones take no part, as in any spatial join."""
     usable = F.lit(True)
     for c in (x, y):
-        usable = usable & quoted(c).isNotNull() & ~F.isnan(quoted(c).cast("double"))
+        usable = usable & (F.abs(quoted(c).cast("double")) < float("inf"))
     return usable
 
 
@@ -44,8 +44,8 @@ def _locations(df: DataFrame, x: str, y: str) -> DataFrame:
     )
 
 
-def _cell(bits: int | Column, frame: tuple[float, float, float]) -> Column:
-    """Cell number at `bits` bits per axis inside the common square."""
+def _cell(bits: int | Column, frame: tuple[float, float, float]) -> tuple[Column, Column]:
+    """Column and row of the cell at `bits` bits per axis inside the common square."""
     x0, y0, side = frame
     drop = F.lit(MAX_BITS) - bits
 
@@ -53,19 +53,13 @@ def _cell(bits: int | Column, frame: tuple[float, float, float]) -> Column:
         number = F.floor((value - F.lit(low)) / F.lit(side) * F.lit(float(1 << MAX_BITS)))
         return F.call_function("shiftright", F.least(number, F.lit((1 << MAX_BITS) - 1)), drop)
 
-    return F.shiftleft(axis(F.col("x"), x0), MAX_BITS) + axis(F.col("y"), y0)
-
-
-def _parent(cell: Column, step: int) -> Column:
-    low = cell.bitwiseAND(F.lit((1 << MAX_BITS) - 1))
-    return F.shiftleft(F.shiftright(F.shiftright(cell, MAX_BITS), step), MAX_BITS) + F.shiftright(
-        low, step
-    )
+    return axis(F.col("x"), x0), axis(F.col("y"), y0)
 
 
 def _cells(locations: DataFrame, bits: int, frame: tuple[float, float, float]) -> DataFrame:
     """Occupied cells of a level with their number of locations and tight boxes."""
-    return locations.groupBy("side", _cell(bits, frame).alias("cell")).agg(
+    cx, cy = _cell(bits, frame)
+    return locations.groupBy("side", cx.alias("cx"), cy.alias("cy")).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("x").alias("xmin"),
         F.max("x").alias("xmax"),
@@ -74,7 +68,9 @@ def _cells(locations: DataFrame, bits: int, frame: tuple[float, float, float]) -
     )
 
 
-_NODE = ["cell", "n", "xmin", "xmax", "ymin", "ymax"]
+_NODE = ["cx", "cy", "n", "xmin", "xmax", "ymin", "ymax"]
+_LEFT_CELL = ["l_level", "l_cx", "l_cy"]
+_RIGHT_CELL = ["r_level", "r_cx", "r_cy"]
 
 
 def _side(nodes: DataFrame, side: str, prefix: str | None = None) -> DataFrame:
@@ -94,7 +90,7 @@ def _near_far() -> tuple[Column, Column]:
     return F.expr(f"{gap_x} + {gap_y}"), F.expr(f"{reach_x} + {reach_y}")
 
 
-def _prune(pairs: DataFrame, exclusive: bool, by: Sequence[str] = ("l_level", "l_cell")) -> DataFrame:
+def _prune(pairs: DataFrame, exclusive: bool, by: Sequence[str] = tuple(_LEFT_CELL)) -> DataFrame:
     """Keep the pairs that can hold a nearest point of some left point of their left box."""
     near, far = _near_far()
     if exclusive:
@@ -109,13 +105,16 @@ def _prune(pairs: DataFrame, exclusive: bool, by: Sequence[str] = ("l_level", "l
 def _refine(pairs: DataFrame, side: str, nodes: DataFrame, level: int) -> DataFrame:
     """Replace cells that are still too full by their children on `level`; keep the others."""
     is_full = (F.col(f"{side}_level") == level - 1) & (F.col(f"{side}_n") > LEAF_ROWS)
-    children = _side(nodes, side, "c").withColumn("_up", _parent(F.col("c_cell"), STEP_BITS))
+    children = _side(nodes, side, "c").withColumns(
+        {f"_up_{c}": F.shiftright(f"c_{c}", STEP_BITS) for c in ("cx", "cy")}
+    )
     # Kept cells get a negative key of their own: it matches nothing and spreads well.
-    opened = pairs.withColumn(
-        "_up", F.when(is_full, F.col(f"{side}_cell")).otherwise(-1 - F.abs(F.xxhash64("l_cell", "r_cell")))
-    ).join(children, "_up", "left")
+    alone = -1 - F.pmod(F.xxhash64(*_LEFT_CELL, *_RIGHT_CELL), F.lit(2**62))
+    opened = pairs.withColumns(
+        {f"_up_{c}": F.when(is_full, F.col(f"{side}_{c}")).otherwise(alone) for c in ("cx", "cy")}
+    ).join(children, ["_up_cx", "_up_cy"], "left")
     replaced = {f"{side}_{c}": F.coalesce(f"c_{c}", f"{side}_{c}") for c in _NODE}
-    replaced[f"{side}_level"] = F.when(F.col("c_cell").isNotNull(), level).otherwise(
+    replaced[f"{side}_level"] = F.when(F.col("c_n").isNotNull(), level).otherwise(
         F.col(f"{side}_level")
     )
     kept = [c for c in pairs.columns if c not in replaced]
@@ -131,25 +130,31 @@ def _in_leaves(
     themselves join once, on the finest cell, which holds few of them.
     """
     mine = F.col("side") == side
-    stops = nodes[0].where(mine).select("cell", "n", F.lit(0).alias("stop"))
+    stops = nodes[0].where(mine).select("cx", "cy", "n", F.lit(0).alias("stop"))
     for finer in nodes[1:]:
         above = stops.select(
-            F.col("cell").alias("_up"),
+            F.col("cx").alias("_ux"),
+            F.col("cy").alias("_uy"),
             (F.col("stop") + (F.col("n") > LEAF_ROWS).cast("int")).alias("stop"),
         )
-        below = finer.where(mine).select("cell", "n", _parent(F.col("cell"), STEP_BITS).alias("_up"))
-        stops = below.join(above, "_up").select("cell", "n", "stop")
+        below = finer.where(mine).select(
+            "cx", "cy", "n",
+            F.shiftright("cx", STEP_BITS).alias("_ux"), F.shiftright("cy", STEP_BITS).alias("_uy"),
+        )
+        stops = below.join(above, ["_ux", "_uy"]).select("cx", "cy", "n", "stop")
     finest = FIRST_BITS + STEP_BITS * (len(nodes) - 1)
-    stop_bits = F.lit(FIRST_BITS) + F.lit(STEP_BITS) * F.col("stop")
+    cx, cy = _cell(finest, frame)
+    stop_cx, stop_cy = _cell(F.lit(FIRST_BITS) + F.lit(STEP_BITS) * F.col("stop"), frame)
     return (
         locations.where(mine)
-        .withColumn("cell", _cell(finest, frame))
-        .join(stops.select("cell", "stop"), "cell")
+        .withColumns({"cx": cx, "cy": cy})
+        .join(stops.select("cx", "cy", "stop"), ["cx", "cy"])
         .select(
             F.col("x").alias(f"{side}x"),
             F.col("y").alias(f"{side}y"),
             F.col("stop").alias(f"{side}_level"),
-            _cell(stop_bits, frame).alias(f"{side}_cell"),
+            stop_cx.alias(f"{side}_cx"),
+            stop_cy.alias(f"{side}_cy"),
         )
     )
 
@@ -197,15 +202,15 @@ def nearest_locations(left: DataFrame, right: DataFrame, exclusive: bool = False
     lefts, rights = (_in_leaves(both, levels, frame, s) for s in ("l", "r"))
     right_box = [f"r_{c}" for c in ("level", *_NODE)]
     # Every left location against the boxes of the right leaves, before their points.
-    spots = pairs.select("l_level", "l_cell", *right_box).join(lefts, ["l_level", "l_cell"])
+    spots = pairs.select(*_LEFT_CELL, *right_box).join(lefts, _LEFT_CELL)
     spots = spots.withColumns(
         {"l_xmin": F.col("lx"), "l_xmax": F.col("lx"), "l_ymin": F.col("ly"), "l_ymax": F.col("ly")}
     )
-    spots = _prune(spots, exclusive, ["l_level", "l_cell", "lx", "ly"])
+    spots = _prune(spots, exclusive, [*_LEFT_CELL, "lx", "ly"])
     # A lonely right leaf may be the nearest of very many left locations: split those.
-    crowded = hot_keys(pairs, ["r_level", "r_cell"], ROWS_PER_TASK, weight="l_n")
+    crowded = hot_keys(pairs, _RIGHT_CELL, ROWS_PER_TASK, weight="l_n")
     candidates = join_with_hot_keys(
-        spots.select("lx", "ly", "r_level", "r_cell"), rights, ["r_level", "r_cell"], ["lx", "ly"], crowded
+        spots.select("lx", "ly", *_RIGHT_CELL), rights, _RIGHT_CELL, ["lx", "ly"], crowded
     )
     measured = candidates.select(
         "lx", "ly", "rx", "ry",

@@ -147,6 +147,14 @@ def test_nearest_dense_cluster_and_outliers(spark, leaf_rows):
     check_nearest(spark, left, right, exclusive=True)
 
 
+def test_nearest_with_a_stray_coordinate(spark, leaf_rows):
+    """One point a trillion units away leaves all others in one cell of the first levels."""
+    pick = random.Random(6)
+    left = [(i, pick.uniform(0, 1), pick.uniform(0, 1)) for i in range(90)] + [(900, 1e12, 1.0)]
+    right = [(i, pick.uniform(0, 1), pick.uniform(0, 1)) for i in range(70)]
+    check_nearest(spark, left, right, exclusive=True)
+
+
 def test_nearest_with_a_right_point_all_share(spark, leaf_rows, monkeypatch):
     """One far right point serves most left points; its leaf is split over tasks."""
     monkeypatch.setattr(nearest, "ROWS_PER_TASK", 20)
