@@ -72,10 +72,15 @@ def label_grid(
     counts: DataFrame,
     conditions: Sequence[str] = CONDITIONS,
     by: Sequence[str] = (),
+    zero_label: str | None = None,
+    damage: str = "Damage_Type",
+    count_col: str = "Total_Incidents",
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Grid left join label counts on the conditions; null conditions find no counts.
 
+    `by` adds join columns such as an area code, for counts of located incidents. Areas then
+    have no counts for most conditions: `zero_label` gives those rows that label and count 0.
     The counts, one row per condition and type, are stored, as their size decides the join.
     """
     counts = cut_lineage(counts)
@@ -83,7 +88,15 @@ def label_grid(
     spread = [c for c in grid.columns if c not in keys][:2] or keys
     joined = checked_join(grid, counts, keys, spread, "left", max_bytes)
     rest = [c for c in counts.columns if c not in keys]
-    return joined.select(*[quoted(c) for c in [*grid.columns, *rest]])
+    labelled = joined.select(*[quoted(c) for c in [*grid.columns, *rest]])
+    if zero_label is None:
+        return labelled
+    return labelled.withColumns(
+        {
+            damage: F.coalesce(quoted(damage), F.lit(zero_label)),
+            count_col: F.coalesce(quoted(count_col), F.lit(0)),
+        }
+    )
 
 
 def _repeated(df: DataFrame, times: Column) -> DataFrame:

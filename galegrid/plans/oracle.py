@@ -161,6 +161,14 @@ _LOCATED = (
 )
 
 
+_LOCATED_COUNTS = (
+    "SELECT DD, FH, FF, FX, code, coalesce(Damage_Type, 'No-Incident') AS Damage_Type, "
+    "count(Incident_ID) AS Total_Incidents FROM w JOIN located "
+    "ON YYYYMMDD = Incident_Date AND HH = IncStrt_Hour "
+    "GROUP BY DD, FH, FF, FX, code, located.Damage_Type"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     label_counts = f"WITH {W}, {I}, {WI}, {LABELS} SELECT * FROM labels"
     nearest = (
@@ -186,12 +194,13 @@ def oracle_sql() -> dict[str, str]:
             f"WITH {I} SELECT Incident_ID, Incident_Date, IncStrt_Hour, Damage_Type, "
             "Incident_Priority, Incident_Starttime, Service_Area, x, y FROM i"
         ),
-        "located_label_counts": (
-            f"WITH {W}, {I}, {A}, {_LOCATED} "
-            "SELECT DD, FH, FF, FX, code, coalesce(Damage_Type, 'No-Incident') AS Damage_Type, "
-            "count(Incident_ID) AS Total_Incidents FROM w JOIN located "
-            "ON YYYYMMDD = Incident_Date AND HH = IncStrt_Hour "
-            "GROUP BY DD, FH, FF, FX, code, located.Damage_Type"
+        "located_label_counts": f"WITH {W}, {I}, {A}, {_LOCATED} {_LOCATED_COUNTS}",
+        "located_label_grid": (
+            f"WITH {W}, {I}, {A}, {T}, {_LOCATED}, {_profile('code')}, {CONDITIONS}, "
+            f"n AS ({_LOCATED_COUNTS}) SELECT profile.code, DD, FH, FF, FX, {_WIDE}, "
+            "coalesce(Damage_Type, 'No-Incident') AS Damage_Type, "
+            "coalesce(Total_Incidents, 0) AS Total_Incidents FROM (SELECT * FROM profile CROSS JOIN conds) profile "
+            "LEFT JOIN n USING (code, DD, FH, FF, FX)"
         ),
         "incidents_by_hour": (
             f"WITH {W}, {I}, {WI} SELECT YYYYMMDD, HH, Service_Area, Damage_Type, "

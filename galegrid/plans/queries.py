@@ -352,6 +352,16 @@ def label_grid(spark: SparkSession, sf: str) -> DataFrame:
     return grid.label_grid(condition_grid(spark, sf), label_counts(spark, sf))
 
 
+def located_label_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """The grid with the counts of the incidents inside each area; no incident counts 0."""
+    areas = inputs.areas(spark, sf).withColumn("area", F.col("code"))
+    profile = _profile(spark, sf, "code").withColumnRenamed("code", "area")
+    full = grid.condition_grid(areas, inputs.weather(spark, sf), profile, "code", "area")
+    return grid.label_grid(
+        full.drop("area"), located_label_counts(spark, sf), by=["code"], zero_label=align.NO_INCIDENT
+    )
+
+
 def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     return grid.labelled_set(
         inputs.areas(spark, sf),

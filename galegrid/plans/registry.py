@@ -43,6 +43,7 @@ QUERIES: dict[str, q.Query] = {
         q.pivot_chain,
         q.condition_grid,
         q.label_grid,
+        q.located_label_grid,
         q.training_rows,
         q.training_parts,
         q.table_profile,
