@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+MAX_VALUES = 10_000
+
 # The weather provider's named variable sets.
 VARIABLE_SETS = {
     "WIND": ["DD", "FH", "FF", "FX"],
@@ -123,11 +125,40 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def one_hot(df: DataFrame, values: dict[str, Sequence[object]]) -> DataFrame:
+def distinct_values(
+    df: DataFrame, columns: Sequence[str], nulls: bool = False
+) -> dict[str, list[str | None]]:
+    """Sorted values, as text, of columns whose values are to become columns.
+
+    `nulls` lists None last where a column has nulls. More than MAX_VALUES values are an
+    error, so what comes to the driver is bounded.
+    """
+    pairs = [
+        F.struct(F.lit(i).alias("i"), quoted(c).cast("string").alias("v"))
+        for i, c in enumerate(columns)
+    ]
+    found = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").distinct()
+    if not nulls:
+        found = found.where("v IS NOT NULL")
+    rows = found.limit(MAX_VALUES + 1).collect()
+    if len(rows) > MAX_VALUES:
+        raise ValueError(f"more than {MAX_VALUES} values would become columns")
+    values: dict[str, list[str | None]] = {c: [] for c in columns}
+    for row in sorted(rows, key=lambda r: (r["i"], r["v"] is None, r["v"] or "")):
+        values[columns[row["i"]]].append(row["v"])
+    return values
+
+
+def one_hot(
+    df: DataFrame, values: Mapping[str, Sequence[object]] | Sequence[str]
+) -> DataFrame:
     """Replace each named column by one 0/1 column `{column}_{value}` per value.
 
-    A null value (None) gives the column `{column}_null`.
+    A mapping names the values of each column; for a plain list of columns they are looked
+    up. A null value (None) gives the column `{column}_null`.
     """
+    if not isinstance(values, Mapping):
+        values = distinct_values(df, list(values), nulls=True)
     kept = [quoted(c) for c in df.columns if c not in values]
     names, flags = [], []
     for column, options in values.items():

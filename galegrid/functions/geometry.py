@@ -27,18 +27,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def point_x(wkt: Column) -> Column:
-    """x of a `POINT (x y)` text."""
-    return F.try_element_at(_point_numbers(wkt), F.lit(1)).cast("double")
+    """x of a `POINT (x y)` text; null for an empty point or another shape."""
+    return F.get(_point_numbers(wkt), 0).cast("double")
 
 
 def point_y(wkt: Column) -> Column:
-    """y of a `POINT (x y)` text."""
-    return F.try_element_at(_point_numbers(wkt), F.lit(2)).cast("double")
+    """y of a `POINT (x y)` text; null for an empty point or another shape."""
+    return F.get(_point_numbers(wkt), 1).cast("double")
 
 
 def _point_numbers(wkt: Column) -> Column:
-    inside = F.regexp_extract(wkt, r"^\s*(?i:POINT)\s*Z?\s*\(\s*([^()]*?)\s*\)", 1)
-    return F.when(inside != "", F.split(inside, r"\s+"))
+    """The numbers of a point as texts; plain string functions, as points are many."""
+    body = F.substring_index(F.substring_index(wkt, "(", -1), ")", 1)
+    words = F.array_remove(F.split(F.translate(body, "\t\n", "  "), " "), "")
+    return F.when(wkt.rlike(r"^\s*(?i:POINT)[^(]*\("), words)
 
 
 def wkt_rings(wkt: Column) -> Column:

@@ -270,3 +270,17 @@ def nearest_join(
     return joined.select(
         *[quoted(c) for c in [*left_out, *right_out]], F.col("_distance").alias(distance_col)
     )
+
+
+def nearest_features(
+    left: DataFrame,
+    right: DataFrame,
+    geometry: str = "geometry",
+    distance_col: str = "Distance",
+    exclusive: bool = True,
+) -> DataFrame:
+    """The nearest join of two tables with WKT points: left geometry kept, right one dropped."""
+    spots = ("_x", "_y")
+    located = geo.with_points(left, geometry, *spots)
+    others = geo.with_points(right, geometry, *spots).drop(geometry)
+    return nearest_join(located, others, spots, spots, distance_col, exclusive).drop(*spots)

@@ -7,13 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import feature_name, quoted, unique_names
+from ..functions.columns import distinct_values, feature_name, quoted, unique_names
 from ..session import cut_lineage
 from .skew import BROADCAST_BYTES
 from .spatial import points_in_areas
 
-MAX_VALUES = 10_000
-
 
 def count_per_key(df: DataFrame, key: str, id_col: str = "id", out: str = "Trees_Totaal") -> DataFrame:
     """Non-null ids per key."""
@@ -42,23 +40,6 @@ def join_pivots(base: DataFrame, pivots: Sequence[DataFrame], key: str) -> DataF
     return base
 
 
-def _category_values(combos: DataFrame, categories: Sequence[str]) -> dict[str, list[object]]:
-    """Sorted non-null values of every category; an error when a column has too many."""
-    pairs = F.array(
-        *[F.struct(F.lit(i).alias("i"), quoted(c).cast("string").alias("v")) for i, c in enumerate(categories)]
-    )
-    found = (
-        combos.select(F.explode(pairs).alias("p")).select("p.*").where("v is not null").distinct()
-    )
-    rows = found.limit(MAX_VALUES + 1).collect()
-    if len(rows) > MAX_VALUES:
-        raise ValueError(f"more than {MAX_VALUES} category values would become columns")
-    values: dict[str, list[object]] = {c: [] for c in categories}
-    for row in sorted(rows, key=lambda r: (r["i"], r["v"])):
-        values[categories[row["i"]]].append(row["v"])
-    return values
-
-
 def wide_counts(
     points: DataFrame,
     key: str,
@@ -81,7 +62,7 @@ def wide_counts(
         values = {c: list(v) for c, v in categories.items()}
     else:
         combos = cut_lineage(combos)
-        values = _category_values(combos, names)
+        values = distinct_values(combos, names)
 
     def share(category: str, value: object) -> Column:
         # A null key has a total but no category counts, as a join on it never matches.

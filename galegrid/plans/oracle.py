@@ -272,6 +272,16 @@ def oracle_sql() -> dict[str, str]:
         "spatial_polygons": _POLYGONS,
         "spatial_polygons_shuffled": _POLYGONS,
         "nearest_incident": nearest,
+        "nearest_wkt": (
+            "WITH p AS (SELECT event_id, event_type, user_id, x / 8e0 AS x, y / 8e0 AS y "
+            f"FROM ({SCATTERED_SQL}) s), "
+            "d AS (SELECT l.event_id, l.user_id AS user_id_left, l.x, l.y, r.event_id AS signup_id, "
+            "r.user_id AS user_id_right, (l.x - r.x) * (l.x - r.x) + (l.y - r.y) * (l.y - r.y) AS d2 "
+            "FROM p l JOIN p r ON l.event_type = 'purchase' AND r.event_type = 'signup'), "
+            "m AS (SELECT event_id, min(d2) AS d2 FROM d GROUP BY 1) "
+            "SELECT d.event_id, user_id_left, printf('POINT (%.16f %.16f)', x, y) AS geometry, "
+            "signup_id, user_id_right, sqrt(d2) AS Distance FROM d JOIN m USING (event_id, d2)"
+        ),
         "nearest_ties": (
             "WITH l AS (SELECT DISTINCT l_quantity AS x, round(l_discount * 100) AS y FROM lineitem), "
             "r AS (SELECT CAST(user_id % 50 AS DOUBLE) AS rx, CAST(user_id % 11 AS DOUBLE) AS ry, "

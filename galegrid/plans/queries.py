@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as col
 from ..functions import geometry as geo
 from ..operators import align, grid, model, nearest, profile_counts, quality, spatial
+from ..session import cut_lineage
 from ..sources import fetch
 from . import inputs
 from .inputs import TREE_CATEGORIES, table
@@ -266,6 +267,21 @@ def nearest_incident(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def nearest_wkt(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from tables with WKT points: purchases to their nearest signup."""
+    points = cut_lineage(
+        inputs.scattered(spark, sf).select(
+            "event_id", "event_type", "user_id",
+            geo.point_wkt(F.col("x") / 8, F.col("y") / 8).alias("geometry"),
+        )
+    )
+    left = points.where("event_type = 'purchase'").select("event_id", "user_id", "geometry")
+    right = points.where("event_type = 'signup'").select(
+        F.col("event_id").alias("signup_id"), "user_id", "geometry"
+    )
+    return nearest.nearest_features(left, right)
+
+
 def nearest_ties(spark: SparkSession, sf: str) -> DataFrame:
     """Nearest lattice points with ties and equal locations; equal points are ignored."""
     lines = table(spark, sf, "lineitem")

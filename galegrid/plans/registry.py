@@ -35,6 +35,7 @@ QUERIES: dict[str, q.Query] = {
         q.spatial_polygons,
         q.spatial_polygons_shuffled,
         q.nearest_incident,
+        q.nearest_wkt,
         q.nearest_ties,
         q.wkt_roundtrip,
         q.reproject,

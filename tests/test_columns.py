@@ -51,6 +51,16 @@ def test_one_hot_keeps_other_columns_and_nulls(spark):
     assert rows(wide) == [(1, 1, 0, 0), (2, 0, 0, 1), (3, 0, 0, 0)]
 
 
+def test_one_hot_looks_values_up(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "b", "z"), (2, None, "z"), (3, "a", "z")], ["id", "c", "d"])
+    wide = col.one_hot(df, ["c", "d"])
+    assert wide.columns == ["id", "c_a", "c_b", "c_null", "d_z"]
+    assert rows(wide) == [(1, 0, 1, 0, 1), (2, 0, 0, 1, 1), (3, 1, 0, 0, 1)]
+    monkeypatch.setattr(col, "MAX_VALUES", 2)
+    with pytest.raises(ValueError):
+        col.one_hot(df, ["c", "d"])
+
+
 def test_age_defaults_to_the_current_year(spark):
     row = spark.range(1).select(col.age_in_years(F.year(F.current_date()) - 3).alias("a")).first()
     assert row["a"] == 3

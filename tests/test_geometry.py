@@ -23,9 +23,11 @@ def test_point_wkt_has_the_exact_digits(spark):
 
 
 def test_point_parsing(spark):
-    texts = ["POINT (4.5 -52)", "point(1 2)", "POINT EMPTY", None]
+    texts = ["POINT (4.5 -52)", "point(1 2)", "POINT EMPTY", None, " POINT Z ( 1e3 \t -2   7 )", "LINESTRING (1 2, 3 4)"]
     df = geo.with_points(spark.createDataFrame([(t,) for t in texts], "geometry string"))
-    assert [(r.x, r.y) for r in df.collect()] == [(4.5, -52.0), (1.0, 2.0), (None, None), (None, None)]
+    assert [(r.x, r.y) for r in df.collect()] == [
+        (4.5, -52.0), (1.0, 2.0), (None, None), (None, None), (1000.0, -2.0), (None, None)
+    ]
     with pytest.raises(ValueError):
         geo.with_points(spark.range(1))
 
