@@ -160,26 +160,44 @@ def multipolygon_wkt(parts: Column) -> Column:
     )
 
 
-def geojson_wkt(kind: Column, coordinates: Column, swap_axes: bool = False) -> Column:
-    """WKT of a GeoJSON geometry given its type and its coordinates as JSON text.
+def _geojson_rings(coordinates: Column, kind: Column, swap_axes: bool) -> tuple[Column, Column]:
+    """Rings of a Polygon and ring arrays of a MultiPolygon, vertices as [x, y]."""
+    i, j = (1, 0) if swap_axes else (0, 1)
+
+    def rings(value: Column) -> Column:
+        return F.transform(value, lambda ring: F.transform(ring, lambda v: F.array(v[i], v[j])))
+
+    polygon = F.when(kind == "Polygon", rings(F.from_json(coordinates, RINGS_TYPE)))
+    parts = F.when(
+        kind == "MultiPolygon", F.transform(F.from_json(coordinates, PARTS_TYPE), rings)
+    )
+    return polygon, parts
+
+
+def geojson_point(kind: Column, coordinates: Column, swap_axes: bool = False) -> tuple[Column, Column]:
+    """x and y of a GeoJSON point given its type and its coordinates as JSON text.
 
     `swap_axes` reads latitude, longitude order.
     """
-    i, j = (1, 0) if swap_axes else (0, 1)
+    point = F.when(kind == "Point", F.from_json(coordinates, "array<double>"))
+    x, y = F.get(point, 0), F.get(point, 1)
+    return (y, x) if swap_axes else (x, y)
 
-    def ordered(vertex: Column) -> Column:
-        return F.array(vertex[i], vertex[j])
 
-    def rings(value: Column) -> Column:
-        return F.transform(value, lambda ring: F.transform(ring, ordered))
+def geojson_edges(kind: Column, coordinates: Column, swap_axes: bool = False) -> Column:
+    """Edge list of a GeoJSON polygon or multipolygon."""
+    polygon, parts = _geojson_rings(coordinates, kind, swap_axes)
+    return rings_to_edges(F.coalesce(polygon, F.flatten(parts)))
+
 
-    point = F.from_json(coordinates, "array<double>")
-    polygon = F.from_json(coordinates, RINGS_TYPE)
-    multi = F.from_json(coordinates, PARTS_TYPE)
+def geojson_wkt(kind: Column, coordinates: Column, swap_axes: bool = False) -> Column:
+    """WKT of a GeoJSON point, polygon or multipolygon."""
+    x, y = geojson_point(kind, coordinates, swap_axes)
+    polygon, parts = _geojson_rings(coordinates, kind, swap_axes)
     return (
-        F.when(kind == "Point", point_wkt(point[i], point[j]))
-        .when(kind == "Polygon", polygon_wkt(rings(polygon)))
-        .when(kind == "MultiPolygon", multipolygon_wkt(F.transform(multi, rings)))
+        F.when(kind == "Point", point_wkt(x, y))
+        .when(kind == "Polygon", polygon_wkt(polygon))
+        .when(kind == "MultiPolygon", multipolygon_wkt(parts))
     )
 
 

@@ -54,11 +54,19 @@ def load_weather_json(
 
 
 def load_incidents(
-    spark: SparkSession, paths: Paths, schema: T.StructType | None = INCIDENTS
+    spark: SparkSession,
+    paths: Paths,
+    schema: T.StructType | None = INCIDENTS,
+    decoded: bool = False,
 ) -> DataFrame:
-    """Incidents with a WKT point and `Incident_Date` in place of LON, LAT and Date."""
+    """Incidents with a WKT point and `Incident_Date` in place of LON, LAT and Date.
+
+    `decoded` also keeps the coordinates as `x`, `y`.
+    """
     raw = read_csv(spark, paths, schema, null_value="NULL")
     require_columns(raw, "LON", "LAT", "Date")
+    if decoded:
+        raw = raw.withColumns({"x": F.col("LON"), "y": F.col("LAT")})
     return (
         raw.withColumn("geometry", point_wkt(F.col("LON"), F.col("LAT")))
         .withColumn("Incident_Date", F.to_date("Date"))
@@ -81,10 +89,14 @@ def load_service_areas(
 
 
 def load_features(
-    spark: SparkSession, path: Paths, properties: T.StructType, first_page: int | None = 1
+    spark: SparkSession,
+    path: Paths,
+    properties: T.StructType,
+    first_page: int | None = 1,
+    decoded: str | None = None,
 ) -> DataFrame:
     """Trees, soil, ground water or buildings from staged pages."""
-    return read_features(spark, path, properties, first_page)
+    return read_features(spark, path, properties, first_page, decoded=decoded)
 
 
 def keep_named_areas(
@@ -107,7 +119,8 @@ def load_areas(
     municipalities: Sequence[str] | None = tuple(MUNICIPALITIES),
     first_page: int | None = None,
     swap_axes: bool = False,
+    decoded: str | None = None,
 ) -> DataFrame:
     """One administrative level, such as (wijkcode, wijknaam) or (buurtcode, buurtnaam)."""
-    areas = read_features(spark, path, area_properties(code, name), first_page, swap_axes)
+    areas = read_features(spark, path, area_properties(code, name), first_page, swap_axes, decoded)
     return keep_named_areas(areas, name, municipalities)

@@ -67,6 +67,8 @@ def test_load_incidents(spark, tmp_path):
         (2, None, dt.date(2024, 1, 2)),
     ]
     assert df.first().geometry == "POINT (4.5000000000000000 52.2500000000000000)"
+    decoded = loaders.load_incidents(spark, str(tmp_path / "i.csv"), schema, decoded=True)
+    assert rows(decoded, "x", "y") == [(4.0, 52.0), (4.5, 52.25)]
     inferred = loaders.load_incidents(spark, str(tmp_path / "i.csv"), None)
     assert rows(inferred, "Damage_Type") == [(None,), ("Tree",)]
 
@@ -105,6 +107,24 @@ def test_load_features_skips_bad_pages(spark, tree_pages):
     assert df.where("id = '4'").first().geometry == "POINT (8.0000000000000000 52.0000000000000000)"
 
 
+def test_decoded_geometry(spark, tree_pages, tmp_path_factory):
+    trees = loaders.load_features(spark, tree_pages, schemas.TREE_PROPERTIES, decoded="point")
+    assert rows(trees, "x", "y") == [(5.0, 52.0), (6.0, 52.0), (8.0, 52.0)]
+    ring = [[[0, 0], [1, 0], [1, 1], [0, 0]]]
+    path = tmp_path_factory.mktemp("areas") / "areas.json"
+    made = [("Polygon", ring), ("MultiPolygon", [ring, ring])]
+    path.write_text(
+        collection(*[feature(t, c, code=t, name="n", gemeentenaam="Diemen") for t, c in made])
+    )
+    areas = loaders.load_areas(spark, str(path), "code", "name", decoded="polygon")
+    from galegrid.functions.geometry import wkt_edges
+
+    for row in areas.withColumn("again", wkt_edges(F.col("geometry"))).collect():
+        assert row.edges == row.again and len(row.edges) in (3, 6)
+    with pytest.raises(ValueError):
+        loaders.load_areas(spark, str(path), "code", "name", decoded="line")
+
+
 def test_missing_pages_are_reported(spark, tree_pages):
     pages = files.read_pages(spark, tree_pages, schemas.TREE_PROPERTIES)
     planned = fetch.page_plan(spark.range(1), F.lit(5)).select("page", "chunk")
