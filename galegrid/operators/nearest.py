@@ -25,7 +25,6 @@ LEAF_ROWS = 32
 FIRST_BITS = 4
 STEP_BITS = 2
 MAX_BITS = 52
-ROUNDS_PER_CUT = 3
 
 
 def _real(x: str, y: str) -> Column:
@@ -91,20 +90,27 @@ def _near_far() -> tuple[Column, Column]:
 
 
 def _prune(pairs: DataFrame, exclusive: bool, by: Sequence[str] = tuple(_LEFT_CELL)) -> DataFrame:
-    """Keep the pairs that can hold a nearest point of some left point of their left box."""
+    """Keep the pairs that can hold a nearest point of some left point of their left box.
+
+    `best` carries the smallest known bound of the left box over from the box it is part of.
+    """
     near, far = _near_far()
     if exclusive:
         # A lone right location may be the left point itself: then it bounds nothing.
         far = F.when((F.col("r_n") > 1) | (near > 0), far)
-    best = pairs.withColumns({"near": near, "far": far}).withColumn(
-        "best", F.min("far").over(Window.partitionBy(*by))
-    )
-    return best.where("best IS NULL OR near <= best").drop("near", "far", "best")
+    bound = F.min(F.least(far, F.col("best"))).over(Window.partitionBy(*by))
+    in_reach = "best IS NULL OR near <= best"
+    candidates = pairs.withColumn("near", near).where(in_reach)
+    return candidates.withColumn("best", bound).where(in_reach).drop("near")
+
+
+def _full(side: str, level: int) -> Column:
+    return (F.col(f"{side}_level") == level) & (F.col(f"{side}_n") > LEAF_ROWS)
 
 
 def _refine(pairs: DataFrame, side: str, nodes: DataFrame, level: int) -> DataFrame:
     """Replace cells that are still too full by their children on `level`; keep the others."""
-    is_full = (F.col(f"{side}_level") == level - 1) & (F.col(f"{side}_n") > LEAF_ROWS)
+    is_full = _full(side, level - 1)
     children = _side(nodes, side, "c").withColumns(
         {f"_up_{c}": F.shiftright(f"c_{c}", STEP_BITS) for c in ("cx", "cy")}
     )
@@ -190,19 +196,24 @@ def nearest_locations(left: DataFrame, right: DataFrame, exclusive: bool = False
     pairs = _side(levels[0], "l").withColumn("_root", F.lit(0)).join(
         _side(levels[0], "r").withColumn("_root", F.lit(0)), "_root"
     )
-    pairs = pairs.drop("_root").withColumns({"l_level": F.lit(0), "r_level": F.lit(0)})
-    pairs = _prune(pairs, exclusive)
+    start = {"l_level": F.lit(0), "r_level": F.lit(0), "best": F.lit(None).cast("double")}
+    pairs = _prune(pairs.drop("_root").withColumns(start), exclusive)
+    # Pairs of two leaves are set aside, so a round works on the crowded regions only.
+    settled: list[DataFrame] = []
     for level in range(1, len(levels)):
-        pairs = _refine(pairs, "l", levels[level], level)
+        pairs = cut_lineage(pairs)
+        open_pair = _full("l", level - 1) | _full("r", level - 1)
+        settled.append(pairs.where(~open_pair))
+        pairs = _refine(pairs.where(open_pair), "l", levels[level], level)
         pairs = _prune(_refine(pairs, "r", levels[level], level), exclusive)
-        if level % ROUNDS_PER_CUT == 0:
-            pairs = cut_lineage(pairs)
+    for done in settled:
+        pairs = pairs.unionByName(done)
     pairs = cut_lineage(pairs)
 
     lefts, rights = (_in_leaves(both, levels, frame, s) for s in ("l", "r"))
     right_box = [f"r_{c}" for c in ("level", *_NODE)]
     # Every left location against the boxes of the right leaves, before their points.
-    spots = pairs.select(*_LEFT_CELL, *right_box).join(lefts, _LEFT_CELL)
+    spots = pairs.select(*_LEFT_CELL, *right_box, "best").join(lefts, _LEFT_CELL)
     spots = spots.withColumns(
         {"l_xmin": F.col("lx"), "l_xmax": F.col("lx"), "l_ymin": F.col("ly"), "l_ymax": F.col("ly")}
     )
