@@ -14,7 +14,7 @@ import sys
 import time
 
 from galegrid.plans.registry import QUERIES
-from galegrid.session import local_session
+from galegrid.session import clear_scratch, local_session
 
 RUNS = 3
 HEADLINE = [
@@ -39,7 +39,9 @@ HEADLINE = [
 def timed(spark, name: str, sf_dir: str) -> float:
     start = time.perf_counter()
     QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    seconds = time.perf_counter() - start
+    clear_scratch(spark)
+    return seconds
 
 
 def main(names: list[str]) -> None:

@@ -75,11 +75,11 @@ def fit_count_model(
     `poisson` is a generalised linear model with the Poisson objective and log link; its
     importances are absolute coefficients. `boosted` is gradient-boosted trees on
     log(1 + count), as Spark's trees have no Poisson loss. `weight_col` takes the place of
-    repeated rows.
+    repeated rows. Features must be numeric; a null in one is an error, not a dropped row.
     """
     features = [c for c in df.columns if c not in {label, weight_col}]
     split = hash_split(df, split_by or features, seed=seed)
-    assembler = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="skip")
+    assembler = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="error")
     # The fit reads its input once per iteration: keep the assembled rows, not their lineage.
     ready = cut_lineage(
         assembler.transform(split.withColumn("_label", quoted(label).cast("double")))

@@ -184,7 +184,7 @@ def test_all_combinations(spark, monkeypatch, rows_per_block):
     assert rows(grid.all_combinations(few, many)) == rows(few.crossJoin(many))
 
 
-def test_labelled_set_equals_the_reference_order(areas, weather, incidents, profile):
+def test_labelled_set_equals_the_stepwise_order(areas, weather, incidents, profile):
     counts = align.label_counts_direct(weather, incidents)
     slow = grid.label_grid(grid.condition_grid(areas, weather, profile, "code", "name"), counts)
     fast = grid.labelled_set(areas, weather, profile, counts, "code", "name")

@@ -134,3 +134,25 @@ def test_clear_scratch(spark):
     session.clear_scratch(spark)
     fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     assert not fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(fs_path)
+
+
+def test_configured_folder_is_used(spark, tmp_path, monkeypatch):
+    from galegrid import session
+
+    conf = {"spark.checkpoint.dir": str(tmp_path)}
+    monkeypatch.setattr(type(spark.sparkContext), "getConf", lambda self: conf)
+    assert session.staging_path(spark, "x").startswith(f"{tmp_path}/galegrid-")
+    assert session.cut_lineage(spark.range(3)).count() == 3
+    assert list(tmp_path.iterdir())
+
+
+def test_a_cluster_needs_the_folder(spark, monkeypatch):
+    from galegrid import session
+
+    context = type(spark.sparkContext)
+    monkeypatch.setattr(context, "getConf", lambda self: {})
+    monkeypatch.setattr(context, "getCheckpointDir", lambda self: None)
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://somewhere:7077", raising=False)
+    with pytest.raises(RuntimeError):
+        session.shared_dir(spark)

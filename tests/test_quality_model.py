@@ -100,6 +100,12 @@ def test_models_find_the_signal(spark, kind):
     assert "prediction" in fitted.predictions.columns
 
 
+def test_null_features_raise(spark):
+    df = spark.createDataFrame([(1.0, 1), (None, 2)] * 20, "wind double, Incident_Count int")
+    with pytest.raises(Exception):
+        model.fit_count_model(df)
+
+
 def test_weights_equal_repeated_rows(spark):
     base = spark.range(120).select(
         (F.col("id") % 5).cast("double").alias("wind"),
