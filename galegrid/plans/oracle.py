@@ -372,13 +372,13 @@ def oracle_sql() -> dict[str, str]:
         "feature_pages": (
             "SELECT c_custkey AS id, nullif(c_mktsegment, 'MACHINERY') AS segment, c_acctbal AS balance, "
             "printf('POINT (%.16f %.16f)', c_acctbal / 100, c_custkey / 8) AS geometry "
-            "FROM customer WHERE (c_custkey // 500 + 1) % 7 <> 0"
+            "FROM customer"
         ),
         "area_features": (
             "SELECT 'WK' || CAST(s_suppkey AS VARCHAR) AS wijkcode, s_name AS wijknaam, "
-            "'M' || CAST(s_nationkey % 8 AS VARCHAR) AS gemeentenaam, "
+            "'M' || CAST(s_nationkey AS VARCHAR) AS gemeentenaam, "
             f"printf('POLYGON (({_SQUARE_WKT}))', {_SQUARE_ARGS}) AS geometry FROM supplier "
-            "WHERE s_suppkey % 5 <> 0 AND s_nationkey % 8 IN (1, 3, 4, 6)"
+            "WHERE s_acctbal >= 1000 AND s_nationkey IN (1, 4, 9, 16, 20, 23)"
         ),
         "catalog_tables": (
             f"WITH {I} SELECT 'incidents' AS table_name, \"column\", \"type\", nulls FROM ("
