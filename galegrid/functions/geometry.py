@@ -250,7 +250,7 @@ def edge_code_sql(x: str, y: str, x1: str, y1: str, x2: str, y2: str, left: str,
 def covers(edges: str, x: str, y: str) -> Column:
     """True when the point lies inside the polygon or on its border (even-odd rule).
 
-    Takes SQL expressions; one pass over the edge list.
+    Takes SQL expressions; one pass over an edge list as `wkt_edges` makes it.
     """
     code = edge_code_sql(
         x, y, "e.x1", "e.y1", "e.x2", "e.y2", "least(e.x1, e.x2)", "greatest(e.x1, e.x2)"

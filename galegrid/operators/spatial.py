@@ -63,8 +63,18 @@ def _level(box: Column, size: float) -> Column:
 
 
 def framed_areas(areas: DataFrame, keys: Sequence[str], edges: str = "edges") -> DataFrame:
-    """Area keys, edge list and bounding box; areas without edges take no part."""
-    framed = areas.select(*[quoted(k) for k in keys], quoted(edges).alias("_all"))
+    """Area keys, edge list and bounding box; areas without edges take no part.
+
+    Edges made elsewhere are turned so that the lower (then left) end comes first.
+    """
+    framed = areas.select(*[quoted(k) for k in keys], quoted(edges).alias("_all")).withColumn(
+        "_all",
+        F.expr(
+            "transform(_all, e -> IF(e.y1 > e.y2 OR (e.y1 = e.y2 AND e.x1 > e.x2), "
+            "struct(e.x2 AS x1, e.y2 AS y1, e.x1 AS x2, e.y1 AS y2), "
+            "struct(e.x1 AS x1, e.y1 AS y1, e.x2 AS x2, e.y2 AS y2)))"
+        ),
+    )
     return framed.withColumn("_box", geo.bounds(F.col("_all"))).where("_box is not null")
 
 

@@ -45,6 +45,15 @@ def test_points_in_areas(areas, points, size, max_bytes):
     assert rows(got, "area", "id") == rows(brute, "area", "id")
 
 
+def test_edges_of_any_direction(areas, points):
+    turned = areas.withColumn(
+        "edges",
+        F.expr("transform(edges, e -> struct(e.x2 AS x1, e.y2 AS y1, e.x1 AS x2, e.y1 AS y2))"),
+    )
+    got = spatial.points_in_areas(turned, points, ["area"])
+    assert rows(got, "area", "id") == rows(spatial.points_in_areas(areas, points, ["area"]), "area", "id")
+
+
 def test_points_in_areas_names_and_empty_sides(spark, areas, points):
     renamed = points.withColumn("area", F.lit("p"))
     got = spatial.points_in_areas(areas, renamed, ["area"])
