@@ -28,6 +28,11 @@ MAX_LABELLED = 12_000
 #: Words and word beginnings that one model weighs, at most.
 MAX_FEATURES = 6_000
 FOLDS = 3
+RIDGE = 0.02
+#: A feature counts from this many standard errors, and from this share of the clearest one's.
+LEAST_Z, CLEAR_SHARE = 3.0, 0.15
+#: Weight of a row of the positive class, at most; a row of the negative class weighs 1.
+MAX_CLASS_WEIGHT = 4.0
 #: Word beginnings that count as features: stems stay visible under any ending.
 PREFIXES = (4, 6)
 THRESHOLD = 0.5
@@ -83,13 +88,14 @@ def select_features(rows: list[list[str]], y: np.ndarray) -> list[str]:
         share = n / len(y)
         error = math.sqrt(share * (1 - share) * (1 / n1 + 1 / n0)) or 1.0
         z = (ones[f] / n1 - (n - ones[f]) / n0) / error
-        if abs(z) >= 3:
-            scored.append((-abs(z), f))
-    return [f for _, f in sorted(scored)[:MAX_FEATURES]]
+        scored.append((-abs(z), f))
+    scored.sort()
+    least = max(LEAST_Z, CLEAR_SHARE * -scored[0][0]) if scored else 0.0
+    return [f for z, f in scored[:MAX_FEATURES] if -z >= least]
 
 
 def fit_linear(
-    rows: list[list[str]], before: np.ndarray, y: np.ndarray, rounds: int = 150
+    rows: list[list[str]], before: np.ndarray, y: np.ndarray, rounds: int = 400
 ) -> tuple[dict[str, float], tuple[float, ...], float]:
     """Logistic regression with a ridge penalty by accelerated gradient steps.
 
@@ -109,14 +115,17 @@ def fit_linear(
     w, b, v = np.zeros(dims), math.log(rate / (1 - rate)), np.zeros(before.shape[1])
     # A bound on the curvature of the mean loss gives the step.
     squares = lengths * scale**2 + (before**2).sum(axis=1) + 1
-    ridge = 1.0 / n
-    step = 1.0 / (0.25 * np.percentile(squares, 99) + ridge)
+    ridge = RIDGE / n
+    # Both classes weigh alike, up to a factor, as the rarer one is what is looked for.
+    heavy = min(MAX_CLASS_WEIGHT, max(1.0, (n - y.sum()) / max(1.0, y.sum())))
+    weight = np.where(y > 0, heavy, 1.0)
+    step = 1.0 / (0.25 * np.percentile(squares, 99) * weight.mean() + ridge)
     old, t = (w, b, v), 1.0
     look = old
     for _ in range(rounds):
         lw, lb, lv = look
         margin = np.bincount(owner, lw[flat], n) * scale + before @ lv + lb
-        gap = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y
+        gap = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) * weight
         gw = np.bincount(flat, gap[owner], dims) * scale / n + ridge * lw
         new = (lw - step * gw, lb - step * gap.mean(), lv - step * (before.T @ gap) / n)
         t_next = (1 + math.sqrt(1 + 4 * t * t)) / 2
