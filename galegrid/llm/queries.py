@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import toxicity
+from . import line_dedup, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.round("p_toxic", 6).alias("p_toxic"), "is_toxic")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_toxicity,)}
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the text that later repeats were deleted from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.line_dedup(docs)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_toxicity, op5_line_dedup)}
 
 ORACLE: dict[str, str] = {}
