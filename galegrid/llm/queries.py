@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, toxicity
+from . import line_dedup, ngram_join, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,34 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(docs)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_toxicity, op5_line_dedup)}
-
-ORACLE: dict[str, str] = {}
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of links at 85 % of 4-word shingles."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.ngram_jaccard(docs, size=4, percent=85)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_toxicity, op5_line_dedup, op9_ngram_jaccard)}
+
+_WORDS_SQL = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
+)
+
+ORACLE: dict[str, str] = {
+    "op9_ngram_jaccard": f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS_SQL} AS a FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(a) - 3, 1) + 1),
+    lambda i: array_to_string(a[i:i + 3], ' '))) AS x FROM w WHERE len(a) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT l.doc_id AS a, r.doc_id AS b, count(*) AS c
+  FROM s l JOIN s r ON l.x = r.x AND l.doc_id <> r.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n l ON l.doc_id = a JOIN n r ON r.doc_id = b
+  WHERE 100 * c >= 85 * (l.n + r.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+JOIN (SELECT a, min(b) AS c FROM reach GROUP BY 1) m ON m.a = d.doc_id
+""",
+}
