@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, ngram_join, toxicity
+from . import decontaminate, line_dedup, ngram_join, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.round("p_toxic", 6).alias("p_toxic"), "is_toxic")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that overlap."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.leaks(docs.select("doc_id", "text"), items.select("item_id", "text"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the text that later repeats were deleted from."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -33,7 +39,9 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard(docs, size=4, percent=85)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_toxicity, op5_line_dedup, op9_ngram_jaccard)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f for f in (op2_toxicity, op3_decontaminate, op5_line_dedup, op9_ngram_jaccard)
+}
 
 _WORDS_SQL = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -41,6 +49,35 @@ _WORDS_SQL = (
 )
 
 ORACLE: dict[str, str] = {
+    # All items of the tables have the full window at least.
+    "op3_decontaminate": f"""
+WITH d AS (SELECT doc_id AS id, {_WORDS_SQL} AS w FROM documents),
+b AS (SELECT item_id AS id, {_WORDS_SQL} AS w FROM benchmark),
+ds AS (
+  SELECT id, p, m.i AS mask, CASE m.i {{masks}} END AS seed
+  FROM (SELECT id, w, unnest(range(1, len(w) + 1)) AS p FROM d), (SELECT unnest([0, 1]) AS i) m),
+bs AS (
+  SELECT id, p, m.i AS mask, CASE m.i {{masks}} END AS seed
+  FROM (SELECT id, w, unnest(range(1, len(w) + 1)) AS p FROM b), (SELECT unnest([0, 1]) AS i) m),
+g AS (SELECT DISTINCT ds.id AS doc, bs.id AS item, ds.p - bs.p AS shift
+  FROM ds JOIN bs ON ds.mask = bs.mask AND ds.seed = bs.seed),
+e AS (SELECT doc, item, shift, q, (d.w[q + shift] = b.w[q])::INT AS same
+  FROM (SELECT g.*, unnest(range(1, len(b.w) + 1)) AS q FROM g JOIN b ON b.id = g.item) g
+  JOIN b ON b.id = g.item JOIN d ON d.id = g.doc WHERE q + shift BETWEEN 1 AND len(d.w)),
+x AS (SELECT doc, item, shift, q,
+    sum(same) OVER (PARTITION BY doc, item, shift ORDER BY q ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS n,
+    count(*) OVER (PARTITION BY doc, item, shift ORDER BY q ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS c
+  FROM e),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc, item ORDER BY n DESC, q + shift, q) AS k
+  FROM x WHERE c = 13 AND n >= 11)
+SELECT doc AS doc_id, item AS item_id, q + shift - 1 AS start, q - 1 AS item_start,
+  13::INTEGER AS n_words, n::INTEGER AS n_equal FROM r WHERE k = 1
+""".format(
+        masks=" ".join(
+            f"WHEN {i} THEN " + " || ' ' || ".join(f"w[p + {k}]" for k in mask)
+            for i, mask in enumerate(decontaminate.MASKS)
+        )
+    ),
     "op9_ngram_jaccard": f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS_SQL} AS a FROM documents),
 s AS (
