@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, ngram_join, toxicity
+from . import decontaminate, line_dedup, mixing, ngram_join, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(docs)
 
 
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words that the mix takes of it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its component of links at 85 % of 4-word shingles."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -40,7 +46,7 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_toxicity, op3_decontaminate, op5_line_dedup, op9_ngram_jaccard)
+    f.__name__: f for f in (op2_toxicity, op3_decontaminate, op5_line_dedup, op7_mix_sources, op9_ngram_jaccard)
 }
 
 _WORDS_SQL = (
