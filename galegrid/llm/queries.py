@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, mixing, ngram_join, toxicity
+from ..session import staging_path
+from . import decontaminate, line_dedup, mixing, ngram_join, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,8 +46,15 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard(docs, size=4, percent=85)
 
 
+def op10_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it is read back from the archives it was written to."""
+    path = staging_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    return warc.page_digests(warc.read_archives(spark, path))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_toxicity, op3_decontaminate, op5_line_dedup, op7_mix_sources, op9_ngram_jaccard)
+    f.__name__: f for f in (op2_toxicity, op3_decontaminate, op5_line_dedup, op7_mix_sources, op9_ngram_jaccard, op10_warc_roundtrip)
 }
 
 _WORDS_SQL = (
@@ -55,6 +63,16 @@ _WORDS_SQL = (
 )
 
 ORACLE: dict[str, str] = {
+    "op10_warc_roundtrip": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(encode(coalesce(html, ''))) AS x FROM pages),
+r AS (SELECT x, octet_length(b) AS n, max(page_id) AS best FROM p GROUP BY 1, 2)
+SELECT page_id, n::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
+    ((('0x' || substr(p.x || '0', 1 + (5 * i) // 4, 2))::INT >> (3 - (5 * i) % 4)) & 31)::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> best THEN best END AS refers_to
+FROM p JOIN r ON r.x = p.x AND r.n = octet_length(p.b)
+""",
     # All items of the tables have the full window at least.
     "op3_decontaminate": f"""
 WITH d AS (SELECT doc_id AS id, {_WORDS_SQL} AS w FROM documents),
