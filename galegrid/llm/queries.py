@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staging_path
-from . import decontaminate, line_dedup, mixing, ngram_join, toxicity, warc
+from . import decontaminate, line_dedup, mixing, ngram_join, toxicity, url_filter, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,13 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(docs)
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL with the rule that fits and the verdict."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    model = url_filter.train(url_filter.labelled_urls(pages, labels))
+    return url_filter.judge(pages, model)
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words that the mix takes of it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -54,7 +61,7 @@ def op10_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_toxicity, op3_decontaminate, op5_line_dedup, op7_mix_sources, op9_ngram_jaccard, op10_warc_roundtrip)
+    f.__name__: f for f in (op2_toxicity, op3_decontaminate, op5_line_dedup, op6_url_filter, op7_mix_sources, op9_ngram_jaccard, op10_warc_roundtrip)
 }
 
 _WORDS_SQL = (
