@@ -8,12 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staging_path
-from . import decontaminate, line_dedup, mixing, ngram_join, toxicity, url_filter, warc
+from . import decontaminate, line_dedup, mixing, ngram_join, toxicity, url_filter, warc, wrapper
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with its main text."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    read = wrapper.main_text(pages)
+    return read.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the probabilities of the chain and the verdict."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -61,7 +68,7 @@ def op10_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_toxicity, op3_decontaminate, op5_line_dedup, op6_url_filter, op7_mix_sources, op9_ngram_jaccard, op10_warc_roundtrip)
+    f.__name__: f for f in (op1_main_text, op2_toxicity, op3_decontaminate, op5_line_dedup, op6_url_filter, op7_mix_sources, op9_ngram_jaccard, op10_warc_roundtrip)
 }
 
 _WORDS_SQL = (
