@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staging_path
-from . import decontaminate, line_dedup, mixing, ngram_join, toxicity, url_filter, warc, wrapper
+from . import decontaminate, dual_tree, line_dedup, mixing, ngram_join, toxicity, url_filter, warc, wrapper
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(docs.select("doc_id", "text"), items.select("item_id", "text"))
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best others of every vector whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return dual_tree.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the text that later repeats were deleted from."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -68,7 +74,7 @@ def op10_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_main_text, op2_toxicity, op3_decontaminate, op5_line_dedup, op6_url_filter, op7_mix_sources, op9_ngram_jaccard, op10_warc_roundtrip)
+    f.__name__: f for f in (op1_main_text, op2_toxicity, op3_decontaminate, op4_exact_top_k, op5_line_dedup, op6_url_filter, op7_mix_sources, op9_ngram_jaccard, op10_warc_roundtrip)
 }
 
 _WORDS_SQL = (
@@ -77,6 +83,14 @@ _WORDS_SQL = (
 )
 
 ORACLE: dict[str, str] = {
+    "op4_exact_top_k": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e)::BIGINT AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM p)
+SELECT query_id, k::INTEGER AS rank, vec_id, score FROM r WHERE k <= 5
+""",
     "op10_warc_roundtrip": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(encode(coalesce(html, ''))) AS x FROM pages),
 r AS (SELECT x, octet_length(b) AS n, max(page_id) AS best FROM p GROUP BY 1, 2)
