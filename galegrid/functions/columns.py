@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_VALUES = 10_000
+from ..session import cut_lineage
+
+#: Values of one column that may become columns, unless a call says otherwise.
+VALUES_PER_COLUMN = 10_000
 
 # The weather provider's named variable sets.
 VARIABLE_SETS = {
@@ -79,12 +82,12 @@ def feature_name(prefix: str, column: str, value: object) -> str:
 
 
 def unique_names(names: Sequence[str]) -> list[str]:
-    """The names as given; an error when two of them are equal."""
-    seen: set[str] = set()
+    """The names as given; an error when two are equal but for case, which Spark ignores."""
+    seen: dict[str, str] = {}
     for name in names:
-        if name in seen:
-            raise ValueError(f"two values give the same column name {name!r}")
-        seen.add(name)
+        if name.lower() in seen:
+            raise ValueError(f"two values give the same column name: {seen[name.lower()]!r} and {name!r}")
+        seen[name.lower()] = name
     return list(names)
 
 
@@ -126,12 +129,16 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def distinct_values(
-    df: DataFrame, columns: Sequence[str], nulls: bool = False
+    df: DataFrame,
+    columns: Sequence[str],
+    nulls: bool = False,
+    most: int = VALUES_PER_COLUMN,
 ) -> dict[str, list[str | None]]:
     """Sorted values, as text, of columns whose values are to become columns.
 
-    `nulls` lists None last where a column has nulls. More than MAX_VALUES values are an
-    error, so what comes to the driver is bounded.
+    `nulls` lists None last where a column has nulls. What comes to the driver is bounded by
+    `most` values for each column; a column with more is an error that names it. Such a column
+    belongs in the long form, which has no limit, or needs its values named by the caller.
     """
     pairs = [
         F.struct(F.lit(i).alias("i"), quoted(c).cast("string").alias("v"))
@@ -140,11 +147,13 @@ def distinct_values(
     found = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").distinct()
     if not nulls:
         found = found.where("v IS NOT NULL")
-    rows = found.limit(MAX_VALUES + 1).collect()
-    if len(rows) > MAX_VALUES:
-        raise ValueError(f"more than {MAX_VALUES} values would become columns")
+    found = cut_lineage(found)
+    counts = {r["i"]: r["count"] for r in found.groupBy("i").count().collect()}
+    wide = [f"{columns[i]} ({n})" for i, n in sorted(counts.items()) if n > most]
+    if wide:
+        raise ValueError(f"more than {most} values would become columns: {', '.join(wide)}")
     values: dict[str, list[str | None]] = {c: [] for c in columns}
-    for row in sorted(rows, key=lambda r: (r["i"], r["v"] is None, r["v"] or "")):
+    for row in sorted(found.collect(), key=lambda r: (r["i"], r["v"] is None, r["v"] or "")):
         values[columns[row["i"]]].append(row["v"])
     return values
 

@@ -150,3 +150,23 @@ def label_counts_direct(
         F.sum(F.coalesce("_n", F.lit(0))).cast("bigint").alias(out)
     )
     return label_nulls(counts, damage)
+
+
+def hourly_counts(
+    weather: DataFrame,
+    incidents: DataFrame,
+    measures: Sequence[str],
+    by: Sequence[str] = ("Service_Area", "Damage_Type"),
+    out: str = "Incident_Count",
+) -> DataFrame:
+    """Incidents per date, hour, `by` and the weather of that hour; hours without any count 0.
+
+    The measures follow from the hour, so incidents are counted by their narrow keys before the
+    wide weather is joined. Weather rows that occur several times count as often.
+    """
+    keys = {"Incident_Date": "YYYYMMDD", "IncStrt_Hour": "HH"}
+    counted = incidents.groupBy(*keys, *[quoted(c) for c in by]).agg(F.count("Incident_ID").alias(out))
+    hours = weather.groupBy("YYYYMMDD", "HH", *[quoted(c) for c in measures]).agg(F.count(F.lit(1)).alias("_times"))
+    joined = hours.join(counted.withColumnsRenamed(keys), ["YYYYMMDD", "HH"], "left")
+    total = (F.coalesce(quoted(out), F.lit(0)) * F.col("_times")).alias(out)
+    return joined.select("YYYYMMDD", "HH", *[quoted(c) for c in [*by, *measures]], total)

@@ -32,11 +32,14 @@ def count_table(
 def hash_split(
     df: DataFrame, keys: Sequence[str], train_share: float = 0.8, seed: int = 42
 ) -> DataFrame:
-    """Add `is_train`, decided by a hash of the key columns.
+    """Add `is_train`, decided by the MD5 digits of the seed and the key columns as text.
 
-    Unlike a random split the answer depends neither on partitioning nor on retries.
+    Unlike a random split the answer depends neither on partitioning nor on retries, and other
+    engines can repeat it. A null key counts as empty text.
     """
-    draw = F.pmod(F.xxhash64(F.lit(seed), *[quoted(k) for k in keys]), F.lit(1_000_000))
+    texts = [F.coalesce(quoted(k).cast("string"), F.lit("")) for k in keys]
+    digits = F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *texts)), 1, 8)
+    draw = F.conv(digits, 16, 10).cast("bigint") % F.lit(1_000_000)
     return df.withColumn("is_train", draw < F.lit(int(train_share * 1_000_000)))
 
 
@@ -68,6 +71,7 @@ def fit_count_model(
     weight_col: str | None = None,
     top: int = 20,
     seed: int = 42,
+    features: Sequence[str] | None = None,
     **params: object,
 ) -> CountModel:
     """Fit on 80 % of the rows, score on the rest, rank the features.
@@ -75,9 +79,10 @@ def fit_count_model(
     `poisson` is a generalised linear model with the Poisson objective and log link; its
     importances are absolute coefficients. `boosted` is gradient-boosted trees on
     log(1 + count), as Spark's trees have no Poisson loss. `weight_col` takes the place of
-    repeated rows. Features must be numeric; a null in one is an error, not a dropped row.
+    repeated rows. Features, by default all other columns, must be numeric; a null in one is an
+    error, not a dropped row.
     """
-    features = [c for c in df.columns if c not in {label, weight_col}]
+    features = [c for c in df.columns if c not in {label, weight_col}] if features is None else list(features)
     split = hash_split(df, split_by or features, seed=seed)
     assembler = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="error")
     # The fit reads its input once per iteration: keep the assembled rows, not their lineage.

@@ -76,6 +76,30 @@ def wide_counts(
     )
 
 
+def long_counts(
+    points: DataFrame, key: str, categories: Sequence[str], id_col: str = "id"
+) -> DataFrame:
+    """(key, column, value, n_rows, n_ids): counts of every value of every category column.
+
+    The long form of `wide_counts`, for any number of values. The total of a key has the column
+    name null; null values and values of a null key are left out, as they have no wide column.
+    """
+    combos = points.groupBy(quoted(key), *[quoted(c) for c in categories]).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(quoted(id_col)).alias("n_ids")
+    )
+    pairs = [
+        F.struct(F.lit(c).alias("column"), quoted(c).cast("string").alias("value")) for c in categories
+    ]
+    whole = F.struct(F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("value"))
+    long = combos.select(quoted(key), F.explode(F.array(whole, *pairs)).alias("_p"), "n_rows", "n_ids")
+    kept = long.select(quoted(key), "_p.column", "_p.value", "n_rows", "n_ids").where(
+        F.col("column").isNull() | F.col("value").isNotNull() & quoted(key).isNotNull()
+    )
+    return kept.groupBy(quoted(key), "column", "value").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_ids").alias("n_ids")
+    )
+
+
 def area_profile(
     areas: DataFrame,
     points: DataFrame,

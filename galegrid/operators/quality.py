@@ -180,9 +180,9 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = T
     return whole.unionByName(nulls).unionByName(describe(df, columns, exact))
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """Some `n` rows; which ones is not defined."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+    """The first `n` rows by the order columns; without any some rows, which is not defined."""
+    return (df.orderBy(*[quoted(c) for c in order]) if order else df).limit(n)
 
 
 def top_n(df: DataFrame, by: str, n: int, tie_break: Sequence[str] = ()) -> DataFrame:

@@ -8,7 +8,6 @@ copied once per salt of that key.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -20,7 +19,6 @@ from ..session import cut_lineage
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_TASK = 2_000_000
-MAX_HOT_KEYS = 10_000
 ESTIMATE_SLACK = 64
 UNKNOWN_BYTES = 2**60
 
@@ -67,20 +65,16 @@ def hot_keys(
 ) -> DataFrame | None:
     """Keys with more than `rows_per_task` rows and the salts each one needs; None when none.
 
-    With `weight` a row stands for that many rows of the table that will be joined. The limit
-    rises with the table so that never more than MAX_HOT_KEYS keys qualify: that bounds the
-    result, which is why it may be broadcast.
+    With `weight` a row stands for that many rows of the table that will be joined. At most one
+    key in `rows_per_task` rows qualifies; the joins measure the list before broadcasting it.
     """
     size = F.count(F.lit(1)) if weight is None else F.sum(quoted(weight))
     counts = df.groupBy(*[quoted(k) for k in keys]).agg(size.alias("_rows"))
-    most = counts.agg(F.max("_rows").alias("top"), F.sum("_rows").alias("all")).first()
-    limit = max(rows_per_task, math.ceil((most["all"] or 0) / MAX_HOT_KEYS))
-    if (most["top"] or 0) <= limit:
-        return None
-    salts = F.ceil(F.col("_rows") / F.lit(limit)).cast("int").alias("_salts")
-    return cut_lineage(
-        counts.where(F.col("_rows") > limit).select(*[quoted(k) for k in keys], salts)
+    salts = F.ceil(F.col("_rows") / F.lit(rows_per_task)).cast("int").alias("_salts")
+    hot = cut_lineage(
+        counts.where(F.col("_rows") > rows_per_task).select(*[quoted(k) for k in keys], salts)
     )
+    return None if hot.isEmpty() else hot
 
 
 def _salt(keys: Sequence[str], spread: Sequence[str], salts: Column) -> Column:
@@ -93,7 +87,7 @@ def _salt(keys: Sequence[str], spread: Sequence[str], salts: Column) -> Column:
 
 
 def _with_salts(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    marked = df.join(F.broadcast(hot), list(keys), "left")
+    marked = df.join(F.broadcast(hot) if fits(hot) else hot, list(keys), "left")
     return marked.withColumn("_salts", F.coalesce("_salts", F.lit(1)))
 
 

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from ..functions.geometry import with_edges
 from ..schemas import WEATHER_MEASURES
 
+# Customers per page where every fourth page is bad.
+BAD_PAGE_SIZE = 20
+
 # Measures after the four wind columns: (m * (k + 3)) % (k + 7) for the k-th of them.
 _OTHER_MEASURES = WEATHER_MEASURES[4:]
 _MEASURE_RULES = {

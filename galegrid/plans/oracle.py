@@ -13,6 +13,7 @@ from ..functions.columns import feature_name
 from ..schemas import WEATHER_MEASURES
 from .inputs import (
     AREAS_SQL,
+    BAD_PAGE_SIZE,
     IN_AREA_SQL,
     INCIDENTS_SQL,
     POLYGON_EDGES,
@@ -181,6 +182,15 @@ def oracle_sql() -> dict[str, str]:
         "AND NOT (l.x = r.x AND l.y = r.y) "
         "AND (l.x - r.x) * (l.x - r.x) + (l.y - r.y) * (l.y - r.y) = d2"
     )
+    _saturated = (
+        f"WITH {I}, n AS (SELECT Incident_Date, IncStrt_Hour, Service_Area AS area, "
+        "count(Incident_ID) AS Incident_Count FROM i GROUP BY 1, 2, 3), "
+        "s AS (SELECT *, ('0x' || substr(md5('42|' || strftime(Incident_Date, '%Y-%m-%d') || '|' || "
+        "CAST(IncStrt_Hour AS VARCHAR) || '|' || area), 1, 8))::BIGINT % 1000000 < 800000 AS is_train FROM n), "
+        "m AS (SELECT area, avg(Incident_Count) AS mean FROM s WHERE is_train GROUP BY 1), "
+        "scored AS (SELECT Incident_Date, IncStrt_Hour, area, Incident_Count, "
+        "round(coalesce(mean, 1e0), 5) AS prediction FROM s LEFT JOIN m USING (area) WHERE NOT is_train)"
+    )
     return {
         "label_counts": label_counts,
         "label_counts_aligned": label_counts,
@@ -238,17 +248,36 @@ def oracle_sql() -> dict[str, str]:
             "CAST(p_type <> 'SMALL' AS INTEGER) AS \"is_p_type_NOT-SMALL\" FROM part"
         ),
         "select_variables": (
-            f"WITH {W} SELECT STN, YYYYMMDD, HH, DD, FH, FF, FX, T, M, R, S, O, Y, WW FROM w "
-            "WHERE STN IN (240, 260)"
+            f"WITH {W} SELECT CAST(HH % 3 * 20 + 240 AS INTEGER) AS STN, YYYYMMDD, HH, DD, FH, FF, FX, "
+            "T, M, R, S, O, Y, WW FROM w WHERE HH % 3 IN (0, 1)"
         ),
+        "preview_ordered": f"WITH {W} SELECT YYYYMMDD, HH, DD, FH, FF, FX FROM w ORDER BY YYYYMMDD, HH LIMIT 5",
         "rows_per_segment": "SELECT c_mktsegment, count(*) AS n_rows FROM customer GROUP BY 1",
         "left_join_renamed_key": (
-            "SELECT c_custkey, c_acctbal, n_pending FROM customer LEFT JOIN "
-            "(SELECT o_custkey, count(*) AS n_pending FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) o "
-            "ON c_custkey = o_custkey"
+            "SELECT c_custkey, c_acctbal, n_orders FROM customer LEFT JOIN "
+            "(SELECT o_custkey + (SELECT max(c_custkey) // 2 FROM customer) AS k, count(*) AS n_orders "
+            "FROM orders GROUP BY 1) o ON c_custkey = k"
+        ),
+        "union_all": "SELECT o_orderkey AS key, o_totalprice AS amount FROM orders "
+        "UNION ALL SELECT c_custkey, c_acctbal FROM customer",
+        "hash_split": (
+            "SELECT o_orderkey, ('0x' || substr(md5('42|' || CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT "
+            "% 1000000 < 800000 AS is_train FROM orders"
+        ),
+        "saturated_model": f"{_saturated} SELECT * FROM scored",
+        "saturated_errors": (
+            f"{_saturated} SELECT round(avg(d * d), 4) AS mse, round(sqrt(avg(d * d)), 4) AS rmse, "
+            "round(avg(abs(d)), 4) AS mae FROM (SELECT Incident_Count - prediction AS d FROM scored) e"
+        ),
+        "area_profile_long": (
+            f"WITH {A}, {T}, j AS (SELECT a.name, p.* FROM a JOIN t p ON {IN_AREA_SQL}) "
+            "SELECT name, NULL::VARCHAR AS \"column\", NULL::VARCHAR AS \"value\", count(*) AS n_rows, "
+            "count(id) AS n_ids FROM j GROUP BY 1"
+            + "".join(
+                f" UNION ALL SELECT name, '{c}', {c}, count(*), count(id) FROM j WHERE {c} IS NOT NULL GROUP BY 1, 3"
+                for c in TREE_CATEGORIES
+            )
         ),
-        "union_all": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders "
-        "WHERE o_orderstatus IN ('F', 'O', 'P')",
         "sort_descending": f"WITH {W} SELECT YYYYMMDD, HH, DD, FH, FF, FX FROM w ORDER BY YYYYMMDD DESC, HH DESC",
         "top_orders": "SELECT o_orderkey, o_totalprice FROM orders "
         "ORDER BY o_totalprice DESC, o_orderkey LIMIT 20",
@@ -347,17 +376,23 @@ def oracle_sql() -> dict[str, str]:
         ),
         "page_plan": (
             "WITH n AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) "
-            "SELECT o_custkey, n, CAST(page AS INTEGER) AS page, CAST((page - 2) // 3 AS INTEGER) AS chunk "
+            "SELECT o_custkey, n, page, (page - 2) // 3 AS chunk "
             "FROM (SELECT *, unnest(generate_series(2, CAST(ceil(n / 4) AS BIGINT))) AS page FROM n) p"
         ),
         "missing_pages": (
             "WITH g AS (SELECT CAST(o_orderkey // 10 + 1 AS INTEGER) AS page, max(o_totalprice) AS top "
             "FROM orders GROUP BY 1), "
             "k AS (SELECT unnest(generate_series(2, (SELECT max(page) FROM g))) AS page) "
-            "SELECT CAST(page AS INTEGER) AS page, CAST((page - 2) // 20 AS INTEGER) AS chunk FROM k "
+            "SELECT CAST(page AS BIGINT) AS page, CAST((page - 2) // 20 AS BIGINT) AS chunk FROM k "
             "WHERE page NOT IN (SELECT page FROM g WHERE top < 490000)"
         ),
         "weather_text_scan": f"WITH {W} SELECT * REPLACE (CAST(HH AS TINYINT) AS HH) FROM w",
+        "weather_mixed_headers": f"WITH {W} SELECT * REPLACE (CAST(HH AS TINYINT) AS HH) FROM w",
+        "feature_pages_with_bad_ones": (
+            "SELECT c_custkey AS id, nullif(c_mktsegment, 'MACHINERY') AS segment, c_acctbal AS balance, "
+            "printf('POINT (%.16f %.16f)', c_acctbal / 100, c_custkey / 8) AS geometry "
+            f"FROM customer WHERE (c_custkey // {BAD_PAGE_SIZE} + 1) % 4 <> 3"
+        ),
         "weather_json_scan": f"WITH {W} SELECT * REPLACE (CAST(HH AS TINYINT) AS HH) FROM w",
         "incident_csv_scan": (
             f"WITH {I} SELECT Incident_ID, Incident_Starttime, Service_Area, Damage_Type, "

@@ -67,13 +67,9 @@ def located_label_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def incidents_by_hour(spark: SparkSession, sf: str) -> DataFrame:
     """Incidents per date, hour, service area, damage type and all weather measures, sorted."""
-    measures = [c for c in inputs.WEATHER_MEASURES]
-    return model.count_table(
-        _aligned(spark, sf),
-        ["YYYYMMDD", "HH", "Service_Area", "Damage_Type", *measures],
-        out="Incident_Count",
-        order=["YYYYMMDD", "HH"],
-    )
+    incidents = align.incident_features(inputs.incidents(spark, sf))
+    counted = align.hourly_counts(inputs.weather(spark, sf), incidents, inputs.WEATHER_MEASURES)
+    return counted.orderBy("YYYYMMDD", "HH")
 
 
 def incidents_by_condition(spark: SparkSession, sf: str) -> DataFrame:
@@ -158,8 +154,15 @@ def project_and_rename(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def select_variables(spark: SparkSession, sf: str) -> DataFrame:
-    """Wind and temperature of one station."""
-    return col.select_variables(inputs.weather(spark, sf), "WIND:T:WEER", stations=[240, 260])
+    """Wind and temperature of two of three stations."""
+    stations = inputs.weather(spark, sf).withColumn("STN", (F.col("HH") % 3 * 20 + 240).cast("int"))
+    return col.select_variables(stations, "WIND:T:WEER", stations=[240, 260])
+
+
+def preview_ordered(spark: SparkSession, sf: str) -> DataFrame:
+    """The first five hours of the weather."""
+    wind = inputs.weather(spark, sf).select("YYYYMMDD", "HH", *WIND)
+    return quality.preview(wind, 5, ["YYYYMMDD", "HH"])
 
 
 def rows_per_segment(spark: SparkSession, sf: str) -> DataFrame:
@@ -170,19 +173,23 @@ def rows_per_segment(spark: SparkSession, sf: str) -> DataFrame:
 def left_join_renamed_key(spark: SparkSession, sf: str) -> DataFrame:
     """Left join on differently named keys; not every key finds a partner."""
     customers = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    # Keys moved by half the customers: the upper half finds orders of others or none.
+    shift = table(spark, sf, "customer").agg(F.floor(F.max("c_custkey") / 2).alias("shift"))
     shipped = (
         table(spark, sf, "orders")
-        .where("o_orderstatus = 'P'")
         .groupBy(F.col("o_custkey").alias("customer"))
-        .agg(F.count(F.lit(1)).alias("n_pending"))
+        .agg(F.count(F.lit(1)).alias("n_orders"))
+        .join(F.broadcast(shift))
+        .select((F.col("customer") + F.col("shift")).alias("customer"), "n_orders")
     )
     return align.left_join_renamed(customers, shipped, "c_custkey", "customer")
 
 
 def union_all(spark: SparkSession, sf: str) -> DataFrame:
     """Concatenation of tables with one schema."""
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    return grid.concat_rows(*[orders.where(F.col("o_orderstatus") == s) for s in "FOP"])
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("amount"))
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("amount"))
+    return grid.concat_rows(orders, customers)
 
 
 def sort_descending(spark: SparkSession, sf: str) -> DataFrame:
@@ -438,9 +445,9 @@ def hash_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _model_table(spark: SparkSession, sf: str) -> DataFrame:
-    measures = [*WIND, "T", "TD", "Q", "RH", "P", "U"]
-    by = ["YYYYMMDD", "HH", "Service_Area", "Damage_Type", *measures]
-    counted = model.count_table(_aligned(spark, sf).na.fill(0, ["FX"]), by, order=["YYYYMMDD", "HH"])
+    incidents = align.incident_features(inputs.incidents(spark, sf))
+    weather = inputs.weather(spark, sf).na.fill(0, ["FX"])
+    counted = align.hourly_counts(weather, incidents, inputs.WEATHER_MEASURES)
     values = {
         "Service_Area": [f"SA {k}" for k in range(6)],
         "Damage_Type": ["Building", "Road sign", "Tree"],
@@ -455,7 +462,46 @@ def count_model(spark: SparkSession, sf: str) -> DataFrame:
 
 def boosted_model(spark: SparkSession, sf: str) -> DataFrame:
     """Boosted trees on the same table."""
-    return _model_report(model.fit_count_model(_model_table(spark, sf), kind="boosted", maxIter=5))
+    return _model_report(model.fit_count_model(_model_table(spark, sf), kind="boosted"))
+
+
+def _area_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Incidents per date, hour and service area, and a 0/1 column for each area."""
+    incidents = align.incident_features(inputs.incidents(spark, sf))
+    by = ["Incident_Date", "IncStrt_Hour", "Service_Area"]
+    counted = incidents.groupBy(*by).agg(F.count("Incident_ID").alias("Incident_Count"))
+    areas = {"Service_Area": [f"SA {k}" for k in range(6)]}
+    return col.one_hot(counted.withColumn("area", F.col("Service_Area")), areas)
+
+
+def saturated_model(spark: SparkSession, sf: str) -> DataFrame:
+    """A Poisson model with one indicator for each area, whose fit is the mean of the area.
+
+    Predictions for the test rows, without regularisation.
+    """
+    counted = _area_counts(spark, sf)
+    fitted = model.fit_count_model(
+        counted,
+        split_by=["Incident_Date", "IncStrt_Hour", "area"],
+        features=[c for c in counted.columns if c.startswith("Service_Area_")],
+        regParam=0.0, fitIntercept=False, maxIter=100, tol=1e-12,
+    )
+    return fitted.predictions.select(
+        "Incident_Date", "IncStrt_Hour", "area", "Incident_Count", F.round("prediction", 5).alias("prediction")
+    )
+
+
+def saturated_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """The errors of those predictions."""
+    scored = saturated_model(spark, sf)
+    errors = model.error_metrics(scored, F.col("Incident_Count"), F.col("prediction"))
+    return errors.select(*[F.round(c, 4).alias(c) for c in errors.columns])
+
+
+def area_profile_long(spark: SparkSession, sf: str) -> DataFrame:
+    """Trees per area name in the long form: a row for each value of each category column."""
+    joined = spatial.points_in_areas(inputs.areas(spark, sf), inputs.trees(spark, sf), ["name"])
+    return profile_counts.long_counts(joined, "name", list(TREE_CATEGORIES))
 
 
 def _model_report(fitted: model.CountModel) -> DataFrame:

@@ -23,6 +23,7 @@ QUERIES: dict[str, q.Query] = {
         q.named_and_listed,
         q.project_and_rename,
         q.select_variables,
+        q.preview_ordered,
         q.rows_per_segment,
         q.left_join_renamed_key,
         q.union_all,
@@ -41,6 +42,7 @@ QUERIES: dict[str, q.Query] = {
         q.reproject,
         q.area_profile,
         q.area_profile_by_code,
+        q.area_profile_long,
         q.pivot_chain,
         q.condition_grid,
         q.label_grid,
@@ -52,17 +54,21 @@ QUERIES: dict[str, q.Query] = {
         q.null_counts,
         q.error_metrics,
         q.hash_split,
+        q.saturated_model,
+        q.saturated_errors,
         q.count_model,
         q.boosted_model,
         q.fetch_windows,
         q.page_plan,
         q.missing_pages,
         s.weather_text_scan,
+        s.weather_mixed_headers,
         s.weather_json_scan,
         s.incident_csv_scan,
         s.plain_csv_scan,
         s.service_area_scan,
         s.feature_pages,
+        s.feature_pages_with_bad_ones,
         s.area_features,
         s.catalog_tables,
     )

@@ -55,6 +55,16 @@ def weather_text_scan(spark: SparkSession, sf: str) -> DataFrame:
     return loaders.load_weather(spark, path)
 
 
+def weather_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Weather through two folders of text files whose columns are in opposite order."""
+    paths = []
+    for k, columns in enumerate((WEATHER_COLUMNS, tuple(reversed(WEATHER_COLUMNS)))):
+        paths.append(staging_path(spark, f"weather-mixed-{k}"))
+        hours = _weather_numbers(spark, sf).where(F.col("HH") % 2 == k)
+        hours.select(*columns).write.csv(paths[-1], header=True)
+    return loaders.load_weather(spark, paths)
+
+
 def weather_json_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Weather through one JSON array per day whose last hour is repeated in the next file."""
     path = staging_path(spark, "weather-json")
@@ -93,12 +103,12 @@ def incident_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def plain_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers through plain CSV files with inferred types."""
+    """Customers through plain CSV files whose types are inferred on request."""
     path = staging_path(spark, "plain")
     table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal").write.option(
         "header", True
     ).csv(path)
-    return loaders.load_plain(spark, path).withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
+    return loaders.load_plain(spark, path, infer=True).withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
 
 
 def service_area_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -144,8 +154,24 @@ def _write_pages(features: DataFrame, path: str) -> None:
 def feature_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Customers as points through paged GeoJSON."""
     path = staging_path(spark, "pages")
-    features = table(spark, sf, "customer").select(
-        (F.floor(F.col("c_custkey") / PAGE_SIZE) + 1).cast("int").alias("page"),
+    _write_pages(_customer_features(spark, sf, PAGE_SIZE), path)
+    return loaders.load_features(spark, path, _POINT_PROPERTIES)
+
+
+def feature_pages_with_bad_ones(spark: SparkSession, sf: str) -> DataFrame:
+    """The same where every fourth page is an error page, not JSON, or did not land."""
+    path = staging_path(spark, "bad-pages")
+    features = _customer_features(spark, sf, inputs.BAD_PAGE_SIZE)
+    _write_pages(features.where("page % 4 <> 3"), path)
+    bad = features.where("page % 4 = 3 and page % 12 <> 11").select("page").distinct()
+    body = F.when(F.col("page") % 12 == 3, '{"type": "Error", "features": null}').otherwise("<html>error 500</html>")
+    bad.select("page", body.alias("value")).repartition("page").write.mode("append").partitionBy("page").text(path)
+    return loaders.load_features(spark, path, _POINT_PROPERTIES)
+
+
+def _customer_features(spark: SparkSession, sf: str, page_size: int) -> DataFrame:
+    return table(spark, sf, "customer").select(
+        (F.floor(F.col("c_custkey") / page_size) + 1).cast("int").alias("page"),
         F.struct(
             F.lit("Point").alias("type"),
             F.array(F.col("c_acctbal") / 100, (F.col("c_custkey") / 8).cast("double")).alias("coordinates"),
@@ -156,8 +182,6 @@ def feature_pages(spark: SparkSession, sf: str) -> DataFrame:
             F.col("c_acctbal").alias("balance"),
         ).alias("properties"),
     )
-    _write_pages(features, path)
-    return loaders.load_features(spark, path, _POINT_PROPERTIES)
 
 
 def area_features(spark: SparkSession, sf: str) -> DataFrame:

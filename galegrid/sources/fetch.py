@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import format_hour_stamp
 
+PAGES_PER_TASK = 100_000
+
 
 def fetch_windows(
     spans: DataFrame, start: str = "start", end: str = "end", days: int = 180
@@ -26,13 +28,21 @@ def fetch_windows(
 
 
 def page_plan(totals: DataFrame, pages: Column, chunk: int = 20) -> DataFrame:
-    """Pages 2..N of each row, numbered by chunks of `chunk` pages; none when N < 2."""
+    """Pages 2..N of each row, numbered by chunks of `chunk` pages; none when N < 2.
+
+    A row first becomes one row per PAGES_PER_TASK pages; those are dealt out before they make
+    their pages, so no task holds the list of a long collection.
+    """
+    partitions = int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = totals.withColumn("_pages", pages.cast("bigint")).where("_pages >= 2")
+    parts = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_pages") - 2) / PAGES_PER_TASK))
+    dealt = known.withColumn("_part", F.explode(parts)).repartition(partitions, "_part", "_pages")
+    first = F.col("_part") * PAGES_PER_TASK + 2
+    last = F.least(F.col("_pages"), first + (PAGES_PER_TASK - 1))
     return (
-        totals.withColumn("_pages", pages.cast("int"))
-        .where("_pages >= 2")
-        .withColumn("page", F.explode(F.sequence(F.lit(2), F.col("_pages"))))
-        .withColumn("chunk", F.floor((F.col("page") - 2) / chunk).cast("int"))
-        .drop("_pages")
+        dealt.withColumn("page", F.explode(F.sequence(first, last)))
+        .withColumn("chunk", F.floor((F.col("page") - 2) / chunk).cast("bigint"))
+        .drop("_pages", "_part")
     )
 
 

@@ -18,18 +18,24 @@ Paths = str | Sequence[str]
 def read_commented(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame:
     """Comma-separated files with `#` comment lines and padded headers and values, as one table.
 
-    Columns are found by their cleaned header name, so their order is free; a column missing
-    in `schema` stays text, one missing in the files is an error.
+    Columns are found by their cleaned header name. Each of several paths is read by its own
+    header, so their columns may be in any order; files of one path (a folder or pattern) must
+    have one header, and another one is an error when they are read. A column missing in
+    `schema` stays text, one missing in the files is an error. A value that is not of its type
+    is an error as well.
     """
-    raw = clean_header(
-        spark.read.csv(
-            list(paths) if not isinstance(paths, str) else paths,
-            header=True,
-            comment="#",
-            ignoreLeadingWhiteSpace=True,
-            ignoreTrailingWhiteSpace=True,
-        )
-    )
+    tables = [_read_commented(spark, p, schema) for p in ([paths] if isinstance(paths, str) else paths)]
+    first, *others = tables
+    for other in others:
+        first = first.unionByName(other)
+    return first
+
+
+def _read_commented(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    options = {"header": True, "comment": "#", "ignoreLeadingWhiteSpace": True, "ignoreTrailingWhiteSpace": True}
+    header = spark.read.csv(path, **options).schema
+    # With a schema and without enforcing it the reader compares the header of every file.
+    raw = clean_header(spark.read.csv(path, schema=header, enforceSchema=False, **options))
     types = {f.name: f.dataType for f in schema.fields}
     missing = [c for c in types if c not in raw.columns]
     if missing:
@@ -44,21 +50,36 @@ def read_csv(
     paths: Paths,
     schema: T.StructType | None = None,
     null_value: str | None = None,
+    bad_rows: str | None = None,
+    infer: bool = False,
 ) -> DataFrame:
-    """Comma-separated files with a header; types are inferred only without a schema."""
-    options: dict[str, object] = {"header": True}
+    """Comma-separated files with a header.
+
+    A value that is not of its type is an error; with `bad_rows` the row is kept instead, with
+    nulls for such values and its text in a column of that name. Without a schema types are only
+    inferred, by reading the data once more, when `infer` says so.
+    """
+    options: dict[str, object] = {"header": True, "mode": "FAILFAST"}
     if null_value is not None:
         options["nullValue"] = null_value
     if schema is None:
+        if not infer:
+            raise ValueError("give a schema, or infer=True to have the data read twice")
         options["inferSchema"] = True
-    else:
+    elif bad_rows is None:
         options |= {"schema": schema, "enforceSchema": False}
+    else:
+        options |= {"schema": T.StructType([*schema.fields, T.StructField(bad_rows, T.StringType())])}
+        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad_rows}
     return spark.read.csv(list(paths) if not isinstance(paths, str) else paths, **options)
 
 
 def read_json_records(spark: SparkSession, path: Paths, schema: T.StructType) -> DataFrame:
-    """Files that each hold a JSON array of objects: one row per object."""
-    return spark.read.json(path, schema=schema, multiLine=True)
+    """Files that each hold a JSON array of objects: one row per object.
+
+    A file that is not JSON, or a value that is not of its type, is an error.
+    """
+    return spark.read.json(path, schema=schema, multiLine=True, mode="FAILFAST")
 
 
 def read_pages(

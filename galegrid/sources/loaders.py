@@ -58,12 +58,15 @@ def load_incidents(
     paths: Paths,
     schema: T.StructType | None = INCIDENTS,
     decoded: bool = False,
+    bad_rows: str | None = None,
 ) -> DataFrame:
     """Incidents with a WKT point and `Incident_Date` in place of LON, LAT and Date.
 
-    `decoded` also keeps the coordinates as `x`, `y`.
+    `decoded` also keeps the coordinates as `x`, `y`. An unreadable value is an error, or, with
+    `bad_rows`, a null beside the row's text in a column of that name. Without a schema types are
+    inferred.
     """
-    raw = read_csv(spark, paths, schema, null_value="NULL")
+    raw = read_csv(spark, paths, schema, "NULL", bad_rows, infer=schema is None)
     require_columns(raw, "LON", "LAT", "Date")
     if decoded:
         raw = raw.withColumns({"x": F.col("LON"), "y": F.col("LAT")})
@@ -74,16 +77,18 @@ def load_incidents(
     )
 
 
-def load_plain(spark: SparkSession, paths: Paths, schema: T.StructType | None = None) -> DataFrame:
+def load_plain(
+    spark: SparkSession, paths: Paths, schema: T.StructType | None = None, infer: bool = False
+) -> DataFrame:
     """Deployments, stations and vehicles: read as they are."""
-    return read_csv(spark, paths, schema)
+    return read_csv(spark, paths, schema, infer=infer)
 
 
 def load_service_areas(
-    spark: SparkSession, paths: Paths, schema: T.StructType | None = None
+    spark: SparkSession, paths: Paths, schema: T.StructType | None = None, infer: bool = False
 ) -> DataFrame:
     """Service areas moved from the national grid to longitude and latitude."""
-    raw = read_csv(spark, paths, schema)
+    raw = read_csv(spark, paths, schema, infer=infer)
     require_columns(raw, "geomtext")
     return raw.withColumn("geometry", reproject_wkt(F.col("geomtext"))).drop("geomtext", "geom")
 

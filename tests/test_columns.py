@@ -56,9 +56,10 @@ def test_one_hot_looks_values_up(spark, monkeypatch):
     wide = col.one_hot(df, ["c", "d"])
     assert wide.columns == ["id", "c_a", "c_b", "c_null", "d_z"]
     assert rows(wide) == [(1, 0, 1, 0, 1), (2, 0, 0, 1, 1), (3, 1, 0, 0, 1)]
-    monkeypatch.setattr(col, "MAX_VALUES", 2)
-    with pytest.raises(ValueError):
-        col.one_hot(df, ["c", "d"])
+    with pytest.raises(ValueError, match="c \\(3\\)"):
+        col.distinct_values(df, ["c", "d"], nulls=True, most=2)
+    with pytest.raises(ValueError, match="same column name"):
+        col.unique_names(["T_Iep", "T_iep"])
 
 
 def test_age_defaults_to_the_current_year(spark):

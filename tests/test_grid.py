@@ -234,3 +234,12 @@ def test_left_join_renamed(spark):
     out = align.left_join_renamed(left, right, "area", "zone")
     assert out.columns == ["id", "area", "id_right"]
     assert rows(out) == [(1, "a", 5), (2, None, None)]
+
+
+def test_long_counts_have_no_limit(spark):
+    points = spark.range(30_000).select(
+        (F.col("id") % 3).alias("area"), F.concat(F.lit("v"), F.col("id") % 12_000).alias("kind"), F.lit("x").alias("same"), "id"
+    )
+    long = profile_counts.long_counts(points, "area", ["kind", "same"])
+    assert long.where("column = 'kind'").count() == 12_000
+    assert {r.n_rows for r in long.where("column is null or column = 'same'").collect()} == {10_000}

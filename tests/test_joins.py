@@ -93,13 +93,15 @@ def test_hot_keys(spark):
     assert skew.hot_keys(df, ["k"], 400) is None
 
 
-def test_hot_keys_are_bounded(spark, monkeypatch):
-    """However low the limit, at most MAX_HOT_KEYS keys qualify."""
-    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 5)
-    df = spark.range(1000).select((F.col("id") % 20).alias("k"))
-    assert skew.hot_keys(df, ["k"], 1) is None
-    df = df.withColumn("k", F.when(F.col("k") < 14, 1).otherwise(F.col("k")))
-    assert rows(skew.hot_keys(df, ["k"], 1)) == [(1, 4)]
+def test_every_key_beyond_the_limit_is_split(spark, monkeypatch):
+    """However many keys qualify: the list is shuffled when it does not fit a broadcast."""
+    df = spark.range(60_000).select((F.col("id") % 20_000).alias("k"), F.col("id").alias("v"))
+    hot = skew.hot_keys(df, ["k"], 2)
+    assert hot.count() == 20_000 and hot.agg(F.max("_salts")).first()[0] == 2
+    other = spark.range(0, 20_000, 7).select(F.col("id").alias("k"))
+    monkeypatch.setattr(skew, "fits", lambda *_: False)
+    got = skew.join_with_hot_keys(df, other, ["k"], ["v"], hot)
+    assert got.count() == df.join(other, "k").count() == got.distinct().count()
 
 
 def test_fits(spark):

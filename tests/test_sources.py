@@ -77,7 +77,7 @@ def test_load_service_areas(spark, tmp_path):
     (tmp_path / "s.csv").write_text(
         'area,geomtext,geom\nX,"POLYGON ((155000 463000, 155100 463000, 155000 463100, 155000 463000))",0\n'
     )
-    df = loaders.load_service_areas(spark, str(tmp_path / "s.csv"))
+    df = loaders.load_service_areas(spark, str(tmp_path / "s.csv"), infer=True)
     assert df.columns == ["area", "geometry"]
     assert df.first().geometry.startswith("POLYGON ((5.3872062100000004 52.1551743999999999, ")
 
@@ -198,3 +198,40 @@ def test_catalog(spark, tmp_path):
         catalog.read_table(spark, "joined_t", "two").count()
     with pytest.raises(Exception):
         catalog.read_table(spark, "joined_t", "one; DROP TABLE x").count()
+
+
+def test_other_header_orders(spark, tmp_path):
+    """A path of its own is read by its own header; another header within a path is an error."""
+    one, two = tmp_path / "one", tmp_path / "two"
+    for folder, header, values in ((one, "STN,YYYYMMDD,HH,DD,FX", "240,20240101,1,10,20"), (two, "STN,YYYYMMDD,HH,FX,DD", "240,20240101,2,20,10")):
+        folder.mkdir()
+        (folder / "w.txt").write_text(f"# note\n{header}\n{values}\n")
+    df = loaders.load_weather(spark, [str(one), str(two)], SCHEMA)
+    assert [(r.HH, r.DD, r.FX) for r in df.collect()] == [(2, 10, 20), (1, 10, 20)]
+    (one / "x.txt").write_text((two / "w.txt").read_text())
+    with pytest.raises(Exception):
+        loaders.load_weather(spark, str(one), SCHEMA).collect()
+
+
+def test_unreadable_values_raise(spark, tmp_path):
+    (tmp_path / "w.json").write_text("<html>error 500</html>")
+    with pytest.raises(Exception):
+        loaders.load_weather_json(spark, str(tmp_path / "w.json"), SCHEMA).collect()
+    (tmp_path / "w.txt").write_text("STN,YYYYMMDD,HH,DD,FX\n240,20240101,1,ten,2\n")
+    with pytest.raises(Exception):
+        loaders.load_weather(spark, str(tmp_path / "w.txt"), SCHEMA).collect()
+    (tmp_path / "i.csv").write_text("Incident_ID,Date,LON,LAT\n1,2024-01-01 05:06:07,4;9,52.25\n2,2024-01-02 00:00:00,4,52\n")
+    schema = T.StructType([f for f in schemas.INCIDENTS if f.name in ("Incident_ID", "Date", "LON", "LAT")])
+    with pytest.raises(Exception):
+        loaders.load_incidents(spark, str(tmp_path / "i.csv"), schema).collect()
+    kept = loaders.load_incidents(spark, str(tmp_path / "i.csv"), schema, bad_rows="bad")
+    told = [(r.Incident_ID, r.bad) for r in kept.orderBy("Incident_ID").collect()]
+    assert told == [(1, "1,2024-01-01 05:06:07,4;9,52.25"), (2, None)]
+    with pytest.raises(ValueError):
+        loaders.load_plain(spark, str(tmp_path / "i.csv"))
+
+
+def test_page_plan_of_a_long_collection(spark):
+    plan = fetch.page_plan(spark.range(1), F.lit(1_000_001))
+    assert plan.count() == 1_000_000 and plan.agg(F.max("page"), F.min("page")).first() == (1_000_001, 2)
+    assert plan.select("page").distinct().count() == 1_000_000
