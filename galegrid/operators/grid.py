@@ -99,9 +99,11 @@ def label_grid(
     )
 
 
-def _repeated(df: DataFrame, times: Column) -> DataFrame:
+def _repeated(df: DataFrame, times: Column, numbered: bool = False) -> DataFrame:
     """Every row `times` times, spread over the tasks however large a single count is.
 
+    `numbered` keeps what tells the copies apart, `_chunk` and `_copy`.
+
     A row first becomes one row per CHUNK copies; those are dealt out by hash (a fixed number
     of partitions, as their small size before the expansion must not merge them again) and
     each then makes its at most CHUNK copies.
@@ -115,7 +117,8 @@ def _repeated(df: DataFrame, times: Column) -> DataFrame:
     )
     left = F.least(F.col("_times") - F.col("_chunk").cast("bigint") * CHUNK, F.lit(CHUNK))
     copies = F.sequence(F.lit(1), left.cast("int"))
-    return dealt.withColumn("_copy", F.explode(copies)).drop("_times", "_chunk", "_copy")
+    made = dealt.withColumn("_copy", F.explode(copies)).drop("_times")
+    return made if numbered else made.drop("_chunk", "_copy")
 
 
 def repeat_rows(df: DataFrame, count_col: str) -> DataFrame:
@@ -162,6 +165,39 @@ def labelled_set(
     return joined.select(*[quoted(c) for c in [code, name, *conditions, *wide, damage, count_col]])
 
 
+def training_set(
+    areas: DataFrame,
+    weather: DataFrame,
+    profile: DataFrame,
+    counts: DataFrame,
+    code: str,
+    name: str,
+    conditions: Sequence[str] = CONDITIONS,
+    damage: str = "Damage_Type",
+    count_col: str = "Total_Incidents",
+    drop: Sequence[str] = (),
+    max_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """`training_rows(labelled_set(...))` in the cheap order.
+
+    The narrow rows of conditions and counts are repeated first; the copies, told apart by
+    number so that they spread, are then multiplied by the areas, and the wide profile comes last.
+    """
+    profile = cut_lineage(profile)
+    known = areas.select(quoted(code), quoted(name)).join(
+        profile.select(quoted(name)).distinct(), name, "left_semi"
+    )
+    labelled = distinct_conditions(weather, conditions).join(counts, list(conditions), "left")
+    kept = labelled.where(quoted(count_col) >= 0)
+    copies = _repeated(kept, F.greatest(quoted(count_col), F.lit(1)), numbered=True).drop(count_col)
+    grid = all_combinations(known.select(quoted(code), quoted(name)), copies)
+    wide = [c for c in profile.columns if c != name]
+    spread = [code, *conditions, damage, "_chunk", "_copy"]
+    joined = checked_join(grid, profile, [name], spread, "inner", max_bytes)
+    out = [c for c in [code, name, *conditions, *wide, damage] if c not in set(drop)]
+    return joined.select(*[quoted(c) for c in out])
+
+
 def concat_rows(first: DataFrame, *others: DataFrame) -> DataFrame:
     """Union all of tables with equal column names and types; other schemas are an error."""
     shape = {f.name: f.dataType for f in first.schema.fields}

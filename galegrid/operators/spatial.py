@@ -2,7 +2,8 @@
 
 Areas are cut into the grid cells their bounding box meets. A cell that no edge touches is
 wholly inside or outside, so only border cells carry edges and need the exact test. Areas of
-very different size use coarser grid levels, so no area has more than about SPAN**2 cells.
+very different size use coarser or finer grid levels: no area has more than about SPAN**2
+cells, and the cells of a small one are not much larger than itself.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from .skew import BROADCAST_BYTES, fits, salted_join
 
 CELLS_PER_AREA = 8
 SPAN = 32
+# Levels are multiples of this, so that areas of similar size share one.
+LEVEL_STEP = 3
 SLOTS = 8
 # Columns of an edge slot and where they come from; NaN marks an empty slot.
 _SLOT = {
@@ -58,8 +61,9 @@ def _base_exponent(size: float) -> int:
 
 
 def _level(box: Column, size: float) -> Column:
-    """Doublings of the cell size until the box spans about SPAN cells."""
-    return F.greatest(F.coalesce(_exponent(box) - _base_exponent(size), F.lit(0)), F.lit(0))
+    """Doublings (or halvings) of the cell size until the box spans about SPAN cells or fewer."""
+    steps = F.ceil((_exponent(box) - _base_exponent(size)) / F.lit(LEVEL_STEP))
+    return F.coalesce(steps * LEVEL_STEP, F.lit(0)).cast("int")
 
 
 def framed_areas(areas: DataFrame, keys: Sequence[str], edges: str = "edges") -> DataFrame:
@@ -94,7 +98,8 @@ def measure_grid(framed: DataFrame, cell_size: float | None = None) -> Grid:
     size = cell_size or (row["typical"] / CELLS_PER_AREA if row["typical"] > 0 else 1.0)
     base = _base_exponent(size)
     # Boxes without extent are on level 0.
-    levels = {max(e - base, 0) for e in row["exponents"]} | ({0} if row["flat"] else set())
+    steps = {math.ceil((e - base) / LEVEL_STEP) for e in row["exponents"]}
+    levels = {LEVEL_STEP * s for s in steps} | ({0} if row["flat"] else set())
     return Grid(size, tuple(sorted(levels)), tuple(row[1:5]))
 
 
@@ -217,6 +222,10 @@ def points_in_areas(
     if fits(ready, max_bytes):
         joined = located.join(F.broadcast(ready), CELL_KEYS)
     else:
+        occupied = cells.select(*CELL_KEYS).distinct()
+        if len(grid.levels) > 1 and fits(occupied, max_bytes):
+            # Copies of a point on levels without an area there are not shuffled.
+            located = located.join(F.broadcast(occupied), CELL_KEYS, "left_semi")
         joined = salted_join(located, ready, CELL_KEYS, spread=points.columns)
     px, py = (f"CAST(`{c.replace('`', '``')}` AS DOUBLE)" for c in (x, y))
     return joined.where(_inside_cell(px, py)).select(*[quoted(c) for c in [*keys, *points.columns]])

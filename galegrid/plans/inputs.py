@@ -158,6 +158,22 @@ AREAS_SQL = (
     "(n_nationkey % 5) * 10 AS x0, (n_nationkey // 5) * 2 AS y0 FROM nation"
 )
 
+
+
+def small_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tiny square around a lattice point for each supplier."""
+    x, y = F.col("s_suppkey") * 7 % 50, F.col("s_suppkey") * 3 % 11
+    west, east = (x - 0.0078125), (x + 0.0078125)
+    south, north = (y - 0.0078125), (y + 0.0078125)
+    corners = [(west, south), (east, south), (east, north), (west, north), (west, south)]
+    ring = F.concat_ws(", ", *[F.format_string("%.7f %.7f", a, b) for a, b in corners])
+    shape = F.concat(F.lit("POLYGON (("), ring, F.lit("))"))
+    squares = table(spark, sf_dir, "supplier").select(
+        (F.col("s_suppkey") + 1000).cast("bigint").alias("code"), shape.alias("geometry")
+    )
+    return with_edges(squares).select("code", "edges")
+
+
 # Where a point p lies in the rectangle of an area a, border included.
 IN_AREA_SQL = "p.x BETWEEN a.x0 AND a.x0 + 10 AND p.y BETWEEN a.y0 AND a.y0 + 2"
 

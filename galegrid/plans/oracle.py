@@ -182,6 +182,12 @@ def oracle_sql() -> dict[str, str]:
         "AND NOT (l.x = r.x AND l.y = r.y) "
         "AND (l.x - r.x) * (l.x - r.x) + (l.y - r.y) * (l.y - r.y) = d2"
     )
+    training_rows = (
+        f"WITH {W}, {I}, {WI}, {LABELS}, {A}, {T}, {_profile('name')}, {CONDITIONS}, {GRID}, "
+        f"{LABELLED}, copies AS (SELECT *, unnest(generate_series(1, greatest(Total_Incidents, 1))) AS k "
+        "FROM labelled WHERE Total_Incidents IS NOT NULL) "
+        f"SELECT name, DD, FH, FF, FX, {_WIDE}, Damage_Type FROM copies"
+    )
     _saturated = (
         f"WITH {I}, n AS (SELECT Incident_Date, IncStrt_Hour, Service_Area AS area, "
         "count(Incident_ID) AS Incident_Count FROM i GROUP BY 1, 2, 3), "
@@ -298,6 +304,13 @@ def oracle_sql() -> dict[str, str]:
             "round(l_discount * 100) AS y FROM lineitem) "
             f"SELECT code, name, l_orderkey, l_linenumber, x, y FROM a JOIN p ON {IN_AREA_SQL}"
         ),
+        "spatial_mixed_sizes": (
+            f"WITH {A}, p AS (SELECT l_quantity AS x, round(l_discount * 100) AS y, l_linenumber FROM lineitem), "
+            f"b AS (SELECT code, l_linenumber FROM a JOIN p ON {IN_AREA_SQL} UNION ALL "
+            "SELECT s_suppkey + 1000, l_linenumber FROM supplier JOIN p ON p.x = s_suppkey * 7 % 50 AND p.y = s_suppkey * 3 % 11) "
+            "SELECT CAST(code AS BIGINT) AS code, count(*) AS n_points, CAST(sum(l_linenumber) AS BIGINT) AS sum_line "
+            "FROM b GROUP BY 1"
+        ),
         "spatial_polygons": _POLYGONS,
         "spatial_polygons_shuffled": _POLYGONS,
         "nearest_incident": nearest,
@@ -344,12 +357,8 @@ def oracle_sql() -> dict[str, str]:
             f"WITH {W}, {I}, {WI}, {LABELS}, {A}, {T}, {_profile('name')}, {CONDITIONS}, {GRID}, "
             f"{LABELLED} SELECT * FROM labelled"
         ),
-        "training_rows": (
-            f"WITH {W}, {I}, {WI}, {LABELS}, {A}, {T}, {_profile('name')}, {CONDITIONS}, {GRID}, "
-            f"{LABELLED}, copies AS (SELECT *, unnest(generate_series(1, greatest(Total_Incidents, 1))) AS k "
-            "FROM labelled WHERE Total_Incidents IS NOT NULL) "
-            f"SELECT name, DD, FH, FF, FX, {_WIDE}, Damage_Type FROM copies"
-        ),
+        "training_rows": training_rows,
+        "training_rows_labelled": training_rows,
         "training_parts": (
             f"WITH {W}, {I}, {WI}, {LABELS}, "
             "copies AS (SELECT *, unnest(generate_series(1, greatest(Total_Incidents, 1))) AS k FROM labels) "

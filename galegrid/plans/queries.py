@@ -262,6 +262,19 @@ def spatial_polygons_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def spatial_mixed_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items per area where the nations lie among squares a hundredth of their size."""
+    squares = inputs.small_squares(spark, sf)
+    areas = inputs.areas(spark, sf).select("code", "edges").unionByName(squares)
+    points = table(spark, sf, "lineitem").select(
+        F.col("l_quantity").alias("x"), F.round(F.col("l_discount") * 100).alias("y"), "l_linenumber"
+    )
+    joined = spatial.points_in_areas(areas, points, ["code"])
+    return joined.groupBy("code").agg(
+        F.count(F.lit(1)).alias("n_points"), F.sum("l_linenumber").cast("bigint").alias("sum_line")
+    )
+
+
 def nearest_incident(spark: SparkSession, sf: str) -> DataFrame:
     """For every other event its nearest error event, with the distance."""
     points = inputs.scattered(spark, sf)
@@ -398,6 +411,19 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 def training_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The labelled grid expanded to one row per incident, plus one per empty condition."""
+    return grid.training_set(
+        inputs.areas(spark, sf),
+        inputs.weather(spark, sf),
+        _profile(spark, sf),
+        label_counts(spark, sf),
+        "code",
+        "name",
+        drop=["code"],
+    )
+
+
+def training_rows_labelled(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows out of the labelled grid."""
     return grid.training_rows(_labelled(spark, sf), drop=["code"])
 
 

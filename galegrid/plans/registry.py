@@ -33,6 +33,7 @@ QUERIES: dict[str, q.Query] = {
         q.one_hot,
         q.drop_null_rows,
         q.spatial_join,
+        q.spatial_mixed_sizes,
         q.spatial_polygons,
         q.spatial_polygons_shuffled,
         q.nearest_incident,
@@ -48,6 +49,7 @@ QUERIES: dict[str, q.Query] = {
         q.label_grid,
         q.located_label_grid,
         q.training_rows,
+        q.training_rows_labelled,
         q.training_parts,
         q.table_profile,
         q.date_coverage,

@@ -192,3 +192,25 @@ def test_nearest_empty_and_null_sides(spark):
 def test_nearest_renames_clashing_columns(spark):
     a = spark.createDataFrame([(1, 0.0, 0.0)], "id int, x double, y double")
     assert nearest.nearest_join(a, a).columns == ["id_left", "x", "y", "id_right", "Distance"]
+
+
+def test_small_areas_get_small_cells(spark):
+    """Points meet few cells however much the sizes of the areas differ."""
+    def square(code, x, y, side):
+        corners = [(x, y), (x + side, y), (x + side, y + side), (x, y + side), (x, y)]
+        return code, "POLYGON ((" + ", ".join(f"{a!r} {b!r}" for a, b in corners) + "))"
+
+    big = [square(i, (i % 32) * 32.0, (i // 32) * 32.0, 32.0) for i in range(1001)]
+    tiny = [square(5000 + i, (i % 40) * 0.75 + 0.0625, (i // 40) * 0.75 + 0.0625, 0.25) for i in range(1000)]
+    areas = geo.with_edges(spark.createDataFrame(big + tiny, "code long, geometry string"))
+    points = spark.range(20_000).select(
+        ((F.col("id") % 160) * 0.1875).alias("x"), (F.floor(F.col("id") / 160) * 0.1875).alias("y"), "id"
+    )
+    framed = spatial.framed_areas(areas, ["code"])
+    grid = spatial.measure_grid(framed)
+    assert min(grid.levels) < 0
+    cells = spatial.area_cells(framed, ["code"], grid)
+    candidates = spatial.point_cells(points, grid).join(cells, spatial.CELL_KEYS).count()
+    hits = spatial.points_in_areas(areas, points, ["code"])
+    shuffled = spatial.points_in_areas(areas, points, ["code"], max_bytes=0)
+    assert hits.count() == shuffled.count() >= 20_000 and candidates <= 3 * hits.count()

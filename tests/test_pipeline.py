@@ -156,3 +156,13 @@ def test_a_cluster_needs_the_folder(spark, monkeypatch):
     monkeypatch.setattr(spark.sparkContext, "master", "spark://somewhere:7077", raising=False)
     with pytest.raises(RuntimeError):
         session.shared_dir(spark)
+
+
+def test_training_rows_shuffle_narrow_rows(spark, sf_dir):
+    """No exchange carries the profile, which is broadcast."""
+    from galegrid.plans.registry import QUERIES
+
+    text = QUERIES["training_rows"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    shown = QUERIES["training_rows"](spark, sf_dir)
+    shuffled = [n for n in text.split("\n") if "Exchange hashpartitioning" in n]
+    assert shuffled and not any("Trees_" in n for n in shuffled) and "Trees_Totaal" in shown.columns
