@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import numeric_columns, quoted
 
 BINS = 4096
+# Value brackets that one pass counts, at most: BINS rows of each come to the driver.
+BRACKETS = 32
 DESCRIBE_METRICS = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
 
 
@@ -68,7 +70,8 @@ def exact_quantiles(
     The wanted order statistics are bracketed by value. Every pass counts the rows of each
     bracket in BINS bins and narrows the bracket to the true minimum and maximum of the bin
     that holds the rank; it ends when that bin holds one value. A pass is one aggregate with
-    at most BINS groups per bracket, so it combines before the shuffle at any table size.
+    at most BINS groups per bracket, so it combines before the shuffle at any table size. A
+    pass takes BRACKETS brackets; those of further columns wait for the next one.
     """
     narrow = df.select(*[quoted(c).cast("double").alias(c) for c in columns])
 
@@ -99,7 +102,7 @@ def exact_quantiles(
             if low == high:
                 ranks[key] = low
                 del open_ranks[key]
-        brackets = sorted({(c, low, high) for (c, _), (low, high, _) in open_ranks.items()})
+        brackets = sorted({(c, low, high) for (c, _), (low, high, _) in open_ranks.items()})[:BRACKETS]
         if not brackets:
             break
         hits = []
@@ -122,6 +125,8 @@ def exact_quantiles(
             bins.setdefault(row["i"], []).append(row)
         index = {bracket: i for i, bracket in enumerate(brackets)}
         for key, (low, high, rank) in list(open_ranks.items()):
+            if (key[0], low, high) not in index:
+                continue
             for row in bins[index[(key[0], low, high)]]:
                 if rank < row["n"]:
                     open_ranks[key] = (row["low"], row["high"], rank)
@@ -139,12 +144,10 @@ def exact_quantiles(
     return result
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
-    """(column, metric, value) of the numeric columns: count, mean, std, min, quartiles, max.
-
-    `exact=False` takes approximate quartiles from the same single pass.
-    """
-    columns = list(columns or numeric_columns(df))
+def _description(
+    df: DataFrame, columns: Sequence[str], exact: bool
+) -> tuple[list[Column], list[tuple[str, str, str]]]:
+    """The aggregates of `describe` and where each of its values comes from."""
     quartiles = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
     found = exact_quantiles(df, columns, list(quartiles.values())) if exact else {}
     aggregates, cells = [], []
@@ -167,17 +170,29 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool =
         for metric in DESCRIBE_METRICS:
             aggregates.append(plans[metric].alias(f"{c}|{metric}"))
             cells.append((c, metric, f"{c}|{metric}"))
+    return aggregates, cells
+
+
+def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
+    """(column, metric, value) of the numeric columns: count, mean, std, min, quartiles, max.
+
+    `exact=False` takes approximate quartiles from the same single pass.
+    """
+    aggregates, cells = _description(df, list(columns or numeric_columns(df)), exact)
     return _tidy(df.agg(*aggregates), cells)
 
 
 def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
-    """Shape, null counts and describe of a table as one tidy (column, metric, value) table."""
-    shaped = shape(df)
-    whole = _tidy(shaped, [("*", "n_rows", "n_rows"), ("*", "n_columns", "n_columns")])
-    nulls = null_counts(df).select(
-        "column", F.lit("nulls").alias("metric"), F.col("nulls").cast("double").alias("value")
-    )
-    return whole.unionByName(nulls).unionByName(describe(df, columns, exact))
+    """Shape, null counts and describe of a table as one tidy (column, metric, value) table.
+
+    One aggregate over the table, beside the passes for exact quartiles.
+    """
+    aggregates, cells = _description(df, list(columns or numeric_columns(df)), exact)
+    nulls = [F.count_if(quoted(c).isNull()).alias(f"{c}|nulls") for c in df.columns]
+    row = df.agg(F.count(F.lit(1)).alias("|rows"), *nulls, *aggregates)
+    row = row.withColumn("|columns", F.lit(len(df.columns)))
+    whole = [("*", "n_rows", "|rows"), ("*", "n_columns", "|columns")]
+    return _tidy(row, [*whole, *[(c, "nulls", f"{c}|nulls") for c in df.columns], *cells])
 
 
 def preview(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:

@@ -125,3 +125,18 @@ def test_registered_models_report(spark, sf_dir):
         report = entry.queries()[name](spark, sf_dir)
         kinds = [r["kind"] for r in report.collect()]
         assert kinds.count("metric") == 3 and 0 < kinds.count("importance") <= 20
+
+
+def test_profile_scans_once(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_quantity", "l_returnflag")
+    text = quality.profile(lines)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") <= 1
+
+
+def test_quantiles_of_many_columns(spark, monkeypatch):
+    """More brackets than a pass takes."""
+    monkeypatch.setattr(quality, "BRACKETS", 3)
+    monkeypatch.setattr(quality, "BINS", 8)
+    df = spark.range(101).select(*[(F.col("id") * (k + 1)).alias(f"c{k}") for k in range(12)])
+    found = quality.exact_quantiles(df, df.columns, [0.25, 0.5])
+    assert found == {(f"c{k}", p): 100 * p * (k + 1) for k in range(12) for p in (0.25, 0.5)}
