@@ -7,13 +7,14 @@ where a segment counts double. Signatures are therefore the subset of a segment,
 segments that count double also the subsets without one of their tokens (the one-deletion
 neighbourhood). `allocate` picks for a band how many segments are of either kind, by a cost
 model; segments with hardly any token, which unrelated sets share, are left out for as many
-spare segments. What shares a signature is verified exactly.
+spare segments. What shares a signature and is not ruled out by its size or
+by a parity sketch, which bounds how many tokens differ, is verified exactly.
 
 Bands grow by the threshold, so that a set meets sets of its own and the next band only: each
 set has signatures under the scheme of its band and of the one below.
 
-Equal sets are joined as one. Within the sets that share a signature the first one is the
-pivot: the others are verified against it. Sets that these links leave in different components
+Equal sets are joined as one. Within the sets that share a signature the one that shares most
+with others is the pivot: the rest is verified against it, unless other links have joined them by then. Sets that these links leave in different components
 are then verified against each other, unless their distances to the pivot rule the link out,
 as the Jaccard distance is a metric. So a large group of near copies costs a link for each, and
 no link between different components is lost.
@@ -36,9 +37,11 @@ from ..session import cut_lineage
 from .components import components
 
 #: Sets of a band that the cost model reckons with.
-BAND_SETS = 1_000_000
+BAND_SETS = 100_000
 #: A segment with fewer tokens is left out where spare segments allow it.
 FILLED = 2
+#: Bits of the parity sketch that a set carries.
+SKETCH_BITS = 2048
 _DEALT_ROWS = 500
 _MASK = (1 << 64) - 1
 
@@ -160,6 +163,16 @@ def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
     return np.unique(np.concatenate([_of_scheme(tokens, s, percent) for s in schemes]))
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """For each hash bucket the parity of the tokens in it, as 64-bit words.
+
+    Every token that only one of two sets has turns one bit, so their sketches differ in no more
+    bits than the sets in tokens.
+    """
+    counts = np.bincount((tokens % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.uint64)
+
+
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list]]:
     for batch in batches:
         for start in range(0, batch.num_rows, _DEALT_ROWS):
@@ -179,7 +192,7 @@ def _texts(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
 
 
 def indexed(docs: DataFrame, size: int, percent: int, key: str, text: str) -> DataFrame:
-    """Per document the size of its set, two hashes of the whole set, and its signatures."""
+    """Per document the size of its set, two hashes of the whole set, its sketch and signatures."""
     source, kind = _texts(docs, key, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,11 +203,11 @@ def indexed(docs: DataFrame, size: int, percent: int, key: str, text: str) -> Da
             high = np.array([c >> 64 for c in codes], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [keys, pa.array([len(s) for s in sets], pa.int64()), pa.array(low), pa.array(high),
-                 _lists([signatures(s, percent) for s in sets])],
-                names=["doc", "n", "low", "high", "signatures"],
+                 _lists([sketch(s) for s in sets]), _lists([signatures(s, percent) for s in sets])],
+                names=["doc", "n", "low", "high", "bits", "signatures"],
             )
 
-    return source.mapInArrow(run, f"doc {kind}, n bigint, low bigint, high bigint, signatures array<bigint>")
+    return source.mapInArrow(run, f"doc {kind}, n bigint, low bigint, high bigint, bits array<bigint>, signatures array<bigint>")
 
 
 def token_sets(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
@@ -213,73 +226,145 @@ def token_sets(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
 # -- candidates and links ------------------------------------------------------
 
 
-def _reach(a: str, b: str, percent: int) -> Column:
-    """Whether two sizes allow a link."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _turned(x: str, y: str) -> Column:
+    """Bits in which two sketches differ: a lower bound of the tokens that do."""
+    bits = F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    return F.aggregate(bits, F.lit(0), lambda t, n: t + n)
+
+
+def _may_link(turned: Column, percent: int) -> Column:
+    """Whether sizes and sketches of a pair allow a link; no link is ever ruled out."""
+    small, large = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
+    # common >= percent / (100 + percent) of both sizes, so at most the rest of them differs.
+    return (small * 100 >= large * percent) & (turned * (100 + percent) <= (small + large) * (100 - percent))
 
 
 def shared_signatures(sets: DataFrame) -> DataFrame:
-    """Rows (signature, doc, n, pivot, pivot_n) of signatures that several sets have."""
-    rows = sets.select("doc", "n", F.explode("signatures").alias("signature"))
-    first = (
-        rows.groupBy("signature")
-        .agg(F.min(F.struct("doc", "n")).alias("pivot"), F.max("doc").alias("last"))
-        .where("pivot.doc <> last")
-        .select("signature", F.col("pivot.doc").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
+    """Rows (signature, doc, pivot, rank) of signatures that several sets have.
+
+    The pivot is the set that shares most with others, of equal ones the first; `rank` is how
+    much that is. Among edited copies of a text that is the text itself, or the copy next to it.
+    """
+    rows = sets.select("doc", F.explode("signatures").alias("signature"))
+    counted = rows.groupBy("signature").agg(F.count(F.lit(1)).alias("sets"))
+    # Stored first: what the aggregate shuffled is then done with before the join shuffles.
+    several = cut_lineage(counted.where("sets > 1"))
+    members = cut_lineage(rows.join(several, "signature"))
+    ranks = members.groupBy("doc").agg(F.sum("sets").alias("rank"))
+    ranked = members.select("signature", "doc").join(ranks, "doc")
+    best = ranked.groupBy("signature").agg(F.max("rank").alias("rank"))
+    leaders = ranked.join(best, ["signature", "rank"]).groupBy("signature", "rank").agg(F.min("doc").alias("pivot"))
+    return members.select("signature", "doc").join(leaders, "signature")
+
+
+def _sized(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) with their sizes, the bits in which they differ, and `may` link."""
+    both = pairs.distinct()
+    for side in ("a", "b"):
+        named = [F.col("doc").alias(side), F.col("n").alias(f"{side}_n"), F.col("bits").alias(f"{side}_bits")]
+        both = both.join(sketches.select(*named), side)
+    told = both.withColumn("turned", _turned("a_bits", "b_bits"))
+    return cut_lineage(
+        told.select("a", "a_n", "b", "b_n", "turned", _may_link(F.col("turned"), percent).alias("may")).distinct()
     )
-    return rows.join(first, "signature")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
-    """`pairs` (a, a_n, b, b_n) with `common`, the tokens that both sets have.
+    """`pairs` with `common`, the tokens that both sets have, null for pairs that cannot link.
 
     The token sets are made anew, only for the documents in question.
     """
-    wanted = cut_lineage(pairs.select(F.col("a").alias(key)).union(pairs.select("b")).distinct())
-    chosen = checked_join(docs.select(key, text), wanted, [key], [key], "left_semi")
-    sets = cut_lineage(token_sets(chosen, size, key, text).dropDuplicates(["doc"]))
-    left = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("s"))
-    right = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("t"))
-    common = F.size(F.array_intersect("s", "t")).alias("common")
-    return pairs.join(left, "a").join(right, "b").select("a", "a_n", "b", "b_n", common)
+    none = pairs.where("not may").select("a", "a_n", "b", "b_n", "turned", F.lit(None).cast("int").alias("common"))
+    pairs = pairs.where("may")
+
+    def sets(ids: DataFrame, side: str) -> DataFrame:
+        wanted = cut_lineage(ids.select(F.col(side).alias(key)).distinct())
+        chosen = checked_join(docs.select(key, text), wanted, [key], [key], "left_semi")
+        return token_sets(chosen, size, key, text).select(F.col("doc").alias(side), F.col("tokens").alias(f"{side}_s"))
+
+    both = pairs.join(sets(pairs, "a"), "a").join(sets(pairs, "b"), "b")
+    common = F.size(F.array_intersect("a_s", "b_s")).alias("common")
+    return both.select("a", "a_n", "b", "b_n", "turned", common).distinct().unionByName(none)
 
 
 def _linked(percent: int) -> Column:
     return F.col("common") * 100 >= (F.col("a_n") + F.col("b_n") - F.col("common")) * percent
 
 
-def _second_pairs(shared: DataFrame, checked: DataFrame, label: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a signature, lie in different components and may still link."""
-    far = 1 - F.col("common") / (F.col("a_n") + F.col("b_n") - F.col("common"))
-    distance = checked.select(F.col("a").alias("doc"), F.col("b").alias("pivot"), far.alias("d"))
+def _labels(checked: DataFrame, percent: int) -> DataFrame:
+    """(node, component) by the links among the verified pairs."""
+    links = checked.where(_linked(percent)).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    return cut_lineage(components(links))
+
+
+def _across(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """The pairs whose documents lie in different components."""
+    for side in ("a", "b"):
+        named = label.select(F.col("node").alias(side), F.col("component").alias(f"_{side}"))
+        pairs = pairs.join(named, side, "left").withColumn(f"_{side}", F.coalesce(f"_{side}", side))
+    return pairs.where("_a <> _b").select("a", "b")
+
+
+def _more(checked: DataFrame, pairs: DataFrame, docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
+    """`checked` and the verified `pairs`."""
+    if pairs.isEmpty():
+        return checked
+    return cut_lineage(checked.unionByName(verified(pairs, docs, size, key, text)))
+
+
+def _folded(bits: Column) -> Column:
+    """A sketch of a quarter of the bits; it bounds the differing tokens as well."""
+    quarter = SKETCH_BITS // 64 // 4
+    parts = [F.slice(bits, 1 + k * quarter, quarter) for k in range(4)]
+    for part in parts[1:]:
+        parts[0] = F.zip_with(parts[0], part, lambda a, b: a.bitwiseXOR(b))
+    return parts[0]
+
+
+def _second_pairs(
+    shared: DataFrame, checked: DataFrame, label: DataFrame, sketches: DataFrame, percent: int
+) -> DataFrame:
+    """Pairs that share a signature, lie in different components and may still link.
+
+    Both distances to the pivot must allow it (each known exactly, or from below by the sketch),
+    and so must the sizes and a short sketch of the pair.
+    """
+    union = F.col("a_n") + F.col("b_n") - F.col("common")
+    least = 2 * F.col("turned") / (F.col("a_n") + F.col("b_n") + F.col("turned"))
+    known = checked.select(
+        F.col("a").alias("doc"), F.col("b").alias("pivot"),
+        F.coalesce(1 - F.col("common") / union, least).alias("lo"),
+        F.coalesce(1 - F.col("common") / union, F.lit(1.0)).alias("hi"),
+    )
     placed = (
-        shared.join(label.select(F.col("node").alias("doc"), "component"), "doc", "left")
+        shared.select("signature", "doc", "pivot")
+        .join(label.select(F.col("node").alias("doc"), "component"), "doc", "left")
         .withColumn("component", F.coalesce("component", "doc"))
-        .join(distance, ["doc", "pivot"], "left")
-        .withColumn("d", F.when(F.col("doc") == F.col("pivot"), 0.0).otherwise(F.col("d")))
     )
     mixed = (
         placed.groupBy("signature")
-        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo <> hi")
+        .agg(F.min("component").alias("one"), F.max("component").alias("other"))
+        .where("one <> other")
         .select("signature")
     )
-    rest = cut_lineage(placed.where("doc <> pivot").join(mixed, "signature").select("signature", "doc", "n", "component", "d"))
-    left = rest.select("signature", *[F.col(c).alias(f"a_{c}") for c in ("doc", "n", "component", "d")])
-    right = rest.select("signature", *[F.col(c).alias(f"b_{c}") for c in ("doc", "n", "component", "d")])
-    # Without a distance (the sizes ruled the pivot out) nothing more is known.
-    near = F.coalesce(F.abs(F.col("a_d") - F.col("b_d")) <= (100 - percent) / 100 + 1e-9, F.lit(True))
+    short = sketches.select("doc", "n", _folded(F.col("bits")).alias("w"))
+    others = placed.where("doc <> pivot").join(mixed, "signature").join(known, ["doc", "pivot"], "left")
+    bounds = [F.coalesce("lo", F.lit(0.0)).alias("lo"), F.coalesce("hi", F.lit(1.0)).alias("hi")]
+    rest = cut_lineage(others.join(short, "doc").select("signature", "doc", "component", *bounds, "n", "w"))
+    columns = ("doc", "component", "lo", "hi", "n", "w")
+    left = rest.select("signature", *[F.col(c).alias(f"a_{c}") for c in columns])
+    right = rest.select("signature", *[F.col(c).alias(f"b_{c}") for c in columns])
+    reach = (100 - percent) / 100 + 1e-9
     joined = left.join(
         right,
         (left["signature"] == right["signature"])
         & (F.col("a_doc") < F.col("b_doc"))
         & (F.col("a_component") != F.col("b_component"))
-        & _reach("a_n", "b_n", percent)
-        & near,
+        & (F.col("a_lo") - F.col("b_hi") <= reach)
+        & (F.col("b_lo") - F.col("a_hi") <= reach)
+        & _may_link(_turned("a_w", "b_w"), percent),
     )
-    return joined.select(
-        F.col("a_doc").alias("a"), "a_n", F.col("b_doc").alias("b"), "b_n"
-    ).distinct()
+    return joined.select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"))
 
 
 def ngram_jaccard(
@@ -300,19 +385,23 @@ def ngram_jaccard(
         checked_join(full.select("doc", "n", "low", "high"), repeated, ["n", "low", "high"], ["doc"]).select("doc", "rep")
     )
     others = members.where("doc <> rep").select("doc")
-    firsts = checked_join(full.select("doc", "n", "signatures"), others, ["doc"], ["doc"], "left_anti")
+    firsts = checked_join(full.select("doc", "signatures"), others, ["doc"], ["doc"], "left_anti")
     shared = cut_lineage(shared_signatures(firsts))
-    star = shared.where("doc <> pivot").where(_reach("n", "pivot_n", percent)).select(
-        F.col("doc").alias("a"), F.col("n").alias("a_n"), F.col("pivot").alias("b"), F.col("pivot_n").alias("b_n")
-    )
-    checked = cut_lineage(verified(cut_lineage(star.distinct()), docs, size, key, text))
-    links = checked.where(_linked(percent)).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    label = cut_lineage(components(links))
-    second = cut_lineage(_second_pairs(shared, checked, label, percent))
-    if not second.isEmpty():
-        more = verified(second, docs, size, key, text).where(_linked(percent))
-        links = links.unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        label = cut_lineage(components(links))
+    sketches = full.select("doc", "n", "bits")
+    sketches = full.select("doc", "n", "bits")
+    star = shared.where("doc <> pivot").select(F.col("doc").alias("a"), F.col("pivot").alias("b"), "rank")
+    star = cut_lineage(star.distinct())
+    # First the pivot that shares most, then those pivots that are still in another component.
+    top = star.groupBy("a").agg(F.max("rank").alias("rank"))
+    first = star.join(top, ["a", "rank"]).groupBy("a").agg(F.min("b").alias("b"))
+    checked = cut_lineage(verified(_sized(first, sketches, percent), docs, size, key, text))
+    label = _labels(checked, percent)
+    apart = _across(star.select("a", "b").join(first, ["a", "b"], "left_anti"), label)
+    checked = _more(checked, _sized(apart, sketches, percent), docs, size, key, text)
+    label = _labels(checked, percent)
+    second = _sized(_second_pairs(shared, checked, label, sketches, percent), sketches, percent)
+    if not second.where("may").isEmpty():
+        label = _labels(_more(checked, second.where("may"), docs, size, key, text), percent)
     placed = members.withColumnRenamed("doc", key).distinct()
     out = sets.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"))
     out = checked_join(out, placed, [key], [key], "left").withColumn("rep", F.coalesce("rep", key))

@@ -130,3 +130,13 @@ def test_components(spark):
 def test_null_columns(spark):
     df = spark.createDataFrame([(1, None)], "doc_id bigint, text string").withColumn("component_id", F.lit("x"))
     assert [tuple(r) for r in J.ngram_jaccard(df).collect()] == [(1, 0, 1)]
+
+
+def test_sketches_never_differ_in_more_bits_than_tokens():
+    rng = np.random.default_rng(5)
+    for size in (1, 30, 500, 5000):
+        a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        for gone in (0, 1, size // 10, size // 2):
+            b = np.union1d(a[gone:], rng.integers(0, 1 << 63, gone, dtype=np.uint64))
+            bits = sum(int(x).bit_count() for x in J.sketch(a) ^ J.sketch(b))
+            assert bits <= len(np.setxor1d(a, b))
