@@ -40,8 +40,12 @@ from .components import components
 BAND_SETS = 100_000
 #: A segment with fewer tokens is left out where spare segments allow it.
 FILLED = 2
-#: Bits of the parity sketch that a set carries.
-SKETCH_BITS = 2048
+#: Bits of the parity sketch that a set carries, at least, and for each token.
+SKETCH_BITS, BITS_PER_TOKEN = 2048, 4
+#: 64-bit words of the short sketch that the rows of a signature carry.
+SHORT_WORDS = 8
+#: Rounds that verify the best pair of any two components before all other pairs.
+BEST_FIRST = 2
 _DEALT_ROWS = 500
 _MASK = (1 << 64) - 1
 
@@ -167,9 +171,11 @@ def sketch(tokens: np.ndarray) -> np.ndarray:
     """For each hash bucket the parity of the tokens in it, as 64-bit words.
 
     Every token that only one of two sets has turns one bit, so their sketches differ in no more
-    bits than the sets in tokens.
+    bits than the sets in tokens. The length is a power of two that follows the size; a longer
+    sketch is folded to a shorter one by joining its halves.
     """
-    counts = np.bincount((tokens % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS)
+    bits = max(SKETCH_BITS, 1 << (BITS_PER_TOKEN * len(tokens) - 1).bit_length() if len(tokens) else 0)
+    counts = np.bincount((tokens % np.uint64(bits)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8)).view(np.uint64)
 
 
@@ -226,10 +232,24 @@ def token_sets(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
 # -- candidates and links ------------------------------------------------------
 
 
-def _turned(x: str, y: str) -> Column:
-    """Bits in which two sketches differ: a lower bound of the tokens that do."""
-    bits = F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
-    return F.aggregate(bits, F.lit(0), lambda t, n: t + n)
+def _halved(x: Column) -> Column:
+    """A sketch of half the length."""
+    half = (F.size(x) / 2).cast("int")
+    return F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+
+
+def _turned(first: str, second: str) -> Column:
+    """Bits in which two sketches differ: a lower bound of the tokens that do.
+
+    Sizes that may link differ by less than a factor of two for thresholds from 50 %, and so do
+    the sketches; nothing is told of others.
+    """
+    x, y = F.col(first), F.col(second)
+    shorter = F.when(F.size(x) == F.size(y) * 2, _halved(x)).otherwise(x)
+    other = F.when(F.size(y) == F.size(x) * 2, _halved(y)).otherwise(y)
+    bits = F.zip_with(shorter, other, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    told = F.aggregate(bits, F.lit(0), lambda t, n: t + n)
+    return F.when(F.size(shorter) == F.size(other), told).otherwise(0)
 
 
 def _may_link(turned: Column, percent: int) -> Column:
@@ -270,12 +290,10 @@ def _sized(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
-    """`pairs` with `common`, the tokens that both sets have, null for pairs that cannot link.
+    """`pairs` with `common`, the tokens that both sets have.
 
     The token sets are made anew, only for the documents in question.
     """
-    none = pairs.where("not may").select("a", "a_n", "b", "b_n", "turned", F.lit(None).cast("int").alias("common"))
-    pairs = pairs.where("may")
 
     def sets(ids: DataFrame, side: str) -> DataFrame:
         wanted = cut_lineage(ids.select(F.col(side).alias(key)).distinct())
@@ -284,7 +302,12 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, key: str, text: str)
 
     both = pairs.join(sets(pairs, "a"), "a").join(sets(pairs, "b"), "b")
     common = F.size(F.array_intersect("a_s", "b_s")).alias("common")
-    return both.select("a", "a_n", "b", "b_n", "turned", common).distinct().unionByName(none)
+    return both.select("a", "a_n", "b", "b_n", "turned", common).distinct()
+
+
+def _ruled_out(pairs: DataFrame) -> DataFrame:
+    """The pairs that cannot link, in the form of `verified`, with a null for `common`."""
+    return pairs.where("not may").select("a", "a_n", "b", "b_n", "turned", F.lit(None).cast("int").alias("common"))
 
 
 def _linked(percent: int) -> Column:
@@ -298,27 +321,51 @@ def _labels(checked: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(pairs: DataFrame, label: DataFrame) -> DataFrame:
-    """The pairs whose documents lie in different components."""
+    """The pairs whose documents lie in different components, with these as `_a` and `_b`."""
     for side in ("a", "b"):
         named = label.select(F.col("node").alias(side), F.col("component").alias(f"_{side}"))
-        pairs = pairs.join(named, side, "left").withColumn(f"_{side}", F.coalesce(f"_{side}", side))
-    return pairs.where("_a <> _b").select("a", "b")
+        pairs = checked_join(pairs, named, [side], ["a", "b"], "left").withColumn(f"_{side}", F.coalesce(f"_{side}", side))
+    return pairs.where("_a <> _b")
 
 
-def _more(checked: DataFrame, pairs: DataFrame, docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
-    """`checked` and the verified `pairs`."""
-    if pairs.isEmpty():
-        return checked
-    return cut_lineage(checked.unionByName(verified(pairs, docs, size, key, text)))
+def _joined_up(
+    checked: DataFrame, label: DataFrame, pairs: DataFrame, percent: int, source: tuple
+) -> tuple[DataFrame, DataFrame]:
+    """`checked` and the components, after the pairs between components are verified.
+
+    First the most similar pair, by the sketches, of any two components: most often it joins
+    them, and their other pairs need no verification. What is left after BEST_FIRST such rounds
+    is verified at once.
+    """
+    checked = checked.unionByName(_ruled_out(pairs))
+    rest = pairs.where("may")
+    for turn in range(BEST_FIRST + 1):
+        rest = cut_lineage(_across(rest.select("a", "a_n", "b", "b_n", "turned", "may"), label))
+        if rest.isEmpty():
+            break
+        chosen = rest
+        if turn < BEST_FIRST:
+            best = rest.groupBy(F.least("_a", "_b").alias("_x"), F.greatest("_a", "_b").alias("_y")).agg(
+                F.min(F.struct("turned", "a", "b")).alias("m")
+            )
+            keys = best.select(F.col("m.a").alias("a"), F.col("m.b").alias("b"))
+            chosen = cut_lineage(rest.join(keys, ["a", "b"]))
+            rest = rest.join(keys, ["a", "b"], "left_anti")
+        checked = cut_lineage(checked.unionByName(verified(chosen.drop("_a", "_b"), *source)))
+        label = _labels(checked, percent)
+    return checked, label
 
 
 def _folded(bits: Column) -> Column:
-    """A sketch of a quarter of the bits; it bounds the differing tokens as well."""
-    quarter = SKETCH_BITS // 64 // 4
-    parts = [F.slice(bits, 1 + k * quarter, quarter) for k in range(4)]
-    for part in parts[1:]:
-        parts[0] = F.zip_with(parts[0], part, lambda a, b: a.bitwiseXOR(b))
-    return parts[0]
+    """A sketch of SHORT_WORDS words; it bounds the differing tokens as well."""
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(SHORT_WORDS - 1)),
+        lambda k: F.aggregate(
+            F.filter(bits, lambda _, i: i % SHORT_WORDS == k),
+            F.lit(0).cast("bigint"),
+            lambda a, x: a.bitwiseXOR(x),
+        ),
+    )
 
 
 def _second_pairs(
@@ -394,14 +441,15 @@ def ngram_jaccard(
     # First the pivot that shares most, then those pivots that are still in another component.
     top = star.groupBy("a").agg(F.max("rank").alias("rank"))
     first = star.join(top, ["a", "rank"]).groupBy("a").agg(F.min("b").alias("b"))
-    checked = cut_lineage(verified(_sized(first, sketches, percent), docs, size, key, text))
-    label = _labels(checked, percent)
-    apart = _across(star.select("a", "b").join(first, ["a", "b"], "left_anti"), label)
-    checked = _more(checked, _sized(apart, sketches, percent), docs, size, key, text)
+    sized = _sized(first, sketches, percent)
+    found = verified(sized.where("may"), docs, size, key, text)
+    checked = cut_lineage(found.unionByName(_ruled_out(sized)))
     label = _labels(checked, percent)
+    apart = _across(star.select("a", "b").join(first, ["a", "b"], "left_anti"), label).select("a", "b")
+    source = (docs, size, key, text)
+    checked, label = _joined_up(checked, label, _sized(apart, sketches, percent), percent, source)
     second = _sized(_second_pairs(shared, checked, label, sketches, percent), sketches, percent)
-    if not second.where("may").isEmpty():
-        label = _labels(_more(checked, second.where("may"), docs, size, key, text), percent)
+    _, label = _joined_up(checked, label, second.where("may"), percent, source)
     placed = members.withColumnRenamed("doc", key).distinct()
     out = sets.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"))
     out = checked_join(out, placed, [key], [key], "left").withColumn("rep", F.coalesce("rep", key))
