@@ -1,7 +1,7 @@
 """Deletes passages that repeat earlier text, found by winnowing over line hashes.
 
-A text is folded into short lines: at line breaks and after punctuation followed by white
-space, so that a passage is found inside a paragraph too. Two neighbouring lines make a gram.
+A text is folded into short lines: at line breaks and after `.`, `,`, `!` or `?` and a space, so
+that a passage is found inside a paragraph too. Two neighbouring lines make a gram.
 Winnowing keeps a gram when its hash is the least of a window of two grams; a repeated passage
 that holds three whole lines therefore always shares a kept gram with its first occurrence. A
 long line counts by itself as well, whatever its neighbours are.
@@ -17,7 +17,7 @@ before shuffling, and the rows of a very common gram are joined to one row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.skew import checked_join
@@ -27,15 +27,19 @@ from .common import SPACE, columns_of, words
 MIN_WORDS = 50
 #: Words that the whole lines of a run have at least; the rest may lie in lines cut by its ends.
 WHOLE_WORDS = 16
-#: Characters from which a line is a fingerprint by itself.
-LONG_LINE = 100
-_FOLD = r"(?<=\n)(?=[^\n])|(?<=[.!?,;:][ \t])(?=[^ \t])"
+#: Words from which a line is a fingerprint by itself.
+LONG_LINE = 16
+#: What marks the folds of a text: a code point that no text interchange may hold.
+_MARK = "\ufdd0"
+_FOLD_AFTER = ("\n", ". ", ", ", "! ", "? ")
 _TRIM = " \t\n\r\x0b\x0c"
 
 
 def _lines(text: Column) -> Column:
     """The folded lines with all their characters: joined they give the text again."""
-    return F.split(text, _FOLD)
+    for end in _FOLD_AFTER:
+        text = F.replace(text, F.lit(end), F.lit(end + _MARK))
+    return F.split(text, _MARK)
 
 
 def _trimmed(line: Column) -> Column:
@@ -44,80 +48,74 @@ def _trimmed(line: Column) -> Column:
 
 def _word_count(line: Column) -> Column:
     """Words of a trimmed line, as single spaces part them."""
-    return (F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1).cast("int")
+    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+    return (spaces + 1).cast("int")
 
 
 def fold(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document the hash and the word count of each line; rows without key or text go."""
-    known = docs.where(F.col(f"`{key}`").isNotNull() & (F.length(f"`{text}`") > 0))
-    trimmed = F.transform(_lines(F.col(f"`{text}`")), _trimmed)
-    return known.select(F.col(f"`{key}`").alias("doc"), trimmed.alias("l")).select(
-        "doc",
-        F.transform("l", lambda x: F.xxhash64(x)).alias("h"),
-        F.transform("l", _word_count).alias("n"),
-        F.transform("l", lambda x: F.length(x) >= LONG_LINE).alias("long"),
-    )
+    """Per document a hash of each line with its word count; rows without key or text go."""
+    known = docs.where(F.col(f"`{key}`").isNotNull() & (F.col(f"`{text}`") != ""))
 
+    # The lowest byte of a hash is the number of words, so that one array holds both.
+    def code(line: Column) -> Column:
+        return F.shiftleft(F.xxhash64(line), 8).bitwiseOR(F.least(_word_count(line), F.lit(255)).cast("bigint"))
 
-def fingerprints(folded: DataFrame) -> DataFrame:
-    """The kept grams (doc, g, pos, before); pos counts from 1.
+    codes = F.transform(F.transform(_lines(F.col(f"`{text}`")), _trimmed), code)
+    return cut_lineage(known.select(F.col(f"`{key}`").alias("doc"), codes.alias("h")))
 
-    `before` is the place where the document has the same gram before, null for its first one:
-    a line that a document repeats on and on is matched with its own last occurrence, at one
-    distance, and only its first place with other documents.
-    """
-    size = F.size("h")
-    nothing = F.lit(None).cast("bigint")
-    grams = folded.withColumn(
-        "g",
-        F.when(size == 1, F.transform("h", lambda x: F.xxhash64(x, nothing))).otherwise(
-            F.zip_with(
-                F.slice("h", F.lit(1), size - 1), F.slice("h", F.lit(2), size - 1), lambda a, b: F.xxhash64(a, b)
-            )
-        ),
-    )
-    last = F.size("g") - 1
 
-    def least(g: Column, i: Column) -> Column:
-        behind, ahead = F.get("g", i - 1), F.get("g", i + 1)
-        only = behind.isNull() & ahead.isNull()
-        return only | F.coalesce(g < ahead, F.lit(False)) | F.coalesce((i > 0) & (g <= behind), F.lit(False))
+def _words_of(code: Column) -> Column:
+    return code.bitwiseAND(F.lit(255)).cast("int")
 
-    def entry(g: Column, pos: Column) -> Column:
-        return F.struct(g.alias("g"), (pos + 1).alias("pos"))
 
-    kept = F.transform("g", lambda g, i: F.when((i <= last) & least(g, i), entry(g, i)))
-    lines = F.zip_with(
-        F.transform("h", lambda h, i: entry(F.xxhash64(h, F.lit(1)), i)), "long", lambda e, is_long: F.when(is_long, e)
-    )
-    both = F.sort_array(F.filter(F.concat(kept, lines), lambda e: e.isNotNull()))
-    rows = grams.select("doc", both.alias("e")).select(
-        "doc", F.inline(F.arrays_zip("e", F.concat(F.array(F.lit(None)), F.col("e")).alias("p")))
-    )
-    return rows.where("e is not null").select(
-        "doc", F.col("e.g").alias("g"), F.col("e.pos").alias("pos"),
-        F.when(F.col("p.g") == F.col("e.g"), F.col("p.pos")).alias("before"),
+def fingerprints(folded: DataFrame) -> DataFrame:
+    """The kept grams (doc, pos, g); pos counts from 1."""
+    size = F.size("h")
+    rows = folded.select(
+        "doc",
+        F.inline(
+            F.arrays_zip(
+                F.sequence(F.lit(1), size).alias("pos"),
+                F.concat(F.array(F.lit(None).cast("bigint")), F.slice("h", F.lit(1), size - 1)).alias("before"),
+                F.col("h").alias("own"),
+                F.slice("h", F.lit(2), size).alias("next"),
+                F.slice("h", F.lit(3), size).alias("after"),
+            )
+        ).alias("pos", "before", "own", "next", "after"),
     )
+    g, behind, ahead = F.xxhash64("own", "next"), F.xxhash64("before", "own"), F.xxhash64("next", "after")
+    only = F.col("before").isNull() & F.col("after").isNull()
+    least = (F.col("after").isNotNull() & (g < ahead)) | (F.col("before").isNotNull() & (g <= behind))
+    alone = F.col("before").isNull() & F.col("next").isNull()
+    gram = F.when(alone | F.col("next").isNotNull() & (only | least), g)
+    line = F.when(_words_of(F.col("own")) >= LONG_LINE, F.xxhash64("own", F.lit(1)))
+    found = rows.select("doc", "pos", gram.alias("gram"), line.alias("line")).where("gram is not null or line is not null")
+    both = F.when(F.col("line").isNull(), F.array("gram")).when(F.col("gram").isNull(), F.array("line"))
+    return found.select("doc", "pos", F.explode(both.otherwise(F.array("gram", "line"))).alias("g"))
 
 
 def diagonals(kept: DataFrame) -> DataFrame:
-    """Later occurrences of a gram against an earlier one, an array of places per diagonal."""
-    heads = kept.where("before is null").select("g", "doc", "pos")
-    place = F.struct("doc", "pos")
-    first = (
-        heads.groupBy("g")
-        .agg(F.min(place).alias("first"), F.max("doc").alias("last"))
-        .where("first.doc <> last")
-        .select("g", F.col("first.doc").alias("of"), F.col("first.pos").alias("at"))
-    )
-    across = heads.join(first, "g").where("doc <> of")
-    within = kept.where("before is not null").select(
-        "g", "doc", "pos", F.col("doc").alias("of"), F.col("before").alias("at")
+    """Later occurrences of a gram against an earlier one, an array of places per diagonal.
+
+    Only the first place of a gram in a document is matched with another document; a line that
+    the document repeats on and on is matched with its own last occurrence, at one distance.
+    """
+    counted = kept.groupBy("g").agg(F.min("doc").alias("of"), F.count(F.lit(1)).alias("places"))
+    first = cut_lineage(counted.where("places > 1").select("g", "of"))
+    # Dealt anew by gram and document, so that the join of a very common gram can be split.
+    hits = cut_lineage(kept.join(first.hint("shuffle_hash"), "g").repartition("g", "doc"))
+    at = hits.where("doc = of").groupBy("g").agg(F.min("pos").alias("at"))
+    inside = Window.partitionBy("g", "doc").orderBy("pos")
+    placed = hits.withColumn("before", F.lag("pos").over(inside))
+    # Rows with one key are one document: the same place again is no repeat.
+    again = placed.where("before < pos").select(
+        "doc", F.col("doc").alias("of"), (F.col("pos") - F.col("before")).alias("shift"), "pos"
     )
-    hits = across.unionByName(within)
-    return hits.groupBy("doc", "of", (F.col("pos") - F.col("at")).alias("shift")).agg(
-        F.collect_set("pos").alias("places")
+    across = placed.where("before is null and doc <> of").join(at, "g").select(
+        "doc", "of", (F.col("pos") - F.col("at")).alias("shift"), "pos"
     )
+    matched = again.unionByName(across)
+    return matched.groupBy("doc", "of", "shift").agg(F.collect_set("pos").alias("places"))
 
 
 def _runs_of_equal(h: Column, other: Column, shift: Column, places: Column) -> Column:
@@ -143,23 +141,26 @@ def _runs_of_equal(h: Column, other: Column, shift: Column, places: Column) -> C
     )
 
 
+def _only(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of `df` whose `doc` is in `docs`."""
+    return checked_join(df, cut_lineage(docs.distinct()), ["doc"], ["doc"], "left_semi")
+
+
 def runs(folded: DataFrame, pairs: DataFrame) -> DataFrame:
     """Runs of equal whole lines: doc, of, shift, start, end and the words they have."""
-    arrays = folded.select("doc", "h", "n")
-    other = folded.select(F.col("doc").alias("of"), F.col("h").alias("h2"))
+    arrays = _only(folded, pairs.select("doc"))
+    others = _only(folded, pairs.select(F.col("of").alias("doc")))
+    other = others.select(F.col("doc").alias("of"), F.col("h").alias("h2"))
     joined = pairs.join(arrays, "doc").join(other, "of")
-    found = joined.select(
-        "doc", "of", "shift", "n",
-        F.explode(_runs_of_equal(F.col("h"), F.col("h2"), F.col("shift"), F.col("places"))).alias("r"),
-    )
-    counted = F.aggregate(
-        F.slice("n", F.col("r.start"), F.col("r.end") - F.col("r.start") + 1), F.lit(0), lambda a, x: a + x
-    )
-    # A run that lies on itself (a line repeated on and on) keeps its first period.
-    return found.select(
-        "doc", "of", "shift", F.col("r.start").alias("start"), F.col("r.end").alias("end"),
-        counted.alias("whole"),
-    ).where(F.col("whole") >= WHOLE_WORDS)
+
+    def counted(run: Column) -> Column:
+        lines = F.slice("h", run["start"], run["end"] - run["start"] + 1)
+        words = F.aggregate(lines, F.lit(0), lambda a, x: a + _words_of(x))
+        return F.struct(run["start"].alias("start"), run["end"].alias("end"), words.alias("whole"))
+
+    # Words are counted before the runs become rows, which then need not carry the lines.
+    found = F.transform(_runs_of_equal(F.col("h"), F.col("h2"), F.col("shift"), F.col("places")), counted)
+    return joined.select("doc", "of", "shift", F.inline(F.filter(found, lambda r: r["whole"] >= WHOLE_WORDS)))
 
 
 def _common_start(a: Column, b: Column) -> Column:
@@ -170,24 +171,35 @@ def _common_start(a: Column, b: Column) -> Column:
     return F.when(size <= 0, 0).when(first == 0, size).otherwise(first - 1).cast("int")
 
 
-def _line(lines: str, place: Column) -> Column:
-    """The words of a line, none where there is no such line."""
-    return words(F.when(place >= 1, F.get(lines, place.cast("int") - 1)))
+def _lines_at(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc, place, w): the words of the wanted lines; each text is folded once."""
+    places = cut_lineage(wanted.distinct().groupBy("doc").agg(F.collect_list("place").alias("places")))
+    texts = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("t"))
+    chosen = checked_join(texts, places, ["doc"], ["doc"])
+    numbered = F.transform(_lines(F.col("t")), lambda l, i: F.struct((i + 1).alias("place"), l.alias("line")))
+    rows = chosen.select("doc", F.inline(F.filter(numbered, lambda x: F.array_contains("places", x["place"]))))
+    return rows.select("doc", "place", words(F.col("line")).alias("w"))
 
 
 def repeats(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Runs of MIN_WORDS and more: doc, start, end, and the words cut off the lines around."""
-    lines = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("t"))
-    start2, end2 = F.col("start") - F.col("shift"), F.col("end") - F.col("shift")
-
-    def edges(rows: DataFrame, by: str, start: Column, end: Column, names: tuple[str, str]) -> DataFrame:
-        texts = lines.select(F.col("doc").alias(by), "t")
-        near = rows.join(texts, by).withColumn("l", _lines(F.col("t"))).drop("t")
-        return near.withColumns({names[0]: _line("l", start - 1), names[1]: _line("l", end + 1)}).drop("l")
-
-    own = edges(found, "doc", F.col("start"), F.col("end"), ("left", "right"))
-    both = edges(own, "of", start2, end2, ("left2", "right2"))
-    cut = both.withColumns(
+    sides = {
+        "left": ("doc", F.col("start") - 1),
+        "right": ("doc", F.col("end") + 1),
+        "left2": ("of", F.col("start") - F.col("shift") - 1),
+        "right2": ("of", F.col("end") - F.col("shift") + 1),
+    }
+    wanted = None
+    for by, place in sides.values():
+        rows = found.select(F.col(by).alias("doc"), place.alias("place"))
+        wanted = rows if wanted is None else wanted.unionByName(rows)
+    lines = cut_lineage(_lines_at(docs, wanted, key, text).distinct())
+    cut = found
+    for name, (by, place) in sides.items():
+        side = lines.select(F.col("doc").alias(by), F.col("place").alias("_place"), F.col("w").alias(name))
+        cut = cut.withColumn("_place", place).join(side, [by, "_place"], "left").drop("_place")
+        cut = cut.withColumn(name, F.coalesce(name, F.array().cast("array<string>")))
+    cut = cut.withColumns(
         {
             "before": _common_start(F.reverse("left"), F.reverse("left2")),
             "behind": _common_start(F.col("right"), F.col("right2")),
@@ -197,6 +209,25 @@ def repeats(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str =
     return long.select("doc", "start", "end", "before", "behind")
 
 
+def cuts_by_doc(runs: DataFrame, key: str) -> DataFrame:
+    """Per document its runs in order, those that touch or overlap as one.
+
+    `before` and `behind` are the words that the lines beside a run lose.
+    """
+    ordered = Window.partitionBy("doc").orderBy("start", "end")
+    earlier = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(earlier.isNull() | (F.col("start") > earlier + 1), 1).otherwise(0)
+    marked = runs.distinct().withColumn("_opens", opens).withColumn("_run", F.sum("_opens").over(ordered))
+    one = marked.groupBy("doc", "_run").agg(
+        F.min("start").alias("start"),
+        F.max("end").alias("end"),
+        F.max(F.struct(-F.col("start"), F.col("before"))).alias("b"),
+        F.max(F.struct("end", "behind")).alias("e"),
+    )
+    entry = F.struct("start", "end", F.col("b.before").alias("before"), F.col("e.behind").alias("behind"))
+    return one.groupBy(F.col("doc").alias(key)).agg(F.sort_array(F.collect_list(entry)).alias("_cuts"))
+
+
 def _without(line: Column, first: Column, last: Column) -> Column:
     """The line without some words at its start and end; its closing white space stays."""
     parts = words(line)
@@ -205,22 +236,27 @@ def _without(line: Column, first: Column, last: Column) -> Column:
     return F.concat(F.array_join(left, " "), F.when(last > 0, F.lit(" ")).otherwise(space))
 
 
-def _cleaned(text: Column, cuts: Column) -> Column:
-    """The text without the runs in `cuts`; lines beside a run lose the words they share."""
-
-    def keep(line: Column, i: Column) -> Column:
-        place = i + 1
-        last = F.aggregate(
-            F.filter(cuts, lambda c: c["start"] - 1 == place), F.lit(0), lambda a, c: F.greatest(a, c["before"])
-        )
-        first = F.aggregate(
-            F.filter(cuts, lambda c: c["end"] + 1 == place), F.lit(0), lambda a, c: F.greatest(a, c["behind"])
+def _cleaned(lines: Column, cuts: Column) -> Column:
+    """The lines between the runs; those beside a run lose the words they share with it."""
+    nothing = F.lit(0).cast("int")
+    starts = F.concat(F.array(F.lit(1).cast("int")), F.transform(cuts, lambda c: (c["end"] + 1).cast("int")))
+    stops = F.concat(F.transform(cuts, lambda c: (c["start"] - 1).cast("int")), F.array(F.size(lines)))
+    first = F.concat(F.array(nothing), F.transform(cuts, lambda c: c["behind"].cast("int")))
+    last = F.concat(F.transform(cuts, lambda c: c["before"].cast("int")), F.array(nothing))
+
+    def kept(gap: Column) -> Column:
+        start, stop, head, tail = gap["start"], gap["stop"], gap["head"], gap["tail"]
+        opening, closing = F.get(lines, start - 1), F.get(lines, stop - 1)
+        one = F.when(head + tail > 0, _without(opening, head, tail)).otherwise(opening)
+        parts = F.concat(
+            F.when(head > 0, _without(opening, head, nothing)).otherwise(opening),
+            F.array_join(F.slice(lines, start + 1, F.greatest(stop - start - 1, nothing)), ""),
+            F.when(tail > 0, _without(closing, nothing, tail)).otherwise(closing),
         )
-        gone = F.exists(cuts, lambda c: (c["start"] <= place) & (c["end"] >= place))
-        rest = F.when(first + last > 0, _without(line, first, last)).otherwise(line)
-        return F.when(gone, F.lit("")).otherwise(rest)
+        return F.when(stop < start, "").when(stop == start, one).otherwise(parts)
 
-    return F.array_join(F.transform(_lines(text), keep), "")
+    gaps = F.arrays_zip(starts.alias("start"), stops.alias("stop"), first.alias("head"), last.alias("tail"))
+    return F.array_join(F.transform(gaps, kept), "")
 
 
 def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -231,17 +267,14 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     count as one document. A document of nothing but repeats keeps its row with an empty text.
     A column `n_runs` of `docs` is replaced.
     """
-    folded = cut_lineage(fold(docs, key, text))
-    found = cut_lineage(runs(folded, diagonals(fingerprints(folded))))
-    cuts = (
-        repeats(docs, found, key, text)
-        .groupBy(F.col("doc").alias(key))
-        .agg(F.collect_set(F.struct("start", "end", "before", "behind")).alias("_cuts"))
-    )
-    marked = checked_join(docs, cut_lineage(cuts), [key], [key], "left")
-    cleaned = F.when(F.col("_cuts").isNull(), F.col(f"`{text}`")).otherwise(
-        _cleaned(F.col(f"`{text}`"), F.col("_cuts"))
-    )
+    folded = fold(docs, key, text)
+    found = cut_lineage(runs(folded, cut_lineage(diagonals(fingerprints(folded)))))
+    cuts = cut_lineage(cuts_by_doc(repeats(docs, found, key, text), key))
+    marked = checked_join(docs, cuts, [key], [key], "left")
+    # A column of its own, as it is used many times.
+    folded_text = F.when(F.col("_cuts").isNotNull(), _lines(F.col(f"`{text}`"))).alias("_l")
+    near = marked.select("*", folded_text)
+    cleaned = F.when(F.col("_cuts").isNull(), F.col(f"`{text}`")).otherwise(_cleaned(F.col("_l"), F.col("_cuts")))
     count = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size("_cuts")).cast("int")
-    out = marked.withColumns({text: cleaned, "n_runs": count}).drop("_cuts")
+    out = near.withColumns({text: cleaned, "n_runs": count})
     return columns_of(out, docs if "n_runs" in docs.columns else docs.withColumn("n_runs", F.lit(0)))
