@@ -398,9 +398,16 @@ def _second_pairs(
     others = placed.where("doc <> pivot").join(mixed, "signature").join(known, ["doc", "pivot"], "left")
     bounds = [F.coalesce("lo", F.lit(0.0)).alias("lo"), F.coalesce("hi", F.lit(1.0)).alias("hi")]
     rest = cut_lineage(others.join(short, "doc").select("signature", "doc", "component", *bounds, "n", "w"))
-    columns = ("doc", "component", "lo", "hi", "n", "w")
-    left = rest.select("signature", *[F.col(c).alias(f"a_{c}") for c in columns])
-    right = rest.select("signature", *[F.col(c).alias(f"b_{c}") for c in columns])
+
+    def side(name: str) -> DataFrame:
+        # The short sketch in columns of its own, which Spark compiles.
+        columns = [F.col(c).alias(f"{name}_{c}") for c in ("doc", "component", "lo", "hi", "n")]
+        return rest.select("signature", *columns, *[F.col("w")[k].alias(f"{name}_w{k}") for k in range(SHORT_WORDS)])
+
+    left, right = side("a"), side("b")
+    turned = F.lit(0)
+    for k in range(SHORT_WORDS):
+        turned = turned + F.bit_count(F.col(f"a_w{k}").bitwiseXOR(F.col(f"b_w{k}")))
     reach = (100 - percent) / 100 + 1e-9
     joined = left.join(
         right,
@@ -409,7 +416,7 @@ def _second_pairs(
         & (F.col("a_component") != F.col("b_component"))
         & (F.col("a_lo") - F.col("b_hi") <= reach)
         & (F.col("b_lo") - F.col("a_hi") <= reach)
-        & _may_link(_turned("a_w", "b_w"), percent),
+        & _may_link(turned, percent),
     )
     return joined.select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"))
 
