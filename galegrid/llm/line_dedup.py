@@ -1,18 +1,19 @@
 """Deletes passages that repeat earlier text, found by winnowing over line hashes.
 
-A text is folded into short lines: at line breaks and after `.`, `,`, `!` or `?` and a space, so
-that a passage is found inside a paragraph too. Two neighbouring lines make a gram.
-Winnowing keeps a gram when its hash is the least of a window of two grams; a repeated passage
-that holds three whole lines therefore always shares a kept gram with its first occurrence. A
-long line counts by itself as well, whatever its neighbours are.
-
-Each kept gram is joined to its first occurrence in the corpus, in the order of key and place.
-Along such a diagonal the equal lines are extended both ways, at the ends word by word into the
-lines that differ. A run of at least MIN_WORDS words is a repeat and is deleted; the first
-occurrence stays. Only Spark functions are used.
-
-Nothing is gathered for a gram: first occurrences come from an aggregate that Spark combines
-before shuffling, and the rows of a very common gram are joined to one row.
+A text is folded into lines by what it says alone, not by its punctuation: of every 25 neighbouring
+words the one with the least hash (the last such) opens a line, which has 26 words and may overlap
+with the next one. Every 50 words thus hold a whole line, and the same 50 words hold the same one
+wherever they stand, so that a repeated passage always shares a line with each of its occurrences.
+
+What is deleted is exact: all words of later occurrences of any MIN_WORDS words in a row; the
+first occurrence, in the order of key and place, stays. Lines that come once rule out most of the
+text. For the others, the words around a line are first matched as one, with up to 24 words on
+the left and on the right of the line: where these came before, so did all passages through the line.
+Only where they did not are the passages of MIN_WORDS words through the line matched one by one,
+each with its own first occurrence. Only Spark functions are used.
+
+Nothing is gathered for a line or a passage: first occurrences come from an aggregate that Spark
+combines before shuffling, and the rows of a very common one are joined to one row.
 """
 
 from __future__ import annotations
@@ -22,259 +23,147 @@ from pyspark.sql import functions as F
 
 from ..operators.skew import checked_join
 from ..session import cut_lineage
-from .common import SPACE, columns_of, words
+from .common import SPACE, columns_of
 
 MIN_WORDS = 50
-#: Words that the whole lines of a run have at least; the rest may lie in lines cut by its ends.
-WHOLE_WORDS = 16
-#: Words from which a line is a fingerprint by itself.
-LONG_LINE = 16
-#: What marks the folds of a text: a code point that no text interchange may hold.
-_MARK = "\ufdd0"
-_FOLD_AFTER = ("\n", ". ", ", ", "! ", "? ")
+#: Words of which one opens a line, and words of a line; together one more than MIN_WORDS.
+WINDOW = 25
+LINE_WORDS = MIN_WORDS + 1 - WINDOW
 _TRIM = " \t\n\r\x0b\x0c"
+#: Bits of a code that hold the place of a word.
+_PLACE_BITS = 28
+_PLACE = (1 << _PLACE_BITS) - 1
 
 
 def _lines(text: Column) -> Column:
-    """The folded lines with all their characters: joined they give the text again."""
-    for end in _FOLD_AFTER:
-        text = F.replace(text, F.lit(end), F.lit(end + _MARK))
-    return F.split(text, _MARK)
+    """The words with the white space behind them, and that before the first: joined they give the text."""
+    return F.split(text, f"(?<=[{SPACE}])(?=[^{SPACE}])")
 
 
-def _trimmed(line: Column) -> Column:
-    return F.btrim(line, F.lit(_TRIM))
-
-
-def _word_count(line: Column) -> Column:
-    """Words of a trimmed line, as single spaces part them."""
-    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
-    return (spaces + 1).cast("int")
+def _trimmed(text: Column) -> Column:
+    return F.btrim(text, F.lit(_TRIM))
 
 
 def fold(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document a hash of each line with its word count; rows without key or text go."""
-    known = docs.where(F.col(f"`{key}`").isNotNull() & (F.col(f"`{text}`") != ""))
+    """Per document (`doc`) the hashes `h` of its words; some with fewer than MIN_WORDS words go."""
+    known = docs.where(F.col(f"`{key}`").isNotNull() & (F.octet_length(f"`{text}`") >= 2 * MIN_WORDS - 1))
+    parts = F.split(_trimmed(F.col(f"`{text}`")), f"[{SPACE}]+")
+    return known.select(F.col(f"`{key}`").alias("doc"), F.transform(parts, lambda w: F.xxhash64(w)).alias("h"))
 
-    # The lowest byte of a hash is the number of words, so that one array holds both.
-    def code(line: Column) -> Column:
-        return F.shiftleft(F.xxhash64(line), 8).bitwiseOR(F.least(_word_count(line), F.lit(255)).cast("bigint"))
 
-    codes = F.transform(F.transform(_lines(F.col(f"`{text}`")), _trimmed), code)
-    return cut_lineage(known.select(F.col(f"`{key}`").alias("doc"), codes.alias("h")))
+def fingerprints(folded: DataFrame) -> DataFrame:
+    """The lines of each document: doc, place `at`, hash `g`, and the words around.
 
+    These stand from `start` to `end`, with the hash `c`.
+    """
+    size = F.size("h")
+    # Low codes win, so that of equal hashes the last does.
+    codes = F.transform("h", lambda h, i: F.shiftleft(h, _PLACE_BITS).bitwiseOR(F.lit(_PLACE).cast("bigint") - i))
+    coded = folded.select("doc", "h", codes.alias("code"))
+    # `code` is named twice, as what is named once is put in its place and so computed anew for each word.
+    windows = F.sequence(F.lit(1), F.size("code") - F.lit(MIN_WORDS - 1))
+    least = F.transform(windows, lambda p: F.array_min(F.slice("code", p, F.lit(WINDOW))))
+    opened = coded.select("doc", "h", F.when(size >= MIN_WORDS, F.array_distinct(least)).alias("least"))
+
+    def line(code: Column) -> Column:
+        at = F.lit(_PLACE + 1) - code.bitwiseAND(F.lit(_PLACE).cast("bigint")).cast("int")
+        start = F.greatest(at - F.lit(WINDOW - 1), F.lit(1))
+        end = F.least(at + F.lit(MIN_WORDS - 1), size)
+        return F.struct(
+            at.alias("at"),
+            start.alias("start"),
+            end.alias("end"),
+            F.xxhash64(F.slice("h", at, F.lit(LINE_WORDS))).alias("g"),
+            F.xxhash64(F.slice("h", start, end - start + 1)).alias("c"),
+        )
 
-def _words_of(code: Column) -> Column:
-    return code.bitwiseAND(F.lit(255)).cast("int")
+    return opened.select("doc", F.inline(F.transform("least", line)))
 
 
-def fingerprints(folded: DataFrame) -> DataFrame:
-    """The kept grams (doc, pos, g); pos counts from 1."""
-    size = F.size("h")
-    rows = folded.select(
-        "doc",
-        F.inline(
-            F.arrays_zip(
-                F.sequence(F.lit(1), size).alias("pos"),
-                F.concat(F.array(F.lit(None).cast("bigint")), F.slice("h", F.lit(1), size - 1)).alias("before"),
-                F.col("h").alias("own"),
-                F.slice("h", F.lit(2), size).alias("next"),
-                F.slice("h", F.lit(3), size).alias("after"),
-            )
-        ).alias("pos", "before", "own", "next", "after"),
-    )
-    g, behind, ahead = F.xxhash64("own", "next"), F.xxhash64("before", "own"), F.xxhash64("next", "after")
-    only = F.col("before").isNull() & F.col("after").isNull()
-    least = (F.col("after").isNotNull() & (g < ahead)) | (F.col("before").isNotNull() & (g <= behind))
-    alone = F.col("before").isNull() & F.col("next").isNull()
-    gram = F.when(alone | F.col("next").isNotNull() & (only | least), g)
-    line = F.when(_words_of(F.col("own")) >= LONG_LINE, F.xxhash64("own", F.lit(1)))
-    found = rows.select("doc", "pos", gram.alias("gram"), line.alias("line")).where("gram is not null or line is not null")
-    both = F.when(F.col("line").isNull(), F.array("gram")).when(F.col("gram").isNull(), F.array("line"))
-    return found.select("doc", "pos", F.explode(both.otherwise(F.array("gram", "line"))).alias("g"))
-
-
-def diagonals(kept: DataFrame) -> DataFrame:
-    """Later occurrences of a gram against an earlier one, an array of places per diagonal.
-
-    Only the first place of a gram in a document is matched with another document; a line that
-    the document repeats on and on is matched with its own last occurrence, at one distance.
-    """
-    counted = kept.groupBy("g").agg(F.min("doc").alias("of"), F.count(F.lit(1)).alias("places"))
-    first = cut_lineage(counted.where("places > 1").select("g", "of"))
-    # Dealt anew by gram and document, so that the join of a very common gram can be split.
-    hits = cut_lineage(kept.join(first.hint("shuffle_hash"), "g").repartition("g", "doc"))
-    at = hits.where("doc = of").groupBy("g").agg(F.min("pos").alias("at"))
-    inside = Window.partitionBy("g", "doc").orderBy("pos")
-    placed = hits.withColumn("before", F.lag("pos").over(inside))
-    # Rows with one key are one document: the same place again is no repeat.
-    again = placed.where("before < pos").select(
-        "doc", F.col("doc").alias("of"), (F.col("pos") - F.col("before")).alias("shift"), "pos"
-    )
-    across = placed.where("before is null and doc <> of").join(at, "g").select(
-        "doc", "of", (F.col("pos") - F.col("at")).alias("shift"), "pos"
-    )
-    matched = again.unionByName(across)
-    return matched.groupBy("doc", "of", "shift").agg(F.collect_set("pos").alias("places"))
+def _with_first(rows: DataFrame, by: str, place: str) -> DataFrame:
+    """Those of `rows` whose `by` comes at several places, with its first place (doc, place) as `first`.
 
+    They come dealt by `by` and document, so that the join of a very common one can be split.
+    """
+    where = F.struct("doc", F.col(place).alias("place"))
+    ends = rows.groupBy(by).agg(F.min(where).alias("first"), F.max(where).alias("last"))
+    first = cut_lineage(ends.where("first <> last").drop("last"))
+    return rows.join(first.hint("shuffle_hash"), by).repartition(by, "doc")
 
-def _runs_of_equal(h: Column, other: Column, shift: Column, places: Column) -> Column:
-    """Runs (start, end) of lines that equal the other document's along the diagonal.
 
-    A run is bounded by places where the lines differ or a document ends, and holds at least one
-    of `places`.
-    """
-    low = F.greatest(F.lit(1), F.lit(1) + shift)
-    high = F.least(F.size(h), F.size(other) + shift)
-    own = F.slice(h, low, F.greatest(high - low + 1, F.lit(0)))
-    their = F.slice(other, low - shift, F.greatest(high - low + 1, F.lit(0)))
-    where = F.transform(own, lambda _, i: i + low)
-    equal = F.zip_with(own, their, lambda a, b: a == b)
-    stops = F.filter(F.zip_with(where, equal, lambda i, e: F.when(~e, i)), lambda i: i.isNotNull())
-    starts = F.concat(F.array(low - 1), stops)
-    ends = F.concat(stops, F.array(high + 1))
-    spans = F.zip_with(starts, ends, lambda a, b: F.struct((a + 1).alias("start"), (b - 1).alias("end")))
-    return F.filter(
-        spans,
-        lambda r: (r["end"] >= r["start"])
-        & F.exists(places, lambda p: (p >= r["start"]) & (p <= r["end"])),
-    )
+def _later(place: str) -> Column:
+    return F.col("first") != F.struct("doc", F.col(place).alias("place"))
 
 
-def _only(df: DataFrame, docs: DataFrame) -> DataFrame:
-    """The rows of `df` whose `doc` is in `docs`."""
-    return checked_join(df, cut_lineage(docs.distinct()), ["doc"], ["doc"], "left_semi")
-
-
-def runs(folded: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Runs of equal whole lines: doc, of, shift, start, end and the words they have."""
-    arrays = _only(folded, pairs.select("doc"))
-    others = _only(folded, pairs.select(F.col("of").alias("doc")))
-    other = others.select(F.col("doc").alias("of"), F.col("h").alias("h2"))
-    joined = pairs.join(arrays, "doc").join(other, "of")
-
-    def counted(run: Column) -> Column:
-        lines = F.slice("h", run["start"], run["end"] - run["start"] + 1)
-        words = F.aggregate(lines, F.lit(0), lambda a, x: a + _words_of(x))
-        return F.struct(run["start"].alias("start"), run["end"].alias("end"), words.alias("whole"))
-
-    # Words are counted before the runs become rows, which then need not carry the lines.
-    found = F.transform(_runs_of_equal(F.col("h"), F.col("h2"), F.col("shift"), F.col("places")), counted)
-    return joined.select("doc", "of", "shift", F.inline(F.filter(found, lambda r: r["whole"] >= WHOLE_WORDS)))
-
-
-def _common_start(a: Column, b: Column) -> Column:
-    """How many words two arrays have in common from the start."""
-    size = F.least(F.size(a), F.size(b))
-    equal = F.zip_with(F.slice(a, F.lit(1), size), F.slice(b, F.lit(1), size), lambda x, y: x == y)
-    first = F.array_position(equal, F.lit(False))
-    return F.when(size <= 0, 0).when(first == 0, size).otherwise(first - 1).cast("int")
-
-
-def _lines_at(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc, place, w): the words of the wanted lines; each text is folded once."""
-    places = cut_lineage(wanted.distinct().groupBy("doc").agg(F.collect_list("place").alias("places")))
-    texts = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("t"))
-    chosen = checked_join(texts, places, ["doc"], ["doc"])
-    numbered = F.transform(_lines(F.col("t")), lambda l, i: F.struct((i + 1).alias("place"), l.alias("line")))
-    rows = chosen.select("doc", F.inline(F.filter(numbered, lambda x: F.array_contains("places", x["place"]))))
-    return rows.select("doc", "place", words(F.col("line")).alias("w"))
-
-
-def repeats(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Runs of MIN_WORDS and more: doc, start, end, and the words cut off the lines around."""
-    sides = {
-        "left": ("doc", F.col("start") - 1),
-        "right": ("doc", F.col("end") + 1),
-        "left2": ("of", F.col("start") - F.col("shift") - 1),
-        "right2": ("of", F.col("end") - F.col("shift") + 1),
-    }
-    wanted = None
-    for by, place in sides.values():
-        rows = found.select(F.col(by).alias("doc"), place.alias("place"))
-        wanted = rows if wanted is None else wanted.unionByName(rows)
-    lines = cut_lineage(_lines_at(docs, wanted, key, text).distinct())
-    cut = found
-    for name, (by, place) in sides.items():
-        side = lines.select(F.col("doc").alias(by), F.col("place").alias("_place"), F.col("w").alias(name))
-        cut = cut.withColumn("_place", place).join(side, [by, "_place"], "left").drop("_place")
-        cut = cut.withColumn(name, F.coalesce(name, F.array().cast("array<string>")))
-    cut = cut.withColumns(
-        {
-            "before": _common_start(F.reverse("left"), F.reverse("left2")),
-            "behind": _common_start(F.col("right"), F.col("right2")),
-        }
+def _passages(docs: DataFrame, open_: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc, start, g): the passages of MIN_WORDS words through the lines of `open_`."""
+    places = cut_lineage(open_.groupBy("doc").agg(F.collect_set("at").alias("places")))
+    texts = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("text"))
+    folded = fold(checked_join(texts, places, ["doc"], ["doc"], "left_semi"), "doc", "text")
+    starts = F.flatten(
+        F.transform("places", lambda at: F.sequence(F.greatest(at - F.lit(WINDOW - 1), F.lit(1)), at))
+    )
+    chosen = folded.join(places.select("doc", F.array_distinct(starts).alias("starts")), "doc")
+    inside = F.filter("starts", lambda p: p <= F.size("h") - F.lit(MIN_WORDS - 1))
+    made = F.transform(
+        inside, lambda p: F.struct(p.alias("start"), F.xxhash64(F.slice("h", p, F.lit(MIN_WORDS))).alias("g"))
+    )
+    return chosen.select("doc", F.inline(made))
+
+
+def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Later occurrences of passages of MIN_WORDS words and more: doc, start, end; they may overlap."""
+    lines = cut_lineage(fingerprints(fold(docs, key, text)))
+    common = cut_lineage(_with_first(lines, "g", "at").select("doc", "at", "start", "end", "c"))
+    around = cut_lineage(_with_first(common, "c", "start").where(_later("start")).select("doc", "at", "start", "end"))
+    open_ = checked_join(common.select("doc", "at"), around.select("doc", "at"), ["doc", "at"], ["doc", "at"], "left_anti")
+    single = cut_lineage(_passages(docs, open_, key, text))
+    later = _with_first(single, "g", "start").where(_later("start"))
+    return around.select("doc", "start", "end").unionByName(
+        later.select("doc", "start", (F.col("start") + F.lit(MIN_WORDS - 1)).alias("end"))
     )
-    long = cut.where(F.col("whole") + F.col("before") + F.col("behind") >= MIN_WORDS)
-    return long.select("doc", "start", "end", "before", "behind")
-
 
-def cuts_by_doc(runs: DataFrame, key: str) -> DataFrame:
-    """Per document its runs in order, those that touch or overlap as one.
 
-    `before` and `behind` are the words that the lines beside a run lose.
-    """
+def cuts_by_doc(found: DataFrame, key: str) -> DataFrame:
+    """Per document its runs in order, those that touch or overlap as one."""
     ordered = Window.partitionBy("doc").orderBy("start", "end")
     earlier = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.when(earlier.isNull() | (F.col("start") > earlier + 1), 1).otherwise(0)
-    marked = runs.distinct().withColumn("_opens", opens).withColumn("_run", F.sum("_opens").over(ordered))
-    one = marked.groupBy("doc", "_run").agg(
-        F.min("start").alias("start"),
-        F.max("end").alias("end"),
-        F.max(F.struct(-F.col("start"), F.col("before"))).alias("b"),
-        F.max(F.struct("end", "behind")).alias("e"),
-    )
-    entry = F.struct("start", "end", F.col("b.before").alias("before"), F.col("e.behind").alias("behind"))
-    return one.groupBy(F.col("doc").alias(key)).agg(F.sort_array(F.collect_list(entry)).alias("_cuts"))
-
+    marked = found.distinct().withColumn("_opens", opens).withColumn("_run", F.sum("_opens").over(ordered))
+    one = marked.groupBy("doc", "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return one.groupBy(F.col("doc").alias(key)).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
 
-def _without(line: Column, first: Column, last: Column) -> Column:
-    """The line without some words at its start and end; its closing white space stays."""
-    parts = words(line)
-    left = F.slice(parts, first + 1, F.greatest(F.size(parts) - first - last, F.lit(0)))
-    space = F.substring(line, F.length(F.rtrim(line, F.lit(_TRIM))) + 1, F.length(line))
-    return F.concat(F.array_join(left, " "), F.when(last > 0, F.lit(" ")).otherwise(space))
 
-
-def _cleaned(lines: Column, cuts: Column) -> Column:
-    """The lines between the runs; those beside a run lose the words they share with it."""
-    nothing = F.lit(0).cast("int")
-    starts = F.concat(F.array(F.lit(1).cast("int")), F.transform(cuts, lambda c: (c["end"] + 1).cast("int")))
-    stops = F.concat(F.transform(cuts, lambda c: (c["start"] - 1).cast("int")), F.array(F.size(lines)))
-    first = F.concat(F.array(nothing), F.transform(cuts, lambda c: c["behind"].cast("int")))
-    last = F.concat(F.transform(cuts, lambda c: c["before"].cast("int")), F.array(nothing))
+def _cleaned(text: Column, lines: Column, cuts: Column) -> Column:
+    """What stands between the runs, with its white space."""
+    # White space before the first word is a piece without a word.
+    lead = F.when(F.length(F.ltrim(text, F.lit(_TRIM))) < F.length(text), 1).otherwise(0)
+    starts = F.concat(F.array(F.lit(1)), F.transform(cuts, lambda c: c["end"] + lead + 1))
+    stops = F.concat(F.transform(cuts, lambda c: c["start"] + lead - 1), F.array(F.size(lines)))
+    gaps = F.arrays_zip(starts.alias("start"), stops.alias("stop"))
 
     def kept(gap: Column) -> Column:
-        start, stop, head, tail = gap["start"], gap["stop"], gap["head"], gap["tail"]
-        opening, closing = F.get(lines, start - 1), F.get(lines, stop - 1)
-        one = F.when(head + tail > 0, _without(opening, head, tail)).otherwise(opening)
-        parts = F.concat(
-            F.when(head > 0, _without(opening, head, nothing)).otherwise(opening),
-            F.array_join(F.slice(lines, start + 1, F.greatest(stop - start - 1, nothing)), ""),
-            F.when(tail > 0, _without(closing, nothing, tail)).otherwise(closing),
-        )
-        return F.when(stop < start, "").when(stop == start, one).otherwise(parts)
+        return F.array_join(F.slice(lines, gap["start"], F.greatest(gap["stop"] - gap["start"] + 1, F.lit(0))), "")
 
-    gaps = F.arrays_zip(starts.alias("start"), stops.alias("stop"), first.alias("head"), last.alias("tail"))
-    return F.array_join(F.transform(gaps, kept), "")
+    left = F.array_join(F.transform(gaps, kept), "")
+    return F.when(_trimmed(left) == "", "").otherwise(left)
 
 
 def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` with repeated passages deleted from `text`, and `n_runs`, the runs deleted.
 
-    The first occurrence in the order of key and place stays whole, whatever else the document
-    repeats. Rows with a null key or a null or empty text stay as they are. Rows with one key
+    The first occurrence in the order of key and place stays, but for what an earlier text holds.
+    Rows with a null key or a null or empty text stay as they are. Rows with one key
     count as one document. A document of nothing but repeats keeps its row with an empty text.
     A column `n_runs` of `docs` is replaced.
     """
-    folded = fold(docs, key, text)
-    found = cut_lineage(runs(folded, cut_lineage(diagonals(fingerprints(folded)))))
-    cuts = cut_lineage(cuts_by_doc(repeats(docs, found, key, text), key))
+    cuts = cut_lineage(cuts_by_doc(repeats(docs, key, text), key))
     marked = checked_join(docs, cuts, [key], [key], "left")
     # A column of its own, as it is used many times.
     folded_text = F.when(F.col("_cuts").isNotNull(), _lines(F.col(f"`{text}`"))).alias("_l")
     near = marked.select("*", folded_text)
-    cleaned = F.when(F.col("_cuts").isNull(), F.col(f"`{text}`")).otherwise(_cleaned(F.col("_l"), F.col("_cuts")))
+    whole = F.col(f"`{text}`")
+    cleaned = F.when(F.col("_cuts").isNull(), whole).otherwise(_cleaned(whole, F.col("_l"), F.col("_cuts")))
     count = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size("_cuts")).cast("int")
     out = near.withColumns({text: cleaned, "n_runs": count})
     return columns_of(out, docs if "n_runs" in docs.columns else docs.withColumn("n_runs", F.lit(0)))

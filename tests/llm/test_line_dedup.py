@@ -100,3 +100,17 @@ def test_lines_give_the_text_back(spark):
     texts = ["a. b, c\n\nd;  e! f? g: h", " lead. ", "\n", "no end", "x.y z. "]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.array_join(L._lines(F.col("t")), "").alias("u"))
     assert all(r.t == r.u for r in df.collect())
+
+
+def names(rng, n):
+    return [f"{rng.choice('abcdefgh')}{rng.randrange(10**6)}" for _ in range(n)]
+
+
+def test_short_whole_lines_between_long_cut_ones(spark):
+    rng = random.Random(11)
+    w = names(rng, 52)
+    for k in (19, 20, 23, 31):  # whole lines of 1, 3 and 8 words, the rest in lines cut at both ends
+        w[k] += ","
+    texts = [" ".join([*names(rng, 9), *w, *names(rng, 9)]) for _ in range(2)]
+    found = cleaned(spark, texts)
+    assert found[0] == texts[0] and found[1].split() == [x for x in texts[1].split() if x not in w]
