@@ -114,3 +114,15 @@ def test_short_whole_lines_between_long_cut_ones(spark):
     texts = [" ".join([*names(rng, 9), *w, *names(rng, 9)]) for _ in range(2)]
     found = cleaned(spark, texts)
     assert found[0] == texts[0] and found[1].split() == [x for x in texts[1].split() if x not in w]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_passage_whose_parts_came_before_in_excerpts(spark, seed):
+    rng = random.Random(seed)
+    passage = [" ".join(names(rng, 8)) + "." for _ in range(8)]
+    texts = [" ".join([*sentences(rng, 3), *passage[k : k + 3], *sentences(rng, 3)]) for k in range(6)]
+    texts += [" ".join([*sentences(rng, 3), *passage, *sentences(rng, 3)]) for _ in range(2)]
+    found = cleaned(spark, texts)
+    assert [found[k] for k in range(7)] == texts[:7]
+    gone = set(" ".join(passage).split())
+    assert found[7].split() == [x for x in texts[7].split() if x not in gone]
