@@ -126,3 +126,15 @@ def test_passage_whose_parts_came_before_in_excerpts(spark, seed):
     assert [found[k] for k in range(7)] == texts[:7]
     gone = set(" ".join(passage).split())
     assert found[7].split() == [x for x in texts[7].split() if x not in gone]
+
+
+@pytest.mark.parametrize("size", [50, 70])
+def test_passages_in_text_without_full_stops(spark, size):
+    rng = random.Random(size)
+    for end in ("", ";", "\uff0c", ".###")[:: 1 if size == 50 else 3]:
+        w = [x + (end if k % 7 == 6 else "") for k, x in enumerate(names(rng, size))]
+        texts = [" ".join([*names(rng, 40), *w, *names(rng, 40)]) for _ in range(2)]
+        texts.append(texts[0].replace(" ", "\t\t"))  # words stand between white space of any kind
+        found = cleaned(spark, texts)
+        assert found[0] == texts[0] and found[2] == ""
+        assert found[1].split() == [x for x in texts[1].split() if x not in w]
