@@ -264,13 +264,11 @@ def _boilerplate(n: Node, inside_article: bool) -> bool:
     return bool(marks) and name not in ("html", "body") and bool(_MARKS.search(marks))
 
 
-def main_slots(root: Node) -> list[int]:
-    """Indexes, in the order of `flat`, of the nodes whose text is part of the article.
+def _alternatives(root: Node) -> tuple[list[list[Node]], set[int], dict[int, int]]:
+    """What may be the article, best first; the nodes outside of boilerplate; and their unlinked text.
 
     The article is what stands in `article` elements, else in `main`, else in an element whose
-    class or id says so, else where most text without links is. Menus, notices and the like, told
-    by element and class, are no part of it, nor are texts outside paragraphs and headings that
-    are the same on many pages while the article is not.
+    class or id says so, else where most text without links is.
     """
     clean: list[Node] = []
     todo = [(root, False)]
@@ -289,36 +287,69 @@ def main_slots(root: Node) -> list[int]:
     def named(test) -> list[Node]:
         return [n for n in clean if weight[id(n)] and test(*n.sym.partition(" ")[::2])]
 
-    tops = (
-        named(lambda name, marks: name == "article")
-        or named(lambda name, marks: name == "main" or marks.startswith("main"))
-        or named(lambda name, marks: name in ("div", "section", "td") and bool(_CONTENT.search(marks)))
-    )
-    if not tops:
-        top = root
-        while True:
-            heavy = [c for c in top.children if id(c) in kept and weight[id(c)] >= 0.8 * weight[id(top)] > 0]
-            if not heavy or heavy[0].sym.partition(" ")[0] in ("p", "li", "pre"):
-                break
-            top = heavy[0]
-        tops = [top]
-    slots = [n for t in tops for n in _nodes(t) if id(n) in kept]
-    # Elements nested in a dropped one are dropped with it, as they are not in `clean`.
-    changing = any(not n.same for n in slots)
+    found = [
+        named(lambda name, marks: name == "article"),
+        named(lambda name, marks: name == "main" or marks.startswith("main")),
+        named(lambda name, marks: name in ("div", "section", "td") and bool(_CONTENT.search(marks))),
+        [_heaviest(root, weight)],
+    ]
+    return found, kept, weight
+
+
+def _heaviest(root: Node, weight: dict[int, int]) -> Node:
+    """The innermost element that holds most of the unlinked text."""
+    top = root
+    while True:
+        heavy = [c for c in top.children if weight.get(id(c), 0) >= 0.8 * weight.get(id(top), 0) > 0]
+        if not heavy or heavy[0].sym.partition(" ")[0] in ("p", "li", "pre"):
+            return top
+        top = heavy[0]
+
+
+def main_slots(root: Node) -> list[list[int]]:
+    """Per alternative the indexes, in the order of `flat`, of the nodes whose text is part of it.
+
+    The alternatives are those of `_alternatives`, and last all that is no boilerplate; a page is
+    read by the first in which it has text. Menus, notices and the like, told by element and
+    class, are no part of any, nor are texts outside paragraphs and headings that
+    are the same on many pages while the article is not.
+    """
+    found, kept, _ = _alternatives(root)
     out = []
-    for n in slots:
-        name = n.sym.partition(" ")[0]
-        reading = name in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "pre", "blockquote", "article", "main", "body", "")
-        if not reading and changing and n.same and n.pages >= TEMPLATE_PAGES and n.chars:
-            continue
-        out.append(n.index)
-    return sorted(set(out))
+    for tops in [*found, [root]]:
+        # Elements nested in a dropped one are dropped with it, as they are not in `kept`.
+        slots = {id(n): n for t in tops for n in _nodes(t) if id(n) in kept}.values()
+        changing = any(not n.same for n in slots)
+        out.append(sorted(n.index for n in slots if not (changing and _template(n))))
+    return out
 
 
-def extract(page: str | None, wrapper: Node, slots: frozenset[int]) -> str:
-    """The page's main text: blocks in order, joined by a space, white space as one space."""
+def _template(n: Node) -> bool:
+    name = n.sym.partition(" ")[0]
+    reading = name in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "pre", "blockquote", "article", "main", "body", "")
+    return not reading and n.same and n.pages >= TEMPLATE_PAGES and n.chars > 0
+
+
+def extract(page: str | None, wrapper: Node, slots: tuple[frozenset[int], ...]) -> str:
+    """The page's main text: blocks in order, joined by a space, white space as one space.
+
+    It is read from the first alternative in which this page has text.
+    """
     root, texts = parse(page)
-    keep = {id(p) for w, p in align(wrapper, root, learn=False) if w.index in slots}
+    pairs = align(wrapper, root, learn=False)
+    for chosen in slots:
+        keep = {id(p): p for w, p in pairs if w.index in chosen}
+        if any(p.chars for p in keep.values()):
+            break
+    else:
+        chosen = slots[-1]
+    if chosen is slots[-1]:  # nothing that its host has in common: where most text of the page itself is
+        weight: dict[int, int] = {}
+        for n in reversed(_nodes(root)):
+            own = max(0, n.chars - n.links) if id(n) in keep else 0
+            weight[id(n)] = own + sum(weight[id(c)] for c in n.children)
+        inside = {id(n) for n in _nodes(_heaviest(root, weight))}
+        keep = {k: p for k, p in keep.items() if k in inside}
     parts = [" " if text is None else text for node, text in texts if text is None or id(node) in keep]
     return " ".join(_html.unescape("".join(parts)).split())
 
@@ -374,18 +405,18 @@ def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFram
 
 
 def _roles(made: DataFrame) -> DataFrame:
-    """`made` with `slots`, the main slots of each wrapper."""
+    """`made` with `slots`, the main slots of each wrapper by alternative."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, texts = (c.to_pylist() for c in batch.columns)
             slots = [main_slots(unflat(t)) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(texts, pa.string()), pa.array(slots, pa.list_(pa.int32()))],
+                [pa.array(hosts, pa.string()), pa.array(texts, pa.string()), pa.array(slots, pa.list_(pa.list_(pa.int32())))],
                 names=["host", "wrapper", "slots"],
             )
 
-    return made.mapInArrow(run, "host string, wrapper string, slots array<int>")
+    return made.mapInArrow(run, "host string, wrapper string, slots array<array<int>>")
 
 
 def main_text(
@@ -400,14 +431,14 @@ def main_text(
 
     @F.pandas_udf("string")
     def read(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        ready: dict[str, tuple[Node, frozenset[int]]] = {}
+        ready: dict[str, tuple[Node, tuple[frozenset[int], ...]]] = {}
         for texts, made, slots in batches:
             found = []
             for text, wrapper, s in zip(texts, made, slots):
                 if wrapper not in ready:
                     if len(ready) > HELD:
                         ready.clear()
-                    ready[wrapper] = (unflat(wrapper), frozenset(map(int, s)))
+                    ready[wrapper] = (unflat(wrapper), tuple(frozenset(map(int, x)) for x in s))
                 found.append(extract(text, *ready[wrapper]))
             yield pd.Series(found, dtype="object")
 

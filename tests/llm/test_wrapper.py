@@ -105,3 +105,17 @@ def test_one_wrapper_for_each_host(spark):
     assert set(found) == {f"a{k}.example.com" for k in range(3)}
     assert all("(<p>#</p>)+" in e for e in found.values())
     assert made.where(F.col("host") == "a0.example.com").count() == 1
+
+
+def test_templates_mixed_on_a_host(spark):
+    bodies = [
+        "<article><h1>Head {0}</h1><p>Long article text number {0} that goes on</p></article>",
+        "<main><h1>Head {0}</h1><p>Text of main {0}</p></main>",
+        "<div class='content'><h1>Head {0}</h1><p>Text of content {0}</p></div>",
+        "<div><h1>Head {0}</h1><p>Plain text {0}</p></div>",
+    ]
+    texts = ["Long article text number {0} that goes on", "Text of main {0}", "Text of content {0}", "Plain text {0}"]
+    for url in ("http://m.example/x", None):
+        rows = [(i, url, f"<body><nav>Menu</nav>{bodies[i % 4].format(i)}<footer>Foot</footer></body>", None) for i in range(40)]
+        found = {r.page_id: r.text for r in W.main_text(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+        assert found == {i: f"Head {i} {texts[i % 4].format(i)}" for i in range(40)}
