@@ -36,7 +36,7 @@ HELD = 2000
 PARTS = 32
 #: How far back a repeated group may reach among the children of an element.
 LOOK_BACK = 3
-#: Pages from which a text that never changes counts as part of the template.
+#: Pages of different articles from which a text that never changes counts as part of the template.
 TEMPLATE_PAGES = 8
 _SLICE = 200
 
@@ -81,12 +81,14 @@ _DIGITS = re.compile(r"\d+")
 class Node:
     """An element of a wrapper, with what the text directly in it was like."""
 
-    __slots__ = ("sym", "parent", "children", "optional", "repeated", "pages", "chars", "links", "code", "same", "index")
+    __slots__ = ("sym", "parent", "children", "optional", "repeated", "pages", "chars", "links", "code", "same", "seen", "index")
 
     def __init__(self, sym: str, parent: Node | None):
         self.sym, self.parent, self.children = sym, parent, []
         self.optional = self.repeated = False
         self.pages, self.chars, self.links, self.code, self.same = 1, 0, 0, 0, True
+        #: Hashes of the articles of the pages that have the node, the least TEMPLATE_PAGES; for texts that never change.
+        self.seen: tuple[int, ...] = ()
         self.index = -1
 
 
@@ -176,6 +178,10 @@ def align(wrapper: Node, page: Node, learn: bool) -> list[tuple[Node, Node]]:
             w.chars += p.chars
             w.links += p.links
             w.same = w.same and p.same and w.code == p.code
+            if not w.same:
+                w.seen = ()
+            elif w.seen != p.seen:
+                w.seen = tuple(sorted({*w.seen, *p.seen})[:TEMPLATE_PAGES])
             w.optional = w.optional or p.optional
             w.repeated = w.repeated or p.repeated
         at, children = 0, w.children
@@ -212,17 +218,17 @@ def flat(root: Node) -> str:
     while todo:
         n, parent = todo.pop()
         n.index = len(rows)
-        rows.append([n.sym, parent, int(n.optional), int(n.repeated), n.pages, n.chars, n.links, n.code, int(n.same)])
+        rows.append([n.sym, parent, int(n.optional), int(n.repeated), n.pages, n.chars, n.links, n.code, int(n.same), n.seen])
         todo += [(c, n.index) for c in reversed(n.children)]
     return json.dumps(rows, separators=(",", ":"))
 
 
 def unflat(text: str) -> Node:
     nodes: list[Node] = []
-    for sym, parent, optional, repeated, pages, chars, links, code, same in json.loads(text):
+    for sym, parent, optional, repeated, pages, chars, links, code, same, seen in json.loads(text):
         n = Node(sym, nodes[parent] if parent >= 0 else None)
         n.optional, n.repeated, n.pages, n.chars, n.links = bool(optional), bool(repeated), pages, chars, links
-        n.code, n.same, n.index = code, bool(same), len(nodes)
+        n.code, n.same, n.seen, n.index = code, bool(same), tuple(seen), len(nodes)
         if n.parent is not None:
             n.parent.children.append(n)
         nodes.append(n)
@@ -312,7 +318,7 @@ def main_slots(root: Node) -> list[list[int]]:
     The alternatives are those of `_alternatives`, and last all that is no boilerplate; a page is
     read by the first in which it has text. Menus, notices and the like, told by element and
     class, are no part of any, nor are texts outside paragraphs and headings that
-    are the same on many pages while the article is not.
+    are the same on pages of many different articles.
     """
     found, kept, _ = _alternatives(root)
     out = []
@@ -327,7 +333,23 @@ def main_slots(root: Node) -> list[list[int]]:
 def _template(n: Node) -> bool:
     name = n.sym.partition(" ")[0]
     reading = name in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "pre", "blockquote", "article", "main", "body", "")
-    return not reading and n.same and n.pages >= TEMPLATE_PAGES and n.chars > 0
+    return not reading and n.same and len(n.seen) >= TEMPLATE_PAGES and n.chars > 0
+
+
+def _learned(page: str | None) -> Node:
+    """The page's own wrapper, with a hash of its article at each node that has text.
+
+    Copies of a page have one hash, so that what stands in all of them is not taken for a template.
+    """
+    root = parse(page)[0]
+    found, kept, _ = _alternatives(root)
+    tops = next(t for t in found if t)
+    codes = {id(n): n.code for t in tops for n in _nodes(t) if id(n) in kept}
+    seen = (zlib.crc32(repr(list(codes.values())).encode()),)
+    for n in _nodes(root):
+        if n.chars:
+            n.seen = seen
+    return root
 
 
 def extract(page: str | None, wrapper: Node, slots: tuple[frozenset[int], ...]) -> str:
@@ -383,7 +405,7 @@ def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFram
             for start in range(0, batch.num_rows, _SLICE):
                 hosts, texts = (c.to_pylist() for c in batch.slice(start, _SLICE).columns)
                 for host, text in zip(hosts, texts):
-                    page = parse(text)[0]
+                    page = _learned(text)
                     if host in held:
                         align(held[host], page, learn=True)
                     else:

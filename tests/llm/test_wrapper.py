@@ -119,3 +119,13 @@ def test_templates_mixed_on_a_host(spark):
         rows = [(i, url, f"<body><nav>Menu</nav>{bodies[i % 4].format(i)}<footer>Foot</footer></body>", None) for i in range(40)]
         found = {r.page_id: r.text for r in W.main_text(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
         assert found == {i: f"Head {i} {texts[i % 4].format(i)}" for i in range(40)}
+
+
+@pytest.mark.parametrize("copies", [7, 8, 30])
+def test_copies_of_a_page_keep_what_only_they_have(spark, copies):
+    own = "<dl><dt>Term</dt><dd>Meaning</dd></dl><figure><figcaption>Caption</figcaption></figure><div>Own block</div>"
+    rows = [(i, "http://c.example/x", page(i), None) for i in range(20)]
+    rows += [(100 + k, "http://c.example/y", page(50, extra=own), None) for k in range(copies)]
+    found = {r.page_id: r.text for r in W.main_text(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    assert all(found[i] == expected(i) for i in range(20))
+    assert {found[100 + k] for k in range(copies)} == {f"{expected(50)} Term Meaning Caption Own block"}
