@@ -58,11 +58,15 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 5: the documents with their size, their source's target, copies and words taken.
 
-    A document that the mix leaves out has no copies; its row stays.
+    This is the plan of the mix: a document that the mix leaves out has no copies, one that it
+    takes twice has two; its row stays, once. Rows are told apart by key, text and source, so
+    that those with a null or repeated key have numbers of their own.
     """
-    mixed = mixing.mix(docs)
-    known = mixed.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return checked_join(docs, cut_lineage(known), ["doc_id"], ["doc_id"], "left").select(
+    of = ["doc_id", "text", "source"]
+    rows = docs.withColumn("_row", F.xxhash64(*of, *[F.col(c).isNull() for c in of]))
+    mixed = mixing.mix(rows, key="_row")
+    known = mixed.dropDuplicates(["_row"])  # rows with one `_row` are equal and have equal numbers
+    return checked_join(rows, cut_lineage(known), ["_row"], ["_row"], "left").select(
         *[F.col(c) for c in docs.columns], "size", "source_size", "target", "copies", "taken"
     )
 

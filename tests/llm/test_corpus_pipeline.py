@@ -113,6 +113,16 @@ def test_mix_meets_its_targets(corpus):
         assert abs(sum(r.taken for r in after.values() if r.source == s) - goal) <= max(2, 0.01 * goal)
 
 
+def test_mix_of_null_and_repeated_keys(spark):
+    texts = [" ".join(["w"] * (5 + k)) for k in range(40)]
+    rows = [(None if k % 4 == 0 else k % 7, t, "en", "ab"[k % 2], len(t)) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    out = P.mix_sources(spark, docs, "").collect()
+    assert sorted(r.text for r in out) == sorted(texts)
+    for r in out:
+        assert r.size == len(r.text.split()) and r.taken == r.copies * r.size and r.target is not None
+
+
 def test_columns_and_run(spark, corpus):
     assert corpus["columns"][:5] == ["doc_id", "text", "lang", "source", "n_chars"]
     out = P.run(spark, corpus["folder"])
