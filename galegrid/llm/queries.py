@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staging_path
-from . import chat, decontaminate, dual_tree, line_dedup, mixing, ngram_join, toxicity, url_filter, warc, wrapper
+from . import chat, decontaminate, dual_tree, line_dedup, mixing, ngram_join, tokenization_automaton, toxicity, url_filter, warc, wrapper
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,8 +87,23 @@ def op10_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_digests(warc.read_archives(spark, path))
 
 
+def tokenizer_path() -> str:
+    """Where the public tokenizers lie on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, and what they decode to, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokenizer = tokenization_automaton.load(spark, Path(tokenizer_path()).read_text("utf-8"))
+    return tokenization_automaton.round_trip(docs, tokenizer)
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_main_text, op2_toxicity, op3_decontaminate, op4_exact_top_k, op5_line_dedup, op6_url_filter, op7_mix_sources, op8_chat_format, op9_ngram_jaccard, op10_warc_roundtrip)
+    f.__name__: f for f in (op1_main_text, op2_toxicity, op3_decontaminate, op4_exact_top_k, op5_line_dedup, op6_url_filter, op7_mix_sources, op8_chat_format, op9_ngram_jaccard, op10_warc_roundtrip,
+                            op11_bpe_round_trip)
 }
 
 _WORDS_SQL = (
