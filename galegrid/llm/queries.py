@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staging_path
-from . import chat, decontaminate, dual_tree, line_dedup, mixing, ngram_join, tokenization_automaton, toxicity, url_filter, warc, wrapper
+from . import chat, decontaminate, dual_tree, importance, line_dedup, mixing, ngram_join, prefix_trie, tokenization_automaton, toxicity, url_filter, warc, wrapper
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,9 +101,21 @@ def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenization_automaton.round_trip(docs, tokenizer)
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark texts, its score and its rank if drawn."""
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    drawn = importance.resample(docs.select("doc_id", "text"), target.select("text"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (op1_main_text, op2_toxicity, op3_decontaminate, op4_exact_top_k, op5_line_dedup, op6_url_filter, op7_mix_sources, op8_chat_format, op9_ngram_jaccard, op10_warc_roundtrip,
-                            op11_bpe_round_trip)
+                            op11_bpe_round_trip, op12_importance_resampling, op13_prefix_trie)
 }
 
 _WORDS_SQL = (
@@ -115,6 +127,12 @@ _CONTROL_SQL = "|".join(
     re.escape(c[0]) + r"\\*" + re.escape(c[1:]) for c in chat.CONTROL
 ).replace("\\<", "<").replace("\\>", ">").replace("\\/", "/")
 
+#: The table of CRC-32, and the number that a list of bytes gives.
+_CRC_TABLE_SQL = """t AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i)))"""
+_CRC_SQL = """xor(list_reduce(list_prepend(4294967295, {bytes}),
+    lambda c, x: xor(c >> 8, t.t[(xor(c, x) & 255) + 1])), 4294967295)"""
+
 ORACLE: dict[str, str] = {
     "op4_exact_top_k": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
@@ -189,5 +207,50 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
 JOIN (SELECT a, min(b) AS c FROM reach GROUP BY 1) m ON m.a = d.doc_id
+""",
+    "op12_importance_resampling": f"""
+WITH {_CRC_TABLE_SQL},
+w AS (SELECT 0 AS side, doc_id, row_number() OVER () AS row, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+  UNION ALL SELECT 1, NULL, NULL, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') FROM benchmark),
+f AS (SELECT side, row, array_to_string(w[i:i + n - 1], ' ') AS f, count(*) AS c
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS n)) GROUP BY ALL),
+h AS (SELECT f, list_transform(range(0, strlen(f)), lambda i: ('0x' || substr(hex(f), 2 * i + 1, 2))::BIGINT) AS b
+  FROM (SELECT DISTINCT f FROM f)),
+b AS (SELECT f, {_CRC_SQL.format(bytes="b")} % 10000 AS b FROM h, t),
+n AS (SELECT side, row, b, sum(c)::BIGINT AS c FROM f JOIN b USING (f) GROUP BY ALL),
+g AS (SELECT r.b, floor(1000 * ln((coalesce(q.c, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(c), 0) FROM n WHERE side = 0) + 10000)
+    / ((p.c + 1)::DOUBLE * ((SELECT coalesce(sum(c), 0) FROM n WHERE side = 1) + 10000)))) AS g
+  FROM (SELECT DISTINCT b FROM n WHERE side = 0) r
+  JOIN (SELECT b, sum(c) AS c FROM n WHERE side = 0 GROUP BY 1) p ON p.b = r.b
+  LEFT JOIN (SELECT b, sum(c) AS c FROM n WHERE side = 1 GROUP BY 1) q ON q.b = r.b),
+s AS (SELECT row, sum(c)::BIGINT AS n_features, sum(c * g)::BIGINT AS weight FROM n JOIN g USING (b) WHERE side = 0 GROUP BY 1),
+x AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, len(w) >= 20 AS part, coalesce(weight, 0) + floor(
+    -1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM w LEFT JOIN s USING (row) WHERE side = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY score DESC, doc_id) AS k, count(*) OVER (PARTITION BY part) AS n FROM x)
+SELECT doc_id, n_features, weight, score, CASE WHEN part AND k <= 5 * n // 100 THEN k END AS rank FROM r
+""",
+    "op13_prefix_trie": f"""
+WITH {_CRC_TABLE_SQL},
+o AS (SELECT conv_id AS c, list(x ORDER BY turn NULLS FIRST, x) AS l
+  FROM (SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))
+    || ':' || length(coalesce(text, '')) AS x FROM conversations WHERE conv_id IS NOT NULL) GROUP BY 1),
+h AS (SELECT c, l, {_CRC_SQL.format(bytes="list_transform(range(1, strlen(c::VARCHAR) + 1), lambda i: ascii(substr(c::VARCHAR, i, 1)))")} % 6 AS h FROM o, t),
+r AS (SELECT h.c, list_concat(coalesce(o.l, [])[1:h.h], h.l[h.h + 1:]) AS l FROM h LEFT JOIN o ON o.c = h.c - h.c % 100),
+p AS (SELECT c, l, unnest(range(0, len(l) + 1)) AS d FROM r),
+n AS (SELECT d, array_to_string(l[1:d], ' ') AS k, any_value(l[1:d]) AS l, min(c) AS c, count(*) AS n,
+    sha256(coalesce(string_agg(CASE WHEN d = len(l) THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends
+  FROM p GROUP BY d, array_to_string(l[1:d], ' ')),
+x AS (SELECT *, CASE WHEN d > 0 THEN (n - 1) * split_part(l[d], ':', 2)::BIGINT ELSE 0 END AS saved,
+    CASE WHEN d > 0 THEN array_to_string(l[1:d - 1], ' ') END AS up FROM n),
+y AS (SELECT x.*, u.c AS parent, (SELECT count(*) FROM x b WHERE b.d = x.d + 1 AND b.up = x.k) AS children
+  FROM x LEFT JOIN x u ON u.d = x.d - 1 AND u.k = x.up),
+a AS (SELECT e, array_to_string(l[1:e], ' ') AS k, count(*) FILTER (children = 0) AS leaves, sum(saved)::BIGINT AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM y) GROUP BY 1, 2)
+SELECT y.c AS conv_id, y.d AS depth, y.parent AS parent_conv_id, y.n AS n_convs, y.children AS n_children,
+  a.leaves AS n_leaves, a.saved AS saved_tokens, y.ends AS ends_sha256
+FROM y JOIN a ON a.e = y.d AND a.k = y.k
 """,
 }
