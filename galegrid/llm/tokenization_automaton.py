@@ -64,6 +64,9 @@ NEWER_LOWER = {
     **{c: c + 0x20 for c in range(0x10D50, 0x10D66)}, **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)},
 }
 
+#: A pattern none of whose matches holds white space.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 START = -1
 _FINAL = 256  # letters from here on are the last of their word
 _TOKEN_BITS = 24
@@ -244,6 +247,9 @@ class Tokenizer:
         self.split_at = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self.steps = [self._normalizer(n) for n in _listed(told.get("normalizer"), "normalizers")]
         self.pattern = self._pre_tokenizer(_listed(told.get("pre_tokenizer"), "pretokenizers"))
+        # words then never span white space, nor do the steps look across it: chunks can be remembered
+        self.apart = self.pattern.pattern == compiled(WORD_PATTERN).pattern
+        self._chunks: dict[str, bytes] = {}
         decoder = told.get("decoder")
         if decoder and decoder["type"] != "ByteLevel":
             raise ValueError(f"unknown decoder {decoder['type']}")
@@ -276,21 +282,33 @@ class Tokenizer:
                 return compiled(steps[0]["pattern"]["Regex"])
         raise ValueError(f"unknown pre-tokenizer {kinds}")
 
-    def parts(self, text: str) -> Iterator[list[str] | int]:
-        """The pre-split words of a text between added tokens, which come as their id."""
-        for part in self.split_at.split(text) if self.split_at else [text]:
-            if part in self.added:
-                yield self.added[part]
-            else:
-                for step in self.steps:
-                    part = step(part)
-                yield self.pattern.findall(part)
+    def _encode_part(self, part: str) -> bytes:
+        """The ids of a text without added tokens."""
+        if not self.apart or _CONTROLS.search(part):
+            return self.automaton.encode_all(self.words(part))
+        known, encode = self._chunks.get, self._encode_chunk
+        return b"".join([known(c) or encode(c) for c in part.split()])
+
+    def _encode_chunk(self, chunk: str) -> bytes:
+        """The ids of what stands between white space, remembered unless it is long."""
+        ids = self.automaton.encode_all(self.words(chunk))
+        if len(chunk) < 100:
+            if len(self._chunks) > WORDS_REMEMBERED:
+                self._chunks.clear()
+            self._chunks[chunk] = ids
+        return ids
+
+    def words(self, part: str) -> list[str]:
+        """The pre-split words of a text without added tokens."""
+        for step in self.steps:
+            part = step(part)
+        return self.pattern.findall(part)
 
     def encode(self, text: str) -> memoryview:
         """The ids of a whole text, as unsigned 32-bit integers in little-endian order."""
         found = [
-            struct.pack("<I", part) if part.__class__ is int else self.automaton.encode_all(part)
-            for part in self.parts(text)
+            struct.pack("<I", self.added[part]) if part in self.added else self._encode_part(part)
+            for part in (self.split_at.split(text) if self.split_at else [text])
         ]
         return memoryview(found[0] if len(found) == 1 else b"".join(found))
 
@@ -302,6 +320,10 @@ class Tokenizer:
             labels = [self.labels[i] for i in ids if i in self.labels]
         return b"".join(labels).decode("utf-8", "replace") if self.bytes_out else " ".join(labels)
 
+    def __getstate__(self) -> dict:
+        """Without what was remembered."""
+        return {**self.__dict__, "_chunks": {}}
+
 
 def numbers(ids: memoryview) -> list[int]:
     """The ids that `Tokenizer.encode` gives, as integers."""
@@ -350,6 +372,8 @@ def _lower(text: str) -> str:
     return lower.translate(NEWER_LOWER) if _NEWER_UPPER.search(lower) else lower
 
 
+#: What str.split takes for white space though it has not that property.
+_CONTROLS = re.compile("[\x1c-\x1f]")
 _NEWER_UPPER = re.compile("[" + "".join(map(chr, NEWER_LOWER)) + "]")
 
 
