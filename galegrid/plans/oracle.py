@@ -11,6 +11,7 @@ from ..functions.geometry import (
 )
 from ..functions.columns import feature_name
 from ..schemas import WEATHER_MEASURES
+from . import trees_sql
 from .inputs import (
     AREAS_SQL,
     BAD_PAGE_SIZE,
@@ -22,6 +23,28 @@ from .inputs import (
     TREES_SQL,
     WEATHER_SQL,
 )
+from .queries import INDICATORS, SMALL_TREES
+
+#: 60 bits of a hash, as `ranks.draw` takes them.
+_DRAW = "('0x' || substr(md5('42|' || {key}), 1, 15))::BIGINT"
+
+
+def _small_trees() -> str:
+    """The rows of `queries.poisson_trees`, split to the row, and its trees."""
+    names = ", ".join(INDICATORS)
+    flags = {f"{c}_{v}": f"CAST(coalesce({c} = '{v}', FALSE) AS INTEGER)" for c, vs in INDICATORS.items() for v in vs}
+    key = " || '|' || ".join(
+        ["strftime(YYYYMMDD, '%Y-%m-%d')", "CAST(HH AS VARCHAR)", *[f"coalesce({c}, '')" for c in INDICATORS]]
+    )
+    counted = (
+        f"counted AS (SELECT YYYYMMDD, HH, {names}, {', '.join(WEATHER_MEASURES)}, count(Incident_ID) AS n_events FROM wi GROUP BY ALL), "
+        f"drawn AS (SELECT *, row_number() OVER (ORDER BY {_DRAW.format(key=key)}) AS id, count(*) OVER () AS n_rows FROM counted), "
+        f"ready AS MATERIALIZED (SELECT *, id > ceil(n_rows * 0.2) AS is_train, "
+        + ", ".join(f'{sql} AS "{name}"' for name, sql in flags.items())
+        + " FROM drawn)"
+    )
+    return f"WITH {W}, {I}, {WI}, {counted}, {trees_sql.trees('ready', [*WEATHER_MEASURES, *flags], **SMALL_TREES)}"
+
 
 W = f"w AS ({WEATHER_SQL})"
 I = f"i AS (SELECT *, CAST(hour(Incident_Starttime) AS INTEGER) AS IncStrt_Hour FROM ({INCIDENTS_SQL}) q)"
@@ -270,6 +293,24 @@ def oracle_sql() -> dict[str, str]:
             "SELECT o_orderkey, ('0x' || substr(md5('42|' || CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT "
             "% 1000000 < 800000 AS is_train FROM orders"
         ),
+        "exact_split": (
+            f"SELECT o_orderkey, row_number() OVER (ORDER BY {_DRAW.format(key='o_orderkey::VARCHAR')}) > ceil(count(*) OVER () * 0.2) AS is_train "
+            "FROM orders"
+        ),
+        "poisson_trees": (
+            f"{_small_trees()} SELECT YYYYMMDD, HH, {', '.join(INDICATORS)}, n_events AS Incident_Count, "
+            "round(exp(margin), 6) AS prediction FROM ready JOIN predicted USING (id) WHERE NOT is_train"
+        ),
+        "poisson_trees_errors": (
+            f"{_small_trees()} SELECT round(avg(d * d), 6) AS mse, round(sqrt(avg(d * d)), 6) AS rmse, round(avg(abs(d)), 6) AS mae "
+            "FROM (SELECT n_events - exp(margin) AS d FROM ready JOIN predicted USING (id) WHERE NOT is_train) e"
+        ),
+        "model_importances": (
+            f"{_small_trees()}, names AS (SELECT unnest({[*WEATHER_MEASURES, *[f'{c}_{v}' for c, vs in INDICATORS.items() for v in vs]]}) AS Feature, "
+            f"unnest(range(0, {len(WEATHER_MEASURES) + sum(map(len, INDICATORS.values()))})) AS f), "
+            "g AS (SELECT Feature, coalesce(avg(gain), 0) AS gain FROM names LEFT JOIN splits USING (f) GROUP BY 1) "
+            "SELECT Feature, round(gain / sum(gain) OVER (), 9) AS Importance FROM g ORDER BY gain DESC, Feature LIMIT 20"
+        ),
         "saturated_model": f"{_saturated} SELECT * FROM scored",
         "saturated_errors": (
             f"{_saturated} SELECT round(avg(d * d), 4) AS mse, round(sqrt(avg(d * d)), 4) AS rmse, "
@@ -315,19 +356,18 @@ def oracle_sql() -> dict[str, str]:
         "spatial_polygons_shuffled": _POLYGONS,
         "nearest_incident": nearest,
         "nearest_wkt": (
-            "WITH p AS (SELECT event_id, event_type, user_id, x / 8e0 AS x, y / 8e0 AS y "
-            f"FROM ({SCATTERED_SQL}) s), "
-            "d AS (SELECT l.event_id, l.user_id AS user_id_left, l.x, l.y, r.event_id AS signup_id, "
-            "r.user_id AS user_id_right, (l.x - r.x) * (l.x - r.x) + (l.y - r.y) * (l.y - r.y) AS d2 "
-            "FROM p l JOIN p r ON l.event_type = 'purchase' AND r.event_type = 'signup'), "
-            "m AS (SELECT event_id, min(d2) AS d2 FROM d GROUP BY 1) "
-            "SELECT d.event_id, user_id_left, printf('POINT (%.16f %.16f)', x, y) AS geometry, "
-            "signup_id, user_id_right, sqrt(d2) AS Distance FROM d JOIN m USING (event_id, d2)"
+            f"WITH p AS (SELECT event_id, user_id, x / 8e0 AS x, y / 8e0 AS y FROM ({SCATTERED_SQL}) s), "
+            "m AS (SELECT l.event_id, min((l.x - r.x) * (l.x - r.x) + (l.y - r.y) * (l.y - r.y)) AS d2 "
+            "FROM p l JOIN p r ON NOT (l.x = r.x AND l.y = r.y) GROUP BY 1) "
+            "SELECT l.event_id, l.user_id AS user_id_left, printf('POINT (%.16f %.16f)', l.x, l.y) AS geometry, "
+            "r.event_id AS other_id, r.user_id AS user_id_right, sqrt(d2) AS Distance FROM m JOIN p l "
+            "ON l.event_id = m.event_id JOIN p r ON NOT (l.x = r.x AND l.y = r.y) "
+            "AND (l.x - r.x) * (l.x - r.x) + (l.y - r.y) * (l.y - r.y) = d2"
         ),
         "nearest_ties": (
             "WITH l AS (SELECT DISTINCT l_quantity AS x, round(l_discount * 100) AS y FROM lineitem), "
             "r AS (SELECT CAST(user_id % 50 AS DOUBLE) AS rx, CAST(user_id % 11 AS DOUBLE) AS ry, "
-            "min(event_id) AS Incident_ID, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1, 2), "
+            "min(event_id) AS Incident_ID, count(*) AS n FROM events GROUP BY 1, 2), "
             "d AS (SELECT *, (x - rx) * (x - rx) + (y - ry) * (y - ry) AS d2 FROM l, r "
             "WHERE NOT (x = rx AND y = ry)) "
             "SELECT x, y, Incident_ID, n, sqrt(d2) AS Distance FROM "

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as col
 from ..functions import geometry as geo
-from ..operators import align, grid, model, nearest, profile_counts, quality, spatial
+from ..operators import align, grid, model, nearest, profile_counts, quality, ranks, spatial
 from ..session import cut_lineage
 from ..sources import fetch
 from . import inputs
@@ -288,18 +288,13 @@ def nearest_incident(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def nearest_wkt(spark: SparkSession, sf: str) -> DataFrame:
-    """The same from tables with WKT points: purchases to their nearest signup."""
+    """The same from tables with WKT points: every event to its nearest others."""
     points = cut_lineage(
         inputs.scattered(spark, sf).select(
-            "event_id", "event_type", "user_id",
-            geo.point_wkt(F.col("x") / 8, F.col("y") / 8).alias("geometry"),
+            "event_id", "user_id", geo.point_wkt(F.col("x") / 8, F.col("y") / 8).alias("geometry")
         )
     )
-    left = points.where("event_type = 'purchase'").select("event_id", "user_id", "geometry")
-    right = points.where("event_type = 'signup'").select(
-        F.col("event_id").alias("signup_id"), "user_id", "geometry"
-    )
-    return nearest.nearest_features(left, right)
+    return nearest.nearest_features(points, points.withColumnRenamed("event_id", "other_id"))
 
 
 def nearest_ties(spark: SparkSession, sf: str) -> DataFrame:
@@ -310,7 +305,6 @@ def nearest_ties(spark: SparkSession, sf: str) -> DataFrame:
     ).distinct()
     right = (
         table(spark, sf, "events")
-        .where("event_type = 'error'")
         .groupBy((F.col("user_id") % 50).cast("double").alias("x"), (F.col("user_id") % 11).cast("double").alias("y"))
         .agg(F.min("event_id").alias("Incident_ID"), F.count(F.lit(1)).alias("n"))
     )
@@ -491,6 +485,49 @@ def boosted_model(spark: SparkSession, sf: str) -> DataFrame:
     return _model_report(model.fit_count_model(_model_table(spark, sf), kind="boosted"))
 
 
+#: Small trees, as the SQL twin repeats every round.
+SMALL_TREES = {"rounds": 3, "max_depth": 2, "max_bins": 16}
+INDICATORS = {"Service_Area": [f"SA {k}" for k in range(6)], "Damage_Type": ["Building", "Road sign", "Tree"]}
+HOURLY_KEYS = ["YYYYMMDD", "HH", "Service_Area", "Damage_Type"]
+
+
+def _small_trees(spark: SparkSession, sf: str) -> model.CountModel:
+    """Boosted trees on the hourly counts: 22 measures, some of them null, and the indicators."""
+    incidents = align.incident_features(inputs.incidents(spark, sf))
+    counted = align.hourly_counts(inputs.weather(spark, sf), incidents, inputs.WEATHER_MEASURES)
+    named = counted.select("*", *[F.col(c).alias(f"{c}_name") for c in INDICATORS])
+    ready = col.one_hot(named, INDICATORS)
+    features = [*inputs.WEATHER_MEASURES, *[f"{c}_{v}" for c, vs in INDICATORS.items() for v in vs]]
+    keys = ["YYYYMMDD", "HH", *[f"{c}_name" for c in INDICATORS]]
+    return model.fit_count_model(ready, kind="trees", split_by=keys, features=features, exact=True, **SMALL_TREES)
+
+
+def poisson_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """Boosted trees with the Poisson objective: the expected counts of the test rows."""
+    predicted = _small_trees(spark, sf).predictions
+    return predicted.select(
+        "YYYYMMDD", "HH", *[F.col(f"{c}_name").alias(c) for c in INDICATORS], "Incident_Count",
+        F.round("prediction", 6).alias("prediction"),
+    )
+
+
+def model_importances(spark: SparkSession, sf: str) -> DataFrame:
+    """The 20 features of those trees whose splits gain most on average."""
+    ranked = _small_trees(spark, sf).importances
+    return ranked.select("Feature", F.round("Importance", 9).alias("Importance"))
+
+
+def poisson_trees_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """The test errors of those trees."""
+    errors = _small_trees(spark, sf).metrics
+    return errors.select(*[F.round(c, 6).alias(c) for c in errors.columns])
+
+
+def exact_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with their train or test mark, exactly a fifth of them test."""
+    return ranks.exact_split(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"])
+
+
 def _area_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Incidents per date, hour and service area, and a 0/1 column for each area."""
     incidents = align.incident_features(inputs.incidents(spark, sf))

@@ -60,6 +60,10 @@ QUERIES: dict[str, q.Query] = {
         q.saturated_errors,
         q.count_model,
         q.boosted_model,
+        q.poisson_trees,
+        q.poisson_trees_errors,
+        q.model_importances,
+        q.exact_split,
         q.fetch_windows,
         q.page_plan,
         q.missing_pages,

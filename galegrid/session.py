@@ -61,15 +61,26 @@ def staging_path(spark: SparkSession, name: str) -> str:
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application staged; DataFrames that still read it become invalid."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, _scratch_root(spark))
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever store it lies; one that is not there is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def cut_lineage(df: DataFrame, replacing: DataFrame | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
-    A lost executor then costs no recomputation, and the planner knows the true size.
+    A lost executor then costs no recomputation, and the planner knows the true size. `replacing`
+    is a frame that this function returned before and nobody reads any more: its files go.
     """
-    path = staging_path(df.sparkSession, "cut")
+    spark = df.sparkSession
+    path = staging_path(spark, "cut")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._staged_path = path
+    if replacing is not None and getattr(replacing, "_staged_path", None):
+        delete(spark, replacing._staged_path)
+    return stored
