@@ -1,11 +1,16 @@
 """Nearest join: for every left point its nearest right point(s), all ties kept.
 
-Equal locations are collapsed first, so a crowded location costs one row. Then both sides
-are cut into grid cells level by level, and pairs of cells are refined together: a pair is
-dropped when even its closest points are farther apart than the farthest points of a better
-pair. Cells with few locations stop splitting, so the last join pairs small cells only, and
-dense regions cost more levels, not more pairs. Boxes hold the true minima and maxima of
-their points and floating-point rounding is monotone, so no tie is lost.
+Equal locations are collapsed first, so a crowded location costs one row. Every location gets its
+position in the order of x and in that of y, over both sides, and space is halved by counts: a cell
+of `bits` bits holds locations of the same 2^-bits part of the rows along either axis. Depth thus
+follows the number of rows, whatever the extent: after log2(rows) halvings no two locations share a
+cell, and a stray coordinate takes one position like any other.
+
+Both sides are cut into such cells level by level, and pairs of cells are refined together: a pair
+is dropped when even its closest points are farther apart than the farthest points of a better
+pair. Cells with few locations stop splitting, so the last join pairs small cells only, and dense
+regions cost more levels, not more pairs. Boxes hold the true minima and maxima of their points
+and floating-point rounding is monotone, so no tie is lost.
 """
 
 from __future__ import annotations
@@ -24,7 +29,10 @@ from .skew import ROWS_PER_TASK, checked_join, hot_keys, join_with_hot_keys
 LEAF_ROWS = 32
 FIRST_BITS = 4
 STEP_BITS = 2
+#: Bits of a cell's number; more than positions have, so the last level has one location a cell.
 MAX_BITS = 52
+#: Bits of monotonically_increasing_id that number the rows of a partition.
+PLACE_BITS = 33
 
 
 def _real(x: str, y: str) -> Column:
@@ -43,21 +51,40 @@ def _locations(df: DataFrame, x: str, y: str) -> DataFrame:
     )
 
 
-def _cell(bits: int | Column, frame: tuple[float, float, float]) -> tuple[Column, Column]:
-    """Column and row of the cell at `bits` bits per axis inside the common square."""
-    x0, y0, side = frame
+def _positions(rows: DataFrame, by: Sequence[str], out: str) -> DataFrame:
+    """`rows` stored with their position, from 0, in the order of the columns `by`.
+
+    Ranges are dealt out, sorted and numbered where they are; the counts of the ranges before, one
+    number for each, are added. Rows that are equal in `by` get an order of their own.
+    """
+    sorted_rows = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+    stored = cut_lineage(sorted_rows.withColumn("_place", F.monotonically_increasing_id()), replacing=rows)
+    part, row = F.shiftrightunsigned("_place", PLACE_BITS), F.col("_place").bitwiseAND((1 << PLACE_BITS) - 1)
+    sizes = dict(map(tuple, stored.groupBy(part.cast("int")).count().collect()))
+    before, starts = 0, []
+    for number in range(max(sizes, default=0) + 1):
+        starts.append(before)
+        before += sizes.get(number, 0)
+    start = F.get(F.array(*[F.lit(n).cast("bigint") for n in starts]), part.cast("int"))
+    placed = stored.select(*rows.columns, (start + row).alias(out))
+    placed._staged_path = stored._staged_path
+    return placed
+
+
+def _cell(bits: int | Column, rows: int) -> tuple[Column, Column]:
+    """Column and row of the cell at `bits` bits per axis; `rows` is the number of positions."""
     drop = F.lit(MAX_BITS) - bits
 
-    def axis(value: Column, low: float) -> Column:
-        number = F.floor((value - F.lit(low)) / F.lit(side) * F.lit(float(1 << MAX_BITS)))
-        return F.call_function("shiftright", F.least(number, F.lit((1 << MAX_BITS) - 1)), drop)
+    def axis(position: str) -> Column:
+        number = F.floor(F.col(position) / F.lit(float(rows)) * F.lit(float(1 << MAX_BITS)))
+        return F.call_function("shiftright", number, drop)
 
-    return axis(F.col("x"), x0), axis(F.col("y"), y0)
+    return axis("u"), axis("v")
 
 
-def _cells(locations: DataFrame, bits: int, frame: tuple[float, float, float]) -> DataFrame:
+def _cells(locations: DataFrame, bits: int, rows: int) -> DataFrame:
     """Occupied cells of a level with their number of locations and tight boxes."""
-    cx, cy = _cell(bits, frame)
+    cx, cy = _cell(bits, rows)
     return locations.groupBy("side", cx.alias("cx"), cy.alias("cy")).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("x").alias("xmin"),
@@ -128,7 +155,7 @@ def _refine(pairs: DataFrame, side: str, nodes: DataFrame, level: int) -> DataFr
 
 
 def _in_leaves(
-    locations: DataFrame, nodes: list[DataFrame], frame: tuple[float, float, float], side: str
+    locations: DataFrame, nodes: list[DataFrame], rows: int, side: str
 ) -> DataFrame:
     """Locations with the cell where splitting stopped.
 
@@ -149,8 +176,8 @@ def _in_leaves(
         )
         stops = below.join(above, ["_ux", "_uy"]).select("cx", "cy", "n", "stop")
     finest = FIRST_BITS + STEP_BITS * (len(nodes) - 1)
-    cx, cy = _cell(finest, frame)
-    stop_cx, stop_cy = _cell(F.lit(FIRST_BITS) + F.lit(STEP_BITS) * F.col("stop"), frame)
+    cx, cy = _cell(finest, rows)
+    stop_cx, stop_cy = _cell(F.lit(FIRST_BITS) + F.lit(STEP_BITS) * F.col("stop"), rows)
     return (
         locations.where(mine)
         .withColumns({"cx": cx, "cy": cy})
@@ -175,20 +202,17 @@ def nearest_locations(left: DataFrame, right: DataFrame, exclusive: bool = False
     both = cut_lineage(
         left.withColumn("side", F.lit("l")).unionByName(right.withColumn("side", F.lit("r")))
     )
-    box = both.agg(
-        F.min("x"), F.max("x"), F.min("y"), F.max("y"),
-        F.count_if(F.col("side") == "l").alias("l"), F.count_if(F.col("side") == "r").alias("r"),
-    ).first()
-    if not box["l"] or not box["r"]:
+    n = both.agg(F.count_if(F.col("side") == "l").alias("l"), F.count_if(F.col("side") == "r").alias("r")).first()
+    if not n["l"] or not n["r"]:
         return spark.createDataFrame([], out)
-    side = max(box[1] - box[0], box[3] - box[2])
-    frame = (box[0], box[2], side if side > 0 else 1.0)
+    rows = n["l"] + n["r"]
+    both = _positions(_positions(both, ["x", "y"], "u"), ["y", "x"], "v")
 
     levels: list[DataFrame] = []
     for bits in range(FIRST_BITS, MAX_BITS + 1, STEP_BITS):
-        levels.append(cut_lineage(_cells(both, bits, frame)))
+        levels.append(cut_lineage(_cells(both, bits, rows)))
         # With more locations than all cells could hold, some cell is too full: look no further.
-        surely_full = max(box["l"], box["r"]) > LEAF_ROWS * 4**bits
+        surely_full = max(n["l"], n["r"]) > LEAF_ROWS * 4**bits
         if not surely_full and levels[-1].agg(F.max("n")).first()[0] <= LEAF_ROWS:
             break
 
@@ -210,7 +234,7 @@ def nearest_locations(left: DataFrame, right: DataFrame, exclusive: bool = False
         pairs = pairs.unionByName(done)
     pairs = cut_lineage(pairs)
 
-    lefts, rights = (_in_leaves(both, levels, frame, s) for s in ("l", "r"))
+    lefts, rights = (_in_leaves(both, levels, rows, s) for s in ("l", "r"))
     right_box = [f"r_{c}" for c in ("level", *_NODE)]
     # Every left location against the boxes of the right leaves, before their points.
     spots = pairs.select(*_LEFT_CELL, *right_box, "best").join(lefts, _LEFT_CELL)

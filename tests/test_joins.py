@@ -214,3 +214,34 @@ def test_small_areas_get_small_cells(spark):
     hits = spatial.points_in_areas(areas, points, ["code"])
     shuffled = spatial.points_in_areas(areas, points, ["code"], max_bytes=0)
     assert hits.count() == shuffled.count() >= 20_000 and candidates <= 3 * hits.count()
+
+
+def _nearest_by_hand(left, right):
+    found = []
+    for k, x, y in left:
+        d2 = [((x - a) * (x - a) + (y - b) * (y - b), r) for r, a, b in right]
+        found += [(k, r, d**0.5) for d, r in d2 if d == min(d2)[0]]
+    return sorted(found)
+
+
+@pytest.mark.parametrize("shape", ["stray", "diagonal", "one column", "two crowds"])
+def test_nearest_over_counted_cells(spark, monkeypatch, shape):
+    """Cells follow the rows: a stray coordinate, one column or two far crowds cost no more levels."""
+    monkeypatch.setattr(nearest, "LEAF_ROWS", 4)
+    levels = []
+    cells = nearest._cells
+    monkeypatch.setattr(nearest, "_cells", lambda *a: levels.append(a[1]) or cells(*a))
+    spots = spark.range(300).select("id", (F.col("id") * 7919 % 1000 / 7).alias("x"), (F.col("id") * 104729 % 1000 / 3).alias("y"))
+    x, y = {
+        "stray": (F.when(F.col("id") == 7, 9.96921e36).otherwise(F.col("x")), F.col("y")),
+        "diagonal": (F.col("x"), F.col("x") + F.col("y") / 1e6),
+        "one column": (F.lit(5.0), F.col("y")),
+        "two crowds": (F.col("x") / 1e9 + F.when(F.col("id") % 2 == 0, 1e12).otherwise(0), F.col("y") / 1e9),
+    }[shape]
+    spots = spots.select("id", x.alias("x"), y.alias("y")).cache()
+    left, right = spots.where("id % 3 = 0"), spots.where("id % 3 <> 0").withColumnRenamed("id", "rid")
+    found = nearest.nearest_join(left, right).select("id", "rid", "Distance")
+    assert rows(found) == rows(spark.createDataFrame(
+        _nearest_by_hand([tuple(r) for r in left.collect()], [tuple(r) for r in right.collect()]), "id bigint, rid bigint, Distance double"
+    ))
+    assert max(levels) <= 10  # 300 positions take nine bits
