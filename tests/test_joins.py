@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -36,9 +37,13 @@ def points(spark):
     return spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(spots)], "id int, x double, y double")
 
 
-@pytest.mark.parametrize("size", [None, 0.3, 50.0])
-@pytest.mark.parametrize("max_bytes", [skew.BROADCAST_BYTES, 0])
-def test_points_in_areas(areas, points, size, max_bytes):
+@pytest.mark.parametrize(
+    "size, max_bytes, many",
+    [(s, b, spatial.MANY_EDGES) for s in (None, 0.3, 50.0) for b in (skew.BROADCAST_BYTES, 0)] + [(None, 0, 0), (0.3, skew.BROADCAST_BYTES, 0)],
+)
+def test_points_in_areas(monkeypatch, areas, points, size, max_bytes, many):
+    """Also with every area rasterised by its edges."""
+    monkeypatch.setattr(spatial, "MANY_EDGES", many)
     usable = points.where("x is not null and not isnan(x)")
     brute = areas.crossJoin(usable).where(geo.covers("edges", "x", "y"))
     got = spatial.points_in_areas(areas, points, ["area"], cell_size=size, max_bytes=max_bytes)
@@ -245,3 +250,24 @@ def test_nearest_over_counted_cells(spark, monkeypatch, shape):
         _nearest_by_hand([tuple(r) for r in left.collect()], [tuple(r) for r in right.collect()]), "id bigint, rid bigint, Distance double"
     ))
     assert max(levels) <= 10  # 300 positions take nine bits
+
+
+def test_cells_by_edge_carry_their_own_edges(spark, monkeypatch):
+    """An outline of many vertices: dealt over tasks, a cell holds its share, points as before."""
+    n = 6000
+    star = [(100 + r * math.cos(a), 50 + r * math.sin(a)) for k in range(n) for a, r in [(2 * math.pi * k / n, 40 + 9 * math.sin(37 * 2 * math.pi * k / n))]]
+    stairs = [(float(k // 2 + k % 2), float(k // 2)) for k in range(n)] + [(0.0, float(n // 2 - 1))]
+    shapes = [("star", star), ("stairs", stairs)]
+    text = [(name, "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in [*ring, ring[0]]) + "))") for name, ring in shapes]
+    areas = geo.with_edges(spark.createDataFrame(text, "code string, geometry string")).repartition(2).cache()
+    spots = [(x, y) for x, y in [*star[::17], *stairs[::23], (2.5, 2.0), (2.0, 2.5), (100.0, 50.0)]]
+    pick = random.Random(3)
+    spots += [(pick.uniform(40, 160), pick.uniform(0, 100)) for _ in range(300)] + [(float(pick.randrange(3000)), float(pick.randrange(3000))) for _ in range(300)]
+    points = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(spots)], "id int, x double, y double")
+    found = rows(spatial.points_in_areas(areas, points, ["code"]), "code", "id")
+    framed = spatial.framed_areas(areas, ["code"])
+    cells = spatial.area_cells(framed, ["code"], spatial.measure_grid(framed))
+    assert cells.agg(F.max(F.size("_more"))).first()[0] < n / 20
+    monkeypatch.setattr(spatial, "MANY_EDGES", 10**9)
+    assert found == rows(spatial.points_in_areas(areas, points, ["code"]), "code", "id")
+    assert found == rows(areas.crossJoin(points).where(geo.covers("edges", "x", "y")), "code", "id")
