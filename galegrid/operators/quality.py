@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.columns import numeric_columns, quoted
@@ -195,6 +195,45 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = T
     return _tidy(row, [*whole, *[(c, "nulls", f"{c}|nulls") for c in df.columns], *cells])
 
 
+def observe_profile(
+    df: DataFrame, columns: Sequence[str] | None = None, dates: str | None = None
+) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """`df` that is observed while it is written, and what gives its profile once it was.
+
+    The profile has the number of rows and columns, nulls of all columns, count, mean, std, min and max
+    of the numeric ones, and the first and last day (as days since 1970) of the column `dates`. The
+    observation rides on the write, so it scans nothing; quartiles would need passes of their own
+    (`profile`). Write the frame once: the profile is that of the first action.
+    """
+    numeric = list(columns or numeric_columns(df))
+    aggregates, cells = [], []
+    for c in numeric:
+        value = quoted(c).cast("double")
+        plans = {"count": F.count(value), "mean": F.avg(value), "std": F.stddev_samp(value), "min": F.min(value), "max": F.max(value)}
+        for metric, plan in plans.items():
+            aggregates.append(plan.cast("double").alias(f"m{len(cells)}"))
+            cells.append((c, metric))
+    for c in df.columns:
+        aggregates.append(F.count_if(quoted(c).isNull()).cast("double").alias(f"m{len(cells)}"))
+        cells.append((c, "nulls"))
+    if dates is not None:
+        day = F.unix_date(quoted(dates).cast("date"))
+        for metric, plan in (("first_day", F.min(day)), ("last_day", F.max(day))):
+            aggregates.append(plan.cast("double").alias(f"m{len(cells)}"))
+            cells.append((dates, metric))
+    aggregates.append(F.count(F.lit(1)).cast("double").alias(f"m{len(cells)}"))
+    cells.append(("*", "n_rows"))
+    observation = Observation()
+
+    def told() -> DataFrame:
+        found = observation.get
+        rows = [(c, metric, found[f"m{k}"]) for k, (c, metric) in enumerate(cells)]
+        rows.append(("*", "n_columns", float(len(df.columns))))
+        return df.sparkSession.createDataFrame(rows, "column string, metric string, value double")
+
+    return df.observe(observation, *aggregates), told
+
+
 def preview(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
     """The first `n` rows by the order columns; without any some rows, which is not defined."""
     return (df.orderBy(*[quoted(c) for c in order]) if order else df).limit(n)

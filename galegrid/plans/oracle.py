@@ -464,6 +464,24 @@ def oracle_sql() -> dict[str, str]:
             f"printf('POLYGON (({_SQUARE_WKT}))', {_SQUARE_ARGS}) AS geometry FROM supplier "
             "WHERE s_acctbal >= 1000 AND s_nationkey IN (1, 4, 9, 16, 20, 23)"
         ),
+        "written_profile": (
+            f"WITH {I}, k AS (SELECT * FROM i WHERE Damage_Type IS NOT NULL OR x > 9), p AS ("
+            + " UNION ALL ".join(
+                f"SELECT '{c}' AS \"column\", '{m}' AS metric, {sql.format(c=c)}::DOUBLE AS v FROM k"
+                for c in ("Incident_ID", "Incident_Priority", "x", "y")
+                for m, sql in {"count": "count({c})", "mean": "avg({c})", "std": "stddev_samp({c})", "min": "min({c})", "max": "max({c})"}.items()
+            )
+            + "".join(
+                f" UNION ALL SELECT '{c}', 'nulls', (count(*) - count({c}))::DOUBLE FROM k"
+                for c in ("Incident_ID", "Incident_Date", "Damage_Type", "Incident_Priority", "x", "y")
+            )
+            + "".join(
+                f" UNION ALL SELECT 'Incident_Date', '{m}', ({f}(Incident_Date) - DATE '1970-01-01')::DOUBLE FROM k"
+                for m, f in (("first_day", "min"), ("last_day", "max"))
+            )
+            + " UNION ALL SELECT '*', 'n_rows', count(*)::DOUBLE FROM k UNION ALL SELECT '*', 'n_columns', 6e0) "
+            "SELECT \"column\", metric, round(v, 6) AS \"value\" FROM p"
+        ),
         "catalog_tables": (
             f"WITH {I} SELECT 'incidents' AS table_name, \"column\", \"type\", nulls FROM ("
             + _null_rows("i", ["Incident_ID", "Incident_Date", "Damage_Type"])

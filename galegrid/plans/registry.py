@@ -77,5 +77,6 @@ QUERIES: dict[str, q.Query] = {
         s.feature_pages_with_bad_ones,
         s.area_features,
         s.catalog_tables,
+        s.written_profile,
     )
 }

@@ -220,3 +220,14 @@ def catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
         F.explode(F.arrays_zip("column_names", "column_types")).alias("c"),
     ).select("table_name", F.col("c.column_names").alias("column"), F.col("c.column_types").alias("type"))
     return columns.join(quality.null_counts(catalog.read_table(spark, schema, "incidents")), "column")
+
+
+def written_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """The profile of the incidents that their write observes, after it replaced an older table."""
+    location = staging_path(spark, "profiled")
+    schema = "galegrid_check_" + location[-8:]
+    incidents = inputs.incidents(spark, sf).select("Incident_ID", "Incident_Date", "Damage_Type", "Incident_Priority", "x", "y")
+    catalog.save_table(incidents, schema, "incidents", location)
+    kept = catalog.read_table(spark, schema, "incidents").where("Damage_Type IS NOT NULL OR x > 9")
+    told = catalog.save_table(kept, schema, "incidents", profile=True, dates="Incident_Date")
+    return told.select("column", "metric", F.round("value", 6).alias("value"))

@@ -235,3 +235,66 @@ def test_page_plan_of_a_long_collection(spark):
     plan = fetch.page_plan(spark.range(1), F.lit(1_000_001))
     assert plan.count() == 1_000_000 and plan.agg(F.max("page"), F.min("page")).first() == (1_000_001, 2)
     assert plan.select("page").distinct().count() == 1_000_000
+
+
+def _failing(spark, n=50):
+    bad = F.when(F.col("id") == n - 1, F.raise_error(F.lit("broken row")).cast("bigint")).otherwise(F.col("id"))
+    return spark.range(n).select(bad.alias("id"))
+
+
+def test_a_failing_save_leaves_the_old_table(spark, tmp_path):
+    catalog.save_table(spark.range(7), "swap_t", "kept", str(tmp_path / "wh"))
+    with pytest.raises(Exception, match="broken row"):
+        catalog.save_table(_failing(spark), "swap_t", "kept")
+    assert catalog.read_table(spark, "swap_t", "kept").count() == 7
+    with pytest.raises(Exception, match="broken row"):
+        catalog.save_table(_failing(spark), "swap_t", "never")
+    assert not spark.catalog.tableExists("swap_t.never")
+    assert len(list((tmp_path / "wh" / "kept.versions").iterdir())) == 1
+
+
+def test_a_table_replaces_itself_and_changes_its_columns(spark, tmp_path):
+    def read():
+        return catalog.read_table(spark, "swap_s", "own")
+
+    catalog.save_table(spark.range(10), "swap_s", "own", str(tmp_path / "it's here"))
+    for n in (8, 6, 4):
+        catalog.save_table(read().where(F.col("id") < n), "swap_s", "own")
+        assert read().count() == n
+    before = read()
+    catalog.save_table(read().select(F.col("id").cast("string").alias("Odd name"), F.lit(1).alias("n")), "swap_s", "own")
+    assert read().columns == ["Odd name", "n"] and read().count() == 4
+    assert before.count() == 4  # the version before is still there
+    assert len(list((tmp_path / "it's here" / "own.versions").iterdir())) == 2
+    catalog.drop_table(spark, "swap_s", "own")
+    assert not (tmp_path / "it's here" / "own.versions").exists()
+    catalog.save_table(spark.range(3), "swap_s", "own")
+    assert read().count() == 3
+
+
+def test_a_plain_table_of_that_name_is_replaced(spark, tmp_path):
+    spark.sql(f"CREATE SCHEMA swap_p LOCATION '{tmp_path}/wh'")
+    spark.range(5).write.saveAsTable("swap_p.plain")
+    catalog.save_table(catalog.read_table(spark, "swap_p", "plain").where("id > 1"), "swap_p", "plain")
+    assert rows(catalog.read_table(spark, "swap_p", "plain")) == [(2,), (3,), (4,)]
+
+
+def test_the_profile_comes_with_the_write(spark, tmp_path):
+    """Every row is computed once: the observation needs no scan of its own."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x
+
+    counted = F.udf(count, "bigint").asNondeterministic()
+    df = spark.range(100).select(counted("id").alias("v"), F.when(F.col("id") < 30, F.date_add(F.lit("2024-02-03").cast("date"), F.col("id").cast("int"))).alias("day"), F.lit("x").alias("s"))
+    told = catalog.save_table(df, "profiled", "t", str(tmp_path / "wh"), profile=True, dates="day")
+    assert seen.value == 100
+    found = {(r["column"], r["metric"]): r["value"] for r in told.collect()}
+    assert found["*", "n_rows"] == 100 and found["*", "n_columns"] == 3
+    assert found["v", "mean"] == 49.5 and found["v", "max"] == 99 and found["day", "nulls"] == 70 and found["s", "nulls"] == 0
+    assert found["day", "last_day"] - found["day", "first_day"] == 29
+    empty = catalog.save_table(df.limit(0), "profiled", "e", profile=True, dates="day")
+    assert {r["value"] for r in empty.where("metric = 'n_rows'").collect()} == {0}
+    assert empty.where("metric in ('mean', 'first_day')").where("value is not null").count() == 0
