@@ -458,6 +458,11 @@ def oracle_sql() -> dict[str, str]:
             "printf('POINT (%.16f %.16f)', c_acctbal / 100, c_custkey / 8) AS geometry "
             "FROM customer"
         ),
+        "feature_document": (
+            "SELECT c_custkey AS id, nullif(c_mktsegment, 'MACHINERY') AS segment, c_acctbal AS balance, "
+            "printf('POINT (%.16f %.16f)', c_acctbal / 100, c_custkey / 8) AS geometry "
+            "FROM customer"
+        ),
         "area_features": (
             "SELECT 'WK' || CAST(s_suppkey AS VARCHAR) AS wijkcode, s_name AS wijknaam, "
             "'M' || CAST(s_nationkey AS VARCHAR) AS gemeentenaam, "

@@ -75,6 +75,7 @@ QUERIES: dict[str, q.Query] = {
         s.service_area_scan,
         s.feature_pages,
         s.feature_pages_with_bad_ones,
+        s.feature_document,
         s.area_features,
         s.catalog_tables,
         s.written_profile,

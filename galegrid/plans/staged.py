@@ -158,6 +158,20 @@ def feature_pages(spark: SparkSession, sf: str) -> DataFrame:
     return loaders.load_features(spark, path, _POINT_PROPERTIES)
 
 
+def feature_document(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as points through one GeoJSON document that as many tasks read as its size asks for."""
+    path = staging_path(spark, "document")
+    features = _customer_features(spark, sf, PAGE_SIZE).select(
+        F.col("properties.id").alias("n"), F.to_json(F.struct(F.lit("Feature").alias("type"), "geometry", "properties")).alias("value")
+    )
+    # the document is one file: its features follow each other, a comma before all but the first
+    first = features.agg(F.min("n")).first()[0]
+    lines = features.withColumn("value", F.concat(F.when(F.col("n") == first, "").otherwise(","), "value"))
+    ends = spark.createDataFrame([(None, '{"type":"FeatureCollection","features":['), (2**62, "]}")], "n bigint, value string")
+    lines.unionByName(ends).repartition(1).sortWithinPartitions(F.asc_nulls_first("n")).select("value").write.text(path)
+    return loaders.load_features(spark, path, _POINT_PROPERTIES, first_page=None, split=True)
+
+
 def feature_pages_with_bad_ones(spark: SparkSession, sf: str) -> DataFrame:
     """The same where every fourth page is an error page, not JSON, or did not land."""
     path = staging_path(spark, "bad-pages")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..functions.columns import clean_header, quoted
 from ..functions.geometry import geojson_edges, geojson_point, geojson_wkt
 from ..schemas import feature_collection
+from .splitting import read_split_collections
 
 Paths = str | Sequence[str]
 
@@ -117,6 +118,11 @@ def flatten_features(
     `edges` for "polygon".
     """
     features = pages.where("type = 'FeatureCollection'").select(F.explode("features").alias("f"))
+    return flat_features(features, swap_axes, decoded)
+
+
+def flat_features(features: DataFrame, swap_axes: bool = False, decoded: str | None = None) -> DataFrame:
+    """One row per feature struct `f`; `decoded` as for `flatten_features`."""
     shape = (F.col("f.geometry.type"), F.col("f.geometry.coordinates"), swap_axes)
     extra: list[Column] = []
     if decoded == "point":
@@ -135,8 +141,17 @@ def read_features(
     first_page: int | None = 1,
     swap_axes: bool = False,
     decoded: str | None = None,
+    split: bool = False,
 ) -> DataFrame:
-    """Paged feature collections as a flat table; pages that failed are skipped."""
+    """Paged feature collections as a flat table; pages that failed are skipped.
+
+    A document is read by one task, or with `split` by as many as its size asks for.
+    """
+    if split:
+        features, documents = read_split_collections(spark, path, properties)
+        if first_page is not None:
+            require_first_page(documents, first_page)
+        return flat_features(features, swap_axes, decoded)
     pages = read_pages(spark, path, properties)
     if first_page is not None:
         require_first_page(pages, first_page)

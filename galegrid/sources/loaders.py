@@ -99,9 +99,10 @@ def load_features(
     properties: T.StructType,
     first_page: int | None = 1,
     decoded: str | None = None,
+    split: bool = False,
 ) -> DataFrame:
-    """Trees, soil, ground water or buildings from staged pages."""
-    return read_features(spark, path, properties, first_page, decoded=decoded)
+    """Trees, soil, ground water or buildings from staged pages, or with `split` from large documents."""
+    return read_features(spark, path, properties, first_page, decoded=decoded, split=split)
 
 
 def keep_named_areas(
@@ -125,7 +126,8 @@ def load_areas(
     first_page: int | None = None,
     swap_axes: bool = False,
     decoded: str | None = None,
+    split: bool = False,
 ) -> DataFrame:
     """One administrative level, such as (wijkcode, wijknaam) or (buurtcode, buurtnaam)."""
-    areas = read_features(spark, path, area_properties(code, name), first_page, swap_axes, decoded)
+    areas = read_features(spark, path, area_properties(code, name), first_page, swap_axes, decoded, split)
     return keep_named_areas(areas, name, municipalities)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from galegrid import schemas
-from galegrid.sources import catalog, fetch, files, loaders
+from galegrid.sources import catalog, fetch, files, loaders, splitting
 
 SCHEMA = T.StructType([T.StructField(c, T.IntegerType()) for c in ("STN", "YYYYMMDD", "HH", "DD", "FX")])
 
@@ -298,3 +298,62 @@ def test_the_profile_comes_with_the_write(spark, tmp_path):
     empty = catalog.save_table(df.limit(0), "profiled", "e", profile=True, dates="day")
     assert {r["value"] for r in empty.where("metric = 'n_rows'").collect()} == {0}
     assert empty.where("metric in ('mean', 'first_day')").where("value is not null").count() == 0
+
+
+ODD = ["a", "}{", '"]}', "\\", '\\"features":[{', "[[[", "é\n", '{"x":[1]}', '\\\\"}', None, ""]
+SPLIT_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("s", T.StringType())])
+
+
+def _odd_features(first, last):
+    return [
+        {
+            "type": "Feature",
+            "geometry": {"type": "Point", "coordinates": [k / 7, k / 3]} if k % 5 else None,
+            "properties": {"id": k, "s": ODD[k % len(ODD)], "nested": {"features": [{"a": 1}]}},
+        }
+        for k in range(first, last)
+    ]
+
+
+def _documents(folder):
+    collection = {"type": "FeatureCollection"}
+    around = {"crs": {"p": {"name": "x"}}, "bbox": [1, 2], "links": [{"a": 1}, {"b": [2]}]}
+    texts = [
+        json.dumps({**collection, **around, "features": _odd_features(0, 120), "after": [{"q": 1}], "z": {"y": 1}}),
+        json.dumps({"features": _odd_features(120, 150), **collection}, indent=1) + "\n",
+        json.dumps({"type": "Error", "features": _odd_features(0, 2)}),
+        "<html>{error} 500</html>",
+        json.dumps({**collection, "features": _odd_features(400, 430)})[:-40],
+        json.dumps({**collection, "features": []}),
+        json.dumps({**collection, "features": _odd_features(500, 510)}).replace('"id": 505', '"id" 505'),
+        "",
+        json.dumps({**collection, "features": None}),
+    ]
+    for k, text in enumerate(texts, 1):
+        (folder / f"page={k}.json").write_text(text)
+
+
+@pytest.mark.parametrize("size", ["128m", "700b"])
+def test_documents_are_split_anywhere(spark, tmp_path, size):
+    """Strings with brackets and quotes, other arrays, bad pages: as the reader of whole documents."""
+    _documents(tmp_path)
+    whole = files.read_features(spark, str(tmp_path), SPLIT_SCHEMA)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        parts = splitting._pieces(spark, str(tmp_path)).where("file LIKE '%page=1.json'").select("split").distinct().count()
+        found = files.read_features(spark, str(tmp_path), SPLIT_SCHEMA, split=True)
+        assert rows(found) == rows(whole) and found.columns == whole.columns and found.count() == 150
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert (parts > 5) == (size == "700b")
+    _, documents = splitting.read_split_collections(spark, str(tmp_path), SPLIT_SCHEMA)
+    assert {r["page"] for r in documents.where("type = 'FeatureCollection'").collect()} == {1, 2, 6, 9}
+
+
+def test_a_first_document_that_is_none_is_an_error(spark, tmp_path):
+    (tmp_path / "page=1.json").write_text("<html>")
+    with pytest.raises(ValueError, match="first page"):
+        files.read_features(spark, str(tmp_path), SPLIT_SCHEMA, split=True)
