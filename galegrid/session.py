@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,17 +72,62 @@ def delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Paths that `cut_lineage` wrote for a named owner, by application and owner.
+_OWNED: dict[tuple[str, str], list[str]] = {}
+_OWNERS: list[str] = []
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def owned_by(owner: str) -> Iterator[None]:
+    """What is staged inside belongs to `owner`, until `free_owned` deletes it."""
+    _OWNERS.append(owner)
+    try:
+        yield
+    finally:
+        _OWNERS.pop()
+
+
+def free_owned(spark: SparkSession, owner: str, unless_read_by: DataFrame) -> None:
+    """Delete what was staged for `owner`; files that a frame still reads stay, to be freed later."""
+    key = (spark.sparkContext.applicationId, owner)
+    paths = _OWNED.pop(key, [])
+    if paths:
+        read = unless_read_by.inputFiles()
+        kept = [p for p in paths if any(p.split("://")[-1].split(":", 1)[-1].lstrip("/") in f for f in read)]
+        for path in set(paths) - set(kept):
+            delete(spark, path)
+        if kept:
+            _OWNED[key] = kept
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of frames that `cut_lineage` returned and nobody will read any more."""
+    for df in frames:
+        path = getattr(df, "_staged_path", None)
+        if path:
+            delete(df.sparkSession, path)
+
+
 def cut_lineage(df: DataFrame, replacing: DataFrame | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
-    A lost executor then costs no recomputation, and the planner knows the true size. `replacing`
-    is a frame that this function returned before and nobody reads any more: its files go.
+    A lost executor then costs no recomputation, and the planner knows the true size. What the
+    write shuffled is freed with its end. `replacing` is a frame that this function returned before
+    and nobody reads any more: its files go.
     """
     spark = df.sparkSession
     path = staging_path(spark, "cut")
-    df.write.parquet(path)
+    before = spark.conf.get(_FREE_SHUFFLES)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_FREE_SHUFFLES, before)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._staged_path = path
-    if replacing is not None and getattr(replacing, "_staged_path", None):
-        delete(spark, replacing._staged_path)
+    if _OWNERS:
+        _OWNED.setdefault((spark.sparkContext.applicationId, _OWNERS[-1]), []).append(path)
+    if replacing is not None:
+        discard(replacing)
     return stored
