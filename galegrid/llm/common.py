@@ -29,6 +29,17 @@ def words(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like `names` that `df` does not have, in whatever case."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def columns_of(df: DataFrame, like: DataFrame) -> DataFrame:
     """The columns of `like`, in its order, out of `df`."""
     return df.select(*[F.col(f"`{c}`") for c in like.columns])

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..operators.skew import checked_join
 from ..session import cut_lineage
-from .common import SPACE, columns_of
+from .common import SPACE, columns_of, fresh
 
 MIN_WORDS = 50
 #: Words of which one opens a line, and words of a line; together one more than MIN_WORDS.
@@ -124,14 +124,14 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     )
 
 
-def cuts_by_doc(found: DataFrame, key: str) -> DataFrame:
-    """Per document its runs in order, those that touch or overlap as one."""
+def cuts_by_doc(found: DataFrame, key: str, out: str) -> DataFrame:
+    """Per document its runs in order, those that touch or overlap as one, as `out`."""
     ordered = Window.partitionBy("doc").orderBy("start", "end")
     earlier = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.when(earlier.isNull() | (F.col("start") > earlier + 1), 1).otherwise(0)
     marked = found.distinct().withColumn("_opens", opens).withColumn("_run", F.sum("_opens").over(ordered))
     one = marked.groupBy("doc", "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    return one.groupBy(F.col("doc").alias(key)).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
+    return one.groupBy(F.col("doc").alias(key)).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(out))
 
 
 def _cleaned(text: Column, lines: Column, cuts: Column) -> Column:
@@ -153,17 +153,23 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     """`docs` with repeated passages deleted from `text`, and `n_runs`, the runs deleted.
 
     The first occurrence in the order of key and place stays, but for what an earlier text holds.
-    Rows with a null key or a null or empty text stay as they are. Rows with one key
-    count as one document. A document of nothing but repeats keeps its row with an empty text.
-    A column `n_runs` of `docs` is replaced.
+    Rows with a null key or a null or empty text stay as they are. Rows with one key and different
+    texts are documents of their own, in the order of a hash of the text; rows with equal key and
+    text are one, so each of them is left with the same text. A document of nothing but repeats keeps
+    its row with an empty text. A column `n_runs` of `docs` is replaced.
     """
-    cuts = cut_lineage(cuts_by_doc(repeats(docs, key, text), key))
-    marked = checked_join(docs, cuts, [key], [key], "left")
+    row, cut, line = fresh(docs, "_row", "_cuts", "_l")
+    alone = docs.where(F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`")).agg(F.count(F.lit(1)).alias(row)).where(F.col(row) > 1).isEmpty()
+    code = F.struct(F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("text"))
+    # the key alone is shorter, where it tells all rows apart
+    rows = docs.withColumn(row, F.col(f"`{key}`") if alone else F.when(F.col(f"`{key}`").isNotNull(), code))
+    cuts = cut_lineage(cuts_by_doc(repeats(rows, row, text), row, cut))
+    marked = checked_join(rows, cuts, [row], [row], "left")
     # A column of its own, as it is used many times.
-    folded_text = F.when(F.col("_cuts").isNotNull(), _lines(F.col(f"`{text}`"))).alias("_l")
-    near = marked.select("*", folded_text)
+    cuts_of = F.col(cut)
+    near = marked.select("*", F.when(cuts_of.isNotNull(), _lines(F.col(f"`{text}`"))).alias(line))
     whole = F.col(f"`{text}`")
-    cleaned = F.when(F.col("_cuts").isNull(), whole).otherwise(_cleaned(whole, F.col("_l"), F.col("_cuts")))
-    count = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size("_cuts")).cast("int")
+    cleaned = F.when(cuts_of.isNull(), whole).otherwise(_cleaned(whole, F.col(line), cuts_of))
+    count = F.when(cuts_of.isNull(), 0).otherwise(F.size(cuts_of)).cast("int")
     out = near.withColumns({text: cleaned, "n_runs": count})
     return columns_of(out, docs if "n_runs" in docs.columns else docs.withColumn("n_runs", F.lit(0)))

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.skew import checked_join
-from ..session import cut_lineage
+from ..session import cut_lineage, discard
 from .components import components
 
 #: Sets of a band that the cost model reckons with.
@@ -44,6 +44,8 @@ FILLED = 2
 SKETCH_BITS, BITS_PER_TOKEN = 2048, 4
 #: 64-bit words of the short sketch that the rows of a signature carry.
 SHORT_WORDS = 8
+#: Pairs whose sketches are compared in one round, unless there would be more than SKETCH_ROUNDS.
+ROUND_PAIRS, SKETCH_ROUNDS = 250_000, 16
 #: Rounds that verify the best pair of any two components before all other pairs.
 BEST_FIRST = 2
 _DEALT_ROWS = 500
@@ -274,19 +276,32 @@ def shared_signatures(sets: DataFrame) -> DataFrame:
     ranked = members.select("signature", "doc").join(ranks, "doc")
     best = ranked.groupBy("signature").agg(F.max("rank").alias("rank"))
     leaders = ranked.join(best, ["signature", "rank"]).groupBy("signature", "rank").agg(F.min("doc").alias("pivot"))
-    return members.select("signature", "doc").join(leaders, "signature")
+    shared = cut_lineage(members.select("signature", "doc").join(leaders, "signature"))
+    discard(several, members)
+    return shared
 
 
 def _sized(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) with their sizes, the bits in which they differ, and `may` link."""
-    both = pairs.distinct()
-    for side in ("a", "b"):
-        named = [F.col("doc").alias(side), F.col("n").alias(f"{side}_n"), F.col("bits").alias(f"{side}_bits")]
-        both = both.join(sketches.select(*named), side)
-    told = both.withColumn("turned", _turned("a_bits", "b_bits"))
-    return cut_lineage(
-        told.select("a", "a_n", "b", "b_n", "turned", _may_link(F.col("turned"), percent).alias("may")).distinct()
-    )
+    """Distinct pairs (a, b) with their sizes, the bits in which they differ, and `may` link.
+
+    Sketches travel with the pairs, so many pairs are told in several rounds, each of which frees
+    what it shuffled before the next begins.
+    """
+    distinct = cut_lineage(pairs.distinct())
+    rounds = max(1, min(SKETCH_ROUNDS, -(-distinct.count() // ROUND_PAIRS)))
+    told = None
+    for turn in range(rounds):
+        both = distinct.where(F.pmod(F.xxhash64("a", "b"), F.lit(rounds)) == turn) if rounds > 1 else distinct
+        for side in ("a", "b"):
+            named = [F.col("doc").alias(side), F.col("n").alias(f"{side}_n"), F.col("bits").alias(f"{side}_bits")]
+            both = both.join(sketches.select(*named), side)
+        both = both.withColumn("turned", _turned("a_bits", "b_bits"))
+        part = cut_lineage(
+            both.select("a", "a_n", "b", "b_n", "turned", _may_link(F.col("turned"), percent).alias("may")).distinct()
+        )
+        told = part if told is None else told.unionByName(part)
+    discard(distinct)
+    return told
 
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
@@ -338,9 +353,9 @@ def _joined_up(
     is verified at once.
     """
     checked = checked.unionByName(_ruled_out(pairs))
-    rest = pairs.where("may")
+    rest, mine = pairs.where("may"), None
     for turn in range(BEST_FIRST + 1):
-        rest = cut_lineage(_across(rest.select("a", "a_n", "b", "b_n", "turned", "may"), label))
+        rest = cut_lineage(_across(rest.select("a", "a_n", "b", "b_n", "turned", "may"), label), replacing=rest)
         if rest.isEmpty():
             break
         chosen = rest
@@ -350,9 +365,11 @@ def _joined_up(
             )
             keys = best.select(F.col("m.a").alias("a"), F.col("m.b").alias("b"))
             chosen = cut_lineage(rest.join(keys, ["a", "b"]))
-            rest = rest.join(keys, ["a", "b"], "left_anti")
-        checked = cut_lineage(checked.unionByName(verified(chosen.drop("_a", "_b"), *source)))
+            rest = cut_lineage(rest.join(keys, ["a", "b"], "left_anti"), replacing=rest)
+        checked = cut_lineage(checked.unionByName(verified(chosen.drop("_a", "_b"), *source)), replacing=mine)
+        mine = checked
         label = _labels(checked, percent)
+        discard(chosen)
     return checked, label
 
 
@@ -398,6 +415,8 @@ def _second_pairs(
     others = placed.where("doc <> pivot").join(mixed, "signature").join(known, ["doc", "pivot"], "left")
     bounds = [F.coalesce("lo", F.lit(0.0)).alias("lo"), F.coalesce("hi", F.lit(1.0)).alias("hi")]
     rest = cut_lineage(others.join(short, "doc").select("signature", "doc", "component", *bounds, "n", "w"))
+    # signatures and sketches of all are not needed beside those that are compared
+    discard(shared)
 
     def side(name: str) -> DataFrame:
         # The short sketch in columns of its own, which Spark compiles.
@@ -440,8 +459,7 @@ def ngram_jaccard(
     )
     others = members.where("doc <> rep").select("doc")
     firsts = checked_join(full.select("doc", "signatures"), others, ["doc"], ["doc"], "left_anti")
-    shared = cut_lineage(shared_signatures(firsts))
-    sketches = full.select("doc", "n", "bits")
+    shared = shared_signatures(firsts)
     sketches = full.select("doc", "n", "bits")
     star = shared.where("doc <> pivot").select(F.col("doc").alias("a"), F.col("pivot").alias("b"), "rank")
     star = cut_lineage(star.distinct())

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 #: Labelled rows that the models are fitted on, at most.
 MAX_LABELLED = 12_000
 #: Words and word beginnings that one model weighs, at most.
@@ -99,12 +101,12 @@ def fit_linear(
 ) -> tuple[dict[str, float], tuple[float, ...], float]:
     """Logistic regression with a ridge penalty by accelerated gradient steps.
 
-    `before` has the earlier log-odds, a column for each earlier link. With one class only the
-    model is the smoothed base rate.
+    `before` has the earlier log-odds, a column for each earlier link; where no word tells the
+    classes apart they are all there is. With one class only the model is the smoothed base rate.
     """
     names = select_features(rows, y)
     rate = (y.sum() + 0.5) / (len(y) + 1.0)
-    if not names:
+    if not 0 < y.sum() < len(y) or not (names or before.shape[1]):
         return {}, (0.0,) * before.shape[1], math.log(rate / (1 - rate))
     place = {f: i for i, f in enumerate(names)}
     cols = [np.array([place[f] for f in r if f in place], dtype=np.int64) for r in rows]
@@ -249,10 +251,11 @@ def score_chain(docs: DataFrame, links: list[Link], text: str = "text") -> DataF
 
     A null or empty text has no features and gets what the biases of the chain give.
     """
-    scored = docs.withColumn("_p", _scores(links, F.col(f"`{text}`")))
+    (p,) = fresh(docs, "_p")
+    scored = docs.withColumn(p, _scores(links, F.col(f"`{text}`")))
     return scored.withColumns(
-        {f"p_{link.category}": F.col("_p")[i] for i, link in enumerate(links)}
-    ).drop("_p")
+        {f"p_{link.category}": F.col(p)[i] for i, link in enumerate(links)}
+    ).drop(p)
 
 
 #: The chain of the queries: low quality first, then toxicity, as conditions on `labels`.

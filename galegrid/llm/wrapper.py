@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..operators.skew import checked_join
 from ..session import cut_lineage
+from .common import fresh
 from .common import lower_ascii
 
 #: Wrappers that a task holds before it sends them on.
@@ -464,8 +465,7 @@ def main_text(
                 found.append(extract(text, *ready[wrapper]))
             yield pd.Series(found, dtype="object")
 
-    names = {"host": "_host", "wrapper": "_wrapper", "slots": "_slots"}
-    joined = checked_join(
-        pages.withColumn("_host", _host(url)), known.withColumnsRenamed(names), ["_host"], [html, url], "left"
-    )
-    return joined.withColumn(out, read(F.col(f"`{html}`"), "_wrapper", "_slots")).drop(*names.values())
+    host, wrapper, slots = fresh(pages, "_host", "_wrapper", "_slots")
+    named = known.select(F.col("host").alias(host), F.col("wrapper").alias(wrapper), F.col("slots").alias(slots))
+    joined = checked_join(pages.withColumn(host, _host(url)), named, [host], [html, url], "left")
+    return joined.withColumn(out, read(F.col(f"`{html}`"), wrapper, slots)).drop(host, wrapper, slots)

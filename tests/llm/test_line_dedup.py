@@ -138,3 +138,14 @@ def test_passages_in_text_without_full_stops(spark, size):
         found = cleaned(spark, texts)
         assert found[0] == texts[0] and found[2] == ""
         assert found[1].split() == [x for x in texts[1].split() if x not in w]
+
+
+def test_rows_of_one_key_keep_their_own_words(spark):
+    """Different texts under one key are told apart; columns with the names of helpers stay."""
+    rng = random.Random(4)
+    copied, unique = names(rng, 80), names(rng, 200)
+    rows = [(1, " ".join(copied)), (7, " ".join([*names(rng, 10), *copied])), (7, " ".join(unique)), (8, " ".join(unique[20:90]))]
+    df = spark.createDataFrame(rows, "doc_id int, text string").withColumns({"_cuts": F.lit("c"), "_l": F.lit(1), "_ROW": F.lit(2)})
+    found = L.line_dedup(df)
+    assert found.columns == ["doc_id", "text", "_cuts", "_l", "_ROW", "n_runs"]
+    assert sorted(len(r.text.split()) for r in found.collect()) == [0, 10, 80, 200]

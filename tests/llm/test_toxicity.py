@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from galegrid.llm import toxicity as T
 
@@ -51,8 +52,8 @@ def test_later_links_use_earlier_log_odds(spark):
     before = np.where(y > 0, 2.0, -2.0)[:, None]
     weights, earlier, bias = T.fit_linear([["same", f"only{i}"] for i in range(400)] + [], before, y)
     link = T.Link("late", weights, earlier, bias)
-    if earlier[0]:
-        assert link.logit(["same"], [2.0]) > link.logit(["same"], [-2.0])
+    assert not weights and earlier[0] > 0.5
+    assert link.logit(["same"], [2.0]) > 0 > link.logit(["same"], [-2.0])
 
 
 def test_reruns_agree(scored):
@@ -72,6 +73,8 @@ def test_nulls_empty_texts_and_tables(spark, scored):
     none = T.toxicity(docs, labels.limit(0)).collect()
     assert len(none) == 6 and not any(r.is_toxic for r in none)
     assert T.toxicity(docs.limit(0), labels).collect() == []
+    clash = T.toxicity(docs.withColumn("_p", F.lit("mine")), labels)
+    assert {r["_p"] for r in clash.collect()} == {"mine"} and "_p_" not in clash.columns
     odd = spark.createDataFrame([(None, 1, 1), (2, None, 0), (3, 1, None), (3, 1, 1)], labels.schema)
     assert T.toxicity(docs, odd).count() == 6
 

@@ -129,3 +129,9 @@ def test_copies_of_a_page_keep_what_only_they_have(spark, copies):
     found = {r.page_id: r.text for r in W.main_text(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
     assert all(found[i] == expected(i) for i in range(20))
     assert {found[100 + k] for k in range(copies)} == {f"{expected(50)} Term Meaning Caption Own block"}
+
+
+def test_columns_with_the_names_of_helpers_stay(spark):
+    df = spark.createDataFrame([("https://a.b/c", "<article><p>one</p></article>", "mine", 5)], "url string, html string, _host string, _WRAPPER int")
+    row = W.main_text(df).first().asDict()
+    assert row["text"] == "one" and row["_host"] == "mine" and row["_WRAPPER"] == 5
