@@ -1,12 +1,14 @@
 """The corpus pipeline: stages that filter, clean, thin out and mix `documents`.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage before kept. All but
-the last return the columns of `documents`; the last adds the mix.
+the last return the columns of `documents`; the last adds the mix. A stage begins when the result of
+the one before is written, so what that one staged on the way is deleted then.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,11 +16,24 @@ from pyspark.sql import functions as F
 from galegrid.llm import decontaminate, line_dedup, mixing, ngram_join, toxicity
 from galegrid.llm.common import columns_of, table
 from galegrid.operators.skew import checked_join
-from galegrid.session import cut_lineage
+from galegrid.session import cut_lineage, free_owned, owned_by
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _stage(function: Stage) -> Stage:
+    """Free what earlier stages staged, unless `docs` still reads it, and own what this one stages."""
+
+    @wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        free_owned(spark, __name__, unless_read_by=docs)
+        with owned_by(__name__):
+            return function(spark, docs, sf_dir)
+
+    return run
+
+
+@_stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 1: documents that the classifier chain rejects go.
 
@@ -29,6 +44,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return columns_of(scored.where(~F.col("is_toxic") | (F.length(F.coalesce("text", F.lit(""))) == 0)), docs)
 
 
+@_stage
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 2: passages that repeat earlier text are deleted from the texts.
 
@@ -40,6 +56,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return columns_of(left.withColumn("n_chars", F.when(F.col("n_runs") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))), docs)
 
 
+@_stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 3: of each group that links at 80 % of 5-word shingles the least key stays.
 
@@ -50,11 +67,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return checked_join(docs, cut_lineage(others), ["doc_id"], ["doc_id"], "left_anti")
 
 
+@_stage
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 4: documents that overlap with a benchmark item go."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 5: the documents with their size, their source's target, copies and words taken.
 
