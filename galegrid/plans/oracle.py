@@ -224,6 +224,7 @@ def oracle_sql() -> dict[str, str]:
         "label_counts": label_counts,
         "label_counts_aligned": label_counts,
         "hourly_align": f"WITH {W}, {I}, {WI} SELECT {_ALIGNED} FROM wi",
+        "bucketed_align": f"WITH {W}, {I}, {WI} SELECT {_ALIGNED} FROM wi",
         "hourly_align_utc": (
             f"WITH {W}, {I}, u AS (SELECT *, Incident_Starttime - INTERVAL 1 HOUR AS ut FROM i) "
             f"SELECT {_ALIGNED} FROM w LEFT JOIN u "
@@ -436,6 +437,7 @@ def oracle_sql() -> dict[str, str]:
             "WHERE page NOT IN (SELECT page FROM g WHERE top < 490000)"
         ),
         "weather_text_scan": f"WITH {W} SELECT * REPLACE (CAST(HH AS TINYINT) AS HH) FROM w",
+        "weather_mixed_folder": f"WITH {W} SELECT * REPLACE (CAST(HH AS TINYINT) AS HH) FROM w",
         "weather_mixed_headers": f"WITH {W} SELECT * REPLACE (CAST(HH AS TINYINT) AS HH) FROM w",
         "feature_pages_with_bad_ones": (
             "SELECT c_custkey AS id, nullif(c_mktsegment, 'MACHINERY') AS segment, c_acctbal AS balance, "

@@ -69,6 +69,8 @@ QUERIES: dict[str, q.Query] = {
         q.missing_pages,
         s.weather_text_scan,
         s.weather_mixed_headers,
+        s.weather_mixed_folder,
+        s.bucketed_align,
         s.weather_json_scan,
         s.incident_csv_scan,
         s.plain_csv_scan,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.geometry import with_points
-from ..operators import quality
+from ..operators import align, quality
 from ..schemas import WEATHER_COLUMNS
 from ..session import staging_path
 from ..sources import catalog, loaders
@@ -65,6 +65,33 @@ def weather_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
     return loaders.load_weather(spark, paths)
 
 
+def weather_mixed_folder(spark: SparkSession, sf: str) -> DataFrame:
+    """Weather through one folder whose files have their columns in two orders."""
+    path = staging_path(spark, "weather-folder")
+    for k, columns in enumerate((WEATHER_COLUMNS, tuple(reversed(WEATHER_COLUMNS)))):
+        hours = _weather_numbers(spark, sf).where(F.col("HH") % 2 == k)
+        hours.select(*columns).write.mode("append").csv(path, header=True)
+    return loaders.load_weather(spark, path)
+
+
+def bucketed_align(spark: SparkSession, sf: str) -> DataFrame:
+    """The hourly alignment of tables that are stored in buckets of date and hour."""
+    location = staging_path(spark, "bucketed")
+    schema = "galegrid_check_" + location[-8:]
+    keys = ["YYYYMMDD", "HH"]
+    incidents = align.incident_features(inputs.incidents(spark, sf))
+    slots = incidents.select(
+        "Incident_ID", "Damage_Type", "Incident_Starttime",
+        F.col("Incident_Date").alias("YYYYMMDD"), F.col("IncStrt_Hour").cast("int").alias("HH"),
+    )
+    hours = inputs.weather(spark, sf).withColumn("HH", F.col("HH").cast("int"))
+    catalog.save_table(hours, schema, "weather", location, buckets=8, by=keys)
+    catalog.save_table(slots, schema, "incidents", buckets=8, by=keys)
+    stored = catalog.read_table(spark, schema, "incidents").hint("merge")
+    joined = catalog.read_table(spark, schema, "weather").join(stored, keys, "left")
+    return joined.select(*keys, *align.CONDITIONS, "Incident_ID", "Damage_Type", "Incident_Starttime")
+
+
 def weather_json_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Weather through one JSON array per day whose last hour is repeated in the next file."""
     path = staging_path(spark, "weather-json")

@@ -2,20 +2,25 @@
 
 A save writes a new version of the table's files beside the old one and then points the table at
 it. Until that moment readers see the old version, a write that fails changes nothing, and a frame
-that reads the table can replace it.
+that reads the table can replace it. Tables can be stored in sorted buckets of the columns that they
+will be joined by; a join of two such tables then shuffles neither.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.columns import quoted
 from ..operators.quality import observe_profile
 from ..session import delete
 
 #: Table property that names the folder with a table's versions.
 VERSIONS = "galegrid.versions"
+#: Table property that names the buckets.
+LAYOUT = "galegrid.layout"
 
 
 def _name(*parts: str) -> str:
@@ -46,14 +51,18 @@ def save_table(
     location: str | None = None,
     profile: bool = False,
     dates: str | None = None,
+    buckets: int = 0,
+    by: Sequence[str] = (),
 ) -> DataFrame | None:
     """Write `schema.table` as Parquet, replacing what it held once all is written.
 
     `location` is where a new schema keeps its tables; by default the warehouse folder. With
     `profile` the write itself observes the rows: the result is a table (column, metric, value) of the
     number of rows and columns, nulls, count, mean, std, min and max, at no further scan; `dates`
-    adds the first and last day of that column. The version before the last stays until the next
-    save, for readers that still go through it.
+    adds the first and last day of that column. `buckets` deals the rows to that many buckets by the
+    columns `by`, a sorted file for each; tables that are to be joined need the same number and
+    columns of the same types. A key with very many rows makes a large bucket. The version before the
+    last stays until the next save, for readers that still go through it.
     """
     spark = df.sparkSession
     where = "" if location is None else f" LOCATION {_text(location)}"
@@ -65,12 +74,14 @@ def save_table(
     told = None
     if profile:
         df, told = observe_profile(df, dates=dates)
+    layout = f"{buckets}: {', '.join(by)}" if buckets else ""
     try:
-        df.write.format("parquet").save(path)
+        _write(df, path, _name(schema, f"{table}_{path.rsplit('/', 1)[1]}"), buckets, by)
     except BaseException:
         delete(spark, path)
         raise
-    if found is not None and VERSIONS in found and spark.table(name).schema == spark.read.parquet(path).schema:
+    same = found is not None and VERSIONS in found and found.get(LAYOUT, "") == layout
+    if same and spark.table(name).schema == spark.read.parquet(path).schema:
         spark.sql(f"ALTER TABLE {name} SET LOCATION {_text(path)}")
         spark.catalog.refreshTable(name)
     else:
@@ -78,13 +89,26 @@ def save_table(
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         written = spark.read.parquet(path)
         columns = ", ".join(f"{_name(f.name)} {f.dataType.simpleString()}" for f in written.schema.fields)
-        spark.sql(
-            f"CREATE TABLE {name} ({columns}) USING parquet LOCATION {_text(path)} TBLPROPERTIES ({_text(VERSIONS)} = {_text(folder)})"
-        )
+        keys = ", ".join(_name(c) for c in by)
+        clustered = f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS" if buckets else ""
+        properties = f"{_text(VERSIONS)} = {_text(folder)}, {_text(LAYOUT)} = {_text(layout)}"
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{clustered} LOCATION {_text(path)} TBLPROPERTIES ({properties})")
     _forget(spark, folder, path)
     return told() if told else None
 
 
+def _write(df: DataFrame, path: str, entry: str, buckets: int, by: Sequence[str]) -> None:
+    """The files of a version; buckets are written through an entry of the catalogue that goes again."""
+    if not buckets:
+        df.write.format("parquet").save(path)
+        return
+    dealt = df.repartition(buckets, *[quoted(c) for c in by])
+    try:
+        dealt.write.format("parquet").bucketBy(buckets, *by).sortBy(*by).option("path", path).saveAsTable(entry)
+    finally:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {entry}")
+
+
 def _forget(spark: SparkSession, folder: str, path: str) -> None:
     """Delete all versions but this one and the one before."""
     root = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,20 +20,40 @@ Paths = str | Sequence[str]
 def read_commented(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame:
     """Comma-separated files with `#` comment lines and padded headers and values, as one table.
 
-    Columns are found by their cleaned header name. Each of several paths is read by its own
-    header, so their columns may be in any order; files of one path (a folder or pattern) must
-    have one header, and another one is an error when they are read. A column missing in
-    `schema` stays text, one missing in the files is an error. A value that is not of its type
-    is an error as well.
+    Columns are found by their cleaned header name, and every file is read by its own header, so
+    their columns may be in any order, in one folder as well. The table has the columns of the first
+    file's header; a file that lacks one, or has another, is an error. A column missing in `schema`
+    stays text, one missing in the files is an error. A value that is not of its type is an error
+    as well, whatever the session's ANSI mode.
     """
-    tables = [_read_commented(spark, p, schema) for p in ([paths] if isinstance(paths, str) else paths)]
-    first, *others = tables
+    groups = [g for p in ([paths] if isinstance(paths, str) else paths) for g in _by_header(spark, p)]
+    first, *others = [_read_commented(spark, g, schema) for g in groups]
     for other in others:
         first = first.unionByName(other)
     return first
 
 
-def _read_commented(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _by_header(spark: SparkSession, path: str) -> list[Paths]:
+    """The files of a path by their headers; the path itself where they have one.
+
+    The first line of each file that is no comment comes from one pass over the text, which combines
+    before its shuffle; the driver gets the file names, as it does to list them.
+    """
+    read = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n")).alias("place"),
+    )
+    lines = read.where((F.trim("value") != "") & ~F.ltrim("value").startswith("#"))
+    first = lines.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    names = F.regexp_replace("header", r"[ \t]", "")
+    found = first.groupBy(names.alias("header")).agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    if len(found) <= 1:
+        return [path]
+    return [[unquote(f) for f in row["files"]] for row in sorted(found, key=lambda r: r["files"][0])]
+
+
+def _read_commented(spark: SparkSession, path: Paths, schema: T.StructType) -> DataFrame:
     options = {"header": True, "comment": "#", "ignoreLeadingWhiteSpace": True, "ignoreTrailingWhiteSpace": True}
     header = spark.read.csv(path, **options).schema
     # With a schema and without enforcing it the reader compares the header of every file.
@@ -41,9 +62,15 @@ def _read_commented(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     missing = [c for c in types if c not in raw.columns]
     if missing:
         raise ValueError(f"columns not in the files: {missing}")
-    return raw.select(
-        *[quoted(c).cast(types[c]).alias(c) if c in types else quoted(c) for c in raw.columns]
-    )
+    return raw.select(*[_typed(c, types[c]) if c in types else quoted(c) for c in raw.columns])
+
+
+def _typed(column: str, kind: T.DataType) -> Column:
+    """A text column as `kind`; text that is none is an error, empty text is null."""
+    text = quoted(column)
+    value = text.try_cast(kind)
+    bad = value.isNull() & (F.trim(text) != "")
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"{column}: "), text)).cast(kind)).otherwise(value).alias(column)
 
 
 def read_csv(

@@ -201,7 +201,7 @@ def test_catalog(spark, tmp_path):
 
 
 def test_other_header_orders(spark, tmp_path):
-    """A path of its own is read by its own header; another header within a path is an error."""
+    """Every file is read by its own header, also within a path; other columns are an error."""
     one, two = tmp_path / "one", tmp_path / "two"
     for folder, header, values in ((one, "STN,YYYYMMDD,HH,DD,FX", "240,20240101,1,10,20"), (two, "STN,YYYYMMDD,HH,FX,DD", "240,20240101,2,20,10")):
         folder.mkdir()
@@ -209,6 +209,9 @@ def test_other_header_orders(spark, tmp_path):
     df = loaders.load_weather(spark, [str(one), str(two)], SCHEMA)
     assert [(r.HH, r.DD, r.FX) for r in df.collect()] == [(2, 10, 20), (1, 10, 20)]
     (one / "x.txt").write_text((two / "w.txt").read_text())
+    both = loaders.load_weather(spark, str(one), SCHEMA)
+    assert [(r.HH, r.DD, r.FX) for r in both.collect()] == [(2, 10, 20), (1, 10, 20)]
+    (one / "y.txt").write_text("STN,YYYYMMDD,HH,FX,OTHER\n240,20240101,2,20,10\n")
     with pytest.raises(Exception):
         loaders.load_weather(spark, str(one), SCHEMA).collect()
 
@@ -357,3 +360,45 @@ def test_a_first_document_that_is_none_is_an_error(spark, tmp_path):
     (tmp_path / "page=1.json").write_text("<html>")
     with pytest.raises(ValueError, match="first page"):
         files.read_features(spark, str(tmp_path), SPLIT_SCHEMA, split=True)
+
+
+def test_files_of_one_folder_by_their_own_header(spark, tmp_path):
+    """Two orders of columns in one folder; names with blanks; bad values with ANSI mode off."""
+    schema = T.StructType([T.StructField("A", T.IntegerType()), T.StructField("B", T.IntegerType())])
+    folder = tmp_path / "two orders"
+    folder.mkdir()
+    (folder / "x 1.txt").write_text("# note\n\n#A, B\n  A,   B\t,C\n 1,  2, p\n 3,, q\n")
+    (folder / "x%2.txt").write_text("# other\nC,B,A\nr,5,4\n# last\n")
+    (folder / "x 3.txt").write_text("A,B,C\n7,8,s\n")
+    (folder / "empty.txt").write_text("# nothing\n")
+    read = files.read_commented(spark, str(folder), schema)
+    assert read.columns == ["A", "B", "C"]
+    assert rows(read) == rows(spark.createDataFrame([(1, 2, "p"), (3, None, "q"), (4, 5, "r"), (7, 8, "s")], "A int, B int, C string"))
+    (folder / "x 4.txt").write_text("A,B,C\n7,x8,s\n")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="B: x8"):
+            files.read_commented(spark, str(folder), schema).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    (folder / "x 5.txt").write_text("A,D\n1,2\n")
+    with pytest.raises(Exception):
+        files.read_commented(spark, str(folder), schema).collect()
+
+
+def test_bucketed_tables_join_without_exchange(spark, tmp_path):
+    left = spark.range(500).select((F.col("id") % 50).alias("k"), (F.col("id") % 7).cast("int").alias("h"), "id")
+    right = spark.range(50).select(F.col("id").alias("k"), (F.col("id") % 7).cast("int").alias("h"), F.lit("x").alias("v"))
+    catalog.save_table(left, "bucketed_t", "l", str(tmp_path / "wh"), buckets=4, by=["k", "h"])
+    catalog.save_table(right, "bucketed_t", "r", buckets=4, by=["k", "h"])
+
+    def joined():
+        return catalog.read_table(spark, "bucketed_t", "l").join(catalog.read_table(spark, "bucketed_t", "r").hint("merge"), ["k", "h"])
+
+    assert "Exchange" not in plan(joined())
+    assert joined().count() == left.join(right, ["k", "h"]).count()
+    catalog.save_table(catalog.read_table(spark, "bucketed_t", "l").where("id < 100"), "bucketed_t", "l", buckets=4, by=["k", "h"])
+    assert "Exchange" not in plan(joined()) and catalog.read_table(spark, "bucketed_t", "l").count() == 100
+    catalog.save_table(left, "bucketed_t", "l")
+    assert "Exchange" in plan(joined()) and catalog.read_table(spark, "bucketed_t", "l").count() == 500
+    assert {t.name for t in spark.catalog.listTables("bucketed_t")} == {"l", "r"}
