@@ -321,14 +321,17 @@ def _move_vertex(vertex: Column) -> Column:
     return F.array(*rd_to_wgs84(vertex[0], vertex[1]))
 
 
-def reproject_wkt(wkt: Column) -> Column:
-    """A POINT, POLYGON or MULTIPOLYGON text moved from EPSG:28992 to EPSG:4326."""
+def reproject_wkt(wkt: Column, move: Callable[[Column], Column] = _move_vertex) -> Column:
+    """A POINT, POLYGON or MULTIPOLYGON text moved from EPSG:28992 to EPSG:4326.
+
+    `move` takes a vertex to another, by default with the polynomial.
+    """
 
     def moved(rings: Column) -> Column:
-        return F.transform(rings, lambda ring: F.transform(ring, _move_vertex))
+        return F.transform(rings, lambda ring: F.transform(ring, move))
 
     kind = F.upper(F.regexp_extract(wkt, r"^\s*([A-Za-z]+)", 1))
-    point = let(F.array(point_x(wkt), point_y(wkt)), _move_vertex)
+    point = let(F.array(point_x(wkt), point_y(wkt)), move)
     # The parts of a multipolygon meet at `)), ((`; a part then reads like one polygon.
     parts = F.transform(
         F.split(wkt, r"\)\s*\)\s*,\s*\(\s*\("),

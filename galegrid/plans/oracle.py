@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from ..functions import datum
 from ..functions.geometry import (
     RD_LAT_TERMS,
     RD_LON_TERMS,
@@ -29,6 +32,34 @@ from .queries import INDICATORS, SMALL_TREES
 _DRAW = "('0x' || substr(md5('42|' || {key}), 1, 15))::BIGINT"
 
 
+def _reproject_datum() -> str:
+    """The datum transformation step by step."""
+    d, (rx, ry, rz) = datum, datum.ANGLES
+    e2 = d.BESSEL[1] * (2 - d.BESSEL[1])
+    a, f = d.WGS84
+    w2, b = f * (2 - f), a * (1 - f)
+    series = " + ".join(f"{factor!r} * sin({2 * k}e0 * c)" for k, factor in enumerate(d.SERIES, 1))
+    n = {k: f"({v!r}::DOUBLE)" for k, v in dict(
+        near=d.NEAR, far=d.FAR, power=d.POWER, lon=math.radians(d.ORIGIN[1]), centre=d.CENTRE, scaled=2 * d.RADIUS * d.SCALE,
+        factor=d.FACTOR, e2=e2, bessel=d.BESSEL[0], grow=d.GROWTH, rx=rx, ry=ry, rz=rz, a=a, b=b, w2=w2,
+    ).items()}
+    tx, ty, tz = (f"{t!r}::DOUBLE" for t in d.SHIFT)
+    return (
+        "WITH g AS (SELECT l_orderkey, l_linenumber, l_extendedprice * 0.5e0 + 120000e0 - 155000e0 AS e, "
+        "l_quantity * 400e0 + 470000e0 - 463000e0 AS n FROM lineitem), "
+        f"i AS (SELECT *, atan(e / ({n['far']} + n)) AS i FROM g), j AS (SELECT *, atan(e / ({n['near']} - n)) - i AS j FROM i), "
+        f"s AS (SELECT *, (j + 2 * i) / {n['power']} + {n['lon']} AS lam, sin({n['centre']} + 2 * atan((n - e * tan(j / 2)) / {n['scaled']})) AS s FROM j), "
+        f"c AS (SELECT *, 2 * atan(exp(ln((1 + s) / ({n['factor']} * (1 - s))) / (2 * {n['power']}))) - pi() / 2 AS c FROM s), "
+        f"p AS (SELECT *, c + {series} AS phi FROM c), v AS (SELECT *, {n['bessel']} / sqrt(1 - {n['e2']} * sin(phi) * sin(phi)) AS v FROM p), "
+        f"o AS (SELECT *, v * cos(phi) * cos(lam) AS x, v * cos(phi) * sin(lam) AS y, v * (1 - {n['e2']}) * sin(phi) AS z FROM v), "
+        f"m AS (SELECT l_orderkey, l_linenumber, {tx} + {n['grow']} * (x - {n['rz']} * y + {n['ry']} * z) AS x, "
+        f"{ty} + {n['grow']} * ({n['rz']} * x + y - {n['rx']} * z) AS y, {tz} + {n['grow']} * (-{n['ry']} * x + {n['rx']} * y + z) AS z FROM o), "
+        f"t AS (SELECT *, sqrt(x * x + y * y) AS flat, atan2(z * {n['a']}, sqrt(x * x + y * y) * {n['b']}) AS t FROM m) "
+        "SELECT l_orderkey, l_linenumber, round(degrees(atan2(y, x)), 9) AS lon, round(degrees(atan2("
+        f"z + {n['w2']} / (1 - {n['w2']}) * {n['b']} * sin(t) * sin(t) * sin(t), flat - {n['w2']} * {n['a']} * cos(t) * cos(t) * cos(t))), 9) AS lat FROM t"
+    )
+
+
 def _small_trees() -> str:
     """The rows of `queries.poisson_trees`, split to the row, and its trees."""
     names = ", ".join(INDICATORS)
@@ -294,6 +325,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT o_orderkey, ('0x' || substr(md5('42|' || CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT "
             "% 1000000 < 800000 AS is_train FROM orders"
         ),
+        "reproject_datum": _reproject_datum(),
         "exact_split": (
             f"SELECT o_orderkey, row_number() OVER (ORDER BY {_DRAW.format(key='o_orderkey::VARCHAR')}) > ceil(count(*) OVER () * 0.2) AS is_train "
             "FROM orders"

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as col
+from ..functions import datum
 from ..functions import geometry as geo
 from ..operators import align, grid, model, nearest, profile_counts, quality, ranks, spatial
 from ..session import cut_lineage
@@ -336,6 +337,21 @@ def reproject(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def reproject_datum(spark: SparkSession, sf: str) -> DataFrame:
+    """The same points by the datum transformation."""
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        (F.col("l_extendedprice") * 0.5 + 120000.0).alias("rd_x"),
+        (F.col("l_quantity") * 400.0 + 470000.0).alias("rd_y"),
+    )
+    at = datum.rd_to_wgs84(F.col("rd_x"), F.col("rd_y"))
+    moved = lines.withColumn("at", at)
+    return moved.select(
+        "l_orderkey", "l_linenumber", F.round(F.col("at")[0], 9).alias("lon"), F.round(F.col("at")[1], 9).alias("lat")
+    )
+
+
 # -- area profiles, grid, labels, training rows --------------------------------
 
 

@@ -41,6 +41,7 @@ QUERIES: dict[str, q.Query] = {
         q.nearest_ties,
         q.wkt_roundtrip,
         q.reproject,
+        q.reproject_datum,
         q.area_profile,
         q.area_profile_by_code,
         q.area_profile_long,

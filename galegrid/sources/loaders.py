@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import datum
 from ..functions.columns import parse_yyyymmdd, quoted, require_columns
 from ..functions.geometry import point_wkt, reproject_wkt
 from ..schemas import INCIDENTS, WEATHER, area_properties
@@ -85,12 +86,17 @@ def load_plain(
 
 
 def load_service_areas(
-    spark: SparkSession, paths: Paths, schema: T.StructType | None = None, infer: bool = False
+    spark: SparkSession, paths: Paths, schema: T.StructType | None = None, infer: bool = False, exact: bool = False
 ) -> DataFrame:
-    """Service areas moved from the national grid to longitude and latitude."""
+    """Service areas moved from the national grid to longitude and latitude.
+
+    With `exact` by the datum transformation, else by the polynomial, which is faster.
+    """
     raw = read_csv(spark, paths, schema, infer=infer)
     require_columns(raw, "geomtext")
-    return raw.withColumn("geometry", reproject_wkt(F.col("geomtext"))).drop("geomtext", "geom")
+    text = F.col("geomtext")
+    moved = reproject_wkt(text, lambda v: datum.rd_to_wgs84(v[0], v[1])) if exact else reproject_wkt(text)
+    return raw.withColumn("geometry", moved).drop("geomtext", "geom")
 
 
 def load_features(

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import re
 from fractions import Fraction
 
@@ -8,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from galegrid.functions import datum
 from galegrid.functions import geometry as geo
 
 VALUES = [0.0, -0.0, 4.9, 52.37, -0.1, 0.5, 1 - 2**-53, 123456.789, 1e-9, -1e-5, 0.00390625, 2.0**-17, 7.0]
@@ -105,3 +107,33 @@ def test_covers_random_rings(spark, corners):
     df = spark.createDataFrame(grid, "x double, y double").withColumn("geometry", F.lit(text))
     got = geo.with_edges(df).select(geo.covers("edges", "x", "y")).collect()
     assert [r[0] for r in got] == [exact_inside([ring], x, y) for x, y in grid]
+
+
+#: Official points: longitude, latitude, x, y.
+POINTS = [
+    (4.824761912, 53.160753042, 117380.12, 575040.34),
+    (6.776726674, 53.419482050, 247380.56, 604580.78),
+    (5.387203657, 52.155172897, 155000.0, 463000.0),
+    (3.397588595, 51.368607152, 16460.91, 377380.23),
+    (5.773795548, 50.792584916, 182260.45, 311480.67),
+    (4.072887101, 51.947393898, 64640.89, 440700.01),
+]
+
+
+def test_datum_transformation_on_official_points(spark):
+    """Within the two decimetres that only the correction grid takes away; the polynomial is close to it."""
+    df = spark.createDataFrame(POINTS, "lon double, lat double, x double, y double")
+    exact, quick = datum.rd_to_wgs84(F.col("x"), F.col("y")), geo.rd_to_wgs84(F.col("x"), F.col("y"))
+    for r in df.select("lon", "lat", exact.alias("e"), F.array(*quick).alias("q")).collect():
+        for found, most in ((r.e, 0.2), (r.q, 0.6)):
+            north = (found[1] - r.lat) * 111_200
+            east = (found[0] - r.lon) * 111_200 * math.cos(math.radians(r.lat))
+            assert math.hypot(north, east) < most, (r, north, east)
+
+
+def test_datum_transformation_of_shapes_and_nulls(spark):
+    df = spark.createDataFrame([("POINT (155000 463000)", None), ("POLYGON ((0 300000, 1 300000, 1 300001, 0 300000))", 1.0), (None, 2.0)], "t string, x double")
+    moved = geo.reproject_wkt(F.col("t"), lambda v: datum.rd_to_wgs84(v[0], v[1]))
+    found = df.select(moved.alias("m"), datum.rd_to_wgs84(F.col("x"), F.lit(463000)).alias("p")).collect()
+    assert found[0].m.startswith("POINT (5.38720") and found[0].p is None
+    assert found[1].m.startswith("POLYGON ((3.1") and found[2].m is None and len(found[2].p) == 2
