@@ -19,6 +19,7 @@ import html as _html
 import json
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -28,8 +29,7 @@ from pyspark.sql import functions as F
 
 from ..operators.skew import checked_join
 from ..session import cut_lineage
-from .common import fresh
-from .common import lower_ascii
+from .common import fresh, lower_ascii
 
 #: Wrappers that a task holds before it sends them on.
 HELD = 2000
@@ -51,6 +51,8 @@ DROPPED = frozenset(
     "script style noscript template iframe svg math object canvas audio video map textarea select "
     "button title datalist".split()
 )
+#: Those of them that hold elements; one that is never closed holds nothing.
+PASSED_OVER = frozenset("noscript template svg math object canvas audio video select button".split())
 #: Elements around the article.
 AROUND = frozenset("head nav aside footer form menu dialog fieldset".split())
 #: Words in a class, id or role that mark what is no part of the article.
@@ -68,7 +70,7 @@ _CLOSES = {
 }
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|iframe|svg|math|object|canvas|audio|video|textarea|select|button|title)"
+    r"|<(script|style|textarea|title|iframe|noembed|noframes|xmp)"
     r"\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<[!?/][^>]*+>?"
@@ -105,12 +107,16 @@ def parse(page: str | None) -> tuple[Node, list[tuple[Node, str | None]]]:
     """The page's own wrapper, and its texts with their elements; None marks a block's border.
 
     Repeated siblings, alone or in a group, are one node already. Elements that are left open
-    are closed where their parent ends; closing tags without an element are passed over.
+    are closed where their parent ends; closing tags without an element are passed over. Only
+    elements of raw text (script and the like) reach to the end of the page when left open.
     """
     root = here = Node("", None)
     texts: list[tuple[Node, str | None]] = []
-    linked = False
+    linked, go_on = False, 0
+    closings: dict[str, list[tuple[int, int]]] = {}
     for m in _TOKEN.finditer(page or ""):
+        if m.start() < go_on:
+            continue
         text = m[5]
         if text is not None:
             texts.append((here, text))
@@ -123,6 +129,14 @@ def parse(page: str | None) -> tuple[Node, list[tuple[Node, str | None]]]:
         if name is None:
             continue
         name = name.lower()
+        if name in PASSED_OVER:
+            if not m[2] and not m[4].endswith("/"):
+                if name not in closings:
+                    closings[name] = [c.span() for c in re.finditer(rf"</{name}\s*>", page, re.IGNORECASE)]
+                at = bisect_left(closings[name], (m.end(), 0))
+                if at < len(closings[name]):
+                    go_on = closings[name][at][1]
+            continue
         if name == "br":
             texts.append((here, " "))
             continue

@@ -58,6 +58,9 @@ def one(spark, html, n=1):
         ("<article><p title='a > b'>q</p><div class='share'>Share me</div></article>", "q"),
         ("<article><p>t</p></article><script>never closed <p>x", "t"),
         ("</p></div><article>bare</article>", "bare"),
+        ("<article><p>one</p><button>go<p>two three</p></article>", "one go two three"),
+        ("<article><p>a</p><svg><g><p>x</p></svg><p>b</p><svg/><p>c</p><SELECT><option>o</SELECT ><video><p>d</p></article>", "a b c d"),
+        ("<article><p>a</p><noscript><p>no</p></noscript><p>b</p><script>x<p>y</p></article>", "a b"),
     ],
 )
 def test_pages(spark, html, text):
