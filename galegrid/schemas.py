@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Column names of the source files.
 WEATHER_MEASURES = (
-    "DD FH FF FX T T10N TD SQ Q DR RH P VV N U WW IX M R S O Y".split()
-)
+    "DD", "FH", "FF", "FX", "T", "T10N", "TD", "SQ", "Q", "DR", "RH",
+    "P", "VV", "N", "U", "WW", "IX", "M", "R", "S", "O", "Y",
+)
 WEATHER_COLUMNS = ["STN", "YYYYMMDD", "HH", *WEATHER_MEASURES]
 
 WEATHER = T.StructType([T.StructField(c, T.IntegerType()) for c in WEATHER_COLUMNS])
