@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import quoted, select_except
 from ..session import cut_lineage
 from .align import CONDITIONS
-from .skew import BROADCAST_BYTES, checked_join
+from .skew import BROADCAST_BYTES, checked_join, fits, hot_keys, join_with_hot_keys
 
 ROWS_PER_BLOCK = 2_000
 CHUNK = 10_000
@@ -61,8 +61,16 @@ def condition_grid(
     known = areas.select(quoted(code), quoted(name)).join(
         profile.select(quoted(name)).distinct(), name, "left_semi"
     )
-    keys = all_combinations(known.select(quoted(code), quoted(name)), distinct_conditions(weather, conditions))
-    grid = checked_join(keys, profile, [name], [code, *conditions], "inner", max_bytes)
+    distinct = distinct_conditions(weather, conditions)
+    keys = all_combinations(known.select(quoted(code), quoted(name)), distinct)
+    if fits(profile, max_bytes):
+        grid = keys.join(F.broadcast(profile), [name])
+    else:
+        # a name's rows of the grid follow from its areas, so the grid is not run to count them
+        weight, times = "_weight", distinct.count()
+        per_name = known.groupBy(quoted(name)).agg((F.count(F.lit(1)) * times).alias(weight))
+        hot = hot_keys(per_name, [name], weight=weight)
+        grid = join_with_hot_keys(keys, profile, [name], [code, *conditions], hot)
     wide = [c for c in profile.columns if c != name]
     return grid.select(*[quoted(c) for c in [code, name, *conditions, *wide]])
 

@@ -176,6 +176,21 @@ def test_condition_grid(areas, weather, profile):
     assert "NestedLoop" not in plan(full) and "Cartesian" not in plan(full)
 
 
+@pytest.mark.parametrize("most", [1, 10**6])
+def test_condition_grid_beyond_the_broadcast_bound(monkeypatch, areas, weather, profile, most):
+    """Hot names are counted in the narrow factors: the grid itself is built once."""
+    plans, hot = [], grid.hot_keys
+
+    def looked_up(df, keys, **options):
+        plans.append(plan(df))
+        return hot(df, keys, most, **options)
+
+    monkeypatch.setattr(grid, "hot_keys", looked_up)
+    full = grid.condition_grid(areas, weather, profile, "code", "name", max_bytes=0)
+    assert rows(full) == rows(grid.condition_grid(areas, weather, profile, "code", "name"))
+    assert len(plans) == 1 and "_many" not in plans[0] and "FX" not in plans[0]
+
+
 @pytest.mark.parametrize("rows_per_block", [1, 2, 2000])
 def test_all_combinations(spark, monkeypatch, rows_per_block):
     monkeypatch.setattr(grid, "ROWS_PER_BLOCK", rows_per_block)
