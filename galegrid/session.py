@@ -109,17 +109,17 @@ def discard(*frames: DataFrame) -> None:
             delete(df.sparkSession, path)
 
 
-def cut_lineage(df: DataFrame, replacing: DataFrame | None = None) -> DataFrame:
+def cut_lineage(df: DataFrame, replacing: DataFrame | None = None, free: bool = False) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
-    A lost executor then costs no recomputation, and the planner knows the true size. What the
-    write shuffled is freed with its end. `replacing` is a frame that this function returned before
-    and nobody reads any more: its files go.
+    A lost executor then costs no recomputation, and the planner knows the true size. With `free`
+    what the write shuffled goes with its end, not when the driver next collects garbage. `replacing`
+    is a frame that this function returned before and nobody reads any more: its files go.
     """
     spark = df.sparkSession
     path = staging_path(spark, "cut")
     before = spark.conf.get(_FREE_SHUFFLES)
-    spark.conf.set(_FREE_SHUFFLES, "true")
+    spark.conf.set(_FREE_SHUFFLES, "true" if free else before)
     try:
         df.write.parquet(path)
     finally:
