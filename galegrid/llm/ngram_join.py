@@ -281,24 +281,32 @@ def shared_signatures(sets: DataFrame) -> DataFrame:
     return shared
 
 
+def _told(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) with their sizes, the bits in which they differ, and `may` link."""
+    both = pairs.distinct()
+    for side in ("a", "b"):
+        named = [F.col("doc").alias(side), F.col("n").alias(f"{side}_n"), F.col("bits").alias(f"{side}_bits")]
+        both = both.join(sketches.select(*named), side)
+    told = both.withColumn("turned", _turned("a_bits", "b_bits"))
+    return told.select("a", "a_n", "b", "b_n", "turned", _may_link(F.col("turned"), percent).alias("may")).distinct()
+
+
 def _sized(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) with their sizes, the bits in which they differ, and `may` link.
+    return cut_lineage(_told(pairs, sketches, percent))
+
+
+def _sized_in_rounds(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The same for very many pairs.
 
-    Sketches travel with the pairs, so many pairs are told in several rounds, each of which frees
-    what it shuffled before the next begins.
+    Sketches travel with the pairs, so each of several rounds frees what it shuffled before the next
+    begins.
     """
-    distinct = cut_lineage(pairs.distinct())
+    distinct = cut_lineage(pairs.distinct(), free=True)
     rounds = max(1, min(SKETCH_ROUNDS, -(-distinct.count() // ROUND_PAIRS)))
     told = None
     for turn in range(rounds):
-        both = distinct.where(F.pmod(F.xxhash64("a", "b"), F.lit(rounds)) == turn) if rounds > 1 else distinct
-        for side in ("a", "b"):
-            named = [F.col("doc").alias(side), F.col("n").alias(f"{side}_n"), F.col("bits").alias(f"{side}_bits")]
-            both = both.join(sketches.select(*named), side)
-        both = both.withColumn("turned", _turned("a_bits", "b_bits"))
-        part = cut_lineage(
-            both.select("a", "a_n", "b", "b_n", "turned", _may_link(F.col("turned"), percent).alias("may")).distinct()
-        )
+        chosen = distinct.where(F.pmod(F.xxhash64("a", "b"), F.lit(rounds)) == turn) if rounds > 1 else distinct
+        part = cut_lineage(_told(chosen, sketches, percent), free=rounds > 1)
         told = part if told is None else told.unionByName(part)
     discard(distinct)
     return told
@@ -353,9 +361,9 @@ def _joined_up(
     is verified at once.
     """
     checked = checked.unionByName(_ruled_out(pairs))
-    rest, mine = pairs.where("may"), None
+    rest = pairs.where("may")
     for turn in range(BEST_FIRST + 1):
-        rest = cut_lineage(_across(rest.select("a", "a_n", "b", "b_n", "turned", "may"), label), replacing=rest)
+        rest = cut_lineage(_across(rest.select("a", "a_n", "b", "b_n", "turned", "may"), label))
         if rest.isEmpty():
             break
         chosen = rest
@@ -365,11 +373,9 @@ def _joined_up(
             )
             keys = best.select(F.col("m.a").alias("a"), F.col("m.b").alias("b"))
             chosen = cut_lineage(rest.join(keys, ["a", "b"]))
-            rest = cut_lineage(rest.join(keys, ["a", "b"], "left_anti"), replacing=rest)
-        checked = cut_lineage(checked.unionByName(verified(chosen.drop("_a", "_b"), *source)), replacing=mine)
-        mine = checked
+            rest = rest.join(keys, ["a", "b"], "left_anti")
+        checked = cut_lineage(checked.unionByName(verified(chosen.drop("_a", "_b"), *source)))
         label = _labels(checked, percent)
-        discard(chosen)
     return checked, label
 
 
@@ -473,7 +479,7 @@ def ngram_jaccard(
     apart = _across(star.select("a", "b").join(first, ["a", "b"], "left_anti"), label).select("a", "b")
     source = (docs, size, key, text)
     checked, label = _joined_up(checked, label, _sized(apart, sketches, percent), percent, source)
-    second = _sized(_second_pairs(shared, checked, label, sketches, percent), sketches, percent)
+    second = _sized_in_rounds(_second_pairs(shared, checked, label, sketches, percent), sketches, percent)
     _, label = _joined_up(checked, label, second.where("may"), percent, source)
     placed = members.withColumnRenamed("doc", key).distinct()
     out = sets.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"))
