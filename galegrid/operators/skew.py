@@ -41,17 +41,20 @@ def row_bytes(df: DataFrame) -> Column:
     return total
 
 
+def _far_beyond(df: DataFrame, max_bytes: int) -> bool:
+    """Whether the tables that `df` reads are far larger than the bound."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return max_bytes * ESTIMATE_SLACK < read < UNKNOWN_BYTES
+
+
 def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether the whole of `df` stays below `max_bytes`, measured by one aggregate.
 
     When the tables it reads are already far beyond the bound, nothing is run: the answer is
     no, and adaptive execution may still broadcast what turns out to be small.
     """
-    if max_bytes <= 0:
-        return False
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    if max_bytes * ESTIMATE_SLACK < read < UNKNOWN_BYTES:
+    if max_bytes <= 0 or _far_beyond(df, max_bytes):
         return False
     total = df.agg(F.sum(row_bytes(df).cast("bigint")).alias("bytes")).first()["bytes"]
     return (total or 0) <= max_bytes
@@ -98,14 +101,16 @@ def salted_join(
     spread: Sequence[str],
     how: str = "inner",
     rows_per_task: int = ROWS_PER_TASK,
+    shuffled: bool = False,
 ) -> DataFrame:
     """`big` join `small` on equally named `keys`; hot keys of `big` are split over tasks.
 
     `spread` names columns of `big` whose hash picks the salt (a hash, not a random number,
     so a recomputed task gives the same rows). `how` is inner, left (keeps `big`), left_semi
-    or left_anti.
+    or left_anti. `shuffled` says that `small` was measured to be too large for a broadcast: the
+    planner knows its compressed files only, which may be a thousand times smaller.
     """
-    return join_with_hot_keys(big, small, keys, spread, hot_keys(big, keys, rows_per_task), how)
+    return join_with_hot_keys(big, small, keys, spread, hot_keys(big, keys, rows_per_task), how, shuffled)
 
 
 def join_with_hot_keys(
@@ -115,10 +120,11 @@ def join_with_hot_keys(
     spread: Sequence[str],
     hot: DataFrame | None,
     how: str = "inner",
+    shuffled: bool = False,
 ) -> DataFrame:
     """The salted join where the hot keys are known already; a plain one without any."""
     if hot is None:
-        return big.join(small, list(keys), how)
+        return big.join(small.hint("merge") if shuffled else small, list(keys), how)
     salt = _salt(keys, spread, F.col("_salts"))
     left = _with_salts(big, hot, keys).withColumn("_salt", salt).drop("_salts")
     right = (
@@ -126,7 +132,7 @@ def join_with_hot_keys(
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
         .drop("_salts")
     )
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    return left.join(right.hint("merge") if shuffled else right, [*keys, "_salt"], how).drop("_salt")
 
 
 def checked_join(
@@ -140,7 +146,7 @@ def checked_join(
     """Broadcast `small` when it was measured to fit, else the salted join."""
     if fits(small, max_bytes):
         return big.join(F.broadcast(small), list(keys), how)
-    return salted_join(big, small, keys, spread, how)
+    return salted_join(big, small, keys, spread, how, shuffled=not _far_beyond(small, max_bytes))
 
 
 def salted_outer_join(

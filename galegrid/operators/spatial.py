@@ -311,7 +311,7 @@ def points_in_areas(
 
     Output: the area `keys`, then the point columns. Clashing point columns get the suffix
     `_right` and area keys `_left`. Areas measured to fit are broadcast, so points are not
-    shuffled; larger area tables join on the cell with crowded cells split.
+    shuffled, or else points that fit; two large tables join on the cell with crowded cells split.
     """
     keys = list(keys)
     area_clash, point_clash = clashing(keys, points.columns), clashing(points.columns, keys)
@@ -322,7 +322,9 @@ def points_in_areas(
 
     framed = cut_lineage(framed_areas(areas, keys, edges))
     grid = measure_grid(framed, cell_size)
-    cells = cut_lineage(area_cells(framed, keys, grid))
+    # Small files make many cells: they are dealt out to all cores.
+    dealt = framed.repartition(framed.sparkSession.sparkContext.defaultParallelism, "_area")
+    cells = cut_lineage(area_cells(dealt, keys, grid))
     located = point_cells(points, grid, x, y)
     ready = _filled_slots(cells)
     if fits(ready, max_bytes):
@@ -332,6 +334,9 @@ def points_in_areas(
         if len(grid.levels) > 1 and fits(occupied, max_bytes):
             # Copies of a point on levels without an area there are not shuffled.
             located = located.join(F.broadcast(occupied), CELL_KEYS, "left_semi")
-        joined = salted_join(located, ready, CELL_KEYS, spread=points.columns)
+        if fits(located, max_bytes):
+            joined = ready.join(F.broadcast(located), CELL_KEYS)
+        else:
+            joined = salted_join(located, ready, CELL_KEYS, spread=points.columns, shuffled=True)
     px, py = (f"CAST(`{c.replace('`', '``')}` AS DOUBLE)" for c in (x, y))
     return joined.where(_inside_cell(px, py)).select(*[quoted(c) for c in [*keys, *points.columns]])

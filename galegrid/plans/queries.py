@@ -264,15 +264,21 @@ def spatial_polygons_shuffled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def spatial_mixed_sizes(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items per area where the nations lie among squares a hundredth of their size."""
+    """Line items per area where the nations lie among squares a hundredth of their size.
+
+    Line items at one location are counted before the join, which then meets each location once.
+    """
     squares = inputs.small_squares(spark, sf)
     areas = inputs.areas(spark, sf).select("code", "edges").unionByName(squares)
     points = table(spark, sf, "lineitem").select(
         F.col("l_quantity").alias("x"), F.round(F.col("l_discount") * 100).alias("y"), "l_linenumber"
     )
-    joined = spatial.points_in_areas(areas, points, ["code"])
+    locations = cut_lineage(
+        points.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"), F.sum("l_linenumber").alias("line"))
+    )
+    joined = spatial.points_in_areas(areas, locations, ["code"])
     return joined.groupBy("code").agg(
-        F.count(F.lit(1)).alias("n_points"), F.sum("l_linenumber").cast("bigint").alias("sum_line")
+        F.sum("n").alias("n_points"), F.sum("line").cast("bigint").alias("sum_line")
     )
 
 

@@ -73,6 +73,26 @@ def test_spatial_plan_has_no_nested_loop(areas, points):
         assert "NestedLoop" not in text and "Cartesian" not in text and "Python" not in text
 
 
+def test_cells_beyond_the_bound_are_not_broadcast(monkeypatch, areas, points):
+    """Not even where their files are small; points within the bound are, and meet the same areas."""
+    brute = rows(spatial.points_in_areas(areas, points, ["area"]), "area", "id")
+    shuffled = spatial.points_in_areas(areas, points, ["area"], max_bytes=1)
+    assert "SortMergeJoin" in plan(shuffled) and "BroadcastHashJoin" not in plan(shuffled)
+    assert rows(shuffled, "area", "id") == brute
+    monkeypatch.setattr(spatial, "fits", lambda df, max_bytes: "_whole" not in df.columns)
+    swapped = spatial.points_in_areas(areas, points, ["area"])
+    assert "BuildRight" in plan(swapped) and "SortMergeJoin" not in plan(swapped)
+    assert rows(swapped, "area", "id") == brute
+
+
+def test_a_side_measured_too_large_is_not_broadcast(spark):
+    """The planner takes the size of files, and equal rows take next to none."""
+    big = spark.range(1000).withColumn("id", F.col("id") % 10)
+    small = spark.range(10)
+    assert "BroadcastHashJoin" not in plan(skew.checked_join(big, small, ["id"], ["id"], max_bytes=64))
+    assert "BroadcastHashJoin" in plan(skew.checked_join(big, small, ["id"], ["id"]))
+
+
 @pytest.mark.parametrize("rows_per_task", [100, 10**6])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join(spark, how, rows_per_task):
@@ -186,6 +206,18 @@ def test_nearest_single_right_point(spark, leaf_rows):
     check_nearest(spark, left, [(9, 5.0, 5.0)], exclusive=True)
 
 
+@pytest.mark.parametrize("exclusive", [False, True])
+def test_leaves_meet_as_lists(spark, exclusive):
+    """Ties inside a leaf are all kept, though what is dealt anew is one row for each leaf."""
+    left = spark.createDataFrame([(0.0, 0.0), (9.0, 9.0)], "x double, y double")
+    right = spark.createDataFrame([(0.0, 0.0), (0.0, 2.0), (2.0, 0.0), (-2.0, 0.0), (9.0, 8.0)], "x double, y double")
+    found = nearest.nearest_locations(left, right, exclusive)
+    assert "collect_list" in plan(found)
+    ties = [(0.0, 2.0), (2.0, 0.0), (-2.0, 0.0)] if exclusive else [(0.0, 0.0)]
+    want = {(0.0, 0.0, *t, 4.0 if exclusive else 0.0) for t in ties} | {(9.0, 9.0, 9.0, 8.0, 1.0)}
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
 def test_nearest_empty_and_null_sides(spark):
     a = spark.createDataFrame([(1, 0.0, 0.0), (2, None, 1.0)], "i int, x double, y double")
     b = spark.createDataFrame([(9, 1.0, 0.0), (8, 0.0, float("nan"))], "j int, x double, y double")
