@@ -244,18 +244,35 @@ def nearest_locations(left: DataFrame, right: DataFrame, exclusive: bool = False
     spots = _prune(spots, exclusive, [*_LEFT_CELL, "lx", "ly"])
     # A lonely right leaf may be the nearest of very many left locations: split those.
     crowded = hot_keys(pairs, _RIGHT_CELL, ROWS_PER_TASK, weight="l_n")
-    candidates = join_with_hot_keys(
-        spots.select("lx", "ly", *_RIGHT_CELL), rights, _RIGHT_CELL, ["lx", "ly"], crowded
+    # The locations of a right leaf, LEAF_ROWS at most, meet a left one as lists: what is dealt anew
+    # is the nearest of each leaf, not every pair of locations.
+    spot = F.sort_array(F.collect_list(F.struct("rx", "ry")))
+    leaves = rights.groupBy(*_RIGHT_CELL).agg(spot.alias("spots")).select(
+        *_RIGHT_CELL, F.col("spots.rx").alias("xs"), F.col("spots.ry").alias("ys")
     )
-    measured = candidates.select(
-        "lx", "ly", "rx", "ry",
-        geo.squared_distance(F.col("lx"), F.col("ly"), F.col("rx"), F.col("ry")).alias("d2"),
+    candidates = join_with_hot_keys(
+        spots.select("lx", "ly", *_RIGHT_CELL), leaves, _RIGHT_CELL, ["lx", "ly"], crowded
     )
-    if exclusive:
-        measured = measured.where("not (lx = rx and ly = ry)")
-    ranked = measured.withColumn("_min", F.min("d2").over(Window.partitionBy("lx", "ly")))
-    return ranked.where("d2 = _min").select(
-        F.col("lx").alias("x"), F.col("ly").alias("y"), "rx", "ry", "d2"
+
+    def measured(rx: Column, ry: Column) -> Column:
+        d2 = geo.squared_distance(F.col("lx"), F.col("ly"), rx, ry)
+        return F.when(~((rx == F.col("lx")) & (ry == F.col("ly"))), d2) if exclusive else d2
+
+    # Columns of their own, as each is used several times; one without a distance is dropped at last.
+    found = candidates.select("lx", "ly", "xs", "ys", F.zip_with("xs", "ys", measured).alias("d"))
+    found = found.withColumn("least", F.array_min("d"))
+    found = found.withColumn("at", F.expr("array_position(d, least)").cast("int"))
+    lone = F.expr("NOT exists(slice(d, at + 1, size(d)), v -> v = least)")
+    ties = F.expr("filter(arrays_zip(xs, ys, d), s -> s.d = least)")
+    spot_of = "named_struct('rx', xs[at - 1], 'ry', ys[at - 1])"
+    nearest = found.select(
+        "lx", "ly", "least", F.when(F.col("at") > 0, F.when(lone, F.expr(f"array({spot_of})")).otherwise(
+            F.transform(ties, lambda s: F.struct(s["xs"].alias("rx"), s["ys"].alias("ry")))
+        )).alias("spots"),
+    )
+    ranked = nearest.withColumn("_min", F.min("least").over(Window.partitionBy("lx", "ly")))
+    return ranked.where("least = _min").select(
+        F.col("lx").alias("x"), F.col("ly").alias("y"), F.inline("spots"), F.col("least").alias("d2")
     )
 
 
