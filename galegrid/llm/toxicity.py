@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -64,6 +64,12 @@ def features(text: str | None) -> list[str]:
     return list(found)
 
 
+def shared_features(texts: Iterable[str | None]) -> list[list[str]]:
+    """The features of each text; those of several texts are one string, which bounds the memory of a fit."""
+    known: dict[str, str] = {}
+    return [[known.setdefault(f, f) for f in features(t)] for t in texts]
+
+
 def _probability(logit: float) -> float:
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, logit))))
 
@@ -146,7 +152,7 @@ def _fit_group(links: list[Link], category: str):
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         k = int(group["_model"].iloc[0])
         group = group.sort_values("_row")
-        rows = [features(t) for t in group["_text"]]
+        rows = shared_features(group["_text"])
         before = np.array([list(x) for x in group["_before"]], dtype=float).reshape(len(group), len(links))
         weights, earlier, bias = fit_linear(rows, before, group[category].to_numpy(dtype=float))
         return pd.DataFrame(

@@ -82,3 +82,9 @@ def test_nulls_empty_texts_and_tables(spark, scored):
 def test_one_class_is_its_base_rate():
     weights, earlier, bias = T.fit_linear([["a"], ["b"]], np.zeros((2, 1)), np.zeros(2))
     assert not weights and earlier == (0.0,) and bias < 0
+
+
+def test_texts_share_the_strings_of_their_features():
+    first, second, none = T.shared_features(["ample words", "words again", None])
+    assert set(first) == set(T.features("ample words")) and none == []
+    assert {id(f) for f in first if f == "words"} == {id(f) for f in second if f == "words"}
