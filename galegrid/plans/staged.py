@@ -164,8 +164,8 @@ _POINT_PROPERTIES = T.StructType(
 )
 
 
-def _write_pages(features: DataFrame, path: str) -> None:
-    """One file per page: `page`, `geometry` and `properties` to a feature collection.
+def _collections(features: DataFrame) -> DataFrame:
+    """`page`, `geometry` and `properties` to a feature collection for each page, as `value`.
 
     A page holds PAGE_SIZE features at most, as its number is the key divided by that.
     """
@@ -173,15 +173,25 @@ def _write_pages(features: DataFrame, path: str) -> None:
         F.collect_list(F.struct(F.lit("Feature").alias("type"), "geometry", "properties")).alias("features")
     )
     body = F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features"))
-    collections.select("page", body.alias("value")).repartition("page").write.partitionBy("page").option(
-        "maxRecordsPerFile", 1
+    return collections.select("page", body.alias("value"))
+
+
+def _write_pages(bodies: DataFrame, path: str) -> None:
+    """One file for each `page` with its `value`.
+
+    Files cost time, not bytes: pages are dealt to all cores, however small they are, and each task
+    moves its own files to their place, not the driver all of them.
+    """
+    cores = bodies.sparkSession.sparkContext.defaultParallelism
+    bodies.repartition(cores, "page").write.partitionBy("page").option("maxRecordsPerFile", 1).option(
+        "mapreduce.fileoutputcommitter.algorithm.version", "2"
     ).text(path)
 
 
 def feature_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Customers as points through paged GeoJSON."""
     path = staging_path(spark, "pages")
-    _write_pages(_customer_features(spark, sf, PAGE_SIZE), path)
+    _write_pages(_collections(_customer_features(spark, sf, PAGE_SIZE)), path)
     return loaders.load_features(spark, path, _POINT_PROPERTIES)
 
 
@@ -203,10 +213,10 @@ def feature_pages_with_bad_ones(spark: SparkSession, sf: str) -> DataFrame:
     """The same where every fourth page is an error page, not JSON, or did not land."""
     path = staging_path(spark, "bad-pages")
     features = _customer_features(spark, sf, inputs.BAD_PAGE_SIZE)
-    _write_pages(features.where("page % 4 <> 3"), path)
+    good = _collections(features.where("page % 4 <> 3"))
     bad = features.where("page % 4 = 3 and page % 12 <> 11").select("page").distinct()
     body = F.when(F.col("page") % 12 == 3, '{"type": "Error", "features": null}').otherwise("<html>error 500</html>")
-    bad.select("page", body.alias("value")).repartition("page").write.mode("append").partitionBy("page").text(path)
+    _write_pages(good.unionByName(bad.select("page", body.alias("value"))), path)
     return loaders.load_features(spark, path, _POINT_PROPERTIES)
 
 
@@ -241,7 +251,7 @@ def area_features(spark: SparkSession, sf: str) -> DataFrame:
             F.concat(F.lit("M"), F.col("s_nationkey").cast("string")).alias("gemeentenaam"),
         ).alias("properties"),
     )
-    _write_pages(features, path)
+    _write_pages(_collections(features), path)
     return loaders.load_areas(
         spark, path, "wijkcode", "wijknaam", ["M1", "M4", "M9", "M16", "M20", "M23"], first_page=1
     )

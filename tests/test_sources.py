@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from galegrid import schemas
+from galegrid.plans import staged
 from galegrid.sources import catalog, fetch, files, loaders, splitting
 
 SCHEMA = T.StructType([T.StructField(c, T.IntegerType()) for c in ("STN", "YYYYMMDD", "HH", "DD", "FX")])
@@ -402,3 +403,12 @@ def test_bucketed_tables_join_without_exchange(spark, tmp_path):
     catalog.save_table(left, "bucketed_t", "l")
     assert "Exchange" in plan(joined()) and catalog.read_table(spark, "bucketed_t", "l").count() == 500
     assert {t.name for t in spark.catalog.listTables("bucketed_t")} == {"l", "r"}
+
+
+def test_small_pages_are_written_by_all_cores(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    bodies = spark.range(64).selectExpr("CAST(id AS INT) AS page", "'{}' AS value")
+    staged._write_pages(bodies, path)
+    files = list((tmp_path / "pages").glob("page=*/part-*"))
+    tasks = {f.name.split("-")[1] for f in files}
+    assert len(files) == 64 and len(tasks) > min(spark.sparkContext.defaultParallelism, 4) // 2
