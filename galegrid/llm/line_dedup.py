@@ -10,7 +10,7 @@ first occurrence, in the order of key and place, stays. Lines that come once rul
 text. For the others, the words around a line are first matched as one, with up to 24 words on
 the left and on the right of the line: where these came before, so did all passages through the line.
 Only where they did not are the passages of MIN_WORDS words through the line matched one by one,
-each with its own first occurrence. Only Spark functions are used.
+each with its own first occurrence. Lines are found by numpy, batch by batch; all else is Spark's.
 
 Nothing is gathered for a line or a passage: first occurrences come from an aggregate that Spark
 combines before shuffling, and the rows of a very common one are joined to one row.
@@ -18,12 +18,17 @@ combines before shuffling, and the rows of a very common one are joined to one r
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.skew import checked_join
 from ..session import cut_lineage
-from .common import SPACE, columns_of, fresh
+from .common import SPACE, columns_of, fresh, with_arrow_columns
 
 MIN_WORDS = 50
 #: Words of which one opens a line, and words of a line; together one more than MIN_WORDS.
@@ -44,40 +49,108 @@ def _trimmed(text: Column) -> Column:
     return F.btrim(text, F.lit(_TRIM))
 
 
+def _long_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Documents that are long enough for MIN_WORDS words."""
+    return docs.where(F.col(f"`{key}`").isNotNull() & (F.octet_length(f"`{text}`") >= 2 * MIN_WORDS - 1))
+
+
 def fold(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document (`doc`) the hashes `h` of its words; some with fewer than MIN_WORDS words go."""
-    known = docs.where(F.col(f"`{key}`").isNotNull() & (F.octet_length(f"`{text}`") >= 2 * MIN_WORDS - 1))
+    known = _long_texts(docs, key, text)
     parts = F.split(_trimmed(F.col(f"`{text}`")), f"[{SPACE}]+")
     return known.select(F.col(f"`{key}`").alias("doc"), F.transform(parts, lambda w: F.xxhash64(w)).alias("h"))
 
 
-def fingerprints(folded: DataFrame) -> DataFrame:
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers whose every bit depends on every bit of `x`."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class _Sums:
+    """Hashes of runs of numbers as differences of running sums, modulo 2**64.
+
+    A number weighs a power of an odd base by its place; the inverse power makes runs comparable.
+    """
+
+    def __init__(self, base: int):
+        self.base, self.inverse = np.uint64(base), np.uint64(pow(base, -1, 1 << 64))
+        self.powers = self.inverses = np.ones(1, dtype=np.uint64)
+
+    def hashes(self, values: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        if len(self.powers) <= len(values):
+            size = 2 * len(values) + 1
+            for name, factor in (("powers", self.base), ("inverses", self.inverse)):
+                steps = np.full(size, factor, dtype=np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.cumprod(steps))
+        sums = np.zeros(len(values) + 1, dtype=np.uint64)
+        np.cumsum(values * self.powers[: len(values)], out=sums[1:])
+        return _mixed((sums[stops] - sums[starts]) * self.inverses[starts] + (stops - starts).astype(np.uint64))
+
+
+_LINE = T.StructType([T.StructField(c, T.IntegerType()) for c in ("at", "start", "end")] + [T.StructField(c, T.LongType()) for c in "gc"])
+
+
+def _find_lines() -> Callable[[pa.RecordBatch], list[pa.Array]]:
+    """The lines of the texts of a batch, whose bytes are worked on as one array."""
+    of_bytes, of_words = _Sums(0x9E3779B97F4A7C15), _Sums(0xD1342543DE82EF95)
+    space = np.zeros(256, dtype=bool)
+    space[[0x20, *range(0x09, 0x0E)]] = True
+    byte_codes = _mixed(np.arange(1, 257, dtype=np.uint64))
+
+    def lines(batch: pa.RecordBatch) -> list[pa.Array]:
+        texts = batch.column(0).cast(pa.large_binary())
+        bounds = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[bounds[0] : bounds[-1]]
+        bounds = bounds - bounds[0]
+        # A word begins behind white space or where its text does, and ends likewise.
+        blank = space[data]
+        begins, ends = ~blank, ~blank
+        begins[1:] &= blank[:-1]
+        ends[:-1] &= blank[1:]
+        firsts = bounds[:-1][bounds[:-1] < bounds[1:]]
+        begins[firsts] = ~blank[firsts]
+        lasts = bounds[1:][bounds[:-1] < bounds[1:]] - 1
+        ends[lasts] = ~blank[lasts]
+        starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        words = of_bytes.hashes(byte_codes[data], starts, stops)
+        edges = np.searchsorted(starts, bounds)  # the words of text k: from edges[k] to edges[k + 1]
+        counts = np.diff(edges)
+        base, size = np.repeat(edges[:-1], counts), np.repeat(counts, counts)
+        place = np.arange(len(words)) - base
+        # Low codes win, so that of equal hashes the last does.
+        codes = (words << np.uint64(_PLACE_BITS)).view(np.int64) | (_PLACE - place)
+        least = codes
+        for step in (1, 2, 4, 8, WINDOW - 16):  # the least of 2, 4, 8, 16, WINDOW neighbours
+            least = np.minimum(least[:-step], least[step:]) if len(least) > step else least[:0]
+        window = np.flatnonzero(place[: len(least)] <= size[: len(least)] - MIN_WORDS)
+        least = least[window]
+        new = np.ones(len(window), dtype=bool)
+        new[1:] = (least[1:] != least[:-1]) | (base[window[1:]] != base[window[:-1]])
+        window, at = window[new], _PLACE - (least[new] & _PLACE)
+        first, size = base[window], size[window]
+        start = np.maximum(at - (WINDOW - 1), 0)
+        end = np.minimum(at + MIN_WORDS, size)
+        g = of_words.hashes(words, first + at, first + at + LINE_WORDS)
+        c = of_words.hashes(words, first + start, first + end)
+        columns = [*[(x).astype(np.int32) for x in (at + 1, start + 1, end)], g.view(np.int64), c.view(np.int64)]
+        of = np.searchsorted(first, edges).astype(np.int32)
+        found = pa.StructArray.from_arrays([pa.array(x) for x in columns], names=_LINE.names)
+        return [pa.ListArray.from_arrays(pa.array(of), found)]
+
+    return lines
+
+
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The lines of each document: doc, place `at`, hash `g`, and the words around.
 
     These stand from `start` to `end`, with the hash `c`.
     """
-    size = F.size("h")
-    # Low codes win, so that of equal hashes the last does.
-    codes = F.transform("h", lambda h, i: F.shiftleft(h, _PLACE_BITS).bitwiseOR(F.lit(_PLACE).cast("bigint") - i))
-    coded = folded.select("doc", "h", codes.alias("code"))
-    # `code` is named twice, as what is named once is put in its place and so computed anew for each word.
-    windows = F.sequence(F.lit(1), F.size("code") - F.lit(MIN_WORDS - 1))
-    least = F.transform(windows, lambda p: F.array_min(F.slice("code", p, F.lit(WINDOW))))
-    opened = coded.select("doc", "h", F.when(size >= MIN_WORDS, F.array_distinct(least)).alias("least"))
-
-    def line(code: Column) -> Column:
-        at = F.lit(_PLACE + 1) - code.bitwiseAND(F.lit(_PLACE).cast("bigint")).cast("int")
-        start = F.greatest(at - F.lit(WINDOW - 1), F.lit(1))
-        end = F.least(at + F.lit(MIN_WORDS - 1), size)
-        return F.struct(
-            at.alias("at"),
-            start.alias("start"),
-            end.alias("end"),
-            F.xxhash64(F.slice("h", at, F.lit(LINE_WORDS))).alias("g"),
-            F.xxhash64(F.slice("h", start, end - start + 1)).alias("c"),
-        )
-
-    return opened.select("doc", F.inline(F.transform("least", line)))
+    texts = _long_texts(docs, key, text).select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("text"))
+    found = with_arrow_columns(texts, [T.StructField("lines", T.ArrayType(_LINE))], _find_lines, ["text"], ["doc"], rows=64)
+    return found.select("doc", F.inline("lines"))
 
 
 def _with_first(rows: DataFrame, by: str, place: str) -> DataFrame:
@@ -113,7 +186,7 @@ def _passages(docs: DataFrame, open_: DataFrame, key: str, text: str) -> DataFra
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Later occurrences of passages of MIN_WORDS words and more: doc, start, end; they may overlap."""
-    lines = cut_lineage(fingerprints(fold(docs, key, text)))
+    lines = cut_lineage(fingerprints(docs, key, text))
     common = cut_lineage(_with_first(lines, "g", "at").select("doc", "at", "start", "end", "c"))
     around = cut_lineage(_with_first(common, "c", "start").where(_later("start")).select("doc", "at", "start", "end"))
     open_ = checked_join(common.select("doc", "at"), around.select("doc", "at"), ["doc", "at"], ["doc", "at"], "left_anti")

@@ -149,3 +149,24 @@ def test_rows_of_one_key_keep_their_own_words(spark):
     found = L.line_dedup(df)
     assert found.columns == ["doc_id", "text", "_cuts", "_l", "_ROW", "n_runs"]
     assert sorted(len(r.text.split()) for r in found.collect()) == [0, 10, 80, 200]
+
+
+def test_lines_are_found_by_what_they_say(spark):
+    """Batch by batch, not word by word: each 50 words hold a whole line, the same words the same one."""
+    pick = random.Random(5)
+    shared = [f"w{pick.randrange(30)}" for _ in range(90)]
+    long = [f"v{pick.randrange(9)}é" for _ in range(200)]
+    texts = [" ".join(shared), "\t".join(["x"] * 7 + shared) + "\n", " \n" + "  ".join(long), "a b", None, "y " * 49, "y " * 50]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = L.fingerprints(docs)
+    assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+    lines = {k: [] for k in range(len(texts))}
+    for r in sorted(found.collect(), key=lambda r: (r["doc"], r["at"])):
+        lines[r["doc"]].append(r)
+    assert not lines[3] and not lines[4] and not lines[5] and [(r["at"], r["start"], r["end"]) for r in lines[6]] == [(25, 1, 50)]
+    for k, n in ((0, 90), (1, 97), (2, 200)):
+        at = [r["at"] for r in lines[k]]
+        assert all(any(p <= a and a + 25 <= p + 49 for a in at) for p in range(1, n - 48))
+        assert all(r["start"] == max(r["at"] - 24, 1) and r["end"] == min(r["at"] + 49, n) for r in lines[k])
+    first, second = ({r["at"] - gap: (r["g"], r["end"] - r["at"]) for r in lines[k]} for k, gap in ((0, 0), (1, 7)))
+    assert all(second[a] == v for a, v in first.items())
