@@ -14,8 +14,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import arrow_rows
 from .common import fresh
 
 #: Labelled rows that the models are fitted on, at most.
@@ -30,6 +30,8 @@ MAX_LABELLED = 12_000
 #: Words and word beginnings that one model weighs, at most.
 MAX_FEATURES = 6_000
 FOLDS = 3
+#: Rows that are sent to a fit at a time.
+FIT_BATCH = 500
 RIDGE = 0.02
 #: A feature counts from this many standard errors, and from this share of the clearest one's.
 LEAST_Z, CLEAR_SHARE = 3.0, 0.15
@@ -64,10 +66,18 @@ def features(text: str | None) -> list[str]:
     return list(found)
 
 
-def shared_features(texts: Iterable[str | None]) -> list[list[str]]:
-    """The features of each text; those of several texts are one string, which bounds the memory of a fit."""
+def shared_features(texts: Iterable[str | None]) -> Iterator[list[str]]:
+    """The features of one text after the other; those of several texts are one string."""
     known: dict[str, str] = {}
-    return [[known.setdefault(f, f) for f in features(t)] for t in texts]
+    for t in texts:
+        yield [known.setdefault(f, f) for f in features(t)]
+
+
+def _numbered(rows: Iterable[list[str]]) -> tuple[list[str], list[np.ndarray]]:
+    """The distinct features, and for each row the numbers of its own, which bounds the memory of a fit."""
+    numbers: dict[str, int] = {}
+    cols = [np.array([numbers.setdefault(f, len(numbers)) for f in r], dtype=np.int32) for r in rows]
+    return list(numbers), cols
 
 
 def _probability(logit: float) -> float:
@@ -79,46 +89,52 @@ def _squash(logit: float) -> float:
     return max(-4.0, min(4.0, logit))
 
 
-def select_features(rows: list[list[str]], y: np.ndarray) -> list[str]:
-    """The features whose share differs most, in standard errors, between the classes."""
+def _counts(cols: list[np.ndarray], names: int) -> np.ndarray:
+    """In how many rows each feature is."""
+    total = np.zeros(names, dtype=np.int64)
+    for c in cols:
+        total[c] += 1
+    return total
+
+
+def select_features(names: list[str], cols: list[np.ndarray], y: np.ndarray) -> list[int]:
+    """The numbers of the features whose share differs most, in standard errors, between the classes."""
     n1, n0 = int(y.sum()), int(len(y) - y.sum())
     if not n1 or not n0:
         return []
-    ones, all_rows = Counter(), Counter()
-    for found, label in zip(rows, y):
-        all_rows.update(found)
-        if label:
-            ones.update(found)
-    scored = []
-    for f, n in all_rows.items():
-        if n < 2:
-            continue
-        share = n / len(y)
-        error = math.sqrt(share * (1 - share) * (1 / n1 + 1 / n0)) or 1.0
-        z = (ones[f] / n1 - (n - ones[f]) / n0) / error
-        scored.append((-abs(z), f))
-    scored.sort()
-    least = max(LEAST_Z, CLEAR_SHARE * -scored[0][0]) if scored else 0.0
-    return [f for z, f in scored[:MAX_FEATURES] if -z >= least]
+    ones, all_rows = _counts([c for c, label in zip(cols, y) if label], len(names)), _counts(cols, len(names))
+    known = np.flatnonzero(all_rows >= 2)
+    n, one = all_rows[known], ones[known]
+    share = n / len(y)
+    error = np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
+    z = np.abs((one / n1 - (n - one) / n0) / np.where(error > 0, error, 1.0))
+    least = max(LEAST_Z, CLEAR_SHARE * z.max()) if len(z) else 0.0
+    clear = z >= least
+    scored = sorted(zip((-z[clear]).tolist(), [names[k] for k in known[clear]], known[clear].tolist()))
+    return [k for _, _, k in scored[:MAX_FEATURES]]
 
 
 def fit_linear(
-    rows: list[list[str]], before: np.ndarray, y: np.ndarray, rounds: int = 400
+    rows: Iterable[list[str]], before: np.ndarray, y: np.ndarray, rounds: int = 400
 ) -> tuple[dict[str, float], tuple[float, ...], float]:
     """Logistic regression with a ridge penalty by accelerated gradient steps.
 
     `before` has the earlier log-odds, a column for each earlier link; where no word tells the
     classes apart they are all there is. With one class only the model is the smoothed base rate.
     """
-    names = select_features(rows, y)
+    known, cols = _numbered(rows)
+    chosen = select_features(known, cols, y)
+    names = [known[k] for k in chosen]
     rate = (y.sum() + 0.5) / (len(y) + 1.0)
     if not 0 < y.sum() < len(y) or not (names or before.shape[1]):
         return {}, (0.0,) * before.shape[1], math.log(rate / (1 - rate))
-    place = {f: i for i, f in enumerate(names)}
-    cols = [np.array([place[f] for f in r if f in place], dtype=np.int64) for r in rows]
+    place = np.full(len(known), -1)
+    place[chosen] = np.arange(len(names))
+    cols = [found[found >= 0] for found in (place[c] for c in cols)]
+    del known, place
+    n, dims = len(cols), len(names)
     lengths = np.array([len(c) for c in cols])
-    flat, owner = np.concatenate(cols), np.repeat(np.arange(len(rows)), lengths)
-    n, dims = len(rows), len(names)
+    flat, owner = np.concatenate(cols), np.repeat(np.arange(n), lengths)
     scale = 1.0 / math.sqrt(max(1.0, lengths.mean()))
     w, b, v = np.zeros(dims), math.log(rate / (1 - rate)), np.zeros(before.shape[1])
     # A bound on the curvature of the mean loss gives the step.
@@ -201,9 +217,9 @@ def fit_chain(sample: DataFrame, categories: Sequence[str], folds: int = FOLDS)
     for i, category in enumerate(categories):
         models = F.explode(F.sequence(F.lit(0), F.lit(folds))).alias("_model")
         dealt = rows.select("*", models).where(F.col("_model") != F.col("_fold"))
-        fitted = (
-            dealt.groupBy("_model").applyInPandas(_fit_group(links, f"_y{i}"), _FIT_SCHEMA).collect()
-        )
+        grouped = dealt.groupBy("_model").applyInPandas(_fit_group(links, f"_y{i}"), _FIT_SCHEMA)
+        with arrow_rows(sample.sparkSession, FIT_BATCH):
+            fitted = grouped.collect()
         by_model = {
             r["model"]: Link(category, dict(zip(r["keys"], r["weights"])), tuple(r["earlier"]), r["bias"])
             for r in fitted
@@ -215,41 +231,35 @@ def fit_chain(sample: DataFrame, categories: Sequence[str], folds: int = FOLDS)
     return links
 
 
+def _by_row(function: Callable[..., list[float]]) -> Callable[..., Column]:
+    """A UDF that gets few rows at a time: batches of Arrow would hold thousands of whole texts."""
+    return F.udf(function, "array<double>", useArrow=False)
+
+
 def _out_of_fold(by_model: dict[int, Link], base: Link):
     """Appends the log-odds by the model that left the row's fold out."""
 
-    @F.pandas_udf("array<double>")
-    def append(texts: pd.Series, folds: pd.Series, before: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                [*map(float, b), _squash(by_model.get(int(k), base).logit(features(t), b))]
-                for t, k, b in zip(texts, folds, before)
-            ]
-        )
+    def append(text: str | None, fold: int, before: list[float]) -> list[float]:
+        return [*before, _squash(by_model.get(fold, base).logit(features(text), before))]
 
-    return append
+    return _by_row(append)
 
 
 def _scores(links: list[Link], text: Column) -> Column:
     """The probability of each category, in the order of the chain."""
     kept = frozenset().union(*[link.weights for link in links])
 
-    @F.pandas_udf("array<double>")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            out = []
-            for t in texts:
-                found = kept.intersection(features(t))
-                before: list[float] = []
-                given = []
-                for link in links:
-                    logit = link.logit(sorted(found), before)
-                    before.append(_squash(logit))
-                    given.append(_probability(logit))
-                out.append(given)
-            yield pd.Series(out)
-
-    return score(text)
+    def score(text: str | None) -> list[float]:
+        found = sorted(kept.intersection(features(text)))
+        before: list[float] = []
+        given = []
+        for link in links:
+            logit = link.logit(found, before)
+            before.append(_squash(logit))
+            given.append(_probability(logit))
+        return given
+
+    return _by_row(score)(text)
 
 
 def score_chain(docs: DataFrame, links: list[Link], text: str = "text") -> DataFrame:

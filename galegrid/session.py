@@ -75,9 +75,21 @@ def delete(spark: SparkSession, path: str) -> None:
 #: Paths that `cut_lineage` wrote for a named owner, by application and owner.
 _OWNED: dict[tuple[str, str], list[str]] = {}
 _OWNERS: list[str] = []
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
+    """Jobs that start inside send Python at most `most` rows in an Arrow batch."""
+    before = spark.conf.get(_ARROW_ROWS)
+    spark.conf.set(_ARROW_ROWS, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW_ROWS, before)
+
+
 @contextmanager
 def owned_by(owner: str) -> Iterator[None]:
     """What is staged inside belongs to `owner`, until `free_owned` deletes it."""

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from galegrid.llm import toxicity as T
+from galegrid.session import arrow_rows
 
 BAD = ("grubble", "snarfle", "vexous")
 
@@ -88,3 +90,24 @@ def test_texts_share_the_strings_of_their_features():
     first, second, none = T.shared_features(["ample words", "words again", None])
     assert set(first) == set(T.features("ample words")) and none == []
     assert {id(f) for f in first if f == "words"} == {id(f) for f in second if f == "words"}
+
+
+def test_a_fit_holds_numbers_not_lists_of_words():
+    """Of every word of every text a fit keeps four bytes, no reference to a string."""
+    plain = [f"w{i}" for i in range(1000)]
+    tracemalloc.start()
+    rows = ([*plain, "bad"] if k % 2 else list(plain) for k in range(600))
+    weights, _, _ = T.fit_linear(rows, np.zeros((600, 0)), np.arange(600) % 2.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert list(weights) == ["bad"] and peak < 600 * 1000 * 6
+
+
+def test_whole_texts_are_not_sent_in_large_batches(spark, scored):
+    _, _, _, out = scored
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    with arrow_rows(spark, T.FIT_BATCH):
+        assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == str(T.FIT_BATCH)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
