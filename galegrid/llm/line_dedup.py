@@ -1,16 +1,21 @@
 """Deletes passages that repeat earlier text, found by winnowing over line hashes.
 
-A text is folded into lines by what it says alone, not by its punctuation: of every 25 neighbouring
-words the one with the least hash (the last such) opens a line, which has 26 words and may overlap
-with the next one. Every 50 words thus hold a whole line, and the same 50 words hold the same one
-wherever they stand, so that a repeated passage always shares a line with each of its occurrences.
+A text is folded into lines by what it says alone, not by its punctuation: a word opens a line if its
+hash is small, or if none of the STEP words from it on has a small one. A line has OPENED_WORDS words
+and may overlap with the next ones. Every 50 words thus hold a whole line, and the same 50 words hold
+the same one wherever they stand, so that a repeated passage always shares a line with each of its
+occurrences.
 
 What is deleted is exact: all words of later occurrences of any MIN_WORDS words in a row; the
 first occurrence, in the order of key and place, stays. Lines that come once rule out most of the
-text. For the others, the words around a line are first matched as one, with up to 24 words on
-the left and on the right of the line: where these came before, so did all passages through the line.
-Only where they did not are the passages of MIN_WORDS words through the line matched one by one,
-each with its own first occurrence. Lines are found by numpy, batch by batch; all else is Spark's.
+text. For the others, the words around a line are first matched as one, with up to STEP - 1 words on
+the left and so many on the right that every passage through the line is among them: where these came
+before, so did all passages through the line. Only where one line has different words around it, the
+passages of MIN_WORDS words through it are matched one by one, each with its own first occurrence, at
+one place for all with the same words around.
+
+All of it is Spark's: no Python runs on the executors. `fingerprints` finds lines of another length by
+numpy, batch by batch; the query does not use it.
 
 Nothing is gathered for a line or a passage: first occurrences come from an aggregate that Spark
 combines before shuffling, and the rows of a very common one are joined to one row.
@@ -26,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.skew import checked_join
+from ..operators.skew import checked_join, fits
 from ..session import cut_lineage
 from .common import SPACE, columns_of, fresh, with_arrow_columns
 
@@ -34,6 +39,11 @@ MIN_WORDS = 50
 #: Words of which one opens a line, and words of a line; together one more than MIN_WORDS.
 WINDOW = 25
 LINE_WORDS = MIN_WORDS + 1 - WINDOW
+#: Of STEP neighbouring words one opens a line for the query, and such a line has OPENED_WORDS words; they
+#: too are one more than MIN_WORDS together. A word does so by itself if its hash is below OPENS_BELOW.
+STEP = 36
+OPENED_WORDS = MIN_WORDS + 1 - STEP
+OPENS_BELOW = -(2**31) + 2**32 // 10
 _TRIM = " \t\n\r\x0b\x0c"
 #: Bits of a code that hold the place of a word.
 _PLACE_BITS = 28
@@ -42,7 +52,11 @@ _PLACE = (1 << _PLACE_BITS) - 1
 
 def _lines(text: Column) -> Column:
     """The words with the white space behind them, and that before the first: joined they give the text."""
-    return F.split(text, f"(?<=[{SPACE}])(?=[^{SPACE}])")
+    return F.regexp_extract_all(text, F.lit(f"[^{SPACE}]+[{SPACE}]*|[{SPACE}]+"), F.lit(0))
+
+
+def _words(text: Column) -> Column:
+    return F.split(_trimmed(text), f"[{SPACE}]+")
 
 
 def _trimmed(text: Column) -> Column:
@@ -57,7 +71,7 @@ def _long_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 def fold(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document (`doc`) the hashes `h` of its words; some with fewer than MIN_WORDS words go."""
     known = _long_texts(docs, key, text)
-    parts = F.split(_trimmed(F.col(f"`{text}`")), f"[{SPACE}]+")
+    parts = _words(F.col(f"`{text}`"))
     return known.select(F.col(f"`{key}`").alias("doc"), F.transform(parts, lambda w: F.xxhash64(w)).alias("h"))
 
 
@@ -153,6 +167,31 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return found.select("doc", F.inline("lines"))
 
 
+def openers(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The lines of each document by SQL: doc, place `at`, hash `g`."""
+    w, p, n = F.col("w"), F.col("p"), F.size("w")
+    known = _long_texts(docs, key, text).select(F.col(f"`{key}`").alias("doc"), _words(F.col(f"`{text}`")).alias("w"))
+
+    def opens(word: Column, i: Column) -> Column:
+        return F.when((F.hash(word) < F.lit(OPENS_BELOW)) & (i <= n - F.lit(OPENED_WORDS)), i + 1)
+
+    marked = known.select("doc", "w", F.when(n >= MIN_WORDS, F.array_compact(F.transform(w, opens))).alias("p"))
+    # Between two of them, words with none among themselves and the next ones open lines as well.
+    before, behind = F.concat(F.array(F.lit(0)), p), F.concat(p, F.array(n - F.lit(OPENED_WORDS - 2)))
+    gaps = F.filter(F.arrays_zip(before.alias("a"), behind.alias("b")), lambda x: x["b"] - x["a"] > STEP)
+    dense = F.flatten(F.transform(gaps, lambda x: F.sequence(x["a"] + 1, x["b"] - STEP)))
+    # A generator over a plain column, so that a line does not copy all words; an outer one, as for others the
+    # planner would ask for the size of `places` before the texts are split, and split them once more.
+    places = marked.select("doc", "w", F.concat(p, dense).alias("places"))
+    placed = places.select("doc", "w", F.explode_outer("places").alias("at")).where("at IS NOT NULL")
+    return placed.select("doc", "at", F.xxhash64(F.slice("w", F.col("at"), F.lit(OPENED_WORDS))).alias("g"))
+
+
+def _of(rows: DataFrame, few: DataFrame, by: str) -> DataFrame:
+    """`rows` whose `by` is in `few`, a column of distinct values."""
+    return rows.join(F.broadcast(few) if fits(few) else few.hint("shuffle_hash"), by)
+
+
 def _with_first(rows: DataFrame, by: str, place: str) -> DataFrame:
     """Those of `rows` whose `by` comes at several places, with its first place (doc, place) as `first`.
 
@@ -168,29 +207,45 @@ def _later(place: str) -> Column:
     return F.col("first") != F.struct("doc", F.col(place).alias("place"))
 
 
+def _with_words(docs: DataFrame, places: DataFrame, key: str, text: str) -> DataFrame:
+    """`places`, one row for each document, with the words `w` of its text."""
+    texts = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("text"))
+    held = checked_join(texts, places.select("doc"), ["doc"], ["doc"], "left_semi")
+    return held.join(places, "doc").withColumn("w", _words(F.col("text"))).drop("text")
+
+
+def _around(docs: DataFrame, common: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc, at, g, start, end, c): the lines of `common`, and the hash of the words around each."""
+    places = cut_lineage(common.groupBy("doc").agg(F.collect_set(F.struct("at", "g")).alias("places")))
+
+    start = F.greatest(F.col("at") - F.lit(STEP - 1), F.lit(1)).alias("start")
+    end = F.least(F.col("at") + F.lit(MIN_WORDS - 1), F.size("w")).alias("end")
+    ends = _with_words(docs, places, key, text).select("doc", "w", F.inline("places")).select("*", start, end)
+    around = F.xxhash64(F.slice("w", F.col("start"), F.col("end") - F.col("start") + F.lit(1))).alias("c")
+    return ends.select("doc", "at", "g", "start", "end", around)
+
+
 def _passages(docs: DataFrame, open_: DataFrame, key: str, text: str) -> DataFrame:
     """(doc, start, g): the passages of MIN_WORDS words through the lines of `open_`."""
     places = cut_lineage(open_.groupBy("doc").agg(F.collect_set("at").alias("places")))
-    texts = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("text"))
-    folded = fold(checked_join(texts, places, ["doc"], ["doc"], "left_semi"), "doc", "text")
-    starts = F.flatten(
-        F.transform("places", lambda at: F.sequence(F.greatest(at - F.lit(WINDOW - 1), F.lit(1)), at))
-    )
-    chosen = folded.join(places.select("doc", F.array_distinct(starts).alias("starts")), "doc")
-    inside = F.filter("starts", lambda p: p <= F.size("h") - F.lit(MIN_WORDS - 1))
-    made = F.transform(
-        inside, lambda p: F.struct(p.alias("start"), F.xxhash64(F.slice("h", p, F.lit(MIN_WORDS))).alias("g"))
-    )
-    return chosen.select("doc", F.inline(made))
+    starts = F.flatten(F.transform("places", lambda at: F.sequence(F.greatest(at - F.lit(STEP - 1), F.lit(1)), at)))
+    hashes = F.transform("w", lambda w: F.xxhash64(w)).alias("h")
+    chosen = _with_words(docs, places, key, text).select("doc", F.array_distinct(starts).alias("starts"), hashes)
+    each = chosen.select("doc", "h", F.explode("starts").alias("start")).where(F.col("start") <= F.size("h") - F.lit(MIN_WORDS - 1))
+    return each.select("doc", "start", F.xxhash64(F.slice("h", F.col("start"), F.lit(MIN_WORDS))).alias("g"))
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Later occurrences of passages of MIN_WORDS words and more: doc, start, end; they may overlap."""
-    lines = cut_lineage(fingerprints(docs, key, text))
-    common = cut_lineage(_with_first(lines, "g", "at").select("doc", "at", "start", "end", "c"))
-    around = cut_lineage(_with_first(common, "c", "start").where(_later("start")).select("doc", "at", "start", "end"))
-    open_ = checked_join(common.select("doc", "at"), around.select("doc", "at"), ["doc", "at"], ["doc", "at"], "left_anti")
-    single = cut_lineage(_passages(docs, open_, key, text))
+    lines = cut_lineage(openers(docs, key, text))
+    often = cut_lineage(lines.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g"))
+    common = cut_lineage(_around(docs, _of(lines, often, "g"), key, text))
+    around = _with_first(common.select("doc", "start", "end", "c"), "c", "start").where(_later("start"))
+    # Where a line has the same words around it wherever it stands, this found all. Else one place stands for all
+    # with the same words around.
+    kinds = cut_lineage(common.groupBy("g", "c").agg(F.min(F.struct("doc", "at")).alias("at")))
+    several = cut_lineage(kinds.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g"))
+    single = cut_lineage(_passages(docs, _of(kinds, several, "g").select("at.doc", "at.at"), key, text))
     later = _with_first(single, "g", "start").where(_later("start"))
     return around.select("doc", "start", "end").unionByName(
         later.select("doc", "start", (F.col("start") + F.lit(MIN_WORDS - 1)).alias("end"))
@@ -218,8 +273,9 @@ def _cleaned(text: Column, lines: Column, cuts: Column) -> Column:
     def kept(gap: Column) -> Column:
         return F.array_join(F.slice(lines, gap["start"], F.greatest(gap["stop"] - gap["start"] + 1, F.lit(0))), "")
 
-    left = F.array_join(F.transform(gaps, kept), "")
-    return F.when(_trimmed(left) == "", "").otherwise(left)
+    run = cuts[0]
+    whole = (F.size(cuts) == 1) & (run["start"] == 1) & (run["end"] + lead == F.size(lines))
+    return F.when(whole, "").otherwise(F.array_join(F.transform(gaps, kept), ""))
 
 
 def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -242,7 +298,9 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     cuts_of = F.col(cut)
     near = marked.select("*", F.when(cuts_of.isNotNull(), _lines(F.col(f"`{text}`"))).alias(line))
     whole = F.col(f"`{text}`")
-    cleaned = F.when(cuts_of.isNull(), whole).otherwise(_cleaned(whole, F.col(line), cuts_of))
+    near = near.withColumn(line, F.when(cuts_of.isNotNull(), _cleaned(whole, F.col(line), cuts_of)))
+    left = F.when(_trimmed(F.col(line)) == "", "").otherwise(F.col(line))
+    cleaned = F.when(cuts_of.isNull(), whole).otherwise(left)
     count = F.when(cuts_of.isNull(), 0).otherwise(F.size(cuts_of)).cast("int")
     out = near.withColumns({text: cleaned, "n_runs": count})
     return columns_of(out, docs if "n_runs" in docs.columns else docs.withColumn("n_runs", F.lit(0)))

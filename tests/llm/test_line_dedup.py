@@ -170,3 +170,54 @@ def test_lines_are_found_by_what_they_say(spark):
         assert all(r["start"] == max(r["at"] - 24, 1) and r["end"] == min(r["at"] + 49, n) for r in lines[k])
     first, second = ({r["at"] - gap: (r["g"], r["end"] - r["at"]) for r in lines[k]} for k, gap in ((0, 0), (1, 7)))
     assert all(second[a] == v for a, v in first.items())
+
+
+def test_no_python_runs_on_the_executors(spark, monkeypatch):
+    """The query's lines are Spark's own, and every part that it writes on the way."""
+    rng = random.Random(9)
+    shared = names(rng, 90)
+    texts = [" ".join([*names(rng, 30), *shared, *names(rng, 30)]) for _ in range(3)]
+    plans, cut = [], L.cut_lineage
+
+    def noted(df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return cut(df, *args, **kwargs)
+
+    monkeypatch.setattr(L, "cut_lineage", noted)
+    out = L.line_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+    assert len(plans) > 3 and not any(x in p for p in plans for x in ("MapInArrow", "Python", "Pandas"))
+    assert sorted(len(r.text.split()) for r in out.collect()) == [60, 60, 150]
+
+
+@pytest.mark.parametrize("words", [30, 3, 1, 10**6])
+def test_each_passage_holds_an_opened_line(spark, words):
+    """Also where few words, or one, come again and again, and where no word's hash is small."""
+    rng = random.Random(words)
+    shared = [f"w{rng.randrange(words)}" for _ in range(140)]
+    texts = [" ".join(shared), " ".join([f"v{k}" for k in range(7)] + shared + ["end"] * 5), " ".join(shared[:49])]
+    found = L.openers(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    lines = [{r["at"]: r["g"] for r in found if r["doc"] == k} for k in range(3)]
+    assert not lines[2] and len(found) == sum(map(len, lines))
+    assert max(lines[0]) + L.OPENED_WORDS - 1 <= 140
+    for s in range(1, 140 - 48):
+        inside = [a for a in range(s, s + L.STEP) if a in lines[0]]
+        assert any(lines[1].get(a + 7) == lines[0][a] for a in inside)
+
+
+def test_one_line_with_different_words_around(spark):
+    """A short line stands between many others; passages through it are found wherever they came before."""
+    rng = random.Random(12)
+    line = names(rng, 20)
+    left, right = [names(rng, 45) for _ in range(3)], [names(rng, 45) for _ in range(3)]
+    texts = [[*left[k % 3], *line, *right[k // 3]] for k in range(9)]
+    rng.shuffle(texts)
+    first, expected = {}, []
+    for i, w in enumerate(texts):
+        gone = set()
+        for s in range(len(w) - 49):
+            if first.setdefault(tuple(w[s : s + 50]), (i, s)) != (i, s):
+                gone |= set(range(s, s + 50))
+        expected.append([x for k, x in enumerate(w) if k not in gone])
+    found = cleaned(spark, [" ".join(w) for w in texts])
+    assert [found[k].split() for k in range(9)] == expected and any(len(e) < 110 for e in expected)
