@@ -6,8 +6,8 @@ size band; by the pigeonhole principle they agree on a segment, or differ there
 where a segment counts double. Signatures are therefore the subset of a segment, and for
 segments that count double also the subsets without one of their tokens (the one-deletion
 neighbourhood). `allocate` picks for a band how many segments are of either kind, by a cost
-model; segments with hardly any token, which unrelated sets share, are left out for as many
-spare segments. What shares a signature and is not ruled out by its size or
+model; the segments with the fewest tokens, which unrelated sets share, are left out, one for
+each spare segment. What shares a signature and is not ruled out by its size or
 by a parity sketch, which bounds how many tokens differ, is verified exactly.
 
 Bands grow by the threshold, so that a set meets sets of its own and the next band only: each
@@ -38,8 +38,10 @@ from .components import components
 
 #: Sets of a band that the cost model reckons with.
 BAND_SETS = 100_000
-#: A segment with fewer tokens is left out where spare segments allow it.
+#: A segment with fewer tokens counts as one that unrelated sets share.
 FILLED = 2
+#: Spare segments to choose from: numbers, and shares of the tokens that may differ.
+SPARE, SPARE_SHARES = (*range(9), 12, 16, 24, 32), tuple(k / 20 for k in range(1, 31))
 #: Bits of the parity sketch that a set carries, at least, and for each token.
 SKETCH_BITS, BITS_PER_TOKEN = 2048, 4
 #: 64-bit words of the short sketch that the rows of a signature carry.
@@ -109,6 +111,16 @@ def _light_share(mean: float) -> float:
     return sum(math.exp(-mean) * mean**k / math.factorial(k) for k in range(FILLED))
 
 
+def _beyond(count: int, share: float, spare: int) -> float:
+    """Expected excess over `spare` of the segments, out of `count`, that a share makes light."""
+    mean, spread = count * share, math.sqrt(count * share * (1 - share))
+    if not spare or not spread:
+        return max(0.0, mean - spare)
+    z = (spare - mean) / spread
+    tail = math.erfc(z / math.sqrt(2)) / 2
+    return max(0.0, spread * math.exp(-z * z / 2) / math.sqrt(2 * math.pi) - (spare - mean) * tail)
+
+
 @lru_cache(maxsize=4096)
 def allocate(size: int, differ: int) -> tuple[int, int, int]:
     """Segments that count once, segments that count double, and spare ones.
@@ -118,25 +130,28 @@ def allocate(size: int, differ: int) -> tuple[int, int, int]:
     """
     best: tuple[float, tuple[int, int, int]] | None = None
     for double in range(0, min(differ + 1, 12) // 2 + 1):
-        for spare in (0, *range(1, 9), 12, 16, 24, 32):
+        for spare in sorted({*SPARE, *(int(differ * share) for share in SPARE_SHARES)}):
             once = differ + 1 + spare - 2 * double
             if once < 0 or once + double == 0 or spare and not once:
                 continue
             count = once + double
             light = _light_share(size / count)
-            mean = once * light
-            # Sets with more light segments than spare ones use all of them.
-            below = sum(math.exp(-mean) * mean**k / math.factorial(k) for k in range(spare + 1))
-            full = max(0.0, 1 - below)
-            bad = BAND_SETS * light * (full * once + 2 * double)
-            cost = once + double * (1 + size / count) + bad
+            bad = BAND_SETS * (_beyond(once, light, spare) + 2 * double * light)
+            cost = max(0, once - spare) + double * (1 + size / count) + bad
             if best is None or cost < best[0]:
                 best = (cost, (once, double, spare))
     return best[1]
 
 
 def _of_scheme(tokens: np.ndarray, scheme: int, percent: int) -> np.ndarray:
-    """Signatures of a set under the scheme of a band."""
+    """Signatures of a set under the scheme of a band.
+
+    Of the segments that count once each set drops those that come first by their tokens' number
+    and their hash, as many as are spare. Segments on which two sets agree are in the same order in
+    both; where no segment that counts double brings the sets together, they agree on one more than
+    either drops, so both keep the last of these. A set smaller than the largest of the band
+    differs from its partners in fewer tokens and drops more.
+    """
     largest = band_starts(percent)[scheme + 1] - 1
     differ = (100 - percent) * largest // percent
     if differ == 0:
@@ -148,12 +163,11 @@ def _of_scheme(tokens: np.ndarray, scheme: int, percent: int) -> np.ndarray:
     sums = np.zeros(count, np.uint64)
     np.add.at(sums, segment, dealt)
     salt = _mixed((np.arange(count, dtype=np.uint64) + np.uint64(1)) * np.uint64(0xD1342543DE82EF95) + np.uint64(scheme))
+    codes = _mixed(sums + salt)
     filled = np.bincount(segment, minlength=count)
-    light = filled[double:] < FILLED
-    keep = np.ones(count, bool)
-    if light.sum() <= spare:
-        keep[double:] = ~light
-    out = [_mixed(sums[keep] + salt[keep])]
+    dropped = spare + differ - (100 - percent) * min(largest, len(tokens)) // percent
+    order = np.lexsort((codes[double:], filled[double:]))
+    out = [codes[:double], codes[double:][order[dropped:]]]
     if double:
         ours = segment < double
         out.append(_mixed(sums[segment[ours]] - dealt[ours] + salt[segment[ours]]))

@@ -148,3 +148,48 @@ def test_sketches_never_differ_in_more_bits_than_tokens(spark):
     for r in told.collect():
         assert r.long <= r.differ and r.short <= r.differ
         assert r.long >= 0.6 * r.differ or not r.near
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+@pytest.mark.parametrize("size", [60, 190, 300, 900, 1500, 6000])
+def test_unrelated_sets_of_any_size_share_no_signature(size, percent):
+    """A segment without a token is the same in all sets: pairs grew with the square of their number."""
+    rng = np.random.default_rng(size)
+    seen = {}
+    for k in range(60):
+        for code in J.signatures(np.unique(rng.integers(0, 1 << 63, size + k, dtype=np.uint64)), percent).tolist():
+            assert seen.setdefault(code, k) == k
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 95])
+def test_signatures_are_complete_at_the_threshold(percent):
+    """Sets that differ in as many tokens as may be, by loss, gain or both, share a signature.
+
+    The lost and new tokens are those of whole segments of one scheme, so that agreement is rarest.
+    """
+    rng = np.random.default_rng(7)
+    for size in (8, 20, 55, 70, 150, 200, 450, 1000, 1400, 3000):
+        for share in (0, 0.5, 1):
+            for _ in range(4):
+                a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+                differ = (100 - percent) * len(a) // percent
+                gone = int(differ * share) * percent // 100
+                new = max(0, (len(a) - gone) * 100 // percent - len(a))
+                scheme = int(np.searchsorted(J.band_starts(percent), len(a), "right")) - 1
+                largest = J.band_starts(percent)[scheme + 1] - 1
+                once, double, _ = J.allocate(largest, (100 - percent) * largest // percent)
+                dealt = J._mixed(a + np.uint64((scheme + 1) * 0x632BE59BD9B4E019 & J._MASK)) % np.uint64(once + double)
+                tokens = np.bincount(dealt.astype(np.int64), minlength=once + double)
+                heavy = np.argsort(-tokens[dealt.astype(np.int64)], kind="stable")
+                b = np.union1d(np.delete(a, heavy[:gone]), rng.integers(0, 1 << 63, new, dtype=np.uint64))
+                common = len(np.intersect1d(a, b))
+                assert 100 * common >= percent * (len(a) + len(b) - common)
+                if not np.array_equal(a, b):
+                    assert len(np.intersect1d(J.signatures(a, percent), J.signatures(b, percent)))
+
+
+def test_unrelated_long_texts_make_no_pairs(spark):
+    rng = random.Random(2)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(1500 + i))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert J.shared_signatures(J.indexed(df, 5, 80, "doc_id", "text")).isEmpty()
